@@ -95,6 +95,14 @@ def first_of_month(year, month) -> Column:
                                 F.lit(0), F.lit(0), F.lit(0)).cast("date")
 
 
+def round_half_even(col, scale: int = 2) -> Column:
+    """SC-21: half-even rounding with numpy/pandas semantics (scale the binary
+    double, round half to even, scale back). Spark's ``bround`` rounds the
+    decimal rendering instead, which differs on values like 65930.865."""
+    f = float(10 ** scale)
+    return F.bround(as_col(col) * F.lit(f), 0) / F.lit(f)
+
+
 def micros_between(end, start) -> Column:
     return F.timestamp_diff("MICROSECOND", as_col(start), as_col(end))
 
@@ -102,7 +110,7 @@ def micros_between(end, start) -> Column:
 def minutes_between(end, start, clip_zero: bool = True, scale: int = 2) -> Column:
     """SC-10: (end - start) minutes, half-even rounded; negative -> 0; NULL stays NULL
     (``greatest`` alone would skip NULLs, hence the guard)."""
-    m = F.bround(micros_between(end, start) / F.lit(60000000.0), scale)
+    m = round_half_even(micros_between(end, start) / F.lit(60000000.0), scale)
     if not clip_zero:
         return m
     return F.when(m.isNull(), F.lit(None).cast("double")).otherwise(F.greatest(m, F.lit(0.0)))
