@@ -3,10 +3,10 @@ ANSI-safe (only ``try_*`` parsers), no Python UDF."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .core import as_col
+from .core import as_col, c
 
 # Spanish month names and their three-letter labels, January first.
 MONTHS_ES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio",
@@ -25,10 +25,40 @@ def _to_ntz(ts: Column) -> Column:
     return ts.cast("timestamp_ntz")
 
 
+def shape_regex(fmt: str) -> str:
+    """Anchored regex accepting every string the datetime pattern can parse
+    (never stricter): used to skip parse attempts that must fail, because a
+    failing ``try_to_timestamp`` costs an exception per row."""
+    import re
+
+    out, i = "", 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        n = j - i
+        if ch == "y":
+            out += r"\d{4}" if n >= 4 else r"\d{2,4}"
+        elif ch in "MdHhms":
+            out += r"\d{2}" if n >= 2 else r"\d{1,2}"
+        elif ch == "a":
+            out += "[AaPp][Mm]"
+        else:
+            out += re.escape(ch * n)
+        i = j
+    return "^" + out + "$"
+
+
+def try_parse(x: Column, fmt: str) -> Column:
+    """``try_to_timestamp`` attempted only when the text has the pattern's shape."""
+    return F.when(x.rlike(shape_regex(fmt)), F.try_to_timestamp(x, F.lit(fmt)))
+
+
 def parse_datetime(col, formats: list[str] | None = None) -> Column:
     """SC-03: first format that parses wins; unparseable -> NULL. TIMESTAMP_NTZ."""
     x = F.trim(as_col(col).cast("string"))
-    return _to_ntz(F.coalesce(*[F.try_to_timestamp(x, F.lit(f)) for f in (formats or DEFAULT_DATE_FORMATS)]))
+    return _to_ntz(F.coalesce(*[try_parse(x, f) for f in (formats or DEFAULT_DATE_FORMATS)]))
 
 
 def parse_date(col, formats: list[str] | None = None) -> Column:
@@ -62,7 +92,7 @@ def hour_bucket(col, default: str | None = None) -> Column:
     input is bucketed directly."""
     x = as_col(col)
     norm = F.upper(F.replace(F.replace(F.lower(F.trim(x.cast("string"))), F.lit("."), F.lit("")), F.lit(" "), F.lit("")))
-    ts = F.coalesce(*[F.try_to_timestamp(norm, F.lit(f)) for f in HOUR_FORMATS])
+    ts = F.coalesce(*[try_parse(norm, f) for f in HOUR_FORMATS])
     out = F.date_format(ts, "HH:00")
     return out if default is None else F.coalesce(out, F.lit(default))
 
@@ -146,29 +176,53 @@ def half_label(month: Column, year: Column, day: Column) -> Column:
 
 
 def period_from_name(col, loose: bool = False) -> Column:
-    """SC-20a/b: ``... d-m-Y al d-m-Y ...`` in a file name -> struct(start, end, label).
+    """SC-20a/b as one expression: ``... d-m-Y al d-m-Y ...`` in a file name ->
+    struct(start, end, label). ``loose``: any two ``d?m?Y`` tokens with any
+    non-word separator. No match or an invalid date -> all NULL.
 
-    ``loose``: any two ``d?m?Y`` tokens with any non-word separator. No match or an
-    invalid date -> all NULL."""
+    For per-row use over large inputs prefer ``with_period`` (staged, each
+    regex evaluated once) or compute it on the distinct file names."""
     name = F.lower(F.regexp_replace(as_col(col), r"^.*[/\\]", ""))
     if loose:
-        tok = r"(\d{1,2})\W(\d{1,2})\W(\d{4})"
-        pat = tok + r".*?" + tok
+        pat = r"(\d{1,2}\W\d{1,2}\W\d{4}).*?(\d{1,2}\W\d{1,2}\W\d{4})"
     else:
-        pat = r"(\d{1,2})-(\d{1,2})-(\d{4})\s+al\s+(\d{1,2})-(\d{1,2})-(\d{4})"
-    g = [F.regexp_extract(name, pat, i) for i in range(1, 7)]
+        pat = r"(\d{1,2}-\d{1,2}-\d{4})\s+al\s+(\d{1,2}-\d{1,2}-\d{4})"
 
-    def mk(d, m, y):
-        return F.try_make_timestamp(y.try_cast("int"), m.try_cast("int"), d.try_cast("int"),
-                                    F.lit(0), F.lit(0), F.lit(0)).cast("timestamp_ntz")
+    def tok(i):
+        return F.regexp_replace(F.regexp_extract(name, pat, i), r"\W", "-")
 
-    start, end = mk(g[0], g[1], g[2]), mk(g[3], g[4], g[5])
+    start, end = _dmy(tok(1)), _dmy(tok(2))
     ok = start.isNotNull() & end.isNotNull()
-    label = half_label(F.month(end), F.year(end), F.dayofmonth(end))
     null_ts = F.lit(None).cast("timestamp_ntz")
     return F.struct(F.when(ok, start).otherwise(null_ts).alias("start"),
                     F.when(ok, end).otherwise(null_ts).alias("end"),
-                    F.when(ok, label).alias("label"))
+                    F.when(ok, half_label(F.month(end), F.year(end), F.dayofmonth(end))).alias("label"))
+
+
+def _dmy(token: Column) -> Column:
+    """``d-M-yyyy`` token -> TIMESTAMP_NTZ; '' or an impossible date -> NULL."""
+    return try_parse(token, "d-M-yyyy").cast("timestamp_ntz")
+
+
+def with_period(df: DataFrame, col: str, prefix: str = "", loose: bool = False) -> DataFrame:
+    """SC-20a/b staged: adds ``{prefix}start``, ``{prefix}end``, ``{prefix}label``.
+
+    The regex runs once per row (Catalyst keeps the stages apart because the
+    extracted tokens are reused by several expressions)."""
+    name = F.lower(F.regexp_replace(c(col), r"^.*[/\\]", ""))
+    if loose:
+        pat = r"(\d{1,2}\W\d{1,2}\W\d{4}).*?(\d{1,2}\W\d{1,2}\W\d{4})"
+    else:
+        pat = r"(\d{1,2}-\d{1,2}-\d{4})\s+al\s+(\d{1,2}-\d{1,2}-\d{4})"
+    t = df.withColumn("__pm", F.regexp_replace(F.regexp_extract(name, pat, 0), r"\W", "-"))
+    t = t.withColumns({"__s": _dmy(F.regexp_extract("__pm", r"^(\d+-\d+-\d+)", 1)),
+                       "__e": _dmy(F.regexp_extract("__pm", r"(\d+-\d+-\d+)$", 1))})
+    ok = F.col("__s").isNotNull() & F.col("__e").isNotNull()
+    null_ts = F.lit(None).cast("timestamp_ntz")
+    t = t.withColumns({prefix + "start": F.when(ok, F.col("__s")).otherwise(null_ts),
+                       prefix + "end": F.when(ok, F.col("__e")).otherwise(null_ts)})
+    e = F.col(prefix + "end")
+    return t.withColumn(prefix + "label", half_label(F.month(e), F.year(e), F.dayofmonth(e))).drop("__pm", "__s", "__e")
 
 
 def snapshot_cut(col) -> Column:
@@ -222,10 +276,10 @@ def period_sort_key(col) -> Column:
     """SC-20f: ``ENE 2026 Q1`` -> ``2026-01-Q1``; unknown month -> ``00``;
     fewer than three words -> the text itself."""
     t = F.trim(as_col(col).cast("string"))
-    parts = F.split(t, r"\s+")
     pairs = []
     for i, m in enumerate(MONTHS_ES_ABBR, start=1):
         pairs += [F.lit(m), F.lit(f"{i:02d}")]
-    mm = F.coalesce(F.try_element_at(F.create_map(*pairs), F.element_at(parts, 1)), F.lit("00"))
-    return F.when(F.size(parts) >= 3,
-                  F.concat_ws("-", F.element_at(parts, 2), mm, F.element_at(parts, 3))).otherwise(t)
+    mm = F.coalesce(F.try_element_at(F.create_map(*pairs), F.regexp_extract(t, r"^(\S+)", 1)), F.lit("00"))
+    return F.when(t.rlike(r"^\S+\s+\S+\s+\S+"),
+                  F.concat_ws("-", F.regexp_extract(t, r"^\S+\s+(\S+)", 1), mm,
+                              F.regexp_extract(t, r"^\S+\s+\S+\s+(\S+)", 1))).otherwise(t)

@@ -56,20 +56,21 @@ def assign_sk(current: DataFrame, previous: DataFrame | None, natural_key: str,
 
 def validity_intervals(df: DataFrame, identity: list[str], start_col: str, start_out: str = "Fecha_Inicio",
                        end_out: str = "Fecha_Fin", state_out: str = "Estado_Vigencia",
-                       active: str = "ACTIVO", historic: str = "HISTÓRICO") -> DataFrame:
+                       active: str = "ACTIVO", historic: str = "HISTÓRICO", tie_break: list[str] = ()) -> DataFrame:
     """SCD-01: each snapshot row is valid until the identity's next snapshot start."""
-    w = Window.partitionBy(*[c(i) for i in identity]).orderBy(c(start_col))
+    w = Window.partitionBy(*[c(i) for i in identity]).orderBy(c(start_col), *[c(t) for t in tie_break])
     return (df.withColumn(start_out, c(start_col))
             .withColumn(end_out, F.lead(c(start_col)).over(w))
             .withColumn(state_out, F.when(F.col(end_out).isNull(), F.lit(active)).otherwise(F.lit(historic))))
 
 
 def scd2(df: DataFrame, identity: list[str], start_col: str, tracked: list[str],
-         start_out: str = "valid_from", end_out: str = "valid_to", current_out: str = "is_current") -> DataFrame:
+         start_out: str = "valid_from", end_out: str = "valid_to", current_out: str = "is_current",
+         tie_break: list[str] = ()) -> DataFrame:
     """SCD-02: true type-2 history. Consecutive snapshots with unchanged tracked
     attributes collapse into one version; a change opens a new version and
     closes the previous one at the change time."""
-    w = Window.partitionBy(*[c(i) for i in identity]).orderBy(c(start_col))
+    w = Window.partitionBy(*[c(i) for i in identity]).orderBy(c(start_col), *[c(t) for t in tie_break])
     h = F.xxhash64(*[F.coalesce(c(t).cast("string"), F.lit("\u0000")) for t in tracked])
     marked = (df.withColumn("__h", h)
               .withColumn("__chg", F.when(F.lag("__h").over(w).isNull() | (F.lag("__h").over(w) != F.col("__h")), 1)

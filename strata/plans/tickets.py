@@ -42,16 +42,20 @@ def ticket_kpis(df: DataFrame, opened: str = OPENED, closed: str = CLOSED, print
     closed-ticket corrections (NULL -> 0, never printed -> dispatch 0, dispatch
     capped by resolution, print = resolution - dispatch). Open tickets untouched;
     the resolution column itself is never overwritten."""
-    res = minutes_between(c(closed), c(opened))
-    des = minutes_between(c(closed), c(printed))
-    imp = minutes_between(c(printed), c(opened))
+    # Staged so each timestamp difference is computed once per row (the
+    # optimizer keeps non-trivial expressions that are reused in separate projections).
+    df = df.withColumns({RES: minutes_between(c(closed), c(opened)),
+                         "__des": minutes_between(c(closed), c(printed)),
+                         "__imp": minutes_between(c(printed), c(opened))})
     is_closed = c(closed).isNotNull()
     remote = is_closed & c(printed).isNull()
-    res_c = F.when(is_closed, F.coalesce(res, F.lit(0.0))).otherwise(res)
-    des_c = F.when(remote, F.lit(0.0)).when(is_closed, F.coalesce(des, F.lit(0.0))).otherwise(des)
-    des_f = F.when(is_closed, F.least(des_c, res_c)).otherwise(des)
-    imp_f = F.when(is_closed, res_c - des_f).otherwise(imp)
-    return df.withColumns({RES: res, DISP: des_f, PRINT: imp_f})
+    df = df.withColumns({
+        "__res_c": F.when(is_closed, F.coalesce(c(RES), F.lit(0.0))).otherwise(c(RES)),
+        "__des_c": F.when(remote, F.lit(0.0)).when(is_closed, F.coalesce(F.col("__des"), F.lit(0.0)))
+                    .otherwise(F.col("__des"))})
+    df = df.withColumn(DISP, F.when(is_closed, F.least(F.col("__des_c"), F.col("__res_c"))).otherwise(F.col("__des")))
+    df = df.withColumn(PRINT, F.when(is_closed, F.col("__res_c") - c(DISP)).otherwise(F.col("__imp")))
+    return df.drop("__des", "__imp", "__res_c", "__des_c")
 
 
 def ticket_flags(df: DataFrame, class_col: str = "Clasificacion") -> DataFrame:

@@ -269,7 +269,7 @@ def sc19(spark, d):
 SC20_SQL = f"""
 WITH s AS (SELECT o_orderkey,
   'Data - IdF ' || strftime(o_orderdate, '%-d-%-m-%Y') || ' al ' || strftime(o_orderdate + INTERVAL 15 DAY, '%-d-%-m-%Y') || '.xlsx' AS n_a,
-  'IdF ' || strftime(o_orderdate, '%-d.%-m.%Y') || ' hasta ' || strftime(o_orderdate + INTERVAL 15 DAY, '%d_%m_%Y') AS n_b,
+  'IdF ' || strftime(o_orderdate, '%-d.%-m.%Y') || ' hasta ' || strftime(o_orderdate + INTERVAL 15 DAY, '%d.%m.%Y') AS n_b,
   'Data - Abonados hasta el ' || strftime(o_orderdate, '%-d.%m.%Y') || '.xlsx' AS n_c,
   'Data - Empleados ' || strftime(o_orderdate, '%d-%m-%Y') || '.xlsx' AS n_d,
   'Data_Abonados' || strftime(o_orderdate, '%d%m%Y') || '.xlsx' AS n_e
@@ -311,16 +311,16 @@ def sc20(spark, d):
         "o_orderkey",
         F.concat(F.lit("Data - IdF "), F.date_format(od, "d-M-yyyy"), F.lit(" al "), F.date_format(od15, "d-M-yyyy"),
                  F.lit(".xlsx")).alias("n_a"),
-        F.concat(F.lit("IdF "), F.date_format(od, "d.M.yyyy"), F.lit(" hasta "), F.date_format(od15, "dd_MM_yyyy")).alias("n_b"),
+        F.concat(F.lit("IdF "), F.date_format(od, "d.M.yyyy"), F.lit(" hasta "), F.date_format(od15, "dd.MM.yyyy")).alias("n_b"),
         F.concat(F.lit("Data - Abonados hasta el "), F.date_format(od, "d.MM.yyyy"), F.lit(".xlsx")).alias("n_c"),
         F.concat(F.lit("Data - Empleados "), F.date_format(od, "dd-MM-yyyy"), F.lit(".xlsx")).alias("n_d"),
         F.concat(F.lit("Data_Abonados"), F.date_format(od, "ddMMyyyy"), F.lit(".xlsx")).alias("n_e"))
-    a, b, cc = D.period_from_name("n_a"), D.period_from_name("n_b", loose=True), D.snapshot_cut("n_c")
+    s = D.with_period(D.with_period(s, "n_a", "a_"), "n_b", "b_", loose=True)
+    cc = D.snapshot_cut("n_c")
     return s.select(
-        "o_orderkey", a["start"].alias("a_start"), a["end"].alias("a_end"), a["label"].alias("a_label"),
-        b["start"].alias("b_start"), b["end"].alias("b_end"), b["label"].alias("b_label"),
+        "o_orderkey", "a_start", "a_end", "a_label", "b_start", "b_end", "b_label",
         cc["cut"].alias("c_cut"), cc["label"].alias("c_label"), D.date_token("n_d").alias("d_date"),
-        D.ddmmyyyy("n_e", "Data_Abonados").alias("e_date"), D.period_sort_key(a["label"]).alias("f_key"))
+        D.ddmmyyyy("n_e", "Data_Abonados").alias("e_date"), D.period_sort_key("a_label").alias("f_key"))
 
 
 @proof("SC-21", "SELECT l_orderkey, l_linenumber, round_even(l_extendedprice * (1 - l_discount), 2) AS neto, "

@@ -68,6 +68,16 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a DataFrame to the cluster's parallelism only when it has
+    fewer partitions than cores (e.g. one small file feeding CPU-heavy per-row
+    work). On large inputs this is a no-op: no shuffle is added."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
+
+
 class Tables:
     """Lazy access to the driver's parquet tables: ``Tables(spark, dir).orders``."""
 
