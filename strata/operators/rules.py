@@ -89,3 +89,57 @@ def ticket_rules(admin: list[str], noc_users: list[str], physical: list[str], lo
         Rule(solution, "contains_any", tuple(physical), "OPERACIONES"),
         Rule(solution, "contains_any", tuple(logical), "NOC"),
     ]
+
+
+# Free-text topic patterns of the data-update feed, in priority
+# order (first match wins), and the default label.
+TOPIC_RULES = [
+    (r"TEL[EÉ]FONO|CELULAR|N[UÚ]MERO|TLF", "TELEFONO"),
+    (r"CORREO|EMAIL|MAIL", "CORREO ELECTRÓNICO"),
+    (r"C[EÉ]DULA|DOCUMENTO|C\.I|IDENTIDAD|RIF", "CEDULA"),
+    (r"DIRECCI[OÓ]N|UBICACI[OÓ]N|CASA|CALLE|AVENIDA", "DIRECCION"),
+    (r"NOMBRE|APELLIDO|TITULAR", "NOMBRE Y APELLIDO"),
+    (r"CLAVE|CONTRASE[ÑN]A|PASSWORD|WIFI", "CLAVE / WIFI"),
+    (r"PLAN|SERVICIO|PAQUETE|MEGAS|VELOCIDAD", "CAMBIO DE PLAN"),
+]
+TOPIC_DEFAULT = "OTRAS ACTUALIZACIONES"
+
+
+def topic(col, rules: list[tuple[str, str]] = TOPIC_RULES, default: str = TOPIC_DEFAULT) -> Column:
+    """CLS-02: free-text topic, regexes tested on the upper-cased text in order."""
+    return classify([Rule(col, "regex", (p,), label) for p, label in rules], default)
+
+
+def sales_channel(seller, detected_name, match_type, office_sellers: list[str], own_sellers: list[str]) -> Column:
+    """CLS-03: CALL CENTER (tele-sales words) -> OFICINA COMERCIAL (a detected
+    office match that is not pending/undetected and not an administrator, or a
+    listed office seller) -> VENDEDORES PROPIOS (street sales words or a listed
+    own seller) -> ALIADOS. Missing seller text behaves as the word ``none``."""
+    v = F.lower(F.coalesce(as_col(seller).cast("string"), F.lit("none")))
+    n = F.coalesce(as_col(detected_name).cast("string"), F.lit("nan"))
+    t = F.coalesce(as_col(match_type).cast("string"), F.lit("nan"))
+    office_hit = ((n != "nan") & (n != "") & (t != "Pendiente de Revisión") & (t != "No detectado")
+                  & ~v.contains("administrador"))
+    return (F.when(v.contains("televentas") | v.contains("call center"), F.lit("CALL CENTER"))
+            .when(office_hit | v.isin(*[s.lower() for s in office_sellers]), F.lit("OFICINA COMERCIAL"))
+            .when((v.contains("ventas") & ~v.contains("televentas")) | v.isin(*[s.lower() for s in own_sellers]),
+                  F.lit("VENDEDORES PROPIOS"))
+            .otherwise(F.lit("ALIADOS")))
+
+
+def office_ownership(office, own_offices: list[str], own: str = "OFICINAS PROPIAS",
+                     other: str = "ALIADOS Y DESARROLLO") -> Column:
+    """CLS-04a: membership of the collecting office in the own-office list."""
+    return F.when(F.coalesce(as_col(office).cast("string"), F.lit("")).isin(*own_offices), F.lit(own)).otherwise(F.lit(other))
+
+
+def responsible_channel(responsible) -> Column:
+    """CLS-04b: responsible user -> channel by keyword."""
+    x = F.coalesce(as_col(responsible).cast("string"), F.lit(""))
+    return (F.when(x.rlike("(?i)CALL|PHONE"), F.lit("CALL CENTER")).when(x.rlike("(?i)OFI|ASESOR"), F.lit("OFICINA COMERCIAL"))
+            .otherwise(F.lit("ALIADOS")))
+
+
+def app_or_manual(user, app_users: list[str]) -> Column:
+    """CLS-04c: payments keyed by an integration user are ``App``, else ``Manual``."""
+    return F.when(as_col(user).isin(*app_users), F.lit("App")).otherwise(F.lit("Manual"))
