@@ -57,7 +57,8 @@ def ticket_rows(t: Tables) -> DataFrame:
 def silver_slice(t: Tables) -> DataFrame:
     df = ticket_rows(t).filter(period_with_backlog(c(T.OPENED), c(T.CLOSED), F.lit(OPEN_FROM), F.lit(PERIOD_END),
                                                    F.lit(CLOSE_FROM)))
-    df = df.withColumn("Quincena Evaluada", F.lit(PERIOD_LABEL)).withColumn("Clasificacion", classify(PROOF_RULES))
+    df = df.withColumns({"Quincena Evaluada": F.lit(PERIOD_LABEL), "FechaInicio": F.lit(OPEN_FROM),
+                         "FechaFin": F.lit(PERIOD_END)}).withColumn("Clasificacion", classify(PROOF_RULES))
     df = T.ticket_flags(T.ticket_kpis(df))
     tie = [c("Solucion Aplicada").asc_nulls_first(), c("Grupo Trabajo").asc_nulls_first(),
            c(T.PRINTED).asc_nulls_first(), c("l_partkey").asc_nulls_first(), c("l_extendedprice").asc_nulls_first()]
