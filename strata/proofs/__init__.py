@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 REGISTRY: dict[str, tuple[Callable, str | None]] = {}
 
-_MODULES = ["tickets", "scalars", "relational", "history", "rules_er", "analytics", "jobs"]
+_MODULES = ["tickets", "scalars", "relational", "history", "rules_er", "analytics", "io", "jobs"]
 
 
 def proof(qid: str, sql: str | None = None):
