@@ -19,6 +19,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions.clean import fold_text
 from ..functions.core import c
@@ -26,12 +27,12 @@ from ..functions.similarity import partial_ratio, token_set_ratio
 from .joins import bounded_broadcast, fits
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_set_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def partial_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([partial_ratio(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
 

@@ -37,9 +37,9 @@ def dedupe_columns(df: DataFrame) -> DataFrame:
 
 
 def rename_synonyms(df: DataFrame, synonyms: dict[str, list[str]]) -> DataFrame:
-    """PRJ-02: for each target, the first present source name (case-insensitive)
-    becomes the target; several present synonyms are coalesced in list order and
-    the sources dropped, so no duplicate names appear."""
+    """PRJ-02: for each target, the present source names (target first, then
+    synonyms in order; case-insensitive) are coalesced into the target and the
+    sources removed, so no duplicate (or case-only different) names appear."""
     out = df
     for target, names in synonyms.items():
         present = []
@@ -50,9 +50,8 @@ def rename_synonyms(df: DataFrame, synonyms: dict[str, list[str]]) -> DataFrame:
         if not present:
             continue
         merged = F.coalesce(*[c(p) for p in present]) if len(present) > 1 else c(present[0])
-        others = [p for p in present if p != target]
-        out = out.withColumn(target, merged) if target in out.columns else out.withColumn(target, merged)
-        out = out.drop(*others) if others else out
+        rest = [c(n) for n in out.columns if n not in present]
+        out = out.select(*rest, merged.alias(target))
     return out
 
 

@@ -50,3 +50,21 @@ def franchise_dim(*sources: DataFrame, col: str = "Franquicia") -> DataFrame:
     """PL-16: distinct franchise names of the stock and ticket golds, blanks and
     ``NO DEFINIDA`` removed, sorted."""
     return value_set(*[(s, first_present(s, [col]) or col) for s in sources], out=col)
+
+
+def yearly_statistics(files: DataFrame, wide: DataFrame, year_col: str = "Anio",
+                      status_col: str = "ESTATUS") -> tuple[DataFrame, DataFrame]:
+    """PL-17: from the newest statistics file per year (SRC-11, ``files`` =
+    (path, Fecha, Anio)) the month columns are unpivoted (UNP-01, SC-09) and
+    stacked (SET-03); returns (history rows, yearly summary AGG-06)."""
+    from ..functions.dates import MONTHS_ES
+    from ..operators.keys import unpivot_months
+
+    months = [m for m in MONTHS_ES if m.upper() in [x.upper() for x in wide.columns]]
+    cols = [next(x for x in wide.columns if x.upper() == m.upper()) for m in months]
+    keep = wide.join(files.select(F.col("path").alias("__p")), c("Source.Name") == F.col("__p"), "left_semi") \
+        if "Source.Name" in wide.columns else wide
+    rows = unpivot_months(keep, [status_col, year_col], cols, F.col(year_col), status_col=status_col)
+    summary = (rows.groupBy(F.col("Anio")).agg(F.count(F.lit(1)).alias("Registros"), F.sum("Cantidad").alias("Total"))
+               .orderBy("Anio"))
+    return rows, summary
