@@ -170,9 +170,10 @@ def indicator(cond: Column) -> Column:
 
 
 def half_label(month: Column, year: Column, day: Column) -> Column:
-    """``MMM YYYY Qn``: Q1 iff day <= 15."""
-    return F.concat_ws(" ", month_name_es(month, "abbr"), year.cast("string"),
-                       F.when(day <= 15, F.lit("Q1")).otherwise(F.lit("Q2")))
+    """``MMM YYYY Qn``: Q1 iff day <= 15; NULL when the date is NULL."""
+    lab = F.concat_ws(" ", month_name_es(month, "abbr"), year.cast("string"),
+                      F.when(day <= 15, F.lit("Q1")).otherwise(F.lit("Q2")))
+    return F.when(month.isNotNull() & year.isNotNull() & day.isNotNull(), lab)
 
 
 def period_from_name(col, loose: bool = False) -> Column:

@@ -24,11 +24,16 @@ def proof(qid: str, sql: str | None = None):
     return deco
 
 
+_LOADED = False
+
+
 def load_all() -> dict[str, tuple[Callable, str | None]]:
+    global _LOADED
+    if _LOADED:
+        return REGISTRY
     for m in _MODULES:
-        try:
-            importlib.import_module(f"{__name__}.{m}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"{__name__}.{m}":
-                raise
+        importlib.import_module(f"{__name__}.{m}")
+    _LOADED = True
+    from .analytics import register_udf_surface
+    register_udf_surface()
     return REGISTRY
