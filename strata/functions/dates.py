@@ -210,12 +210,14 @@ def with_period(df: DataFrame, col: str, prefix: str = "", loose: bool = False)
 
     The regex runs once per row (Catalyst keeps the stages apart because the
     extracted tokens are reused by several expressions)."""
+    from ..session import spread
+
     name = F.lower(F.regexp_replace(c(col), r"^.*[/\\]", ""))
     if loose:
         pat = r"(\d{1,2}\W\d{1,2}\W\d{4}).*?(\d{1,2}\W\d{1,2}\W\d{4})"
     else:
         pat = r"(\d{1,2}-\d{1,2}-\d{4})\s+al\s+(\d{1,2}-\d{1,2}-\d{4})"
-    t = df.withColumn("__pm", F.regexp_replace(F.regexp_extract(name, pat, 0), r"\W", "-"))
+    t = spread(df).withColumn("__pm", F.regexp_replace(F.regexp_extract(name, pat, 0), r"\W", "-"))
     t = t.withColumns({"__s": _dmy(F.regexp_extract("__pm", r"^(\d+-\d+-\d+)", 1)),
                        "__e": _dmy(F.regexp_extract("__pm", r"(\d+-\d+-\d+)$", 1))})
     ok = F.col("__s").isNotNull() & F.col("__e").isNotNull()

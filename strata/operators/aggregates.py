@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from .joins import attach_scalar
 from pyspark.sql.types import NumericType
 
 from ..functions.core import as_col, c
@@ -25,6 +27,25 @@ def ordered_concat(value, order_by: list, sep: str = "; ", distinct: bool = True
     return F.array_join(arr, sep)
 
 
+def first_appearance_concat(df: DataFrame, keys: list, value, order_by: list, sep: str = "; ",
+                            out: str = "valores") -> DataFrame:
+    """AGG-09 at scale: distinct values per group joined in order of first
+    appearance, as two aggregations. (1) first appearance per (group, value):
+    a regular aggregate with map-side combine, so a hot group costs one row
+    per distinct value per task; (2) per group, sort the (first, value) pairs
+    and join. Memory per group is bounded by its number of distinct values,
+    not by its rows. Returns (keys..., out)."""
+    kcols = [as_col(k) for k in keys]
+    knames = [k if isinstance(k, str) else f"__k{i}" for i, k in enumerate(keys)]
+    v = as_col(value).cast("string")
+    firsts = (df.select(*[kc.alias(kn) for kc, kn in zip(kcols, knames)], v.alias("__v"),
+                        F.struct(*[as_col(o).alias(f"o{i}") for i, o in enumerate(order_by)]).alias("__o"))
+              .filter(F.col("__v").isNotNull())
+              .groupBy(*[c(k) for k in knames], "__v").agg(F.min("__o").alias("__first")))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col("__first"), F.col("__v"))))
+    return firsts.groupBy(*[c(k) for k in knames]).agg(F.array_join(F.transform(pairs, lambda x: x["__v"]), sep).alias(out))
+
+
 def share_of_total(df: DataFrame, value: str, out: str = "share", pct: bool = True, scale: int | None = None) -> DataFrame:
     """AGG-14: value / grand total. Intended for aggregated (small) inputs; the
     grand total is a separate global aggregate joined as one row, not a
@@ -33,7 +54,7 @@ def share_of_total(df: DataFrame, value: str, out: str = "share", pct: bool = Tr
     x = c(value) / F.col("__tot") * (100.0 if pct else 1.0)
     if scale is not None:
         x = F.round(x, scale)
-    return df.crossJoin(F.broadcast(tot)).withColumn(out, x).drop("__tot")
+    return attach_scalar(df, tot).withColumn(out, x).drop("__tot")
 
 
 def fixed_width_histogram(df: DataFrame, col: str, width: float, lo: float = 0.0, out_label: str = "bin",
@@ -55,7 +76,7 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     mm = df.agg(F.min(c(col)).alias("__lo"), F.max(c(col)).alias("__hi"))
     b = F.when(F.col("__hi") == F.col("__lo"), F.lit(1)).otherwise(
         F.least(F.floor((c(col) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins) + 1, F.lit(bins)))
-    return (df.filter(c(col).isNotNull()).crossJoin(F.broadcast(mm)).withColumn("bucket", b.cast("int"))
+    return (attach_scalar(df.filter(c(col).isNotNull()), mm).withColumn("bucket", b.cast("int"))
             .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"),
                                    F.min(c(col)).alias("lo"), F.max(c(col)).alias("hi")))
 

@@ -29,6 +29,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, kno
     return df
 
 
+def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row aggregate (a grand total, a max key) to
+    every row: broadcast equi-join on a constant key (the right side is one
+    row by construction)."""
+    return df.withColumn("__one", F.lit(1)).join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one").drop("__one")
+
+
 def left_latest(detail: DataFrame, lookup: DataFrame, key: str, lookup_key: str, agg_cols: dict[str, Column],
                 norm=None) -> DataFrame:
     """JON-01: pre-aggregate the right side to one row per (normalised) key, then

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import attach_scalar
+
 from ..functions.core import as_col, c
 from ..session import cut_lineage
 from .joins import attach_sk  # KEY-01 re-export  # noqa: F401
@@ -49,7 +51,7 @@ def assign_sk(current: DataFrame, previous: DataFrame | None, natural_key: str,
     new = joined.filter(F.col("__psk").isNull()).drop("__psk")
     max_sk = previous.agg(F.coalesce(F.max(c(sk)), F.lit(0)).cast("long").alias("__max"))
     numbered = global_sequence(new, [natural_key], out="__seq")
-    numbered = (numbered.crossJoin(F.broadcast(max_sk))
+    numbered = (attach_scalar(numbered, max_sk)
                 .withColumn(sk, F.col("__max") + F.col("__seq")).drop("__max", "__seq"))
     return known.unionByName(numbered)
 

@@ -82,8 +82,11 @@ def candidate_pairs(queries: DataFrame, master: DataFrame, threshold: float = 95
     seg = seg.select("name", "ml", F.substring("ms", (start + 1).cast("int"), this_len.cast("int")).alias("piece"),
                      this_len.alias("plen")).filter(F.col("plen") > 0)
     qs = queries.select("q", _sorted_tokens(F.col("q")).alias("qs")).withColumn("ql", F.length("qs"))
-    plens = seg.select("plen").distinct()
-    qsub = (qs.crossJoin(F.broadcast(plens)).filter(F.col("plen") <= F.col("ql"))  # tiny: distinct segment lengths
+    # distinct segment lengths: bounded by the longest master name (a few dozen ints)
+    plens = sorted(r.plen for r in seg.select("plen").distinct().collect())
+    if not plens:
+        return by_token.distinct()
+    qsub = (qs.withColumn("plen", F.explode(F.array(*[F.lit(int(x)) for x in plens]))).filter(F.col("plen") <= F.col("ql"))
             .select("q", "ql", "plen", F.explode(F.sequence(F.lit(1), F.col("ql") - F.col("plen") + 1)).alias("pos"), "qs")
             .select("q", "ql", "plen", F.substring("qs", F.col("pos"), F.col("plen")).alias("piece")))
     by_seg = (qsub.join(seg, ["piece", "plen"])

@@ -89,8 +89,10 @@ def bootstrap_mean(df: DataFrame, col: str, key: list[str], replicates: int = 20
                 acc_w += w.sum(axis=0)
         yield pd.DataFrame({"r": np.arange(replicates, dtype="int64"), "swx": acc_wx, "sw": acc_w})
 
+    from ..session import spread
+
     base = df.select(F.xxhash64(*[c(k) for k in key]).alias("k"), c(col).cast("double").alias("v"))
-    parts = base.mapInPandas(partials, "r long, swx double, sw double")
+    parts = spread(base).mapInPandas(partials, "r long, swx double, sw double")
     means = parts.groupBy("r").agg((F.sum("swx") / F.sum("sw")).alias("m"))
     lo, hi = levels[0] / 100.0, levels[1] / 100.0
     return means.agg(F.avg("m").alias("media_bootstrap"),

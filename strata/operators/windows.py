@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import attach_scalar
+
 from ..functions.core import as_col, c
 
 
@@ -67,4 +69,4 @@ def running_share(df: DataFrame, value: str, order: list, out: str = "cum_pct",
     x = F.sum(c(value)).over(w) / F.col("__tot") * 100.0
     if scale is not None:
         x = F.round(x, scale)
-    return df.crossJoin(F.broadcast(tot)).withColumn(out, x).drop("__tot")
+    return attach_scalar(df, tot).withColumn(out, x).drop("__tot")

@@ -9,9 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import attach_scalar
+
 from ..functions.core import c
 from ..functions.dates import band, days_between, round_half_even
-from ..operators.aggregates import fixed_width_histogram, ordered_concat
+from ..operators.aggregates import first_appearance_concat, fixed_width_histogram, ordered_concat
 from ..operators.ordering import top_n_filter
 
 
@@ -38,14 +40,17 @@ def survival(df: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
 
 def recurrence_groups(df: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
     """AN-02: per period x contract x cause: repetitions, distinct attended dates
-    and solutions in order of appearance, mean survival (1 decimal); > 1 only."""
+    and solutions in order of appearance, mean survival (1 decimal); > 1 only.
+    The ordered lists are skew-safe two-phase aggregations joined on the keys."""
+    keys = [k.period_key, k.period, k.contract, k.cause]
     order = [c(k.opened), c(k.ticket)]
-    g = df.groupBy(c(k.period_key), c(k.period), c(k.contract), c(k.cause)).agg(
+    g = df.groupBy(*[c(x) for x in keys]).agg(
         F.count(F.lit(1)).alias("Repeticiones"),
-        ordered_concat(F.to_date(c(k.opened)).cast("string"), order, "; ").alias("Fechas_Atendidas"),
-        ordered_concat(c(k.solution), order, "; ").alias("Soluciones"),
-        round_half_even(F.avg("Supervivencia_Dias"), 1).alias("Promedio_Supervivencia_Dias"))
-    return g.filter(F.col("Repeticiones") > 1)
+        round_half_even(F.avg("Supervivencia_Dias"), 1).alias("Promedio_Supervivencia_Dias")).filter(F.col("Repeticiones") > 1)
+    dates = first_appearance_concat(df, keys, F.to_date(c(k.opened)), order, "; ", "Fechas_Atendidas")
+    sols = first_appearance_concat(df, keys, c(k.solution), order, "; ", "Soluciones")
+    out = g.join(dates, keys, "left").join(sols, keys, "left")
+    return out.select(*[c(x) for x in keys], "Repeticiones", "Fechas_Atendidas", "Soluciones", "Promedio_Supervivencia_Dias")
 
 
 def pareto_by_cause(groups: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
@@ -59,7 +64,7 @@ def pareto_by_cause(groups: DataFrame, k: TicketCols = TicketCols()) -> DataFram
     w = Window.orderBy(F.col("Total_Tickets_Involucrados").desc(), c(k.cause).asc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     share = F.col("Total_Tickets_Involucrados") / F.col("__t") * 100
-    r = r.crossJoin(F.broadcast(tot)).withColumn("__share", share)
+    r = attach_scalar(r, tot).withColumn("__share", share)
     return (r.withColumn("Pct_Del_Total", round_half_even(F.col("__share"), 2))
             .withColumn("Pct_Acumulado_Pareto", round_half_even(F.sum("__share").over(w), 2))
             .drop("__t", "__share"))
@@ -77,13 +82,14 @@ def evolution(groups: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
 def friction(df: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
     """AN-05: per period x contract: tickets, solution journey (distinct, in
     opening order, ' ➔ '), distinct causes and solutions; > 1 ticket only."""
-    order = [c(k.opened), c(k.ticket)]
-    g = df.groupBy(c(k.period_key), c(k.period), c(k.contract)).agg(
+    keys = [k.period_key, k.period, k.contract]
+    g = df.groupBy(*[c(x) for x in keys]).agg(
         F.count(F.lit(1)).alias("Total_Tickets"),
-        ordered_concat(c(k.solution), order, " ➔ ").alias("Viaje_Soluciones"),
         F.count_distinct(c(k.cause)).alias("Cantidad_Causas_Distintas"),
-        F.count_distinct(c(k.solution)).alias("Cantidad_Soluciones_Distintas"))
-    return g.filter(F.col("Total_Tickets") > 1)
+        F.count_distinct(c(k.solution)).alias("Cantidad_Soluciones_Distintas")).filter(F.col("Total_Tickets") > 1)
+    j = first_appearance_concat(df, keys, c(k.solution), [c(k.opened), c(k.ticket)], " ➔ ", "Viaje_Soluciones")
+    return g.join(j, keys, "left").select(*[c(x) for x in keys], "Total_Tickets", "Viaje_Soluciones",
+                                          "Cantidad_Causas_Distintas", "Cantidad_Soluciones_Distintas")
 
 
 def journey_ranking(fr: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
@@ -94,14 +100,15 @@ def journey_ranking(fr: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
 
 
 def lifetime_journey(fr: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
-    """AN-07: per contract, period journeys joined with ' || ' in period order,
+    """AN-07: per contract, period journeys joined with ' || ' in period order
+    (one entry per period, so the list is bounded by the number of periods),
     tickets summed, affected periods listed."""
     order = [c(k.period_key), c(k.period)]
-    return (fr.groupBy(c(k.contract)).agg(
+    g = fr.groupBy(c(k.contract)).agg(
         ordered_concat("Viaje_Soluciones", order, " || ", distinct=False).alias("Viaje_Soluciones_Completo"),
-        F.sum("Total_Tickets").alias("Total_Tickets_Periodo"),
-        ordered_concat(c(k.period), order, ", ").alias("Quincenas_Afectadas"))
-        .orderBy(F.col("Total_Tickets_Periodo").desc(), c(k.contract)))
+        F.sum("Total_Tickets").alias("Total_Tickets_Periodo"))
+    q = first_appearance_concat(fr, [k.contract], c(k.period), order, ", ", "Quincenas_Afectadas")
+    return g.join(q, [k.contract], "left").orderBy(F.col("Total_Tickets_Periodo").desc(), c(k.contract))
 
 
 def repeat_rate(surv: DataFrame, k: TicketCols = TicketCols(), min_tickets: int = 20) -> DataFrame:

@@ -58,7 +58,9 @@ def order_tickets(t: Tables):
                     F.col("o_orderpriority").alias("causa"), F.col("o_orderdate").alias("apertura"), "cierre",
                     F.col("o_orderstatus").alias("solucion"),
                     F.concat(F.lit("G"), (F.col("o_custkey") % 7).cast("string")).alias("grupo"),
-                    q.alias("quincena"), D.period_sort_key(q).alias("orden_quincena"))
+                    q.alias("quincena"),
+                    F.concat_ws("-", F.year("o_orderdate").cast("string"), F.lpad(F.month("o_orderdate").cast("string"), 2, "0"),
+                                F.when(F.dayofmonth("o_orderdate") <= 15, "Q1").otherwise("Q2")).alias("orden_quincena"))
 
 
 def _lower(df):

@@ -261,7 +261,7 @@ j AS (SELECT o_custkey, string_agg(o_orderpriority, ' ➔ ' ORDER BY first_seen)
 @proof("JON-08", JOURNEY_SQL + "SELECT o.o_orderkey, o.o_custkey, j.recorrido FROM orders o LEFT JOIN j ON o.o_custkey = j.o_custkey")
 def jon08(spark, d):
     o = Tables(spark, d).orders
-    per = o.groupBy("o_custkey").agg(A.ordered_concat("o_orderpriority", ["o_orderdate", "o_orderkey"], " ➔ ").alias("recorrido"))
+    per = A.first_appearance_concat(o, ["o_custkey"], "o_orderpriority", ["o_orderdate", "o_orderkey"], " ➔ ", "recorrido")
     return o.select("o_orderkey", "o_custkey").join(per, "o_custkey", "left").select("o_orderkey", "o_custkey", "recorrido")
 
 
@@ -346,7 +346,7 @@ def agg08(spark, d):
 SELECT user_id, string_agg(event_type, '; ' ORDER BY first_seen) AS recorrido FROM fa GROUP BY 1""")
 def agg09(spark, d):
     e = Tables(spark, d).events
-    return e.groupBy("user_id").agg(A.ordered_concat("event_type", ["ts", "event_id"], "; ").alias("recorrido"))
+    return A.first_appearance_concat(e, ["user_id"], "event_type", ["ts", "event_id"], "; ", "recorrido")
 
 
 @proof("AGG-10", """SELECT user_id, string_agg(event_type, ' ➔ ' ORDER BY ts, event_id) AS viaje FROM events GROUP BY 1""")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import fold_text
 from ..operators import resolve as R
 from ..operators import rules as RU
-from ..session import Tables
+from ..session import Tables, spread
 from . import proof
 
 
@@ -34,7 +34,7 @@ TOPIC_SQL = "CASE " + " ".join(
 
 @proof("CLS-02", f"SELECT doc_id, {TOPIC_SQL} AS tema FROM documents")
 def cls02(spark, d):
-    return Tables(spark, d).documents.select("doc_id", RU.topic("text").alias("tema"))
+    return spread(Tables(spark, d).documents).select("doc_id", RU.topic("text").alias("tema"))
 
 
 @proof("CLS-03", """WITH s AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'Televentas ' || c_mktsegment WHEN 1 THEN 'ventas calle'

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean as K
 from ..functions import dates as D
-from ..session import Tables
+from ..session import Tables, spread
 from . import proof
 
 NAMES_UP_SQL = "['ENERO','FEBRERO','MARZO','ABRIL','MAYO','JUNIO','JULIO','AGOSTO','SEPTIEMBRE','OCTUBRE','NOVIEMBRE','DICIEMBRE']"
@@ -212,7 +212,7 @@ WITH s AS (SELECT doc_id, trim(regexp_replace(regexp_replace(translate(lower(tex
   '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')) AS f FROM documents)
 SELECT doc_id, length(f) AS n_folded, md5(f) AS folded_md5 FROM s""")
 def sc14(spark, d):
-    docs = Tables(spark, d).documents
+    docs = spread(Tables(spark, d).documents)
     f = K.fold_text("text")
     return docs.select("doc_id", f.alias("f")).select("doc_id", F.length("f").alias("n_folded"),
                                                        F.md5("f").alias("folded_md5"))

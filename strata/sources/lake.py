@@ -92,5 +92,7 @@ def row_audit(before: DataFrame, after: DataFrame, table: str) -> DataFrame:
     (two distributed counts, no collect of data)."""
     b = before.agg(F.count(F.lit(1)).alias("filas_leidas"))
     a = after.agg(F.count(F.lit(1)).alias("filas_guardadas"))
-    return (b.crossJoin(a).withColumn("filas_eliminadas", F.col("filas_leidas") - F.col("filas_guardadas"))
+    from ..operators.joins import attach_scalar
+
+    return (attach_scalar(b, a).withColumn("filas_eliminadas", F.col("filas_leidas") - F.col("filas_guardadas"))
             .withColumn("tabla", F.lit(table)).select("tabla", "filas_leidas", "filas_eliminadas", "filas_guardadas"))
