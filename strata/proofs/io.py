@@ -101,3 +101,102 @@ def src13(spark, d):
 @proof("SRC-15", """SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-13' AND ts < TIMESTAMP '2024-01-21'""")
 def src15(spark, d):
     return Tables(spark, d).events.select("event_id", "ts").filter(SF.rolling_window("ts", dt.date(2024, 1, 20), 7))
+
+
+def _lake(spark):
+    from ..sources.lake import Lake
+    return Lake(spark, _scratch(spark))
+
+
+@proof("SNK-01", "SELECT * FROM orders")
+def snk01(spark, d):
+    lake = _lake(spark)
+    lake.save(Tables(spark, d).orders, "gold", "orders")  # snappy
+    return lake.read("gold", "orders")
+
+
+@proof("SNK-02", "SELECT * FROM lineitem")
+def snk02(spark, d):
+    lake = _lake(spark)
+    lake.save(Tables(spark, d).lineitem, "gold", "lineitem", compression="zstd", max_records_per_file=20000)
+    return lake.read("gold", "lineitem")
+
+
+@proof("SNK-03", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
+def snk03(spark, d):
+    lake = _lake(spark)
+    lake.save(Tables(spark, d).orders, "silver", "orders")
+    current = lake.read("silver", "orders")  # rebuild the table from itself: new version, old one untouched
+    lake.save(current.filter(F.col("o_orderstatus") == "F"), "silver", "orders")
+    return lake.read("silver", "orders")
+
+
+@proof("SNK-04", "SELECT * FROM orders WHERE year(o_orderdate) = 1998")
+def snk04(spark, d):
+    lake = _lake(spark)
+    o = Tables(spark, d).orders
+    skipped = lake.save(o.filter(F.year("o_orderdate") > 2100), "gold", "future")
+    if skipped.get("written") or lake.exists("gold", "future"):
+        raise AssertionError("empty table must not be written")
+    lake.save(o.filter(F.year("o_orderdate") == 1998), "gold", "y1998")
+    return lake.read("gold", "y1998")
+
+
+@proof("SNK-05", "SELECT * FROM customer")
+def snk05(spark, d):
+    lake = _lake(spark)
+    cu = Tables(spark, d).customer
+    for layer in ("bronze", "silver", "gold"):
+        lake.save(cu, layer, "customer")
+    assert lake.path("gold", "customer").endswith("/gold/customer")
+    return lake.read("gold", "customer")
+
+
+@proof("SNK-06", """SELECT CAST(o_orderstatus AS VARCHAR) AS o_orderstatus, CAST(count(*) AS VARCHAR) AS n FROM orders GROUP BY 1""")
+def snk06(spark, d):
+    from ..sources.lake import write_report
+    o = Tables(spark, d).orders
+    folder = _scratch(spark)
+    write_report({"por_estado": o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")),
+                  "por_prioridad": o.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))}, folder, fmt="csv")
+    return spark.read.option("header", True).csv(f"{folder}/por_estado")
+
+
+@proof("SNK-07", "SELECT o_orderkey, o_totalprice, year(o_orderdate) AS anio FROM orders WHERE year(o_orderdate) = 1998")
+def snk07(spark, d):
+    lake = _lake(spark)
+    o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("anio"))
+    lake.save(o, "gold", "orders_by_year", partition_by=["anio"])
+    return lake.read("gold", "orders_by_year").filter(F.col("anio") == 1998)  # partition pruning
+
+
+@proof("DQ-06", "SELECT 'orders' AS tabla, count(*) AS filas FROM orders")
+def dq06(spark, d):
+    lake = _lake(spark)
+    res = lake.save(Tables(spark, d).orders, "gold", "orders")
+    return spark.read.parquet(res["path"]).agg(F.lit("orders").alias("tabla"), F.count(F.lit(1)).alias("filas"))
+
+
+@proof("SRC-08", "SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey = 0")
+def src08(spark, d):
+    t = Tables(spark, d)
+    root = _scratch(spark)
+    t.nation.filter(F.col("n_regionkey") == 0).agg(F.sort_array(F.collect_list("n_name")).alias("own_offices")) \
+        .coalesce(1).write.json(root)
+    rules = SF.read_rules(spark, root, {"own_offices": [], "sales_statuses": ["ACTIVO"]})
+    s = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    return s.filter(F.col("n_name").isin(*rules["own_offices"])).select("s_suppkey", "n_name")
+
+
+@proof("SRC-14", """SELECT o_orderkey, o_orderstatus, NULL::VARCHAR AS o_orderpriority, DATE '1998-01-01' AS fecha_carpeta, 'antes' AS carpeta
+  FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+UNION ALL SELECT o_orderkey, NULL, o_orderpriority, DATE '2001-12-31', 'despues' FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""")
+def src14(spark, d):
+    o = Tables(spark, d).orders
+    root = _scratch(spark)
+    cut = F.lit(dt.datetime(1998, 1, 1))
+    o.filter(F.col("o_orderdate") < cut).select("o_orderkey", "o_orderstatus").write.parquet(f"{root}/antes")
+    o.filter(F.col("o_orderdate") >= cut).select("o_orderkey", "o_orderpriority").write.parquet(f"{root}/despues")
+    readers = {k: spark.read.parquet(f"{root}/{k}") for k in ("antes", "despues")}
+    u = SF.read_folders(readers, "fecha_carpeta", {"antes": dt.date(1998, 1, 1), "despues": dt.date(2001, 12, 31)})
+    return u.select("o_orderkey", "o_orderstatus", "o_orderpriority", "fecha_carpeta", F.col("Carpeta").alias("carpeta"))

@@ -102,3 +102,29 @@ def test_streaming_only_new_files(spark, tmp):
     second = sorted((r.id, r.v) for r in lake.read("bronze", "t").collect())
     assert first == [(1, "a"), (2, "b")]
     assert second == [(1, "a"), (3, "c")]  # day 2 replaced by the new file only
+
+
+def test_missing_columns_alert(spark):
+    from strata.operators.quality import missing_columns
+    df = spark.createDataFrame([(1, "x")], "`N° Abonado` int, Estatus string")
+    got = [r.columna_faltante for r in missing_columns(spark, df, ["N° Abonado", "Estatus", "Saldo", "Ciudad"], "t").collect()]
+    assert got == ["Saldo", "Ciudad"]
+
+
+def test_bronze_ingestion_replace_by_date(spark, tmp):
+    from strata.plans.bronze import ingest
+    raw = f"{tmp}/raw"
+    os.makedirs(raw)
+    lake = Lake(spark, f"{tmp}/lake")
+    make_xlsx(f"{raw}/Data_Churn_Risk 1.xlsx", [["N° Abonado", "Fecha Contrato", "Estatus"], ["1", "01/01/2024", "A"],
+                                                  ["2", "02/01/2024", "A"], ["3", "sin fecha", "A"]])
+    r1 = ingest(spark, lake, raw, "churn", "Fecha Contrato")
+    assert r1["rows"] == 3
+    make_xlsx(f"{raw}/Data_Churn_Risk 2.xlsx", [["N° Abonado", "Fecha Contrato", "Estatus"], ["2", "02/01/2024", "B"]])
+    os.remove(f"{raw}/Data_Churn_Risk 1.xlsx")
+    with open(f"{raw}/roto.xlsx", "wb") as f:
+        f.write(b"zzz")
+    r2 = ingest(spark, lake, raw, "churn", "Fecha Contrato")
+    got = sorted((r["N° Abonado"], r["Estatus"]) for r in lake.read("bronze", "churn").collect())
+    assert got == [("1", "A"), ("2", "B"), ("3", "A")]
+    assert r2["unreadable_files"] == ["roto.xlsx"]
