@@ -82,7 +82,7 @@ def an02(spark, d):
     return _lower(_groups(spark, d))
 
 
-@proof("AN-03", BASE_SQL + """, pr AS (SELECT causa, count(DISTINCT contrato) AS casos_afectados, sum(repeticiones) AS total_tickets_involucrados,
+@proof("AN-03", BASE_SQL + """, pr AS (SELECT causa, count(DISTINCT contrato) AS casos_afectados, CAST(sum(repeticiones) AS BIGINT) AS total_tickets_involucrados,
   round_even(avg(promedio_supervivencia_dias), 1) AS supervivencia_promedio_dias FROM grp GROUP BY 1),
 sh AS (SELECT *, total_tickets_involucrados / sum(total_tickets_involucrados) OVER () * 100 AS s FROM pr)
 SELECT causa, casos_afectados, total_tickets_involucrados, supervivencia_promedio_dias, round_even(s, 2) AS pct_del_total,
@@ -93,7 +93,7 @@ def an03(spark, d):
 
 
 @proof("AN-04", BASE_SQL + """SELECT orden_quincena, quincena, count(DISTINCT contrato) AS casos_afectados,
-  sum(repeticiones) AS total_tickets_involucrados, round_even(avg(promedio_supervivencia_dias), 1) AS supervivencia_promedio_dias
+  CAST(sum(repeticiones) AS BIGINT) AS total_tickets_involucrados, round_even(avg(promedio_supervivencia_dias), 1) AS supervivencia_promedio_dias
   FROM grp GROUP BY 1, 2 ORDER BY 1""")
 def an04(spark, d):
     return _lower(AN.evolution(_groups(spark, d), K))
@@ -108,7 +108,7 @@ def an05(spark, d):
     return _lower(_friction(spark, d))
 
 
-@proof("AN-06", BASE_SQL + """SELECT viaje_soluciones, count(DISTINCT contrato) AS casos_afectados, sum(total_tickets) AS total_tickets_involucrados
+@proof("AN-06", BASE_SQL + """SELECT viaje_soluciones, count(DISTINCT contrato) AS casos_afectados, CAST(sum(total_tickets) AS BIGINT) AS total_tickets_involucrados
   FROM fr GROUP BY 1 ORDER BY 2 DESC, 1""")
 def an06(spark, d):
     return _lower(AN.journey_ranking(_friction(spark, d), K))
@@ -116,14 +116,14 @@ def an06(spark, d):
 
 @proof("AN-07", BASE_SQL + """, fq AS (SELECT contrato, quincena, min(orden_quincena) AS k FROM fr GROUP BY 1, 2)
 SELECT f.contrato, string_agg(viaje_soluciones, ' || ' ORDER BY orden_quincena, quincena) AS viaje_soluciones_completo,
-  sum(total_tickets) AS total_tickets_periodo,
+  CAST(sum(total_tickets) AS BIGINT) AS total_tickets_periodo,
   (SELECT string_agg(quincena, ', ' ORDER BY k, quincena) FROM fq WHERE fq.contrato = f.contrato) AS quincenas_afectadas
 FROM fr f GROUP BY 1 ORDER BY 3 DESC, 1""")
 def an07(spark, d):
     return _lower(AN.lifetime_journey(_friction(spark, d), K))
 
 
-@proof("AN-08", BASE_SQL + """SELECT grupo, count(orden) AS total_tickets_atendidos, count_if(siguiente_apertura IS NOT NULL) AS tickets_reincidentes,
+@proof("AN-08", BASE_SQL + """SELECT grupo, count(orden) AS total_tickets_atendidos, CAST(count_if(siguiente_apertura IS NOT NULL) AS BIGINT) AS tickets_reincidentes,
   round_even(avg(supervivencia_dias), 2) AS dias_prom_reincidencia,
   round_even(count_if(siguiente_apertura IS NOT NULL) / count(orden) * 100, 2) AS tasa_reincidencia_pct
 FROM sv GROUP BY 1 HAVING count(orden) >= 20 ORDER BY 3 DESC, 1""")
@@ -141,7 +141,7 @@ def an09(spark, d):
 @proof("AN-10", """WITH last AS (SELECT l_orderkey, max(l_shipdate) AS cierre FROM lineitem GROUP BY 1),
 s AS (SELECT o_orderkey, o_orderdate, last.cierre, CASE o_orderstatus WHEN 'F' THEN 'ACTIVO' WHEN 'O' THEN 'REEMBOLSO PARCIAL'
   ELSE 'CORTADO' END AS estatus FROM orders LEFT JOIN last ON o_orderkey = l_orderkey),
-g AS (SELECT o_orderkey, estatus, date_diff('day', CAST(o_orderdate AS DATE), CAST(cierre AS DATE)) AS dias FROM s)
+g AS (SELECT o_orderkey, estatus, CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(cierre AS DATE)) AS INTEGER) AS dias FROM s)
 SELECT o_orderkey, dias, CASE WHEN dias >= 30 AND dias < 60 THEN 30 WHEN dias >= 60 AND dias < 120 THEN 60 WHEN dias >= 120 THEN 120
   ELSE 0 END AS marca_clase FROM g WHERE estatus <> 'ACTIVO' AND NOT starts_with(estatus, 'REEMBOLSO') ORDER BY dias DESC NULLS LAST""")
 def an10(spark, d):
@@ -191,7 +191,7 @@ def an13(spark, d):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-@proof("AN-14", """WITH j AS (SELECT year(o_orderdate) AS anio, l_returnflag, CASE WHEN l_shipdate IS NULL OR o_orderdate IS NULL THEN NULL
+@proof("AN-14", """WITH j AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS anio, l_returnflag, CASE WHEN l_shipdate IS NULL OR o_orderdate IS NULL THEN NULL
   ELSE greatest(round_even(date_diff('microsecond', o_orderdate, l_shipdate) / 60000000.0::DOUBLE, 2), 0.0) END AS m
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT anio, median(m) FILTER (WHERE l_returnflag = 'A') AS med_a, median(m) FILTER (WHERE l_returnflag = 'N') AS med_n,
@@ -243,8 +243,8 @@ def st02(spark, d):
     return STT.bootstrap_mean(li, "l_extendedprice", li.columns, replicates=2000)
 
 
-@proof("DQ-02", """SELECT 'orders' AS tabla, count(*) AS filas_leidas, count(*) - count_if(o_orderstatus = 'F') AS filas_eliminadas,
-  count_if(o_orderstatus = 'F') AS filas_guardadas FROM orders""")
+@proof("DQ-02", """SELECT 'orders' AS tabla, count(*) AS filas_leidas, CAST(count(*) - count_if(o_orderstatus = 'F') AS BIGINT) AS filas_eliminadas,
+  CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS filas_guardadas FROM orders""")
 def dq02(spark, d):
     o = Tables(spark, d).orders
     return row_audit(o, o.filter(F.col("o_orderstatus") == "F"), "orders")
@@ -260,7 +260,7 @@ def dq03(spark, d):
     return Q.unmapped_values(s, "oficina", mapping, "n_name")
 
 
-@proof("DQ-04", """SELECT count_if(o_orderdate >= TIMESTAMP '2000-07-02') AS filas_futuras, count(*) AS filas_total FROM orders""")
+@proof("DQ-04", """SELECT CAST(count_if(o_orderdate >= TIMESTAMP '2000-07-02') AS BIGINT) AS filas_futuras, count(*) AS filas_total FROM orders""")
 def dq04(spark, d):
     return Q.future_dates(Tables(spark, d).orders, "o_orderdate", dt.date(2000, 6, 30))
 

@@ -161,7 +161,7 @@ UNP_NAMES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Ag
            f"count(*) FILTER (WHERE month(o_orderdate) = {i}) AS \"{n}\"" for i, n in enumerate(UNP_NAMES, 1)) +
        " FROM orders GROUP BY 1, 2), u AS (UNPIVOT w ON " + ", ".join(f'"{n}"' for n in UNP_NAMES) +
        """ INTO NAME mes_nombre VALUE cantidad)
-SELECT estatus, anio, mes_nombre, CAST(cantidad AS BIGINT) AS cantidad,
+SELECT estatus, CAST(anio AS INTEGER) AS anio, mes_nombre, CAST(cantidad AS BIGINT) AS cantidad,
   make_date(anio, list_position(['ENERO','FEBRERO','MARZO','ABRIL','MAYO','JUNIO','JULIO','AGOSTO','SEPTIEMBRE','OCTUBRE','NOVIEMBRE','DICIEMBRE'],
   upper(mes_nombre)), 1) AS fecha
 FROM u WHERE cantidad > 0 AND estatus IN ('ACTIVO', 'ANULADO', 'CORTADO')""")

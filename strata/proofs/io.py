@@ -73,7 +73,7 @@ def src10(spark, d):
     return SF.with_provenance(Tables(spark, d).orders.select("o_orderkey")).select("o_orderkey", c("Source.Name"))
 
 
-@proof("SRC-11", """SELECT year(o_orderdate) AS anio, arg_max(o_orderkey, struct_pack(d := o_orderdate, k := o_orderkey)) AS path,
+@proof("SRC-11", """SELECT CAST(year(o_orderdate) AS INTEGER) AS anio, arg_max(o_orderkey, struct_pack(d := o_orderdate, k := o_orderkey)) AS path,
   max(o_orderdate) AS o_orderdate FROM orders GROUP BY 1""")
 def src11(spark, d):
     return SF.latest_per_year(Tables(spark, d).orders, "o_orderdate", "o_orderkey").withColumnRenamed("o_orderkey", "path")
@@ -162,7 +162,7 @@ def snk06(spark, d):
     return spark.read.option("header", True).csv(f"{folder}/por_estado")
 
 
-@proof("SNK-07", "SELECT o_orderkey, o_totalprice, year(o_orderdate) AS anio FROM orders WHERE year(o_orderdate) = 1998")
+@proof("SNK-07", "SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS anio FROM orders WHERE year(o_orderdate) = 1998")
 def snk07(spark, d):
     lake = _lake(spark)
     o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("anio"))

@@ -290,7 +290,7 @@ def agg01(spark, d):
         F.round(F.sum("l_extendedprice"), 2).alias("sum_price"))
 
 
-@proof("AGG-02", """SELECT CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE month(o_orderdate) END AS mes,
+@proof("AGG-02", """SELECT CAST(CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE month(o_orderdate) END AS INTEGER) AS mes,
   count(DISTINCT o_custkey) AS clientes FROM orders GROUP BY 1""")
 def agg02(spark, d):
     o = Tables(spark, d).orders
@@ -325,7 +325,7 @@ def agg05(spark, d):
                                                                F.max("l_quantity").alias("max_qty"))
 
 
-@proof("AGG-06", """SELECT year(o_orderdate) AS anio, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
+@proof("AGG-06", """SELECT CAST(year(o_orderdate) AS INTEGER) AS anio, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
   GROUP BY 1 ORDER BY 1""")
 def agg06(spark, d):
     return (Tables(spark, d).orders.groupBy(F.year("o_orderdate").alias("anio"))
@@ -371,7 +371,7 @@ def agg12(spark, d):
             .orderBy(F.col("mediana_qty").desc()))
 
 
-@proof("AGG-13", """SELECT year(l_shipdate) AS anio, median(l_quantity) FILTER (WHERE l_linestatus = 'F') AS med_f,
+@proof("AGG-13", """SELECT CAST(year(l_shipdate) AS INTEGER) AS anio, median(l_quantity) FILTER (WHERE l_linestatus = 'F') AS med_f,
   median(l_quantity) FILTER (WHERE l_linestatus = 'O') AS med_o FROM lineitem GROUP BY 1""")
 def agg13(spark, d):
     li = Tables(spark, d).lineitem
@@ -388,7 +388,7 @@ def agg14(spark, d):
     return g.select("o_orderpriority", "n", "pct_total", F.round(F.col("finales") * 100.0 / F.col("n"), 4).alias("tasa_final"))
 
 
-@proof("AGG-15", "SELECT user_id, count_if(event_type = 'error') AS errores FROM events GROUP BY 1")
+@proof("AGG-15", "SELECT user_id, CAST(count_if(event_type = 'error') AS BIGINT) AS errores FROM events GROUP BY 1")
 def agg15(spark, d):
     return Tables(spark, d).events.groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("errores"))
 
@@ -429,7 +429,7 @@ def agg20(spark, d):
     return Tables(spark, d).customer.agg(F.max("c_custkey").alias("max_sk"))
 
 
-@proof("AGG-21", """SELECT count(*) AS filas, count(DISTINCT l_orderkey) AS ordenes, count_if(l_linestatus = 'F') AS cerradas FROM lineitem""")
+@proof("AGG-21", """SELECT count(*) AS filas, count(DISTINCT l_orderkey) AS ordenes, CAST(count_if(l_linestatus = 'F') AS BIGINT) AS cerradas FROM lineitem""")
 def agg21(spark, d):
     return Tables(spark, d).lineitem.agg(F.count(F.lit(1)).alias("filas"), F.count_distinct("l_orderkey").alias("ordenes"),
                                          F.count_if(F.col("l_linestatus") == "F").alias("cerradas"))
@@ -499,7 +499,7 @@ def win08(spark, d):
 @proof("WIN-09", """WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN '  ' WHEN p_partkey % 10 = 1 THEN NULL ELSE p_type END AS tipo FROM part),
 k AS (SELECT nullif(trim(tipo), '') AS cat, count(*) AS n FROM s WHERE nullif(trim(tipo), '') IS NOT NULL GROUP BY 1),
 r AS (SELECT cat, dense_rank() OVER (ORDER BY n DESC) AS rango FROM k)
-SELECT p_partkey, tipo, coalesce(r.rango, 0) AS rango FROM s LEFT JOIN r ON nullif(trim(tipo), '') = r.cat""")
+SELECT p_partkey, tipo, CAST(coalesce(r.rango, 0) AS INTEGER) AS rango FROM s LEFT JOIN r ON nullif(trim(tipo), '') = r.cat""")
 def win09(spark, d):
     k = F.col("p_partkey") % 10
     p = Tables(spark, d).part.select(
@@ -552,7 +552,7 @@ def srt02(spark, d):
     return g.select("quincena", D.period_sort_key("quincena").alias("orden"), "n").orderBy("orden")
 
 
-@proof("TOP-01", """SELECT o_custkey, o_orderkey, rank FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey
+@proof("TOP-01", """SELECT o_custkey, o_orderkey, CAST(rank AS INTEGER) AS rank FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey
   ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 3""")
 def top01(spark, d):
     o = Tables(spark, d).orders.select("o_custkey", "o_orderkey", "o_totalprice")

@@ -94,7 +94,7 @@ q AS (SELECT DISTINCT trim(regexp_replace(regexp_replace(lower(p_name || ' ' ||
 p AS (SELECT q, name, value, list_distinct(string_split(q, ' ')) AS tq, list_distinct(string_split(name, ' ')) AS tm FROM q, m),
 s AS (SELECT * FROM p WHERE len(list_intersect(tq, tm)) > 0 AND (list_has_all(tq, tm) OR list_has_all(tm, tq))),
 b AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY length(name) DESC, name ASC) AS rn FROM s)
-SELECT q, name AS match_name, 100.0 AS score, value AS match_value FROM b WHERE rn = 1"""
+SELECT q, name AS match_name, 100.0::DOUBLE AS score, value AS match_value FROM b WHERE rn = 1"""
 
 
 @proof("ER-01", ER_SQL)

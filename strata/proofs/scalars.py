@@ -210,7 +210,7 @@ def sc13(spark, d):
 @proof("SC-14", f"""
 WITH s AS (SELECT doc_id, trim(regexp_replace(regexp_replace(translate(lower(text), '{K.ACCENTED}', '{K.PLAIN}'),
   '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')) AS f FROM documents)
-SELECT doc_id, length(f) AS n_folded, md5(f) AS folded_md5 FROM s""")
+SELECT doc_id, CAST(length(f) AS INTEGER) AS n_folded, md5(f) AS folded_md5 FROM s""")
 def sc14(spark, d):
     docs = spread(Tables(spark, d).documents)
     f = K.fold_text("text")
