@@ -42,7 +42,16 @@ def _calls_from_events(t, with_mtime=True):
     return e.select(*cols)
 
 
-@proof("PL-01")
+@proof("PL-01", """WITH p AS (SELECT CAST(o_orderkey AS VARCHAR) AS pid, CAST(o_custkey AS VARCHAR) AS ab, CAST(o_orderdate AS DATE) AS fecha,
+  o_totalprice AS total, 'OFICINA ' || CAST(o_custkey % 10 AS VARCHAR) AS ofi, o_orderpriority AS vend, o_orderstatus AS est FROM orders
+  WHERE NOT regexp_matches('OFICINA ' || CAST(o_custkey % 10 AS VARCHAR), '(?i)OFICINA 9')),
+h AS (SELECT CAST(l_orderkey AS VARCHAR) AS k, max(strftime(l_shipdate + to_hours(l_linenumber), '%H:%M:%S')) AS hora FROM lineitem GROUP BY 1)
+SELECT NULL::VARCHAR AS "ID Contrato", ab AS "N° Abonado", fecha AS "Fecha", total AS "Total Pago", '' AS "Forma de Pago", '' AS "Banco",
+  ofi AS "Oficina", NULL::VARCHAR AS "Fecha Contrato", est AS "Estatus", '' AS "Suscripción", '' AS "Grupo Afinidad",
+  '' AS "Nombre Franquicia", '' AS "Ciudad", vend AS "Vendedor", 'RECAUDACIÓN' AS "Tipo de afluencia",
+  CASE WHEN ofi IN ('OFICINA 1', 'OFICINA 2') THEN 'OFICINAS PROPIAS' ELSE 'ALIADOS Y DESARROLLO' END AS "Clasificacion",
+  coalesce(substr(h.hora, 1, 2) || ':00', '00:00') AS "Hora de Pago"
+FROM p LEFT JOIN h ON p.pid = h.k""")
 def pl01(spark, d):
     t = Tables(spark, d)
     o = t.orders
@@ -79,7 +88,14 @@ def pl02(spark, d):
                             overrides=[(["bejuma", "ofic"], {"oficina_comercial": "OFICINA BEJUMA", "tipo_coincidencia": "Oficina Detectada"})])
 
 
-@proof("PL-03")
+@proof("PL-03", """WITH s AS (SELECT CAST(o_orderdate AS DATE) AS fv,
+  CASE WHEN o_orderkey % 12 + 1 = 12 THEN '12:00' ELSE lpad(CAST(o_orderkey % 12 + 13 AS VARCHAR), 2, '0') || ':00' END AS hv,
+  CASE o_orderkey % 3 WHEN 0 THEN 'Vendedor OFICINA CENTRO' WHEN 1 THEN 'ofi  Norte' ELSE 'calle' END AS vend,
+  CAST(o_custkey AS VARCHAR) AS ab, o_orderstatus AS est, o_orderdate AS mt FROM orders),
+f AS (SELECT *, nullif(trim(regexp_extract(vend, '(?i).*(?:OFICINA|OFIC|OFI)\\s+(.*)$', 1)), '') AS ofi FROM s
+  WHERE regexp_matches(vend, '(?i)OFI') AND upper(trim(est)) IN ('F', 'O')),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab, fv, hv ORDER BY mt DESC NULLS LAST, vend, est, ofi) AS rn FROM f)
+SELECT fv AS "Fecha Venta", ofi AS "Oficina", 'FR' AS "Franquicia", count(*) AS "Ventas" FROM r WHERE rn = 1 GROUP BY 1, 2, 3""")
 def pl03(spark, d):
     o = Tables(spark, d).orders
     k = F.col("o_orderkey") % 3
@@ -93,23 +109,70 @@ def pl03(spark, d):
     return gold
 
 
-@proof("PL-04")
+EVB_SQL = """b AS (SELECT CAST(user_id AS VARCHAR) || '.0' AS ab, replace(format('{:,}', user_id * 1000 + 3), ',', '.') AS doc,
+  'Cliente ' || CAST(user_id AS VARCHAR) AS cli, CASE WHEN user_id % 9 = 0 THEN 'CORTADO' ELSE 'ACTIVO' END AS est,
+  replace(CAST(value AS VARCHAR), '.', ',') AS saldo, value, CAST(date_trunc('day', ts) AS TIMESTAMP) AS f, CAST(ts AS DATE) AS fd,
+  strftime(ts, '%H') || ':00' AS h, strftime(ts, '%H:%M:%S') AS hraw, upper(event_type) AS tr,
+  CASE WHEN event_id % 7 = 0 THEN NULL ELSE 'FALLA CON ' || upper(event_type) END AS det,
+  CASE WHEN event_id % 3 = 0 THEN 'call agente' ELSE 'asesor ofi' END AS resp, 'FR' || CAST(user_id % 5 AS VARCHAR) AS fr,
+  ts AS mt, month(ts) AS m FROM events)"""
+NAMES_SQL = "['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre','Octubre','Noviembre','Diciembre']"
+
+
+@proof("PL-04", "WITH " + EVB_SQL + """,
+r AS (SELECT *, row_number() OVER (PARTITION BY ab, f, hraw ORDER BY mt DESC NULLS LAST, est, saldo, tr, det, resp) AS rn FROM b)
+SELECT ab AS "N° Abonado", est AS "Estatus", saldo AS "Saldo", f AS "Fecha Llamada", h AS "Hora Llamada", 'ENTRANTE' AS "Origen",
+  tr AS "Tipo Respuesta", det AS "Detalle Respuesta", resp AS "Responsable", 'HOGAR' AS "Suscripción", 'GA' AS "Grupo Afinidad",
+  fr AS "Franquicia", 'CIUDAD' AS "Ciudad" FROM r WHERE rn = 1""")
 def pl04(spark, d):
     calls = _calls_from_events(Tables(spark, d))
     return CL.claims_general({"generales": calls.filter(F.col("Franquicia") != "FR0"), "app": calls.filter(F.col("Franquicia") == "FR0")})
 
 
-@proof("PL-05")
+@proof("PL-05", "WITH " + EVB_SQL + """,
+c AS (SELECT *, upper(coalesce(det, 'nan')) AS det2 FROM b),
+k AS (SELECT *, count(det2) OVER (PARTITION BY det2) AS oc FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab, f, hraw ORDER BY mt DESC NULLS LAST, doc, est, saldo, det2, resp) AS rn FROM k)
+SELECT ab AS "N° Abonado", doc AS "Documento", cli AS "Cliente", est AS "Estatus", saldo AS "Saldo", f AS "Fecha Llamada",
+  h AS "Hora Llamada", CASE WHEN det2 = 'NAN' THEN NULL ELSE det2 END AS "Detalle Respuesta", resp AS "Responsable",
+  'HOGAR' AS "Suscripción", 'GA' AS "Grupo Afinidad", fr AS "Franquicia", 'CIUDAD' AS "Ciudad", oc AS "OrdenCategoria"
+FROM r WHERE rn = 1""")
 def pl05(spark, d):
     return CL.app_faults(_calls_from_events(Tables(spark, d)))
 
 
-@proof("PL-06")
+ABBR = "['ENE','FEB','MAR','ABR','MAY','JUN','JUL','AGO','SEP','OCT','NOV','DIC']"
+
+
+@proof("PL-06", """WITH b AS (SELECT CAST(user_id AS VARCHAR) || '.0' AS ab, 'Cliente ' || CAST(user_id AS VARCHAR) AS cli,
+  CASE WHEN user_id % 9 = 0 THEN 'CORTADO' ELSE 'ACTIVO' END AS est, replace(CAST(value AS VARCHAR), '.', ',') AS saldo,
+  CAST(date_trunc('day', ts) AS TIMESTAMP) AS f, strftime(ts, '%H') || ':00' AS h, strftime(ts, '%H:%M:%S') AS hraw,
+  upper(event_type) AS tr, CASE WHEN event_id % 7 = 0 THEN 'NAN' ELSE 'FALLA CON ' || upper(event_type) END AS det0,
+  CASE WHEN event_id % 3 = 0 THEN 'call agente' ELSE 'asesor ofi' END AS resp, 'FR' || CAST(user_id % 5 AS VARCHAR) AS fr, ts AS mt
+  FROM events),
+t AS (SELECT *, trim(replace(replace(det0, 'FALLA CON ', ''), 'FALLA ', '')) AS det FROM b WHERE det0 IN ('FALLA CON ERROR', 'FALLA CON PURCHASE')),
+c AS (SELECT *, count(*) OVER (PARTITION BY det) AS tc FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab, f, hraw ORDER BY mt DESC NULLS LAST, ab, cli, est, saldo, f, hraw, tr, det, resp, fr, tc) AS rn FROM c)
+SELECT ab AS "N° Abonado", cli AS "Cliente", est AS "Estatus", saldo AS "Saldo", f AS "Fecha Llamada", h AS "Hora Llamada",
+  'ENTRANTE' AS "Tipo Llamada", tr AS "Tipo Respuesta", det AS "Detalle Respuesta", resp AS "Responsable",
+  NULL::VARCHAR AS "Observación", 'GA' AS "Grupo Afinidad", fr AS "Franquicia", 'CIUDAD' AS "Ciudad", tc AS "TotalCuenta"
+FROM r WHERE rn = 1""")
 def pl06(spark, d):
     return CL.bank_faults(_calls_from_events(Tables(spark, d)), ["FALLA CON ERROR", "FALLA CON PURCHASE"])
 
 
-@proof("PL-07")
+@proof("PL-07", "WITH " + EVB_SQL + f""",
+c AS (SELECT *, replace(regexp_replace(trim(ab), '\\.0$', ''), '.', '') AS ab2, replace(regexp_replace(trim(doc), '\\.0$', ''), '.', '') AS doc2
+  FROM b WHERE tr IS NULL OR tr NOT IN ('SIGNUP')),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab2, f, hraw ORDER BY mt DESC NULLS LAST, doc2, est, tr, det, resp) AS rn FROM c),
+d AS (SELECT * FROM r WHERE rn = 1),
+k AS (SELECT nullif(trim(det), '') AS cat, count(*) AS n FROM d WHERE nullif(trim(det), '') IS NOT NULL GROUP BY 1),
+rk AS (SELECT cat, dense_rank() OVER (ORDER BY n DESC) AS rango FROM k)
+SELECT ab2 AS "N° Abonado", doc2 AS "Documento", cli AS "Cliente", est AS "Estatus", f AS "Fecha Llamada", h AS "Hora Llamada",
+  'ENTRANTE' AS "Tipo Llamada", tr AS "Tipo Respuesta", det AS "Detalle Respuesta", resp AS "Responsable", 'HOGAR' AS "Suscripción",
+  'GA' AS "Grupo Afinidad", fr AS "Franquicia", 'CIUDAD' AS "Ciudad", {NAMES_SQL}[m] AS "Mes",
+  CAST(coalesce(rk.rango, 0) AS INTEGER) AS "Ranking_Detalle"
+FROM d LEFT JOIN rk ON nullif(trim(d.det), '') = rk.cat""")
 def pl07(spark, d):
     return CL.customer_care(_calls_from_events(Tables(spark, d)), exclude_responses=["SIGNUP"])
 
@@ -129,7 +192,14 @@ def pl08(spark, d):
     return CL.ont_off(care.withColumn("Saldo", F.lit(None).cast("double")), [ont], ONT_CONTRACT)
 
 
-@proof("PL-09")
+@proof("PL-09", "WITH " + EVB_SQL + """,
+c AS (SELECT *, replace(regexp_replace(trim(ab), '\\.0$', ''), '.', '') AS ab2, replace(regexp_replace(trim(doc), '\\.0$', ''), '.', '') AS doc2,
+  CASE WHEN regexp_matches(resp, '(?i)CALL|PHONE') THEN 'CALL CENTER' WHEN regexp_matches(resp, '(?i)OFI|ASESOR') THEN 'OFICINA COMERCIAL'
+  ELSE 'ALIADOS' END AS canal, coalesce(try_cast(replace(saldo, ',', '.') AS DOUBLE), 0.0) AS saldo2 FROM b
+  WHERE fd < DATE '2024-01-27'),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab2, fd, h ORDER BY mt DESC NULLS LAST, doc2, tr, det, resp, saldo2) AS rn FROM c)
+SELECT ab2 AS "N° Abonado", doc2 AS "Documento", fd AS "Fecha Llamada", h AS "Hora Llamada", tr AS "Tipo Respuesta",
+  det AS "Detalle Respuesta", resp AS "Responsable", canal AS "Canal", saldo2 AS "Saldo", fr AS "Franquicia" FROM r WHERE rn = 1""")
 def pl09(spark, d):
     return CO.collection_calls_gold(_calls_from_events(Tables(spark, d)), dt.date(2024, 1, 25))
 
@@ -148,7 +218,12 @@ def pl10(spark, d):
     return CL.data_updates(calls, obs)
 
 
-@proof("PL-11")
+@proof("PL-11", """WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS ab, CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS f,
+  o_orderstatus AS est, o_orderpriority AS tr FROM orders WHERE o_orderdate < TIMESTAMP '2000-07-02'),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab ORDER BY f DESC NULLS LAST, est ASC NULLS FIRST, tr ASC NULLS FIRST) AS rn FROM s)
+SELECT ab AS "N° Abonado", 'CLIENTE X' AS "Cliente", est AS "Estatus", f AS "Fecha Llamada", '10:00' AS "Hora Llamada",
+  tr AS "Tipo Respuesta", NULL::VARCHAR AS "Detalle Respuesta", NULL::VARCHAR AS "Responsable", NULL::VARCHAR AS "Franquicia",
+  'COMEBACKHOME' AS "Campaña" FROM r WHERE rn = 1""")
 def pl11(spark, d):
     o = Tables(spark, d).orders
     bronze = o.select(F.col("o_custkey").cast("string").alias("N° Abonado"), F.lit("  cliente   x ").alias("Cliente"),
@@ -157,16 +232,23 @@ def pl11(spark, d):
     return CL.win_back(bronze, dt.date(2000, 6, 30))
 
 
-@proof("PL-12")
+@proof("PL-12", """WITH a AS (SELECT s_name, n_name AS ofi, DATE '2024-03-01' AS fi FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION ALL SELECT s_name, CASE WHEN s_suppkey % 4 = 0 THEN 'OFICINA ESTE' ELSE n_name END, DATE '2024-04-01'
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 2 = 0),
+f AS (SELECT upper(s_name) AS nc, ofi, fi, upper(s_name) || ' ' || ofi AS comb FROM a WHERE NOT regexp_matches(s_name, '(?i)#0+9\\b'))
+SELECT nc AS "Nombre_Completo", ofi AS "Oficina", fi AS "Fecha_Inicio", lead(fi) OVER (PARTITION BY comb ORDER BY fi) AS "Fecha_Fin",
+  CASE WHEN lead(fi) OVER (PARTITION BY comb ORDER BY fi) IS NULL THEN 'ACTIVO' ELSE 'HISTÓRICO' END AS "Estado_Vigencia" FROM f""")
 def pl12(spark, d):
     t = Tables(spark, d)
-    snap = (t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(F.col("s_name").alias("nombre"), F.lit("").alias("apellido"),
-                    F.when(F.col("s_suppkey") % 4 == 0, F.lit("OFICINA ESTE")).otherwise(F.col("n_name")).alias("oficina"),
-                    F.concat(F.lit("Data - Empleados "),
-                             F.element_at(F.array(F.lit("01-03-2024"), F.lit("15-03-2024"), F.lit("1-4-2024")),
-                                          (F.col("s_suppkey") % 3 + 1).cast("int")), F.lit(".xlsx")).alias("Source.Name")))
-    return PE.employee_master(snap, exclude_regex=r"#0+9\b")
+    base = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    a = base.select(F.col("s_name").alias("nombre"), F.lit("").alias("apellido"), F.col("n_name").alias("oficina"),
+                    F.lit("Data - Empleados 01-03-2024.xlsx").alias("Source.Name"))
+    b = base.filter(F.col("s_suppkey") % 2 == 0).select(
+        F.col("s_name").alias("nombre"), F.lit("").alias("apellido"),
+        F.when(F.col("s_suppkey") % 4 == 0, F.lit("OFICINA ESTE")).otherwise(F.col("n_name")).alias("oficina"),
+        F.lit("Data - Empleados 1-4-2024.xlsx").alias("Source.Name"))
+    out = PE.employee_master(a.unionByName(b), exclude_regex=r"#0+9\b")
+    return out.select("Nombre_Completo", "Oficina", "Fecha_Inicio", "Fecha_Fin", "Estado_Vigencia")
 
 
 @proof("PL-13", """WITH prev AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_custkey * 2 AS sk FROM customer WHERE c_acctbal > 0),
@@ -191,18 +273,18 @@ def _snapshots(t):
         F.concat(F.lit("FR"), (F.col("o_custkey") % 5).cast("string")).alias("Nombre Franquicia"))
 
 
-@proof("PL-14")
+@proof("PL-14", f"""WITH s AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, 'FR' || CAST(o_custkey % 5 AS VARCHAR) AS fr
+  FROM orders WHERE o_orderstatus = 'F'),
+c AS (SELECT *, CAST(CASE WHEN day(d) <= 5 THEN date_trunc('month', d) - INTERVAL 1 DAY WHEN day(d) <= 20
+  THEN date_trunc('month', d) + INTERVAL 14 DAY ELSE last_day(d) END AS DATE) AS cut,
+  CASE WHEN day(d) > 5 AND day(d) <= 20 THEN 'Q1' ELSE 'Q2' END AS q FROM s)
+SELECT {ABBR}[month(cut)] || ' ' || CAST(year(cut) AS VARCHAR) || ' ' || q AS "Quincena Evaluada", fr AS "Franquicia",
+  count(DISTINCT CAST(o_custkey AS VARCHAR)) AS "Total_Abonados", max(CAST(cut AS TIMESTAMP)) AS "Fecha_Corte" FROM c GROUP BY 1, 2""")
 def pl14(spark, d):
     silver = ST.stock_silver(_snapshots(Tables(spark, d)))
     return ST.stock_gold(ST.merge_stock(None, silver))
 
 
-@proof("PL-15-STATS")
-def pl15_stats(spark, d):
-    from ..plans import tickets as T
-    return T.sla_stats_gold(silver_slice(Tables(spark, d)))
-
-
 @proof("PL-16", """SELECT DISTINCT franquicia FROM (SELECT n_name AS franquicia FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer cu ON cu.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = cu.c_nationkey
   UNION SELECT 'FR' || CAST(o_custkey % 5 AS VARCHAR) FROM orders WHERE o_orderstatus = 'F') WHERE franquicia IS NOT NULL ORDER BY 1""")
@@ -213,7 +295,10 @@ def pl16(spark, d):
     return ST.franchise_dim(stock, ticket_rows(t)).withColumnRenamed("Franquicia", "franquicia")
 
 
-@proof("PL-17")
+@proof("PL-17", """WITH w AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'ACTIVO' WHEN 'O' THEN 'CORTADO' ELSE 'OTRO' END AS est,
+  CAST(year(o_orderdate) AS INTEGER) AS anio, month(o_orderdate) AS m, count(*) AS n FROM orders GROUP BY 1, 2, 3)
+SELECT anio AS "Anio", count(*) AS "Registros", CAST(sum(n) AS BIGINT) AS "Total" FROM w
+WHERE est IN ('ACTIVO', 'ANULADO', 'CORTADO') AND n > 0 GROUP BY 1""")
 def pl17(spark, d):
     from ..functions.dates import MONTHS_ES, month_name_es
     o = Tables(spark, d).orders
