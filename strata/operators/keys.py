@@ -58,11 +58,15 @@ def assign_sk(current: DataFrame, previous: DataFrame | None, natural_key: str,
 
 def validity_intervals(df: DataFrame, identity: list[str], start_col: str, start_out: str = "Fecha_Inicio",
                        end_out: str = "Fecha_Fin", state_out: str = "Estado_Vigencia",
-                       active: str = "ACTIVO", historic: str = "HISTÓRICO", tie_break: list[str] = ()) -> DataFrame:
-    """SCD-01: each snapshot row is valid until the identity's next snapshot start."""
-    w = Window.partitionBy(*[c(i) for i in identity]).orderBy(c(start_col), *[c(t) for t in tie_break])
-    return (df.withColumn(start_out, c(start_col))
-            .withColumn(end_out, F.lead(c(start_col)).over(w))
+                       active: str = "ACTIVO", historic: str = "HISTÓRICO", tie_break: list[str] = (),
+                       bucket_unit: str | None = "month") -> DataFrame:
+    """SCD-01: each snapshot row is valid until the identity's next snapshot
+    start (bucketed lead, skew-safe for a hot identity)."""
+    from .windows import next_value
+
+    bucket = F.date_trunc(bucket_unit, c(start_col)) if bucket_unit else None
+    return (next_value(df, identity, [c(start_col)] + [c(t) for t in tie_break], start_col, end_out, bucket=bucket)
+            .withColumn(start_out, c(start_col))
             .withColumn(state_out, F.when(F.col(end_out).isNull(), F.lit(active)).otherwise(F.lit(historic))))
 
 

@@ -37,10 +37,32 @@ def row_tiebreak(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[Column]:
     return [c(n).asc_nulls_first() for n in df.columns if n not in exclude]
 
 
-def next_value(df: DataFrame, partition: list[str], order: list, value: str, out: str, offset: int = 1) -> DataFrame:
-    """WIN-07: ``shift(-1)`` inside a partition = ``lead``."""
-    w = Window.partitionBy(*[c(p) for p in partition]).orderBy(*_order(order))
-    return df.withColumn(out, F.lead(c(value), offset).over(w))
+def next_value(df: DataFrame, partition: list[str], order: list, value: str, out: str, offset: int = 1,
+               bucket=None) -> DataFrame:
+    """WIN-07: ``shift(-1)`` inside a partition = ``lead``.
+
+    ``bucket`` (a column expression monotone in the first order key, e.g. the
+    month of the timestamp) makes it skew-safe: the lead runs inside
+    (partition, bucket) windows, and the last row of each bucket takes the first
+    value of the next non-empty bucket from a per-bucket table (one row per key
+    and bucket). A hot key is then sorted by many tasks instead of one."""
+    if bucket is None:
+        w = Window.partitionBy(*[c(p) for p in partition]).orderBy(*_order(order))
+        return df.withColumn(out, F.lead(c(value), offset).over(w))
+    if offset != 1:
+        raise ValueError("bucketed next_value supports offset=1")
+    keys = [c(p) for p in partition]
+    b = df.withColumn("__b", bucket if not isinstance(bucket, str) else c(bucket))
+    order_struct = F.struct(*[o.alias(f"o{i}") if not isinstance(o, str) else c(o).alias(f"o{i}")
+                              for i, o in enumerate(order)])
+    inner = Window.partitionBy(*keys, F.col("__b")).orderBy(*_order(order))
+    b = b.withColumn("__in", F.lead(c(value)).over(inner)).withColumn("__last", F.lead(F.lit(1)).over(inner).isNull())
+    firsts = b.groupBy(*keys, F.col("__b")).agg(F.min_by(c(value), order_struct).alias("__first"))
+    per_key = Window.partitionBy(*keys).orderBy("__b")
+    nxt = firsts.withColumn("__next", F.lead("__first").over(per_key)).drop("__first")
+    names = list(partition) + ["__b"]
+    j = b.join(nxt, names, "left")
+    return j.withColumn(out, F.when(F.col("__last"), F.col("__next")).otherwise(F.col("__in"))).drop("__b", "__in", "__last", "__next")
 
 
 def count_over(df: DataFrame, partition: list[str], out: str, value: str | None = None) -> DataFrame:

@@ -30,11 +30,15 @@ class TicketCols:
     ticket: str = "N° Orden"
 
 
-def survival(df: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
+def survival(df: DataFrame, k: TicketCols = TicketCols(), bucket_unit: str | None = "month") -> DataFrame:
     """AN-01: next opening of the same contract and cause; survival days =
-    next opening - this close (fractional days, floored at 0; last ticket NULL)."""
-    w = Window.partitionBy(c(k.contract), c(k.cause)).orderBy(c(k.opened), c(k.ticket))
-    out = df.withColumn("Siguiente_Apertura", F.lead(c(k.opened)).over(w))
+    next opening - this close (fractional days, floored at 0; last ticket NULL).
+    The lead is bucketed by ``bucket_unit`` of the opening (skew-safe for a hot
+    contract); ``None`` uses one window per contract and cause."""
+    from ..operators.windows import next_value
+
+    bucket = F.date_trunc(bucket_unit, c(k.opened)) if bucket_unit else None
+    out = next_value(df, [k.contract, k.cause], [c(k.opened), c(k.ticket)], k.opened, "Siguiente_Apertura", bucket=bucket)
     return out.withColumn("Supervivencia_Dias", days_between(F.col("Siguiente_Apertura"), c(k.closed), clip_zero=True))
 
 

@@ -486,7 +486,7 @@ def win06(spark, d):
   FROM events""")
 def win07(spark, d):
     e = Tables(spark, d).events.select("event_id", "user_id", "ts")
-    e = W.next_value(e, ["user_id"], ["ts", "event_id"], "ts", "siguiente")
+    e = W.next_value(e, ["user_id"], ["ts", "event_id"], "ts", "siguiente", bucket=F.date_trunc("day", "ts"))
     return e.select("event_id", "user_id", "siguiente",
                     F.round(D.micros_between("siguiente", "ts") / F.lit(1000000.0), 3).alias("gap_s"))
 

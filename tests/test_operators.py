@@ -148,3 +148,34 @@ def test_rule_combined_all_of(spark):
     r = Rule(None, "contains_any", label="X", all_of=(Rule("a", "contains_any", ("foo",)), Rule("b", "in", ("BAR",))))
     df = spark.createDataFrame([("xfoo", "bar"), ("xfoo", "baz")], "a string, b string")
     assert [x[0] for x in df.select(classify([r], "N")).collect()] == ["X", "N"]
+
+
+def test_normality_and_bootstrap(spark):
+    import numpy as np
+
+    from strata.operators.stats import bootstrap_mean, normality_test
+
+    rng = np.random.default_rng(42)
+    vals = rng.normal(12, 2, 3000).tolist()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    nt = normality_test(df, "v").collect()[0]
+    assert nt.p_value > 0.05 and nt.es_normal
+    skewed = spark.createDataFrame([(i, float(np.exp(v / 3))) for i, v in enumerate(vals)], "id long, v double")
+    assert normality_test(skewed, "v").collect()[0].p_value < 0.05
+    b = bootstrap_mean(df, "v", ["id"], replicates=400).collect()[0]
+    boot = [rng.choice(vals, len(vals)).mean() for _ in range(400)]
+    lo, hi = np.percentile(boot, [2.5, 97.5])
+    assert abs(b.media_bootstrap - np.mean(vals)) < 0.05
+    assert abs(b.ic_inferior - lo) < 0.06 and abs(b.ic_superior - hi) < 0.06
+    assert b.replicas == 400
+
+
+def test_bucketed_lead_equals_plain_lead(spark):
+    import random
+
+    rnd = random.Random(3)
+    data = [(rnd.choice(["hot"] * 8 + ["a", "b"]), rnd.randint(0, 400), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, t int, i int")
+    plain = W.next_value(df, ["k"], ["t", "i"], "i", "nx")
+    bucketed = W.next_value(df, ["k"], ["t", "i"], "i", "nx", bucket=(F.col("t") / 37).cast("int"))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, bucketed.collect()))
