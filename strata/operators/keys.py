@@ -62,9 +62,9 @@ def validity_intervals(df: DataFrame, identity: list[str], start_col: str, start
                        bucket_unit: str | None = "month") -> DataFrame:
     """SCD-01: each snapshot row is valid until the identity's next snapshot
     start (bucketed lead, skew-safe for a hot identity)."""
-    from .windows import next_value
+    from .windows import next_value, time_bucket
 
-    bucket = F.date_trunc(bucket_unit, c(start_col)) if bucket_unit else None
+    bucket = time_bucket(df, start_col, bucket_unit)
     return (next_value(df, identity, [c(start_col)] + [c(t) for t in tie_break], start_col, end_out, bucket=bucket)
             .withColumn(start_out, c(start_col))
             .withColumn(state_out, F.when(F.col(end_out).isNull(), F.lit(active)).otherwise(F.lit(historic))))
@@ -72,22 +72,20 @@ def validity_intervals(df: DataFrame, identity: list[str], start_col: str, start
 
 def scd2(df: DataFrame, identity: list[str], start_col: str, tracked: list[str],
          start_out: str = "valid_from", end_out: str = "valid_to", current_out: str = "is_current",
-         tie_break: list[str] = ()) -> DataFrame:
+         tie_break: list[str] = (), bucket_unit: str | None = "month") -> DataFrame:
     """SCD-02: true type-2 history. Consecutive snapshots with unchanged tracked
     attributes collapse into one version; a change opens a new version and
-    closes the previous one at the change time."""
-    w = Window.partitionBy(*[c(i) for i in identity]).orderBy(c(start_col), *[c(t) for t in tie_break])
+    closes the previous one at the change time. Previous/next values use the
+    bucketed (skew-safe) lead, so a hot identity is not sorted by one task."""
+    from .windows import next_value, time_bucket
+
+    order = [start_col, *tie_break]
+    bucket = time_bucket(df, start_col, bucket_unit)
     h = F.xxhash64(*[F.coalesce(c(t).cast("string"), F.lit("\u0000")) for t in tracked])
-    marked = (df.withColumn("__h", h)
-              .withColumn("__chg", F.when(F.lag("__h").over(w).isNull() | (F.lag("__h").over(w) != F.col("__h")), 1)
-                          .otherwise(0)))
-    marked = marked.withColumn("__ver", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    firsts = marked.filter(F.col("__chg") == 1)
-    w2 = Window.partitionBy(*[c(i) for i in identity]).orderBy(F.col("__ver"))
-    return (firsts.withColumn(start_out, c(start_col))
-            .withColumn(end_out, F.lead(c(start_col)).over(w2))
-            .withColumn(current_out, F.col(end_out).isNull())
-            .drop("__h", "__chg", "__ver"))
+    marked = next_value(df.withColumn("__h", h), identity, order, "__h", "__prev", bucket=bucket, reverse=True)
+    firsts = marked.filter(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h"))).drop("__h", "__prev")
+    out = next_value(firsts, identity, [c(o) for o in order], start_col, end_out, bucket=bucket)
+    return (out.withColumn(start_out, c(start_col)).withColumn(current_out, F.col(end_out).isNull()))
 
 
 def unpivot_months(df: DataFrame, id_cols: list[str], month_cols: list[str], year: int | Column,

@@ -32,22 +32,42 @@ def keep_latest(df: DataFrame, keys: list[str], by: list[str], tie_break: list |
     return keep_first(df, keys, order, tie_break)
 
 
+def time_bucket(df: DataFrame, col: str, unit: str | None = "month") -> Column | None:
+    """``date_trunc(unit, col)`` when ``col`` is a date/timestamp, else ``None``
+    (no bucketing) - the bucket used by the skew-safe lead."""
+    if not unit:
+        return None
+    t = df.schema[col].dataType.simpleString() if col in df.columns else ""
+    return F.date_trunc(unit, c(col)) if t in ("date", "timestamp", "timestamp_ntz") else None
+
+
+def _flip(o) -> Column:
+    """Reverse an ascending sort key given as a name or column."""
+    if isinstance(o, str):
+        return c(o).desc()
+    raise ValueError("reverse=True needs column names in ``order``")
+
+
 def row_tiebreak(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[Column]:
     """Full-row tie breaker: every column ascending, NULLs first."""
     return [c(n).asc_nulls_first() for n in df.columns if n not in exclude]
 
 
 def next_value(df: DataFrame, partition: list[str], order: list, value: str, out: str, offset: int = 1,
-               bucket=None) -> DataFrame:
+               bucket=None, reverse: bool = False) -> DataFrame:
     """WIN-07: ``shift(-1)`` inside a partition = ``lead``.
 
     ``bucket`` (a column expression monotone in the first order key, e.g. the
     month of the timestamp) makes it skew-safe: the lead runs inside
     (partition, bucket) windows, and the last row of each bucket takes the first
     value of the next non-empty bucket from a per-bucket table (one row per key
-    and bucket). A hot key is then sorted by many tasks instead of one."""
+    and bucket). A hot key is then sorted by many tasks instead of one.
+    ``reverse=True`` gives the previous value (``lag``) the same way."""
+    ords = _order(order)
+    if reverse:
+        ords = [_flip(o) for o in order]
     if bucket is None:
-        w = Window.partitionBy(*[c(p) for p in partition]).orderBy(*_order(order))
+        w = Window.partitionBy(*[c(p) for p in partition]).orderBy(*ords)
         return df.withColumn(out, F.lead(c(value), offset).over(w))
     if offset != 1:
         raise ValueError("bucketed next_value supports offset=1")
@@ -55,10 +75,11 @@ def next_value(df: DataFrame, partition: list[str], order: list, value: str, out
     b = df.withColumn("__b", bucket if not isinstance(bucket, str) else c(bucket))
     order_struct = F.struct(*[o.alias(f"o{i}") if not isinstance(o, str) else c(o).alias(f"o{i}")
                               for i, o in enumerate(order)])
-    inner = Window.partitionBy(*keys, F.col("__b")).orderBy(*_order(order))
+    inner = Window.partitionBy(*keys, F.col("__b")).orderBy(*ords)
     b = b.withColumn("__in", F.lead(c(value)).over(inner)).withColumn("__last", F.lead(F.lit(1)).over(inner).isNull())
-    firsts = b.groupBy(*keys, F.col("__b")).agg(F.min_by(c(value), order_struct).alias("__first"))
-    per_key = Window.partitionBy(*keys).orderBy("__b")
+    pick = F.max_by if reverse else F.min_by
+    firsts = b.groupBy(*keys, F.col("__b")).agg(pick(c(value), order_struct).alias("__first"))
+    per_key = Window.partitionBy(*keys).orderBy(F.col("__b").desc() if reverse else F.col("__b"))
     nxt = firsts.withColumn("__next", F.lead("__first").over(per_key)).drop("__first")
     names = list(partition) + ["__b"]
     j = b.join(nxt, names, "left")

@@ -35,9 +35,9 @@ def survival(df: DataFrame, k: TicketCols = TicketCols(), bucket_unit: str | Non
     next opening - this close (fractional days, floored at 0; last ticket NULL).
     The lead is bucketed by ``bucket_unit`` of the opening (skew-safe for a hot
     contract); ``None`` uses one window per contract and cause."""
-    from ..operators.windows import next_value
+    from ..operators.windows import next_value, time_bucket
 
-    bucket = F.date_trunc(bucket_unit, c(k.opened)) if bucket_unit else None
+    bucket = time_bucket(df, k.opened, bucket_unit)
     out = next_value(df, [k.contract, k.cause], [c(k.opened), c(k.ticket)], k.opened, "Siguiente_Apertura", bucket=bucket)
     return out.withColumn("Supervivencia_Dias", days_between(F.col("Siguiente_Apertura"), c(k.closed), clip_zero=True))
 
