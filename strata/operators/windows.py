@@ -87,9 +87,20 @@ def next_value(df: DataFrame, partition: list[str], order: list, value: str, out
 
 
 def count_over(df: DataFrame, partition: list[str], out: str, value: str | None = None) -> DataFrame:
-    """WIN-08: group count broadcast to each row (``transform('count')``)."""
-    w = Window.partitionBy(*[c(p) for p in partition])
-    return df.withColumn(out, F.count(c(value) if value else F.lit(1)).over(w))
+    """WIN-08: group count attached to each row (``transform('count')``).
+
+    Computed as an aggregate (partial, map-side) joined back on the keys rather
+    than a partition window: a window buffers a hot group in one task, while the
+    join lets AQE split a skewed partition. NULL keys form one group (null-safe
+    join), like the window."""
+    keys = [c(p) for p in partition]
+    agg = df.groupBy(*[k.alias(f"__g{i}") for i, k in enumerate(keys)]).agg(
+        F.count(c(value) if value else F.lit(1)).alias(out))
+    cond = None
+    for i, k in enumerate(keys):
+        e = k.eqNullSafe(F.col(f"__g{i}"))
+        cond = e if cond is None else cond & e
+    return df.join(agg, cond, "left").drop(*[f"__g{i}" for i in range(len(keys))])
 
 
 def frequency_rank(df: DataFrame, col: str, out: str) -> DataFrame:
