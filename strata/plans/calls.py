@@ -8,6 +8,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 from ..functions.clean import garbage_to_null, normalize_id, replace_chain, squish, head_before, default_if_blank
 from ..functions.core import c, find_column
 from ..functions.dates import hour_bucket, parse_datetime
@@ -39,7 +41,7 @@ def call_report(bronze: DataFrame, columns: list[str], renames: dict[str, str] |
     """Shared builder: strip headers -> rename -> conform (missing NULL) -> day
     parse -> optional pre-dedupe step -> newest file wins per key (MRG-07) ->
     hour bucket (SC-06) -> garbage to NULL (SC-01)."""
-    df = clean_headers(bronze)
+    df = clean_headers(spread(bronze))
     if renames:
         df = df.withColumnsRenamed({k: v for k, v in renames.items() if k in df.columns})
     keep_mtime = MTIME in df.columns

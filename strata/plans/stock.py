@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 from ..functions.core import c, first_present
 from ..functions.dates import snapshot_cut
 from ..operators.filters import equals_normalized
@@ -20,7 +22,7 @@ def stock_silver(snapshot: DataFrame, active: str = "ACTIVO") -> DataFrame:
     """Snapshot rows -> (Quincena Evaluada, FechaInicio, FechaFin, ID, Estatus,
     Franquicia): synonyms unified, cut date/label from the file name (SC-20c),
     only active subscribers (FLT-07)."""
-    df = rename_synonyms(snapshot, ID_SYNONYMS)
+    df = rename_synonyms(spread(snapshot), ID_SYNONYMS)
     cut = snapshot_cut(c("Source.Name"))
     df = df.withColumn("__cut", cut).filter(F.col("__cut.label").isNotNull())
     df = df.filter(equals_normalized(c("Estatus"), active))

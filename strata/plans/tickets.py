@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 from ..functions.clean import garbage_to_null, normalize_id
 from ..functions.core import c
 from ..functions.dates import indicator, minutes_between, parse_mixed, period_from_name
@@ -83,7 +85,7 @@ def build_silver(bronze: DataFrame, rules: TicketRules, tie_break: list | None =
     backlog window (FLT-06), exclusions (FLT-02/03), classification (CLS-01),
     KPIs, id normalisation (SC-02), dedupe (WIN-05), garbage -> NULL (SC-01)."""
     p = period_from_name(c("Source.Name"), loose=True)
-    df = bronze.withColumn("__p", p).filter(F.col("__p.label").isNotNull())
+    df = spread(bronze).withColumn("__p", p).filter(F.col("__p.label").isNotNull())
     df = df.withColumns({"FechaInicio": F.col("__p.start"), "FechaFin": F.col("__p.end"),
                          "Quincena Evaluada": F.col("__p.label")}).drop("__p")
     for src in ["Fecha Creacion", "Fecha Impresion", "Fecha Finalizacion"]:
