@@ -314,6 +314,24 @@ def pl17(spark, d):
     return summary
 
 
+from ..functions.clean import ACCENTED, PLAIN  # noqa: E402
+
+TRAFFIC_CTE = f"""WITH g AS (SELECT CAST(o_custkey AS VARCHAR) AS ab, o_orderstatus AS est, CAST(o_orderdate AS DATE) AS fecha,
+  CASE WHEN o_orderkey % 4 = 0 THEN lower(o_orderpriority) ELSE 'agente ' || CAST(o_custkey AS VARCHAR) END AS vend,
+  'NATION_' || CAST(o_custkey % 25 AS VARCHAR) AS ofi0, CASE WHEN o_orderstatus = 'F' THEN 'RECAUDACIÓN' ELSE 'VENTAS' END AS tipo FROM orders),
+q AS (SELECT *, upper(trim(regexp_replace(regexp_replace(translate(lower(vend), '{ACCENTED}', '{PLAIN}'), '[^a-z0-9\\s]', '', 'g'),
+  '\\s+', ' ', 'g'))) AS uq FROM g),
+s AS (SELECT *, CASE WHEN contains(uq, 'INTERCOM') OR contains(uq, 'INVERSIONES') OR contains(uq, 'SOLUCIONES') OR contains(uq, 'TECNOLOGIA')
+    OR contains(uq, 'AGENTE') OR contains(uq, 'COMERCIALIZADORA') THEN 'ALIADO / AGENTE'
+  WHEN contains(uq, 'CALLE') THEN 'FUERZA DE VENTA EXTERNA'
+  WHEN contains(uq, 'TELEVENTAS') OR contains(uq, 'CALL CENTER') THEN 'TELEVENTAS / CALL CENTER' ELSE ofi0 END AS ofi FROM q)"""
+TRAFFIC_COLS_SQL = ('ab AS "N° Abonado", NULL::VARCHAR AS "Documento", est AS "Estatus", fecha AS "Fecha", vend AS "Vendedor", '
+                    'NULL::VARCHAR AS "Grupo Afinidad", NULL::VARCHAR AS "Nombre Franquicia", NULL::VARCHAR AS "Ciudad", '
+                    'tipo AS "Tipo de afluencia"')
+MONTH_LOWER_SQL = ("lower(['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre','Octubre',"
+                   "'Noviembre','Diciembre'][month(fecha)])")
+
+
 def _traffic_inputs(t):
     o = t.orders
     gold = o.select(F.col("o_custkey").cast("string").alias("N° Abonado"), F.col("o_orderstatus").alias("Estatus"),
@@ -325,13 +343,20 @@ def _traffic_inputs(t):
     return {"RECAUDACIÓN": gold.filter(F.col("Estatus") == "F"), "VENTAS": gold.filter(F.col("Estatus") != "F")}, emp
 
 
-@proof("PL-18")
+@proof("PL-18", TRAFFIC_CTE + f"""
+SELECT {TRAFFIC_COLS_SQL}, ofi AS "Oficina", NULL::VARCHAR AS "Clasificacion", NULL::VARCHAR AS "Hora", {MONTH_LOWER_SQL} AS "Mes" FROM s""")
 def pl18(spark, d):
     golds, emp = _traffic_inputs(Tables(spark, d))
     return TR.traffic_silver(golds, emp, None)
 
 
-@proof("PL-19")
+@proof("PL-19", TRAFFIC_CTE + f""",
+m AS (SELECT upper(trim(n_name)) AS k, max(lower(n_name)) AS nombre, max('R' || CAST(n_regionkey AS VARCHAR)) AS estado, max('SEDE') AS tipo_sede
+  FROM nation WHERE n_regionkey <> 4 GROUP BY 1)
+SELECT {TRAFFIC_COLS_SQL}, CASE WHEN m.k IS NOT NULL THEN m.nombre ELSE s.ofi END AS "Oficina", NULL::VARCHAR AS "Clasificacion",
+  NULL::VARCHAR AS "Hora", {MONTH_LOWER_SQL} AS "Mes", CASE WHEN m.k IS NOT NULL THEN m.estado ELSE 'Sin Asignar' END AS "Estado_Sede",
+  CASE WHEN m.k IS NOT NULL THEN m.tipo_sede ELSE 'Sin Asignar' END AS "Tipo_Sede"
+FROM s LEFT JOIN m ON upper(trim(s.ofi)) = m.k""")
 def pl19(spark, d):
     t = Tables(spark, d)
     golds, emp = _traffic_inputs(t)
