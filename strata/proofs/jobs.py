@@ -23,6 +23,9 @@ from . import proof
 from .tickets import silver_slice
 
 
+NAMES_SQL = "['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre','Octubre','Noviembre','Diciembre']"
+
+
 def _calls_from_events(t, with_mtime=True):
     e = t.events
     cols = [F.concat(F.col("user_id").cast("string"), F.lit(".0")).alias("N° Abonado"),
@@ -68,7 +71,26 @@ def pl01(spark, d):
     return CO.collections_gold(pay, hours, ["OFICINA 1", "OFICINA 2"], exclude_office_regex="OFICINA 9")
 
 
-@proof("PL-02")
+@proof("PL-02", f"""WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS ab, 'CLIENTE ' || CAST(o_custkey AS VARCHAR) AS cli,
+  CAST(o_orderdate AS DATE) AS fc, o_orderstatus AS est,
+  CASE o_orderkey % 5 WHEN 0 THEN 'televentas norte' WHEN 1 THEN 'ventas calle' WHEN 2 THEN lower(o_orderpriority)
+    WHEN 3 THEN 'bejuma ofic' ELSE 'aliado x' END AS vend,
+  CASE WHEN o_totalprice > 300000 THEN 'asesor ' || CAST(o_custkey AS VARCHAR) END AS nd,
+  CASE WHEN o_orderkey % 5 = 3 THEN 'Oficina Detectada' WHEN o_totalprice > 300000 THEN 'Exacta'
+    WHEN o_totalprice > 250000 THEN 'Pendiente de Revisión' ELSE 'No detectado' END AS tipo,
+  CASE WHEN o_orderkey % 5 = 3 THEN 'OFICINA BEJUMA' END AS ofc, o_orderdate + to_seconds(o_orderkey % 60) AS mt FROM orders),
+c AS (SELECT *, CASE WHEN contains(vend, 'televentas') OR contains(vend, 'call center') THEN 'CALL CENTER'
+   WHEN (coalesce(nd, 'nan') <> 'nan' AND coalesce(nd, 'nan') <> '' AND tipo <> 'Pendiente de Revisión' AND tipo <> 'No detectado'
+     AND NOT contains(vend, 'administrador')) OR vend IN ('2-high') THEN 'OFICINA COMERCIAL'
+   WHEN (contains(vend, 'ventas') AND NOT contains(vend, 'televentas')) OR vend IN ('5-low') THEN 'VENDEDORES PROPIOS'
+   ELSE 'ALIADOS' END AS canal FROM s WHERE tipo <> 'Pendiente de Revisión'),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab, fc ORDER BY mt DESC NULLS LAST, cli, est, vend, nd NULLS FIRST, ofc NULLS FIRST,
+  tipo) AS rn FROM c)
+SELECT ab AS "N° Abonado", cli AS "Cliente", fc AS "Fecha Contrato", est AS "Estatus", NULL::VARCHAR AS "Suscripción",
+  NULL::VARCHAR AS "Grupo Afinidad", NULL::VARCHAR AS "Nombre Franquicia", NULL::VARCHAR AS "Ciudad", vend AS "Vendedor",
+  NULL::VARCHAR AS "Serv/Paquete", nd AS "nombre_detectado", NULL::VARCHAR AS "Estado", ofc AS "oficina_comercial",
+  tipo AS "tipo_coincidencia", NULL::VARCHAR AS "fuzzy_score_nombre", NULL::VARCHAR AS "fuzzy_score_apellido",
+  NULL::VARCHAR AS "fuzzy_score_combinado", {NAMES_SQL}[month(fc)] AS "Mes", canal AS "Canal" FROM r WHERE rn = 1""")
 def pl02(spark, d):
     o = Tables(spark, d).orders
     k = F.col("o_orderkey") % 5
@@ -116,7 +138,6 @@ EVB_SQL = """b AS (SELECT CAST(user_id AS VARCHAR) || '.0' AS ab, replace(format
   CASE WHEN event_id % 7 = 0 THEN NULL ELSE 'FALLA CON ' || upper(event_type) END AS det,
   CASE WHEN event_id % 3 = 0 THEN 'call agente' ELSE 'asesor ofi' END AS resp, 'FR' || CAST(user_id % 5 AS VARCHAR) AS fr,
   ts AS mt, month(ts) AS m FROM events)"""
-NAMES_SQL = "['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre','Octubre','Noviembre','Diciembre']"
 
 
 @proof("PL-04", "WITH " + EVB_SQL + """,
@@ -182,7 +203,9 @@ ONT_CONTRACT = StructType([StructField("N° Abonado", StringType()), StructField
                            StructField("Saldo", DoubleType())])
 
 
-@proof("PL-08")
+@proof("PL-08", """SELECT CAST(user_id AS VARCHAR) AS "N° Abonado", 'ACTIVO' AS "Estatus",
+  CAST(date_trunc('day', ts) AS TIMESTAMP) AS "Fecha Llamada", NULL::VARCHAR AS "Franquicia",
+  min(CAST(CAST(value AS FLOAT) AS DOUBLE)) AS "Saldo" FROM events GROUP BY 1, 3""")
 def pl08(spark, d):
     t = Tables(spark, d)
     care = CL.customer_care(_calls_from_events(t))
