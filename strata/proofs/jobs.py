@@ -17,6 +17,7 @@ from ..plans import sales as SA
 from ..plans import stock as ST
 from ..plans import suite as SU
 from ..plans import traffic as TR
+from ..operators.rules import TOPIC_DEFAULT, TOPIC_RULES
 from ..session import Tables
 from ..sources import files as SF
 from . import proof
@@ -227,12 +228,27 @@ def pl09(spark, d):
     return CO.collection_calls_gold(_calls_from_events(Tables(spark, d)), dt.date(2024, 1, 25))
 
 
-@proof("PL-10")
+@proof("PL-10", "WITH " + EVB_SQL + """,
+ca AS (SELECT ab, f, hraw AS hora, ['CAMBIO DE TELEFONO', 'NUEVO CORREO', 'CEDULA', 'DIRECCION NUEVA', 'CAMBIO DE PLAN', 'otro']
+  [CAST(substr(hraw, 7, 2) AS INTEGER) % 6 + 1] AS det, resp, fr, mt FROM b),
+cb AS (SELECT ab, f, hora, CASE """ + " ".join(f"WHEN regexp_matches(upper(coalesce(det, '')), '{p}') THEN '{lab}'" for p, lab in TOPIC_RULES)
+    + f" ELSE '{TOPIC_DEFAULT}' END" + """ AS tipo, coalesce(nullif(trim(det), ''), 'SIN DETALLE') AS det, resp, fr,
+  'DATA - ACTUALIZACION DATOS 1-1-2024 AL 30-1-2024.XLSX' AS origen, mt FROM ca),
+ob AS (SELECT CAST(conv_id AS VARCHAR) AS ab, TIMESTAMP '2024-01-01' AS f, lpad(CAST(turn % 24 AS VARCHAR), 2, '0') || ':00' AS hora,
+  upper(role) AS tipo, trim(regexp_replace(replace(replace(trim(split_part(text || ' ANT: previo', 'ANT: ', 1)), chr(10), ' '), chr(9), ' '),
+  '\\s+', ' ', 'g')) AS det, NULL::VARCHAR AS resp, NULL::VARCHAR AS fr, 'DATA - ACTUALIZACION GESTION OBS.XLSX' AS origen,
+  NULL::TIMESTAMP AS mt FROM conversations),
+u AS (SELECT * FROM cb UNION ALL SELECT * FROM ob),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab, f, hora ORDER BY mt DESC NULLS LAST, tipo NULLS FIRST, det NULLS FIRST,
+  resp NULLS FIRST, fr NULLS FIRST, origen NULLS FIRST) AS rn FROM u)
+SELECT ab AS "N° Abonado", f AS "Fecha", substr(hora, 1, 2) || ':00' AS "Hora", tipo AS "Tipo de Actualizacion",
+  CASE WHEN trim(det) = '' OR det IN ('nan', 'NaN', 'NAN', 'None', 'null', 'Null', '') THEN NULL ELSE det END AS "Detalle Respuesta",
+  resp AS "Responsable", fr AS "Franquicia", origen AS "Origen" FROM r WHERE rn = 1""")
 def pl10(spark, d):
     t = Tables(spark, d)
     calls = _calls_from_events(t).withColumn("Source.Name", F.lit("Data - Actualizacion Datos 1-1-2024 al 30-1-2024.xlsx"))
     topics = F.element_at(F.array(*[F.lit(x) for x in ["CAMBIO DE TELEFONO", "NUEVO CORREO", "CEDULA", "DIRECCION NUEVA",
-                                                         "CAMBIO DE PLAN", "otro"]]), (F.crc32("Hora Llamada") % 6 + 1).cast("int"))
+                                                         "CAMBIO DE PLAN", "otro"]]), (F.substring("Hora Llamada", 7, 2).cast("int") % 6 + 1).cast("int"))
     calls = calls.withColumn("Detalle Respuesta", topics)
     obs = t.conversations.select(F.col("conv_id").cast("string").alias("N° Abonado"), F.lit("01/01/2024").alias("Fecha"),
                                  F.concat(F.lpad((F.col("turn") % 24).cast("string"), 2, "0"), F.lit(":00")).alias("Hora"),
