@@ -108,7 +108,16 @@ def jon10(spark, d):
     return er01(spark, d)
 
 
-@proof("ER-02")
+ER02_SQL = ER_SQL.replace("""SELECT q, name AS match_name, 100.0::DOUBLE AS score, value AS match_value FROM b WHERE rn = 1""",
+    """, best AS (SELECT q, value FROM b WHERE rn = 1),
+src AS (SELECT p_name || ' ' || lower(p_type) AS vendedor,
+  trim(regexp_replace(regexp_replace(lower(p_name || ' ' || lower(p_type)), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')) AS q0 FROM part)
+SELECT vendedor, 'SIN OFICINA' AS "Oficina", coalesce(nullif(trim(best.value), ''),
+  CASE WHEN contains(upper(q0), 'GEAR') THEN 'ALIADO / AGENTE' WHEN contains(upper(q0), 'PROMO') THEN 'FUERZA DE VENTA EXTERNA' END,
+  'SIN OFICINA') AS oficina_asignada FROM src LEFT JOIN best ON src.q0 = best.q""")
+
+
+@proof("ER-02", ER02_SQL)
 def er02(spark, d):
     t = Tables(spark, d)
     master, names = _er_inputs(t)
