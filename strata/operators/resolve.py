@@ -155,11 +155,18 @@ def identify(texts: DataFrame, text_col: str, master: DataFrame, accept: float =
     (every text must be compared with every master row to find the best mean)."""
     if not fits(master, max_master_rows):
         raise ValueError(f"identify(): master larger than {max_master_rows} rows; pass a bounded master")
-    mrows = master.select(fold_lower("Nombre").alias("n"), fold_lower("Apellido").alias("a"),
-                          c("Estado").cast("string").alias("e"), c("Oficina").cast("string").alias("o")).collect()
+    # The first exact match wins, so the master order must be fixed: (name, surname, state, office).
+    mrows = (master.select(fold_lower("Nombre").alias("n"), fold_lower("Apellido").alias("a"),
+                           c("Estado").cast("string").alias("e"), c("Oficina").cast("string").alias("o"))
+             .orderBy("n", "a", "e", "o").collect())
     mlist = [(r.n, r.a, r.e, r.o) for r in mrows if r.n and r.a]
     spark = texts.sparkSession
-    bm = spark.sparkContext.broadcast(mlist)
+    try:
+        bm = spark.sparkContext.broadcast(mlist)
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): ship the bounded list with the function
+        class _Value:
+            value = mlist
+        bm = _Value()
     distinct = texts.select(c(text_col).cast("string").alias("texto")).distinct()
     import re as _re
 

@@ -48,7 +48,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when it is unset (local tests) a scratch folder is chosen."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -57,8 +60,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = checkpoint_root(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): the server's setting applies
+        pass
     return d
 
 
@@ -72,10 +78,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a DataFrame to the cluster's parallelism only when it has
     fewer partitions than cores (e.g. one small file feeding CPU-heavy per-row
     work). On large inputs this is a no-op: no shuffle is added."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no SparkContext/RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(n) if parts < n else df
 
 
 class Tables:
