@@ -341,7 +341,7 @@ def udf06(spark, d):
 
 
 def _alias(new_id: str, old_id: str) -> None:
-    """UDF-surface rows reuse the native operator that replaces the reference's
+    """UDF-surface rows reuse the native operator that replaces the original
     row-at-a-time Python UDF (same function, same oracle)."""
     from . import REGISTRY, load_all
     load_all()

@@ -75,11 +75,11 @@ def pl01(spark, d):
 @proof("PL-02", f"""WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS ab, 'CLIENTE ' || CAST(o_custkey AS VARCHAR) AS cli,
   CAST(o_orderdate AS DATE) AS fc, o_orderstatus AS est,
   CASE o_orderkey % 5 WHEN 0 THEN 'televentas norte' WHEN 1 THEN 'ventas calle' WHEN 2 THEN lower(o_orderpriority)
-    WHEN 3 THEN 'bejuma ofic' ELSE 'aliado x' END AS vend,
+    WHEN 3 THEN 'montalto ofic' ELSE 'aliado x' END AS vend,
   CASE WHEN o_totalprice > 300000 THEN 'asesor ' || CAST(o_custkey AS VARCHAR) END AS nd,
   CASE WHEN o_orderkey % 5 = 3 THEN 'Oficina Detectada' WHEN o_totalprice > 300000 THEN 'Exacta'
     WHEN o_totalprice > 250000 THEN 'Pendiente de Revisión' ELSE 'No detectado' END AS tipo,
-  CASE WHEN o_orderkey % 5 = 3 THEN 'OFICINA BEJUMA' END AS ofc, o_orderdate + to_seconds(o_orderkey % 60) AS mt FROM orders),
+  CASE WHEN o_orderkey % 5 = 3 THEN 'OFICINA MONTALTO' END AS ofc, o_orderdate + to_seconds(o_orderkey % 60) AS mt FROM orders),
 c AS (SELECT *, CASE WHEN contains(vend, 'televentas') OR contains(vend, 'call center') THEN 'CALL CENTER'
    WHEN (coalesce(nd, 'nan') <> 'nan' AND coalesce(nd, 'nan') <> '' AND tipo <> 'Pendiente de Revisión' AND tipo <> 'No detectado'
      AND NOT contains(vend, 'administrador')) OR vend IN ('2-high') THEN 'OFICINA COMERCIAL'
@@ -96,7 +96,7 @@ def pl02(spark, d):
     o = Tables(spark, d).orders
     k = F.col("o_orderkey") % 5
     vend = (F.when(k == 0, "Televentas Norte").when(k == 1, "ventas calle").when(k == 2, F.lower("o_orderpriority"))
-            .when(k == 3, "bejuma ofic").otherwise("aliado x"))
+            .when(k == 3, "montalto ofic").otherwise("aliado x"))
     bronze = o.select(F.col("o_custkey").cast("string").alias("N° Abonado"),
                       F.concat(F.lit("cliente  "), F.col("o_custkey").cast("string")).alias("Cliente"),
                       F.date_format("o_orderdate", "dd/MM/yyyy").alias("Fecha Contrato"), F.col("o_orderstatus").alias("Estatus"),
@@ -108,7 +108,7 @@ def pl02(spark, d):
                       (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("o_orderkey") % 60))
                       .alias("Fecha_Modificacion_Archivo"))
     return SA.sales_listing(bronze, ["2-high"], ["5-low"],
-                            overrides=[(["bejuma", "ofic"], {"oficina_comercial": "OFICINA BEJUMA", "tipo_coincidencia": "Oficina Detectada"})])
+                            overrides=[(["montalto", "ofic"], {"oficina_comercial": "OFICINA MONTALTO", "tipo_coincidencia": "Oficina Detectada"})])
 
 
 @proof("PL-03", """WITH s AS (SELECT CAST(o_orderdate AS DATE) AS fv,
