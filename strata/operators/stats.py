@@ -59,7 +59,7 @@ def _splitmix64(x: np.ndarray) -> np.ndarray:
 
 
 def bootstrap_mean(df: DataFrame, col: str, key: list[str], replicates: int = 2000, seed: int = 42,
-                   levels: tuple[float, float] = (2.5, 97.5), chunk: int = 4096) -> DataFrame:
+                   levels: tuple[float, float] = (2.5, 97.5), chunk: int = 256) -> DataFrame:
     """ST-02: bootstrap distribution of the mean with a percentile interval.
 
     Poisson(1) bootstrap: each row gets, per replicate, a weight drawn from a
