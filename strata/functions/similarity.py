@@ -81,5 +81,17 @@ def partial_ratio(a: str, b: str) -> float:
     return best
 
 
+def partial_ratio_upper_bound(s_counts: dict, s_len: int, t_counts: dict, t_len: int) -> float:
+    """Upper bound of ``partial_ratio(s, t)`` from character counts. With n the
+    shorter length, every window w (|w| <= n) has LCS <= C (characters shared,
+    with multiplicity), and 2*min(m, C)/(n + m) is maximal at m = C, giving
+    100 * 2C / (n + C)."""
+    n = min(s_len, t_len)
+    if n == 0:
+        return 100.0
+    common = sum(min(k, t_counts.get(ch, 0)) for ch, k in s_counts.items())
+    return 100.0 * 2 * common / (n + common) if common else 0.0
+
+
 def partial_ratio_window(s: str, t: str) -> float:
     return ratio(s, t)

@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions.clean import fold_text
 from ..functions.core import c
-from ..functions.similarity import partial_ratio, token_set_ratio
+from ..functions.similarity import partial_ratio, partial_ratio_upper_bound, token_set_ratio
 from .joins import bounded_broadcast, fits
 
 
@@ -175,7 +175,10 @@ def identify(texts: DataFrame, text_col: str, master: DataFrame, accept: float =
     ofi_x = _re.compile(office_regex)
 
     def score(it):
+        from collections import Counter
+
         master_rows = bm.value
+        counts = [(Counter(n), Counter(a)) for n, a, _e, _o in master_rows]
         for pdf in it:
             out = []
             for t in pdf["texto"]:
@@ -193,11 +196,18 @@ def identify(texts: DataFrame, text_col: str, master: DataFrame, accept: float =
                     out.append(hit)
                     continue
                 best = None
-                for n, a, e, o in master_rows:
+                tc = Counter(low)
+                for (n, a, e, o), (nc, ac) in zip(master_rows, counts):
+                    # exact pruning: a row whose mean cannot reach ``review`` never changes the outcome
+                    if (partial_ratio_upper_bound(nc, len(n), tc, len(low))
+                            + partial_ratio_upper_bound(ac, len(a), tc, len(low))) / 2 < review:
+                        continue
                     sn, sa = partial_ratio(n, low), partial_ratio(a, low)
                     comb = (sn + sa) / 2
                     if best is None or comb > best[0]:
                         best = (comb, f"{n} {a}".strip(), e, o, sn, sa)
+                if best is not None and best[0] < review:
+                    best = None
                 kind = "No detectado"
                 if best is not None:
                     kind = "Fuzzy" if best[0] >= accept else ("Pendiente de Revisión" if best[0] >= review else "No detectado")

@@ -76,3 +76,48 @@ def test_identify_statuses(spark):
     assert got["agente maria perez"][0] == "No detectado"
     assert got["zzz"][0] == "No detectado"
     assert got["marja perex"][0] in ("Pendiente de Revisión", "Fuzzy", "No detectado")
+
+
+@given(st.text("abcde ", min_size=1, max_size=12), st.text("abcdefg ", min_size=1, max_size=24))
+@settings(max_examples=400, deadline=None)
+def test_partial_ratio_bound(s, t):
+    from collections import Counter
+
+    from strata.functions.similarity import partial_ratio_upper_bound
+    assert partial_ratio(s, t) <= partial_ratio_upper_bound(Counter(s), len(s), Counter(t), len(t)) + 1e-9
+
+
+def test_identify_pruning_matches_brute_force(spark):
+    import re
+
+    rnd = random.Random(11)
+    syl = ["ma", "ri", "a", "jo", "se", "lu", "is", "pe", "rez", "go", "mez", "an", "na"]
+    word = lambda: "".join(rnd.choice(syl) for _ in range(rnd.randint(1, 3)))
+    master = sorted({(word(), word()) for _ in range(40)})
+    mdf = spark.createDataFrame([(n, a, f"E{i}", f"O{i}") for i, (n, a) in enumerate(master)],
+                                "Nombre string, Apellido string, Estado string, Oficina string")
+    texts = [" ".join(word() for _ in range(rnd.randint(1, 3))) for _ in range(150)]
+    texts += [f"{n} {a}" for n, a in master[:5]] + [f"ofi {word()}" for _ in range(5)]
+    got = {r.texto: (r.tipo_coincidencia, r.nombre_detectado, r.fuzzy_score_combinado)
+           for r in R.identify(spark.createDataFrame([(t,) for t in texts], "t string"), "t", mdf).collect()}
+    rows = sorted(master)  # identify() orders the master by (name, surname, ...)
+    for t in set(texts):
+        low = t.lower()
+        if re.search(r"\b(?:ventas|ventas calle|agente)\b", low):
+            want = ("No detectado", None, None)
+        else:
+            exact = next((f"{n} {a}" for n, a in rows if f"{n} {a}" in low), None)
+            if exact:
+                want = ("Exacta", exact, 100.0)
+            else:
+                best = None
+                for n, a in rows:
+                    comb = (partial_ratio(n, low) + partial_ratio(a, low)) / 2
+                    if best is None or comb > best[0]:
+                        best = (comb, f"{n} {a}")
+                kind = "Fuzzy" if best[0] >= 90 else ("Pendiente de Revisión" if best[0] >= 86 else "No detectado")
+                if kind == "No detectado":
+                    want = ("Oficina Detectada", t, None) if re.search(r"ofi\w*", low) else ("No detectado", None, None)
+                else:
+                    want = (kind, best[1], best[0])
+        assert got[t] == want, t
