@@ -272,8 +272,8 @@ def pl11(spark, d):
 
 
 @proof("PL-12", """WITH a AS (SELECT s_name, n_name AS ofi, DATE '2024-03-01' AS fi FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  UNION ALL SELECT s_name, CASE WHEN s_suppkey % 4 = 0 THEN 'OFICINA ESTE' ELSE n_name END, DATE '2024-04-01'
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 2 = 0),
+  UNION ALL SELECT s_name, CASE WHEN s_acctbal > 5000 THEN 'OFICINA ESTE' ELSE n_name END, DATE '2024-04-01'
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0),
 f AS (SELECT upper(s_name) AS nc, ofi, fi, upper(s_name) || ' ' || ofi AS comb FROM a WHERE NOT regexp_matches(s_name, '(?i)#0+9\\b'))
 SELECT nc AS "Nombre_Completo", ofi AS "Oficina", fi AS "Fecha_Inicio", lead(fi) OVER (PARTITION BY comb ORDER BY fi) AS "Fecha_Fin",
   CASE WHEN lead(fi) OVER (PARTITION BY comb ORDER BY fi) IS NULL THEN 'ACTIVO' ELSE 'HISTÓRICO' END AS "Estado_Vigencia" FROM f""")
@@ -282,9 +282,9 @@ def pl12(spark, d):
     base = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
     a = base.select(F.col("s_name").alias("nombre"), F.lit("").alias("apellido"), F.col("n_name").alias("oficina"),
                     F.lit("Data - Empleados 01-03-2024.xlsx").alias("Source.Name"))
-    b = base.filter(F.col("s_suppkey") % 2 == 0).select(
+    b = base.filter(F.col("s_acctbal") > 0).select(
         F.col("s_name").alias("nombre"), F.lit("").alias("apellido"),
-        F.when(F.col("s_suppkey") % 4 == 0, F.lit("OFICINA ESTE")).otherwise(F.col("n_name")).alias("oficina"),
+        F.when(F.col("s_acctbal") > 5000, F.lit("OFICINA ESTE")).otherwise(F.col("n_name")).alias("oficina"),
         F.lit("Data - Empleados 1-4-2024.xlsx").alias("Source.Name"))
     out = PE.employee_master(a.unionByName(b), exclude_regex=r"#0+9\b")
     return out.select("Nombre_Completo", "Oficina", "Fecha_Inicio", "Fecha_Fin", "Estado_Vigencia")
