@@ -58,3 +58,21 @@ def test_failure_index(spark):
     stock = spark.createDataFrame([("Q", "F1", 30)], "`Quincena Evaluada` string, Franquicia string, Total_Abonados long")
     got = {r.Franquicia: r.IDF for r in T.failure_index(idf, stock).collect()}
     assert got == {"F1": 0.1, "F2": None}
+
+
+def test_run_tickets_from_workbooks(spark, tmp):
+    from strata.plans.runner import run_tickets
+    from strata.sources.lake import Lake
+
+    from .test_io import make_xlsx
+
+    hdr = ["N° Orden", "Fecha Creacion", "Fecha Impresion", "Fecha Finalizacion", "Grupo Trabajo", "Usuario Final",
+           "Solucion Aplicada", "Detalle Orden", "Estatus_orden", "Franquicia"]
+    make_xlsx(f"{tmp}/Data - IdF 1-12-2025 al 15-12-2025.xlsx",
+              [hdr, ["1", "02/12/2025 08:00", None, "02/12/2025 09:00", "CAMPO", "u", "CABLE", "X", "FIN", "F1"],
+               ["2", "03/12/2025 08:00", None, None, "CAMPO", "u", None, "X", "ABIERTA", "F1"]])
+    lake = Lake(spark, f"{tmp}/lake")
+    rules = T.TicketRules(classification=ticket_rules(admin=["SALDO"], noc_users=[], physical=["CABLE"], logical=[]))
+    audit = {a["table"]: a for a in run_tickets(spark, lake, f"{tmp}/*.xlsx", rules)}
+    assert audit["SLA_Gold"]["rows"] == 1 and audit["Tickets_Fact_Gold"]["rows"] == 2
+    assert lake.read("silver", "Tickets_Silver_Master").count() == 2
