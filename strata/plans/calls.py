@@ -64,10 +64,13 @@ GENERAL_COLUMNS = ["N° Abonado", "Estatus", "Saldo", "Fecha Llamada", "Hora Lla
                    "Detalle Respuesta", "Responsable", "Suscripción", "Grupo Afinidad", "Franquicia", "Ciudad"]
 
 
-def claims_general(folders: dict[str, DataFrame]) -> DataFrame:
+def claims_general(folders: dict[str, DataFrame], alerts: list[str] | None = None) -> DataFrame:
     """PL-04: claims from several sub-folders (SRC-14), call type renamed to
-    ``Origen``, newest file wins per call."""
+    ``Origen``, newest file wins per call. Expected columns missing from the
+    source are appended to ``alerts`` (DQ-01) and come out as NULL."""
     u = read_folders(folders, "Fecha_Carpeta", {}) if len(folders) > 1 else next(iter(folders.values()))
+    if alerts is not None:
+        alerts.extend(missing_report(clean_headers(u).withColumnsRenamed({"Tipo Llamada": "Origen"}), GENERAL_COLUMNS))
     return call_report(u, GENERAL_COLUMNS, {"Tipo Llamada": "Origen"})
 
 
@@ -140,6 +143,12 @@ def ont_off(care_gold: DataFrame, ont_reports: list[DataFrame], contract) -> Dat
     return keep_first(u, ["N° Abonado", "Fecha Llamada"], [c("Fecha Llamada").desc_nulls_last()] + row_tiebreak(u))
 
 
+def ont_off_profile(gold: DataFrame) -> DataFrame:
+    """PL-08 summary (AGG-16): count, distinct, mean, std, quartiles per column."""
+    from ..operators.aggregates import profile
+    return profile(gold, [n for n in gold.columns], exact_distinct=False)
+
+
 UPDATE_COLUMNS = ["N° Abonado", "Fecha", "Hora", "Tipo de Actualizacion", "Detalle Respuesta", "Responsable",
                   "Franquicia", "Origen"]
 

@@ -48,12 +48,15 @@ STATUS_COLUMNS = ["Fecha Venta", "Hora venta", "Paquete/Servicio", "Vendedor", "
 
 
 def sales_status(bronze: DataFrame, seller_marker: str = "OFI", exclude_seller_regex: str | None = None,
-                 statuses: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                 statuses: list[str] | None = None, alerts: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """PL-03: (silver, gold). Synonyms unified (PRJ-02); office sellers only
     (FLT-03), optional exclusions and status population (FLT-03/FLT-10);
     office name extracted after the marker (SC-15); hour bucket (SC-06);
     newest file per (subscriber, date, hour) (MRG-07)."""
-    df = conform(rename_synonyms(clean_headers(spread(bronze)), STATUS_SYNONYMS), STATUS_COLUMNS)
+    renamed = rename_synonyms(clean_headers(spread(bronze)), STATUS_SYNONYMS)
+    if alerts is not None:  # DQ-01: expected columns absent from the extract
+        alerts.extend(n for n in STATUS_COLUMNS if n not in renamed.columns and n != "Fecha_Modificacion_Archivo")
+    df = conform(renamed, STATUS_COLUMNS)
     df = df.filter(matches("Vendedor", seller_marker))
     if exclude_seller_regex:
         df = df.filter(matches("Vendedor", exclude_seller_regex, negate=True))

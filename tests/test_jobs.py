@@ -76,3 +76,19 @@ def test_run_tickets_from_workbooks(spark, tmp):
     audit = {a["table"]: a for a in run_tickets(spark, lake, f"{tmp}/*.xlsx", rules)}
     assert audit["SLA_Gold"]["rows"] == 1 and audit["Tickets_Fact_Gold"]["rows"] == 2
     assert lake.read("silver", "Tickets_Silver_Master").count() == 2
+
+
+def test_alerts_and_profile(spark):
+    from strata.plans import calls as CL
+    from strata.plans import sales as SA
+
+    calls = spark.createDataFrame([("1", "01/01/2024", "10:00", "x")], "`N° Abonado` string, `Fecha Llamada` string, "
+                                  "`Hora Llamada` string, `Tipo Llamada` string")
+    alerts = []
+    out = CL.claims_general({"a": calls}, alerts=alerts)
+    assert out.count() == 1 and "Saldo" in alerts and "Origen" not in alerts
+    st_alerts = []
+    SA.sales_status(spark.createDataFrame([("OFI X", "1")], "Vendedor string, `N° Abonado` string"), alerts=st_alerts)
+    assert "Costo" in st_alerts and "Vendedor" not in st_alerts
+    prof = CL.ont_off_profile(spark.createDataFrame([("1", 2.0), ("2", 4.0)], "a string, b double"))
+    assert {r.column: r["count"] for r in prof.collect()} == {"a": 2, "b": 2}
