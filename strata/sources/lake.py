@@ -51,11 +51,11 @@ class Lake:
              skip_empty: bool = True, audit: bool = False, version: str | None = None) -> dict:
         """SNK-01/02/03/04/07: write a new version folder, then switch the pointer.
 
-        Empty input is not written (warning in the returned audit) unless
-        ``skip_empty=False``. ``audit`` re-reads the written version and counts
-        rows from Parquet footers (DQ-06)."""
-        if skip_empty and df.isEmpty():
-            return {"table": name, "written": False, "reason": "empty"}
+        The input is computed once (by the write). An empty result does not
+        replace the current table (``skip_empty``): emptiness is checked on the
+        written files, so the upstream plan is never run twice; the unused
+        version folder stays unreferenced. ``audit`` counts the written rows from
+        Parquet metadata (DQ-06)."""
         version = version or f"v={int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
         out = f"{self.path(layer, name)}/{version}"
         w = df.write.mode("error").option("compression", compression)
@@ -64,6 +64,8 @@ class Lake:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(out)
+        if skip_empty and self.spark.read.parquet(out).isEmpty():
+            return {"table": name, "written": False, "reason": "empty"}
         self.spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite").text(
             self._pointer(layer, name))
         res = {"table": name, "written": True, "version": version, "path": out}
