@@ -214,7 +214,13 @@ def promote_header(long: DataFrame, drop_placeholders: bool = True) -> DataFrame
     names = sorted({h for r in headers.select(F.explode("__h").alias("h")).distinct().collect() for h in [r.h]})
     if drop_placeholders:
         names = [h for h in names if not re.match(r"^(Col_\d+|Unnamed.*)$", h)]
-    cols = [F.col("__m").getItem(h).alias(h) for h in names]
+    # Spark column names are case-insensitive: spellings differing only by case
+    # (``Id`` / ``ID`` across files) become one column, first spelling in sort order.
+    groups: dict[str, list[str]] = {}
+    for h in names:
+        groups.setdefault(h.lower(), []).append(h)
+    cols = [(F.coalesce(*[F.col("__m").getItem(h) for h in spellings]) if len(spellings) > 1
+             else F.col("__m").getItem(spellings[0])).alias(spellings[0]) for spellings in groups.values()]
     extra = [F.col("source_name").alias("Source.Name")]
     if "mtime" in long.columns:
         extra.append(F.col("mtime").alias("Fecha_Modificacion_Archivo"))

@@ -92,3 +92,35 @@ def test_alerts_and_profile(spark):
     assert "Costo" in st_alerts and "Vendedor" not in st_alerts
     prof = CL.ont_off_profile(spark.createDataFrame([("1", 2.0), ("2", 4.0)], "a string, b double"))
     assert {r.column: r["count"] for r in prof.collect()} == {"a": 2, "b": 2}
+
+
+def test_run_stock_and_collections_from_workbooks(spark, tmp):
+    import os
+
+    from strata.plans.runner import run_collections, run_stock
+    from strata.sources.lake import Lake
+
+    from tests.test_io import make_xlsx
+
+    lake = Lake(spark, f"{tmp}/lake")
+    os.makedirs(f"{tmp}/stock")
+    make_xlsx(f"{tmp}/stock/Data - Abonados hasta el 3-1-2026.xlsx",
+              [["Id", "Estatus contrato", "Nombre Franquicia"], ["1", "ACTIVO", "F1"], ["2", " activo ", "F1"], ["3", "CORTADO", "F2"]])
+    make_xlsx(f"{tmp}/stock/Data - Abonados hasta el 18-1-2026.xlsx",
+              [["ID", "Estatus", "Franquicia"], ["1", "ACTIVO", "F1"], ["4", "ACTIVO", "F2"]])
+    audit = run_stock(spark, lake, f"{tmp}/stock")
+    gold = {(r["Quincena Evaluada"], r["Franquicia"]): r["Total_Abonados"] for r in lake.read("gold", "Stock_Abonados_Gold").collect()}
+    assert gold == {("DIC 2025 Q2", "F1"): 2, ("ENE 2026 Q1", "F1"): 1, ("ENE 2026 Q1", "F2"): 1}
+    assert audit[0]["rows"] == 3
+
+    os.makedirs(f"{tmp}/pay")
+    os.makedirs(f"{tmp}/hours")
+    make_xlsx(f"{tmp}/pay/Data - Recaudacion 1-1-2026 al 15-1-2026.xlsx",
+              [["N° Abonado", "Nro Recibo", "Fecha", "Total Pago", "Oficina Cobro"], ["1", "10.0", "05/01/2026", "12,5", "OF A"],
+               ["2", "11", "06/01/2026", "3", "OF B"], ["3", None, "06/01/2026", "1", "OF A"]])
+    make_xlsx(f"{tmp}/hours/Data - HorasPago 1-1-2026 al 15-1-2026.xlsx",
+              [["ID Pago", "Hora de Pago", "Fecha"], ["10", "2:30 p. m.", "05/01/2026"]])
+    run_collections(spark, lake, f"{tmp}/pay", f"{tmp}/hours", ["OF A"])
+    got = sorted((r["N° Abonado"], r["Total Pago"], r["Clasificacion"], r["Hora de Pago"])
+                 for r in lake.read("gold", "Recaudacion_Gold").collect())
+    assert got == [("1", 12.5, "OFICINAS PROPIAS", "14:00"), ("2", 3.0, "ALIADOS Y DESARROLLO", "00:00")]
