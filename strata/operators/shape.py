@@ -63,15 +63,17 @@ def drop_unnamed(df: DataFrame, patterns: tuple[str, ...] = (r"^Unnamed", r"^Col
 
 def conform(df: DataFrame, contract: StructType | list[str]) -> DataFrame:
     """PRJ-05: fixed ordered output: missing -> typed NULL, extras dropped,
-    present columns cast to the contract type."""
+    present columns (matched ignoring case and outer spaces) cast to the
+    contract type and renamed to the contract's spelling."""
     if isinstance(contract, StructType):
         fields = [(f.name, f.dataType) for f in contract.fields]
     else:
         fields = [(n, None) for n in contract]
     cols = []
     for name, dtype in fields:
-        if name in df.columns:
-            x = c(name)
+        found = name if name in df.columns else find_column(df, name)  # Spark resolves names case-insensitively
+        if found is not None:
+            x = c(found)
             cols.append((x.cast(dtype) if dtype is not None else x).alias(name))
         else:
             cols.append(F.lit(None).cast(dtype or "string").alias(name))

@@ -179,3 +179,10 @@ def test_bucketed_lead_equals_plain_lead(spark):
     plain = W.next_value(df, ["k"], ["t", "i"], "i", "nx")
     bucketed = W.next_value(df, ["k"], ["t", "i"], "i", "nx", bucket=(F.col("t") / 37).cast("int"))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, bucketed.collect()))
+
+
+def test_conform_matches_case_insensitively(spark):
+    from strata.operators.shape import conform
+    df = spark.createDataFrame([("1", "x")], "Id string, extra string")
+    out = conform(df, ["ID", "Estatus"])
+    assert out.columns == ["ID", "Estatus"] and [tuple(r) for r in out.collect()] == [("1", None)]
