@@ -108,3 +108,24 @@ def test_office_after_marker(spark):
 def test_decimal_comma(spark):
     assert one(spark, K.decimal_comma, "1234,5") == 1234.5
     assert one(spark, K.decimal_comma, "n/a") == 0.0
+
+
+def test_shape_guard_never_stricter_than_parser(spark):
+    import random
+
+    rnd = random.Random(9)
+    fmts = D.DEFAULT_DATE_FORMATS + D.HOUR_FORMATS + ["d-M-yyyy", "d/M/yyyy H:mm"]
+    texts = []
+    for _ in range(300):
+        d = dt.datetime(rnd.randint(1990, 2030), rnd.randint(1, 12), rnd.randint(1, 28), rnd.randint(0, 23), rnd.randint(0, 59),
+                        rnd.randint(0, 59))
+        texts += [d.strftime("%Y-%m-%d %H:%M:%S"), d.strftime("%Y-%m-%d"), f"{d.day}/{d.month}/{d.year}",
+                  f"{d.day:02d}/{d.month:02d}/{d.year} {d.hour}:{d.minute:02d}:{d.second:02d}", f"{d.day}-{d.month}-{d.year}",
+                  f"{(d.hour % 12) or 12}:{d.minute:02d}{'AM' if d.hour < 12 else 'PM'}", f"{d.hour}:{d.minute:02d}",
+                  f"{d.day}/{d.month}/{d.year} {d.hour}:{d.minute:02d}"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    for f in fmts:
+        raw = F.try_to_timestamp(F.col("x"), F.lit(f))
+        guarded = D.try_parse(F.col("x"), f)
+        bad = df.filter(raw.isNotNull() & (guarded.isNull() | (guarded != raw))).limit(3).collect()
+        assert not bad, (f, bad)
