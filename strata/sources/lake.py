@@ -30,9 +30,22 @@ class Lake:
     def _pointer(self, layer: str, name: str) -> str:
         return self.path(layer, name) + "/_current"
 
+    def _path_exists(self, path: str) -> bool | None:
+        """Existence through the Hadoop FileSystem of the path (no failing read,
+        so no error is logged); ``None`` when the JVM gateway is unavailable."""
+        try:
+            jvm = self.spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            return bool(p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+        except Exception:  # noqa: BLE001 - e.g. Spark Connect: fall back to reading
+            return None
+
     def current_version(self, layer: str, name: str) -> str | None:
+        pointer = self._pointer(layer, name)
+        if self._path_exists(pointer) is False:
+            return None
         try:
-            rows = self.spark.read.text(self._pointer(layer, name)).collect()  # one tiny row
+            rows = self.spark.read.text(pointer).collect()  # one tiny row
         except Exception:  # noqa: BLE001 - missing table
             return None
         return rows[0][0].strip() if rows else None
