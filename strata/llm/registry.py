@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import windows
+from . import bpe, url_rules, windows
 
 QUERIES = {
     "op3_substring_dedup": windows.op3_substring_dedup,
+    "op4_url_filters": url_rules.op4_url_filters,
+    "op9_bpe_coding": bpe.op9_bpe_coding,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_url_filters": url_rules.OP4_SQL,
+}
