@@ -78,6 +78,20 @@ def lower_table() -> np.ndarray:
     return t
 
 
+def word_bytes() -> np.ndarray:
+    """All bytes but the separators."""
+    t = np.ones(256, bool)
+    t[list(_SEPARATORS)] = False
+    return t
+
+
+def letter_bytes() -> np.ndarray:
+    """Letters and digits, and all bytes of characters beyond ASCII: words without their punctuation."""
+    t = np.zeros(256, bool)
+    t[ord("0") : ord("9") + 1] = t[ord("A") : ord("Z") + 1] = t[ord("a") : ord("z") + 1] = t[128:] = True
+    return t
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all texts, n + 1 offsets); NULL counts as empty."""
     if isinstance(col, pa.ChunkedArray):
@@ -107,14 +121,14 @@ def slices(n_bytes: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 class Words:
-    """The words of some documents: byte ranges, and the range of words of each document."""
+    """The words of some documents: ranges of bytes, and the range of words of each document.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    inside: for each byte (or other unit of ``data``) whether it belongs to a word."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None):
         self.data, self.offsets = data, offsets
         n = len(data)
-        table = np.ones(256, bool)
-        table[list(_SEPARATORS)] = False
-        inside = table[data]
+        inside = word_bytes()[data] if inside is None else inside
         cut = np.zeros(n + 1, bool)
         cut[offsets] = True
         first, last = inside.copy(), inside.copy()
@@ -137,6 +151,10 @@ class Words:
     def doc_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
+    def gram_starts(self, reach: int) -> np.ndarray:
+        """Indices of the words that have ``reach`` more words after them in their document."""
+        return self.window_starts(reach + 1)
+
     def window_starts(self, width: int) -> np.ndarray:
         """Indices of the words at which a window of that width starts within its document."""
         ok = np.zeros(len(self.start) + 1, np.int32)
