@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, jaccard, quality, toxicity, url_rules, windows
+from . import bpe, jaccard, language, quality, toxicity, url_rules, windows
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op3_substring_dedup": windows.op3_substring_dedup,
     "op4_url_filters": url_rules.op4_url_filters,
     "op5_quality_classifier": quality.op5_quality_classifier,
+    "op7_language_id": language.op7_language_id,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_bpe_coding": bpe.op9_bpe_coding,
 }
