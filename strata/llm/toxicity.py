@@ -140,10 +140,10 @@ def _score(model):
 
 def score_documents(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of each document."""
-    top = weights.orderBy(F.desc(F.abs("weight")), "feature").limit(MOST_WEIGHTS).toPandas()
-    names = top["feature"].to_numpy(np.int64).view(np.uint64)
+    top = weights.orderBy(F.desc(F.abs("weight")), "feature").limit(MOST_WEIGHTS).toArrow()
+    names = top["feature"].to_numpy().view(np.uint64)
     order = np.argsort(names)
-    model = docs.sparkSession.sparkContext.broadcast((names[order].tobytes(), top["weight"].to_numpy(np.float64)[order].tobytes()))
+    model = docs.sparkSession.sparkContext.broadcast((names[order].tobytes(), top["weight"].to_numpy()[order].tobytes()))
     kept = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
     return kept.mapInArrow(_score(model), L.schema_of(kept, "score double"))
 
