@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, jaccard, language, quality, toxicity, url_rules, windows
+from . import bpe, decontaminate, jaccard, language, quality, toxicity, url_rules, windows
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_language_id": language.op7_language_id,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_bpe_coding": bpe.op9_bpe_coding,
+    "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {
