@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, jaccard, language, quality, toxicity, url_rules, windows
+from . import bpe, decontaminate, jaccard, language, quality, suffixes, toxicity, url_rules, windows
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_suffix_array_dedup": suffixes.op2_suffix_array_dedup,
     "op3_substring_dedup": windows.op3_substring_dedup,
     "op4_url_filters": url_rules.op4_url_filters,
     "op5_quality_classifier": quality.op5_quality_classifier,
