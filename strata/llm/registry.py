@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, jaccard, language, quality, suffixes, toxicity, url_rules, windows
+from . import bpe, decontaminate, jaccard, language, quality, simhash, suffixes, toxicity, url_rules, windows
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_substring_dedup": windows.op3_substring_dedup,
     "op4_url_filters": url_rules.op4_url_filters,
     "op5_quality_classifier": quality.op5_quality_classifier,
+    "op6_document_fingerprints": simhash.op6_document_fingerprints,
     "op7_language_id": language.op7_language_id,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_bpe_coding": bpe.op9_bpe_coding,
