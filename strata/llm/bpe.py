@@ -36,7 +36,11 @@ from .exchange import named
 from .text import slices, text_buffers
 
 #: Distinct words that a task keeps encoded; then it starts anew, which bounds its memory.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
+#: Text whose new words are walked as one trie.
+TRIE_BYTES = 4 << 20
+#: Pairs of tokens whose agreement a task keeps.
+MOST_PAIRS = 1_000_000
 
 #: Unicode's white space, as the tokenizer's pattern has it in \s.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -68,9 +72,20 @@ class WordBpe:
         self.bytes = str.maketrans({chr(b): c for b, c in byte_characters().items()})
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(pattern.replace(r"^\s", "^" + _SPACE))
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
-        self.agree: dict[tuple[str, str], bool] = {}
-        self.word, self.last = "", []  # last[d]: the last token of the encoding of word[:d + 1]
+        #: How far back a token can start, by the last two characters that it ends with.
+        self.back: dict[str, int] = {}
+        self.end_back: dict[str, int] = {}
+        for t in self.vocab:
+            ends = self.end and t.endswith(self.end)
+            body = t[: -len(self.end)] if ends else t
+            back = self.end_back if ends else self.back
+            back[body[-2:]] = max(back.get(body[-2:], 0), len(body))
+        #: The merge that makes a token, and its two parts.
+        self.made = {self.vocab[a + b]: (r, self.vocab[a], self.vocab[b]) for (a, b), r in reversed(self.rank.items()) if a + b in self.vocab}
+        self.pair_rank = {self.vocab[a] << 20 | self.vocab[b]: r for (a, b), r in self.rank.items() if a in self.vocab and b in self.vocab}
+        self.known: dict[int, bool] = {}
+        self.alone: dict[int, bool] = {}
+        self.word, self.last, self.sizes = "", [], []  # the last token of the encoding of word[:d + 1], and its length
 
     def symbols(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end):
@@ -96,42 +111,91 @@ class WordBpe:
             symbols = out
         return symbols
 
-    def agrees(self, left: str, right: str) -> bool:
-        key = (left, right)
-        known = self.agree.get(key)
+    def agrees(self, left: int, right: int) -> bool:
+        """Whether merging the symbols of both tokens gives the two tokens back.
+
+        The tokens' merges at their common border are undone, the latest first. Before each of them
+        was done, the pair across the border stood ready as well; if its rank comes first (of equal
+        ranks the left one does), it would have been merged instead."""
+        x, y, made, rank = left, right, self.made, self.pair_rank
+        before = 1 << 60
+        while True:
+            across = rank.get(x << 20 | y)
+            if across is not None and across < before:
+                return False
+            a, b = made.get(x), made.get(y)
+            if a is None and b is None:
+                return True
+            if b is None or (a is not None and a[0] > b[0]):
+                before, x = a[0], a[2]
+            else:
+                before, y = b[0] + 1, b[1]
+
+    def is_token(self, token: int) -> bool:
+        """Whether a token's symbols merge into it (a vocabulary may hold others)."""
+        known = self.alone.get(token)
         if known is None:
-            if len(self.agree) > 1_000_000:
-                self.agree.clear()
-            symbols = [*self.symbols(left), *self.symbols(right)] if left else self.symbols(right)
-            known = self.agree[key] = self.merged(symbols) == ([left, right] if left else [right])
+            text = self.token_of[token]
+            known = self.alone[token] = self.merged(self.symbols(text)) == [text]
         return known
 
-    def step(self, word: str, d: int, mark: str) -> str:
-        """The last token of word[:d] (with the end mark), given those of its shorter prefixes."""
-        for size in range(min(d, self.longest), 0, -1):
-            token = word[d - size : d] + mark
-            if token in self.vocab and self.agrees(self.last[d - size - 1] if d > size else "", token):
-                return token
+    def step(self, word: str, d: int, mark: str) -> tuple[int, int]:
+        """The last token of word[:d] (with the end mark), given those of its shorter prefixes; and its length.
+
+        Only one token agrees, so they are tried in the order in which they are likely: the last
+        token grown by a character, then the shorter ones."""
+        vocab, known, last = self.vocab, self.known, self.last
+        grown = self.sizes[d - 2] + 1 if d > 1 else 1
+        token = vocab.get(word[d - grown : d] + mark)
+        if token is not None and self.fits(token, d - grown):
+            return token, grown
+        for size in range(1, min(d, (self.end_back if mark else self.back).get(word[max(0, d - 2) : d], 1)) + 1):
+            token = vocab.get(word[d - size : d] + mark)
+            if token is not None:
+                if size == d:
+                    ok = self.is_token(token)
+                else:
+                    ok = known.get(last[d - size - 1] << 20 | token)
+                    if ok is None:
+                        ok = self.fits(token, d - size)
+                if ok:
+                    return token, size
         raise ValueError(f"no token ends {word[:d]!r}")
 
-    def encode_word(self, word: str) -> list[str]:
+    def fits(self, token: int, start: int) -> bool:
+        """Whether the token may follow the last token of the prefix that ends where it starts."""
+        if not start:
+            return self.is_token(token)
+        key = self.last[start - 1] << 20 | token
+        ok = self.known.get(key)
+        if ok is None:
+            if len(self.known) > MOST_PAIRS:
+                self.known.clear()
+            ok = self.known[key] = self.is_token(token) and self.agrees(self.last[start - 1], token)
+        return ok
+
+    def encode_word(self, word: str) -> list[int]:
         """Tokens of one word in byte characters; cheapest when words come in sorted order."""
-        shared = 0
-        for a, b in zip(word[:-1], self.word[: len(self.last)], strict=False):
-            if a != b:
-                break
-            shared += 1
+        before, n, shared = self.word, len(word), 0
+        most = min(n - 1, len(self.last))
+        if word[:most] == before[:most]:
+            shared = most
+        else:
+            while word[shared] == before[shared]:
+                shared += 1
         self.word = word
-        del self.last[shared:]
-        for d in range(shared + 1, len(word)):
-            self.last.append(self.step(word, d, ""))
-        d, token = len(word), self.step(word, len(word), self.end)
-        out = [token]
-        d -= len(token) - len(self.end)
+        del self.last[shared:], self.sizes[shared:]
+        for d in range(shared + 1, n):
+            token, size = self.step(word, d, "")
+            self.last.append(token)
+            self.sizes.append(size)
+        token, size = self.step(word, n, self.end)
+        out, d = [token], n - size
         while d > 0:
-            out.append(token := self.last[d - 1])
-            d -= len(token)
-        return out[::-1]
+            out.append(self.last[d - 1])
+            d -= self.sizes[d - 1]
+        out.reverse()
+        return out
 
     def words_of(self, text: str) -> list[str]:
         if text.isascii() or "Cn" not in map(unicodedata.category, text):
@@ -142,10 +206,14 @@ class WordBpe:
 
     def pieces(self, chunk: str) -> list[str]:
         """Words in byte characters, and special tokens, of a chunk without white space."""
+        if chunk.isascii() and chunk.isalpha():
+            return [chunk.lower() + "\0"]
         out = []
         for k, part in enumerate(self.split_added.split(chunk) if self.split_added else [chunk]):
             if k % 2:
                 out.append(part)
+            elif part.isascii() and part.isprintable():  # these bytes stand for themselves
+                out += [w + "\0" for w in self.pattern.findall(part.lower())]
             elif part:
                 if not part.isascii():
                     part = unicodedata.normalize("NFC", part).replace("Σ", "σ")  # no final form when lower-cased alone
@@ -168,19 +236,18 @@ class _Slice:
         self.size: list[int] = []
 
     def learn(self, chunks: set[str]) -> None:
-        pieces = {c: self.bpe.pieces(c) for c in chunks}
-        words = sorted({w for p in pieces.values() for w in p})
+        pieces = [(c, self.bpe.pieces(c)) for c in chunks]
+        text_of, encode = self.bpe.token_of, self.bpe.encode_word
         ids, shown = {}, {}
-        for w in words:
-            tokens = self.bpe.encode_word(w[:-1]) if w[-1] == "\0" else [w]
-            ids[w] = [self.bpe.vocab[t] if w[-1] == "\0" else self.bpe.added[t] for t in tokens]
-            shown[w] = " ".join(tokens)
+        for w in sorted({w for _, p in pieces for w in p}):
+            ids[w] = own = encode(w[:-1]) if w[-1] == "\0" else [self.bpe.added[w]]
+            shown[w] = " ".join([text_of[t] for t in own])
         flat = []
-        for c, p in pieces.items():
-            own = [i for w in p for i in ids[w]]
+        for c, p in pieces:
+            own = ids[p[0]] if len(p) == 1 else [i for w in p for i in ids[w]]
             self.code[c] = len(self.size)
             self.size.append(len(own))
-            self.decoded.append(" ".join([shown[w] for w in p]))
+            self.decoded.append(shown[p[0]] if len(p) == 1 else " ".join([shown[w] for w in p]))
             flat += own
         self.flat = [np.concatenate([*self.flat, np.array(flat, "<u4")])]
 
@@ -214,7 +281,7 @@ def _encode(tokenizer):
         coder = _Slice(WordBpe(tokenizer.value))
         for batch in batches:
             _, offsets = text_buffers(batch["text"])
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, TRIE_BYTES):
                 part = batch.slice(a, b - a)
                 counts, ids, decoded = coder.encode([t or "" for t in part["text"].to_pylist()])
                 yield pa.RecordBatch.from_arrays([part["id"], pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids", "decoded"])

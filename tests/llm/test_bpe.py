@@ -46,7 +46,20 @@ def test_every_token_is_reached_by_pairs(library):
         bpe = WordBpe(f.read())
     words = sorted({t.removesuffix("</w>") for t in bpe.vocab if t.isalpha()})[::7]
     for w in words:
-        assert bpe.encode_word(w) == bpe.merged([*w[:-1], w[-1] + "</w>"]), w
+        assert [bpe.token_of[t] for t in bpe.encode_word(w)] == bpe.merged([*w[:-1], w[-1] + "</w>"]), w
+
+
+def test_pairs_agree_as_merging_says():
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        bpe = WordBpe(f.read())
+    r = random.Random(4)
+    left = [i for t, i in bpe.vocab.items() if not t.endswith("</w>") and t.isalpha()]
+    right = [i for t, i in bpe.vocab.items() if t.removesuffix("</w>").isalpha()]
+    for _ in range(20000):
+        a, b = r.choice(left), r.choice(right)
+        x, y = bpe.token_of[a], bpe.token_of[b]
+        if bpe.is_token(a) and bpe.is_token(b):
+            assert bpe.agrees(a, b) == (bpe.merged([*bpe.symbols(x), *bpe.symbols(y)]) == [x, y]), (x, y)
 
 
 def test_query_on_the_whole_table(spark, library):
