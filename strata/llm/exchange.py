@@ -23,6 +23,9 @@ from pyspark.sql.types import StructType
 #: Text of one home, and window hashes of one bucket (about as many bytes of text as they stand for).
 HOME_BYTES = 8 << 20
 
+#: Rows of a few numbers that are broadcast at most (16 MB or so).
+SENT_ROWS = 1_000_000
+
 #: Documents without an id sort after all others.
 NO_ID = np.iinfo(np.int64).max
 
@@ -32,6 +35,11 @@ def named(column: str) -> Column:
     return F.col(f"`{column.replace('`', '``')}`")
 
 
+def extra(carry: list[str]) -> Column:
+    """The carried columns in one struct, by place, so that no name clashes."""
+    return F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(carry)], F.lit(0).alias("c")).alias("extra")
+
+
 def uncarried(df: DataFrame, carry: list[str]) -> list[Column]:
     """The carried columns under their own names again."""
     return [df["extra"][f"c{i}"].alias(c) for i, c in enumerate(carry)]
@@ -42,6 +50,11 @@ def with_extra(df: DataFrame, ddl: str) -> StructType:
     return schema.add(df.schema["extra"]) if "extra" in df.columns else schema
 
 
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """A checkpointed table of a few numbers a row, broadcast if it has few rows; otherwise it is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+
+
 def text_bytes(docs: DataFrame, text: str) -> int:
     """Bytes of all texts: one aggregate over the text column."""
     return docs.agg(F.coalesce(F.sum(F.octet_length(named(text))), F.lit(0))).first()[0]
@@ -56,7 +69,7 @@ def at_home(docs: DataFrame, id_col: str, text_col: str, homes: int, carry: list
     k, t = named(id_col).cast("long"), named(text_col)
     cols = [F.pmod(F.xxhash64(k, t), F.lit(homes)).cast("int").alias("home"), k.alias("id"), t.alias("text")]
     if carry is not None:
-        cols.append(F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(carry)], F.lit(0).alias("c")).alias("extra"))
+        cols.append(extra(carry))
     return docs.select(*cols)
 
 

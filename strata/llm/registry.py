@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import bpe, decontaminate, jaccard, language, quality, simhash, suffixes, toxicity, url_rules, windows
 
 QUERIES = {
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_bpe_coding": bpe.op9_bpe_coding,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import labels as L
-from .exchange import named
+from .exchange import extra, named
 from .text import Roller, Words, byte_values, letter_bytes, lower_table, mix, slices, text_buffers
 
 #: Labelled documents that a model is fitted on at most, in one task.
@@ -133,19 +133,21 @@ def _score(model):
                     pair = np.unique(d[hit] * len(names) + at[hit])  # a feature counts once in a document
                     total += np.bincount(pair // len(names), weights[pair % len(names)], b - a)
                 p = 1 / (1 + np.exp(-np.clip(total, -30, 30))) if len(names) else np.zeros(b - a)
-                yield pa.RecordBatch.from_arrays([batch["id"].slice(a, b - a), pa.array(p)], ["id", "score"])
+                carried = [c for c in batch.schema.names if c == "extra"]
+                yield pa.RecordBatch.from_arrays([batch["id"].slice(a, b - a), pa.array(p), *(batch[c].slice(a, b - a) for c in carried)], ["id", "score", *carried])
 
     return score
 
 
-def score_documents(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of each document."""
+def score_documents(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """(id, score) of each document, and with ``carry`` a struct ``extra`` of those columns."""
     top = weights.orderBy(F.desc(F.abs("weight")), "feature").limit(MOST_WEIGHTS).toArrow()
     names = top["feature"].to_numpy().view(np.uint64)
     order = np.argsort(names)
     model = docs.sparkSession.sparkContext.broadcast((names[order].tobytes(), top["weight"].to_numpy()[order].tobytes()))
-    kept = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
-    return kept.mapInArrow(_score(model), L.schema_of(kept, "score double"))
+    kept = docs.select(named(id_col).alias("id"), named(text_col).alias("text"), *([] if carry is None else [extra(carry)]))
+    schema = L.schema_of(kept, "score double")
+    return kept.mapInArrow(_score(model), schema if carry is None else schema.add(kept.schema["extra"]))
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
