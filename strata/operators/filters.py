@@ -40,8 +40,10 @@ def not_like_prefix(col, prefix: str) -> Column:
     return ~as_col(col).startswith(prefix)
 
 
-def date_window(col, start=None, end=None, as_of: _dt.date | None = None, future_days: int = 1) -> Column:
+def date_window(col, start=None, end=None, as_of: _dt.date | None = None, future_days: int = 1,
+                keep_undated: bool = False) -> Column:
     """FLT-05: inside [start, end] and not later than ``as_of + future_days``.
+    Undated rows fail, as in SQL, unless ``keep_undated``.
     ``as_of`` is explicit (never ``current_date`` inside tested code)."""
     x = as_col(col)
     cond = x.isNotNull()
@@ -52,7 +54,7 @@ def date_window(col, start=None, end=None, as_of: _dt.date | None = None, future
     if as_of is not None:
         limit = _dt.datetime.combine(as_of, _dt.time()) + _dt.timedelta(days=future_days + 1)
         cond = cond & (x < F.lit(limit))
-    return cond
+    return cond | x.isNull() if keep_undated else cond
 
 
 def period_with_backlog(opened, closed, period_start, period_end, window_start) -> Column:

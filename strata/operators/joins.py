@@ -1,8 +1,8 @@
 """Joins (JON-01..10 building blocks).
 
-Broadcast policy: a side is broadcast only behind a checked row bound
-(``bounded_broadcast``); otherwise the plan is left to Catalyst/AQE, which
-re-plans to a broadcast at runtime only when the shuffled size is small."""
+No side is broadcast by hint: the planner measures shuffled sides at run time and
+broadcasts the small ones, by bytes. The one exception is a one-row aggregate
+(``attach_scalar``), which is one row by construction."""
 
 from __future__ import annotations
 
@@ -11,23 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.core import as_col, c
 
-# Upper bound of rows for an explicitly broadcast lookup side.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most max_rows+1
-    rows (a LIMIT job), never the whole input."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_small: bool = False) -> DataFrame:
-    """Broadcast hint only when the row count is proven bounded; otherwise the
-    DataFrame is returned unchanged and the join shuffles (sort-merge / AQE)."""
-    if known_small or fits(df, max_rows):
-        return F.broadcast(df)
-    return df
-
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate (a grand total, a max key) to
@@ -48,41 +31,32 @@ def left_latest(detail: DataFrame, lookup: DataFrame, key: str, lookup_key: str,
             .join(right, "__k", "left").drop("__k"))
 
 
-def attach_sk(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk: str, unknown: int = -1,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def attach_sk(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk: str, unknown: int = -1) -> DataFrame:
     """JON-02 / KEY-01: fact -> dimension surrogate key, unmatched = ``unknown``.
-    The dimension is deduplicated on its key so the join never multiplies facts."""
-    d = dim.select(c(dim_key).alias("__dk"), c(sk).alias("__sk")).dropDuplicates(["__dk"])
-    d = bounded_broadcast(d, max_broadcast_rows)
+    The dimension has one row per key (the smallest surrogate key) so the join never
+    multiplies facts."""
+    d = dim.select(c(dim_key).alias("__dk"), c(sk).alias("__sk")).groupBy("__dk").agg(F.min("__sk").alias("__sk"))
     out = fact.join(d, c(fact_key) == F.col("__dk"), "left")
     return out.withColumn(sk, F.coalesce(F.col("__sk"), F.lit(unknown).cast("long"))).drop("__dk", "__sk")
 
 
 def map_enrich(df: DataFrame, mapping: DataFrame, key: str, map_key: str, value_cols: dict[str, str],
-               default: str = "Sin Asignar", fallback_col: str | None = None, order_col: str | None = None,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               default: str = "Sin Asignar", fallback_col: str | None = None, order_col: str | None = None) -> DataFrame:
     """JON-04: dictionary enrichment on ``upper(trim(key))``.
 
     ``value_cols`` maps dictionary column -> output column. Duplicated dictionary
-    keys: the last row (by ``order_col``) wins. Unmatched rows get ``default`` for
-    every attribute, except ``fallback_col`` (output name) which keeps the original key."""
-    from pyspark.sql import Window
-
+    keys: the last row by ``order_col`` wins, all attributes from that one row; without
+    ``order_col`` the row whose attributes sort last. Unmatched rows and NULL attributes
+    get ``default``, except ``fallback_col`` (output name), which keeps the original key
+    where there is no match."""
     m = mapping.withColumn("__mk", F.upper(F.trim(c(map_key)))).filter(F.col("__mk").isNotNull())
-    if order_col:
-        w = Window.partitionBy("__mk").orderBy(F.col(order_col).desc())
-        m = m.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-    else:
-        m = m.groupBy("__mk").agg(*[F.max(c(k)).alias(k) for k in value_cols])
-    m = m.select("__mk", *[c(k).alias("__v_" + v) for k, v in value_cols.items()], F.lit(True).alias("__hit"))
-    m = bounded_broadcast(m, max_broadcast_rows)
+    values = F.struct(*[c(k).alias("__v_" + v) for k, v in value_cols.items()])
+    last = F.max(F.struct(*([c(order_col).alias("__o")] if order_col else []), values.alias("__v")))
+    m = m.groupBy("__mk").agg(last.alias("__last")).select("__mk", "__last.__v.*", F.lit(True).alias("__hit"))
     out = df.withColumn("__mk", F.upper(F.trim(c(key)))).join(m, "__mk", "left")
     for _, v in value_cols.items():
-        if fallback_col == v:
-            val = F.when(F.col("__hit"), F.col("__v_" + v)).otherwise(c(key))
-        else:
-            val = F.when(F.col("__hit"), F.col("__v_" + v)).otherwise(F.lit(default))
-        out = out.withColumn(v, val)
+        missing = F.when(F.col("__hit"), F.lit(default)).otherwise(c(key)) if fallback_col == v else F.lit(default)
+        out = out.withColumn(v, F.coalesce(F.col("__v_" + v), missing))
     return out.drop("__mk", "__hit", *["__v_" + v for v in value_cols.values()])
 
 

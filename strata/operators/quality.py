@@ -18,13 +18,13 @@ def missing_columns(spark: SparkSession, df: DataFrame, expected: list[str], tab
     return spark.createDataFrame([(table, n) for n in missing], "tabla string, columna_faltante string")
 
 
-def unmapped_values(df: DataFrame, col: str, mapping: DataFrame, map_col: str, preview: int = 15) -> DataFrame:
-    """DQ-03: distinct values with no dictionary entry (normalised upper/trim),
-    first ``preview`` in sort order (a bounded report)."""
+def unmapped_values(df: DataFrame, col: str, mapping: DataFrame, map_col: str, preview: int | None = None) -> DataFrame:
+    """DQ-03: all distinct values with no dictionary entry (normalised upper/trim);
+    with ``preview`` only the first ones in sort order (a report to look at)."""
     m = mapping.select(F.upper(F.trim(c(map_col))).alias("__k")).distinct()
     vals = df.select(c(col).alias("valor")).filter(F.col("valor").isNotNull()).distinct()
     miss = vals.join(m, F.upper(F.trim(F.col("valor"))) == F.col("__k"), "left_anti")
-    return miss.orderBy("valor").limit(preview)
+    return miss if preview is None else miss.orderBy("valor").limit(preview)
 
 
 def future_dates(df: DataFrame, col: str, as_of: _dt.date, tolerance_days: int = 1) -> DataFrame:

@@ -21,10 +21,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ..functions.clean import fold_text
+from ..functions.clean import ACCENTED, PLAIN, fold_text
 from ..functions.core import c
 from ..functions.similarity import partial_ratio, partial_ratio_upper_bound, token_set_ratio
-from .joins import bounded_broadcast, fits
 
 
 @F.pandas_udf(DoubleType())
@@ -72,8 +71,10 @@ def candidate_pairs(queries: DataFrame, master: DataFrame, threshold: float = 95
     hi = (1 + frac) / (1 - frac)  # max length ratio allowed by the threshold
     ms = master.select("name", _sorted_tokens(F.col("name")).alias("ms")).withColumn("ml", F.length("ms"))
     # k bound for the longest admissible partner: floor(frac * (ml + ml*hi))
-    ms = ms.withColumn("k", F.floor(F.lit(frac) * (F.col("ml") + F.col("ml") * F.lit(hi))).cast("int"))
-    ms = ms.withColumn("nseg", F.col("k") + 1)
+    ms = ms.withColumn("k", F.floor(F.lit(frac) * (F.col("ml") + F.col("ml") * F.lit(hi)) + F.lit(1e-9)).cast("int"))
+    # k + 1 pieces; where that is more than the letters (thresholds up to 66.7), the pieces are the
+    # letters themselves: any score above 0 needs one in common
+    ms = ms.withColumn("nseg", F.least(F.col("k") + 1, F.col("ml")))
     seg = ms.select("name", "ml", "k", F.posexplode(F.sequence(F.lit(0), F.col("nseg") - 1)).alias("i", "__j"),
                     "ms", "nseg").drop("__j")
     seg_len = F.floor(F.col("ml") / F.col("nseg"))
@@ -90,7 +91,7 @@ def candidate_pairs(queries: DataFrame, master: DataFrame, threshold: float = 95
             .select("q", "ql", "plen", F.explode(F.sequence(F.lit(1), F.col("ql") - F.col("plen") + 1)).alias("pos"), "qs")
             .select("q", "ql", "plen", F.substring("qs", F.col("pos"), F.col("plen")).alias("piece")))
     by_seg = (qsub.join(seg, ["piece", "plen"])
-              .filter((F.least("ql", "ml") * F.lit(hi)) >= F.greatest("ql", "ml"))
+              .filter((F.least("ql", "ml") * F.lit(hi) + F.lit(1e-9)) >= F.greatest("ql", "ml"))
               .select("q", "name"))
     return by_token.unionByName(by_seg).distinct()
 
@@ -142,7 +143,7 @@ IDENTIFY_SCHEMA = ("texto string, nombre_detectado string, Estado string, oficin
 
 def identify(texts: DataFrame, text_col: str, master: DataFrame, accept: float = 90.0, review: float = 86.0,
              generic_regex: str = r"\b(?:ventas|ventas calle|agente)\b", office_regex: str = r"ofi\w*\s*(.*)",
-             max_master_rows: int = 200_000) -> DataFrame:
+             part_rows: int = 200_000) -> DataFrame:
     """ER-04: identify a seller in free text against a (first name, last name,
     state, office) master. Exact substring of the full name -> ``Exacta`` 100;
     else best mean of partial ratios of first/last name: >= accept ``Fuzzy``,
@@ -150,47 +151,68 @@ def identify(texts: DataFrame, text_col: str, master: DataFrame, accept: float =
     Detectada`` with the text after it; else ``No detectado``. Generic words
     short-circuit to ``No detectado``.
 
-    Texts are scored once per distinct value, spread over tasks; the master is
-    a staff list whose size is checked before it is broadcast to the scorer
-    (every text must be compared with every master row to find the best mean)."""
-    if not fits(master, max_master_rows):
-        raise ValueError(f"identify(): master larger than {max_master_rows} rows; pass a bounded master")
-    # The first exact match wins, so the master order must be fixed: (name, surname, state, office).
-    mrows = (master.select(fold_lower("Nombre").alias("n"), fold_lower("Apellido").alias("a"),
-                           c("Estado").cast("string").alias("e"), c("Oficina").cast("string").alias("o"))
-             .orderBy("n", "a", "e", "o").collect())
-    mlist = [(r.n, r.a, r.e, r.o) for r in mrows if r.n and r.a]
-    spark = texts.sparkSession
+    Texts are scored once per distinct value. Every text must be compared with every
+    master row to find the best mean, so the master goes to the scorer in parts of about
+    ``part_rows`` rows, one pass over the texts for each; of the parts' findings the best
+    one counts, ties going to the first in (name, surname, state, office)."""
+    rows = master.select(fold_lower("Nombre").alias("n"), fold_lower("Apellido").alias("a"),
+                         c("Estado").cast("string").alias("e"), c("Oficina").cast("string").alias("o")).filter("n != '' AND a != ''")
+    parts = max(1, math.ceil(rows.count() / part_rows))
+    distinct = texts.select(c(text_col).cast("string").alias("texto")).distinct()
+    found = None
+    for p in range(parts):
+        part = rows.filter(F.pmod(F.xxhash64("n", "a"), F.lit(parts)) == p).orderBy("n", "a", "e", "o").collect()
+        one = _identify_part(distinct, [(r.n, r.a, r.e, r.o) for r in part], accept, review, generic_regex, office_regex)
+        found = one if found is None else found.unionByName(one)
+    if parts > 1:
+        best = F.min(F.struct("clase", "orden", "nombre", "apellido", "estado_orden", "oficina_orden", F.struct(*_OUTPUT).alias("fila")))
+        found = found.groupBy("texto").agg(best.alias("mejor")).select("mejor.fila.*")
+    return found.select(*_OUTPUT)
+
+
+_OUTPUT = [x.split()[0] for x in IDENTIFY_SCHEMA.split(", ")]
+# what decides between the parts of a master: exact before fuzzy before none, then the score, then the row
+_PART_SCHEMA = IDENTIFY_SCHEMA + ", clase int, orden double, nombre string, apellido string, estado_orden string, oficina_orden string"
+
+
+def _identify_part(distinct: DataFrame, mlist: list[tuple], accept: float, review: float, generic_regex: str,
+                   office_regex: str) -> DataFrame:
+    spark = distinct.sparkSession
     try:
         bm = spark.sparkContext.broadcast(mlist)
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): ship the bounded list with the function
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): ship the bounded part with the function
         class _Value:
             value = mlist
         bm = _Value()
-    distinct = texts.select(c(text_col).cast("string").alias("texto")).distinct()
     import re as _re
 
     gen = _re.compile(generic_regex)
     ofi = _re.compile(r"ofi\w*")
     ofi_x = _re.compile(office_regex)
 
+    names = [x.split()[0] for x in _PART_SCHEMA.split(", ")]
+    accented, plain = ACCENTED, PLAIN
+
     def score(it):
         from collections import Counter
 
+        fold = str.maketrans(accented, plain)
         master_rows = bm.value
         counts = [(Counter(n), Counter(a)) for n, a, _e, _o in master_rows]
+        nothing = (2, 0.0, None, None, None, None)
         for pdf in it:
             out = []
             for t in pdf["texto"]:
-                low = str(t).lower() if t is not None else "none"
+                # folded like the master, so that accents never keep a name from matching
+                low = str(t).lower().translate(fold) if t is not None else "none"
                 if gen.search(low):
-                    out.append((t, None, None, None, "No detectado", None, None, None))
+                    out.append((t, None, None, None, "No detectado", None, None, None) + nothing)
                     continue
                 hit = None
                 for n, a, e, o in master_rows:
                     full = f"{n} {a}".strip()
                     if full in low:
-                        hit = (t, full, e, o, "Exacta", 100.0, 100.0, 100.0)
+                        hit = (t, full, e, o, "Exacta", 100.0, 100.0, 100.0, 0, 0.0, n, a, e, o)
                         break
                 if hit:
                     out.append(hit)
@@ -205,7 +227,7 @@ def identify(texts: DataFrame, text_col: str, master: DataFrame, accept: float =
                     sn, sa = partial_ratio(n, low), partial_ratio(a, low)
                     comb = (sn + sa) / 2
                     if best is None or comb > best[0]:
-                        best = (comb, f"{n} {a}".strip(), e, o, sn, sa)
+                        best = (comb, f"{n} {a}".strip(), e, o, sn, sa, n, a)
                 if best is not None and best[0] < review:
                     best = None
                 kind = "No detectado"
@@ -214,21 +236,19 @@ def identify(texts: DataFrame, text_col: str, master: DataFrame, accept: float =
                 if kind == "No detectado":
                     if ofi.search(low):
                         mx = ofi_x.search(low)
-                        out.append((t, t, None, mx.group(1).strip() if mx else None, "Oficina Detectada", None, None, None))
+                        out.append((t, t, None, mx.group(1).strip() if mx else None, "Oficina Detectada", None, None, None) + nothing)
                     else:
-                        out.append((t, None, None, None, "No detectado", None, None, None))
+                        out.append((t, None, None, None, "No detectado", None, None, None) + nothing)
                 else:
-                    out.append((t, best[1], best[2], best[3], kind, best[4], best[5], best[0]))
-            yield pd.DataFrame(out, columns=["texto", "nombre_detectado", "Estado", "oficina_comercial", "tipo_coincidencia",
-                                             "fuzzy_score_nombre", "fuzzy_score_apellido", "fuzzy_score_combinado"])
+                    out.append((t, best[1], best[2], best[3], kind, best[4], best[5], best[0],
+                                1, -best[0], best[6], best[7], best[2], best[3]))
+            yield pd.DataFrame(out, columns=names)
 
-    from ..session import spread
-    return spread(distinct).mapInPandas(score, IDENTIFY_SCHEMA)
+    return distinct.mapInPandas(score, _PART_SCHEMA)
 
 
 def fold_lower(name: str) -> Column:
     """Accent fold + lower + trim (names of the ER-04 master)."""
-    from ..functions.clean import ACCENTED, PLAIN
     return F.trim(F.translate(F.lower(c(name).cast("string")), ACCENTED, PLAIN))
 
 

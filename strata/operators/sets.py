@@ -24,12 +24,15 @@ def relaxed_union(contract: StructType, *dfs: DataFrame) -> DataFrame:
 
 def union_distinct(*dfs: DataFrame, ignore_cols: tuple[str, ...] = ()) -> DataFrame:
     """SET-04: full-row distinct over a by-name union. ``ignore_cols`` (D-04)
-    are left out of the row identity (first value kept)."""
+    are left out of the row identity; they come from the one row of equal ones that
+    sorts first by them."""
     u = union_all_by_name(*dfs)
-    if not ignore_cols:
-        return u.distinct()
     keys = [n for n in u.columns if n not in ignore_cols]
-    return u.dropDuplicates(keys)
+    kept = [n for n in u.columns if n in ignore_cols]
+    if not kept:
+        return u.distinct()
+    least = F.min(F.struct(*[c(n) for n in kept])).alias("__kept")
+    return u.groupBy(*[c(n) for n in keys]).agg(least).select(*[c(n) if n in keys else F.col("__kept")[n].alias(n) for n in u.columns])
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

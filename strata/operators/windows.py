@@ -81,8 +81,12 @@ def next_value(df: DataFrame, partition: list[str], order: list, value: str, out
     firsts = b.groupBy(*keys, F.col("__b")).agg(pick(c(value), order_struct).alias("__first"))
     per_key = Window.partitionBy(*keys).orderBy(F.col("__b").desc() if reverse else F.col("__b"))
     nxt = firsts.withColumn("__next", F.lead("__first").over(per_key)).drop("__first")
-    names = list(partition) + ["__b"]
-    j = b.join(nxt, names, "left")
+    # NULL keys are one group, as in the window: the join back must match them too
+    nxt = nxt.toDF(*[f"__k{i}" for i in range(len(keys))], "__kb", "__next")
+    on = b["__b"].eqNullSafe(F.col("__kb"))
+    for i, p in enumerate(partition):
+        on = on & c(p).eqNullSafe(F.col(f"__k{i}"))
+    j = b.join(nxt, on, "left").drop("__kb", *[f"__k{i}" for i in range(len(keys))])
     return j.withColumn(out, F.when(F.col("__last"), F.col("__next")).otherwise(F.col("__in"))).drop("__b", "__in", "__last", "__next")
 
 

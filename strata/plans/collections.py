@@ -7,8 +7,6 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
-
 from ..functions.clean import decimal_comma, garbage_to_null, normalize_id
 from ..functions.core import c, col_or_default, first_present
 from ..functions.dates import DEFAULT_DATE_FORMATS, hour_bucket, parse_date
@@ -37,7 +35,7 @@ def collections_gold(payments: DataFrame, hours: DataFrame | None, own_offices:
     pid = first_present(payments, PAYMENT_ID)
     if pid is None:
         raise ValueError("collections_gold(): no payment id column (ID Pago / Nro Recibo)")
-    df = spread(payments).filter(c(pid).isNotNull()).withColumn("__pid", normalize_id(c(pid), strip_dots=False))
+    df = payments.filter(c(pid).isNotNull()).withColumn("__pid", normalize_id(c(pid), strip_dots=False))
     office = col_or_default(payments, "Oficina Cobro", "string", "")
     if exclude_office_regex:
         df = df.filter(matches(office, exclude_office_regex, negate=True))
@@ -74,7 +72,7 @@ def collection_calls_gold(bronze: DataFrame, as_of: _dt.date) -> DataFrame:
     (FLT-01), not future-dated (FLT-05), newest file per (subscriber, date, hour)
     with a full-row tie break (WIN-01, D-07)."""
     g = lambda n: garbage_to_null(col_or_default(bronze, n, "string"), trim_values=True)
-    df = spread(bronze).select(
+    df = bronze.select(
         normalize_id(g("N° Abonado")).alias("N° Abonado"), normalize_id(g("Documento")).alias("Documento"),
         parse_date(g("Fecha Llamada"), ["d/M/yyyy H:mm:ss", "d/M/yyyy", "d-M-yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"])
         .alias("Fecha Llamada"),

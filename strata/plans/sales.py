@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
-
 from ..functions.clean import office_after_marker, squish
 from ..functions.core import c
 from ..functions.dates import hour_bucket, month_name_es, parse_date
@@ -29,7 +27,7 @@ def sales_listing(bronze: DataFrame, office_sellers: list[str], own_sellers: lis
     (FLT-02; NULL match type kept when the column is absent from the source,
     D-03), newest file per (subscriber, contract date) (MRG-07)."""
     had_type = "tipo_coincidencia" in bronze.columns
-    df = conform(clean_headers(spread(bronze)), LISTING_COLUMNS)
+    df = conform(clean_headers(bronze), LISTING_COLUMNS)
     df = df.withColumn("Fecha Contrato", parse_date(c("Fecha Contrato")))
     df = df.withColumn("Mes", month_name_es(F.month("Fecha Contrato"), "title"))
     for t in ["Cliente", "Estatus", "Nombre Franquicia", "Ciudad"]:
@@ -53,7 +51,7 @@ def sales_status(bronze: DataFrame, seller_marker: str = "OFI", exclude_seller_r
     (FLT-03), optional exclusions and status population (FLT-03/FLT-10);
     office name extracted after the marker (SC-15); hour bucket (SC-06);
     newest file per (subscriber, date, hour) (MRG-07)."""
-    renamed = rename_synonyms(clean_headers(spread(bronze)), STATUS_SYNONYMS)
+    renamed = rename_synonyms(clean_headers(bronze), STATUS_SYNONYMS)
     if alerts is not None:  # DQ-01: expected columns absent from the extract
         alerts.extend(n for n in STATUS_COLUMNS if n not in renamed.columns and n != "Fecha_Modificacion_Archivo")
     df = conform(renamed, STATUS_COLUMNS)

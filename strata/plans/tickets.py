@@ -12,12 +12,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
-
 from ..functions.clean import garbage_to_null, normalize_id
 from ..functions.core import c
 from ..functions.dates import indicator, minutes_between, parse_mixed, with_period
-from ..operators.joins import bounded_broadcast
 from ..operators.filters import period_with_backlog
 from ..operators.rules import Rule, classify
 from ..operators.windows import keep_first
@@ -86,13 +83,12 @@ def build_silver(bronze: DataFrame, rules: TicketRules, tie_break: list | None =
     backlog window (FLT-06), exclusions (FLT-02/03), classification (CLS-01),
     KPIs, id normalisation (SC-02), dedupe (WIN-05), garbage -> NULL (SC-01)."""
     # The period comes from the file name: parse each distinct name once (a few
-    # hundred files, size-checked broadcast) instead of running regexes per row.
+    # hundred files) instead of running regexes per row.
     names = bronze.select(c("Source.Name").alias("__src")).distinct()
     periods = with_period(names, "__src", "__p_", loose=True).filter(F.col("__p_label").isNotNull())
-    periods = bounded_broadcast(periods.select("__src", F.col("__p_start").alias("FechaInicio"),
-                                               F.col("__p_end").alias("FechaFin"),
-                                               F.col("__p_label").alias("Quincena Evaluada")), 1_000_000)
-    df = spread(bronze).join(periods, c("Source.Name") == F.col("__src")).drop("__src")
+    periods = periods.select("__src", F.col("__p_start").alias("FechaInicio"), F.col("__p_end").alias("FechaFin"),
+                             F.col("__p_label").alias("Quincena Evaluada"))
+    df = bronze.join(periods, c("Source.Name") == F.col("__src")).drop("__src")
     for src in ["Fecha Creacion", "Fecha Impresion", "Fecha Finalizacion"]:
         if src in df.columns:
             df = df.withColumn(src, parse_mixed(c(src)))

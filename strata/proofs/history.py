@@ -93,7 +93,7 @@ SELECT q AS quincena_evaluada, franquicia, count(DISTINCT o_custkey) AS total_ab
 def mrg06(spark, d):
     t = Tables(spark, d)
     silver = (t.orders.filter(F.col("o_orderstatus") == "F").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-              .join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+              .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
               .select(_label().alias("Quincena Evaluada"), F.col("n_name").alias("Franquicia"),
                       F.col("o_custkey").alias("ID"), F.col("o_orderdate").alias("FechaFin")))
     g = ST.stock_gold(silver)

@@ -184,7 +184,7 @@ def src08(spark, d):
     t.nation.filter(F.col("n_regionkey") == 0).agg(F.sort_array(F.collect_list("n_name")).alias("own_offices")) \
         .coalesce(1).write.json(root)
     rules = SF.read_rules(spark, root, {"own_offices": [], "sales_statuses": ["ACTIVO"]})
-    s = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    s = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     return s.filter(F.col("n_name").isin(*rules["own_offices"])).select("s_suppkey", "n_name")
 
 

@@ -279,7 +279,7 @@ SELECT nc AS "Nombre_Completo", ofi AS "Oficina", fi AS "Fecha_Inicio", lead(fi)
   CASE WHEN lead(fi) OVER (PARTITION BY comb ORDER BY fi) IS NULL THEN 'ACTIVO' ELSE 'HISTÓRICO' END AS "Estado_Vigencia" FROM f""")
 def pl12(spark, d):
     t = Tables(spark, d)
-    base = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    base = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     a = base.select(F.col("s_name").alias("nombre"), F.lit("").alias("apellido"), F.col("n_name").alias("oficina"),
                     F.lit("Data - Empleados 01-03-2024.xlsx").alias("Source.Name"))
     b = base.filter(F.col("s_acctbal") > 0).select(

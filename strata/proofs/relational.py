@@ -218,7 +218,7 @@ def jon04(spark, d):
     mapping = t.nation.filter(F.col("n_regionkey") != 4).select(
         F.col("n_name").alias("Input_Original"), F.lower("n_name").alias("Nombre_Normalizado_Final"),
         F.concat(F.lit("REGION_"), F.col("n_regionkey").cast("string")).alias("Estado"), F.lit("SEDE").alias("Tipo_Sede"))
-    s = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    s = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         "s_suppkey", F.col("n_name").alias("oficina"))
     out = J.map_enrich(s, mapping, "oficina", "Input_Original",
                        {"Nombre_Normalizado_Final": "nombre_normalizado", "Estado": "estado_sede", "Tipo_Sede": "tipo_sede"},
@@ -314,7 +314,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 def agg04(spark, d):
     t = Tables(spark, d)
     j = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-         .join(J.bounded_broadcast(t.nation, 100_000), F.col("c_nationkey") == F.col("n_nationkey")))
+         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")))
     return j.groupBy(F.to_date(F.date_trunc("month", "o_orderdate")).alias("mes"), F.col("n_name").alias("franquicia")).agg(
         F.count_distinct("o_custkey").alias("abonados"), F.max("o_orderdate").alias("fecha_corte"))
 
@@ -629,6 +629,6 @@ def set06(spark, d):
     t = Tables(spark, d)
     n = t.nation.select("n_nationkey", F.when(F.col("n_nationkey") == 24, "NO DEFINIDA").when(F.col("n_nationkey") == 23, " ")
                         .otherwise(F.col("n_name")).alias("nm"))
-    a = t.customer.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
-    b = t.supplier.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    a = t.customer.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    b = t.supplier.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     return S.value_set((a, "nm"), (b, "nm"), out="franquicia")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import fold_text
 from ..operators import resolve as R
 from ..operators import rules as RU
-from ..session import Tables, spread
+from ..session import Tables
 from . import proof
 
 
@@ -34,7 +34,7 @@ TOPIC_SQL = "CASE " + " ".join(
 
 @proof("CLS-02", f"SELECT doc_id, {TOPIC_SQL} AS tema FROM documents")
 def cls02(spark, d):
-    return spread(Tables(spark, d).documents).select("doc_id", RU.topic("text").alias("tema"))
+    return Tables(spark, d).documents.select("doc_id", RU.topic("text").alias("tema"))
 
 
 @proof("CLS-03", """WITH s AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'Televentas ' || c_mktsegment WHEN 1 THEN 'ventas calle'
@@ -70,7 +70,7 @@ SELECT s_suppkey, CASE WHEN coalesce(oficina, '') IN ('NATION_1', 'NATION_2') TH
 def cls04(spark, d):
     t = Tables(spark, d)
     k = F.col("s_suppkey") % 3
-    s = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    s = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         "s_suppkey", F.col("n_name").alias("oficina"),
         F.when(k == 0, F.concat(F.lit("call "), "s_name")).when(k == 1, F.concat(F.lit("Asesor "), "s_name"))
         .otherwise(F.col("s_name")).alias("responsable"),

@@ -41,7 +41,7 @@ def ticket_rows(t: Tables) -> DataFrame:
     df = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
           .join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
           .join(cu, F.col("o_custkey") == F.col("c_custkey"), "left")
-          .join(F.broadcast(na), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+          .join(na, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
     return df.select(
         F.col("l_orderkey").alias("N° Orden"),
         F.col("o_orderdate").alias(T.OPENED),

@@ -45,7 +45,8 @@ def build_session(cpus: int | None = None, app: str = "strata", shuffle_partitio
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) a scratch folder is chosen."""
+    Only when it is unset on a local master (tests) a scratch folder is chosen; a
+    cluster must name a folder that all its machines share."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         try:
@@ -53,6 +54,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001
             d = None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d
@@ -74,18 +77,6 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a DataFrame to the cluster's parallelism only when it has
-    fewer partitions than cores (e.g. one small file feeding CPU-heavy per-row
-    work). On large inputs this is a no-op: no shuffle is added."""
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no SparkContext/RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(n) if parts < n else df
-
-
 class Tables:
     """Lazy access to the driver's parquet tables: ``Tables(spark, dir).orders``."""
 

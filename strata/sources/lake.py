@@ -1,16 +1,20 @@
 """Layered Parquet lake (SNK-01..07, DQ-06).
 
 ``Lake(root)`` routes ``bronze``/``silver``/``gold`` tables to folders. A table
-is published as an immutable version folder plus a small ``_current`` pointer,
-so a job can rebuild a table from itself (read old version, write new one)
-without ever overwriting the path it reads (safe replace, SNK-03)."""
+is published as an immutable version folder plus a commit record, so a job can
+rebuild a table from itself (read old version, write new one) without ever
+overwriting the path it reads (safe replace, SNK-03). Commit records are only
+added, never replaced: the current version is that of the highest record, and
+at every moment of a publication either the old or the new one is current."""
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold")
@@ -27,8 +31,8 @@ class Lake:
             raise ValueError(f"unknown layer {layer}")
         return f"{self.root}/{layer}/{name}"
 
-    def _pointer(self, layer: str, name: str) -> str:
-        return self.path(layer, name) + "/_current"
+    def _commits_path(self, layer: str, name: str) -> str:
+        return self.path(layer, name) + "/commits"
 
     def _path_exists(self, path: str) -> bool | None:
         """Existence through the Hadoop FileSystem of the path (no failing read,
@@ -40,15 +44,45 @@ class Lake:
         except Exception:  # noqa: BLE001 - e.g. Spark Connect: fall back to reading
             return None
 
-    def current_version(self, layer: str, name: str) -> str | None:
-        pointer = self._pointer(layer, name)
-        if self._path_exists(pointer) is False:
-            return None
+    def commits(self, layer: str, name: str) -> list[dict]:
+        """Commit records, oldest first (a few short files). Only a folder that is not
+        there means a table without commits; any other failure is raised."""
+        path = self._commits_path(layer, name)
+        if self._path_exists(path) is False:
+            return []
         try:
-            rows = self.spark.read.text(pointer).collect()  # one tiny row
-        except Exception:  # noqa: BLE001 - missing table
-            return None
-        return rows[0][0].strip() if rows else None
+            rows = self.spark.read.schema("value string").option("recursiveFileLookup", "true").text(path).collect()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+        return sorted((json.loads(r[0]) for r in rows), key=lambda x: x["seq"])
+
+    def current_version(self, layer: str, name: str) -> str | None:
+        done = self.commits(layer, name)
+        return done[-1]["version"] if done else None
+
+    def _commit(self, layer: str, name: str, version: str, extra: dict | None) -> None:
+        done = self.commits(layer, name)
+        seq = done[-1]["seq"] + 1 if done else 0
+        record = json.dumps({"seq": seq, "version": version} | (extra or {}))
+        # mode "error": of two writers that publish at once one fails instead of being lost
+        self.spark.createDataFrame([(record,)], "v string").coalesce(1).write.mode("error").text(
+            f"{self._commits_path(layer, name)}/c={seq:012d}")
+
+    def vacuum(self, layer: str, name: str, keep: int = 2) -> list[str]:
+        """Remove the version folders of all but the last ``keep`` commits; returns what was removed."""
+        done = self.commits(layer, name)
+        kept = {x["version"] for x in done[-keep:]}
+        jvm = self.spark.sparkContext._jvm
+        gone = []
+        for v in dict.fromkeys(x["version"] for x in done[:-keep]):
+            p = jvm.org.apache.hadoop.fs.Path(f"{self.path(layer, name)}/{v}")
+            fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            if v not in kept and fs.exists(p):
+                fs.delete(p, True)
+                gone.append(v)
+        return gone
 
     def exists(self, layer: str, name: str) -> bool:
         return self.current_version(layer, name) is not None
@@ -61,17 +95,22 @@ class Lake:
 
     def save(self, df: DataFrame, layer: str, name: str, compression: str = "snappy",
              partition_by: list[str] | None = None, max_records_per_file: int | None = None,
-             skip_empty: bool = True, audit: bool = False, version: str | None = None) -> dict:
-        """SNK-01/02/03/04/07: write a new version folder, then switch the pointer.
+             skip_empty: bool = True, audit: bool = False, version: str | None = None,
+             commit: dict | None = None) -> dict:
+        """SNK-01/02/03/04/07: write a new version folder, then add its commit record.
+
+        A named ``version`` (a stream's batch) overwrites its own folder, which a failed
+        attempt may have left; ``commit`` holds further fields of the record.
 
         The input is computed once (by the write). An empty result does not
         replace the current table (``skip_empty``): emptiness is checked on the
         written files, so the upstream plan is never run twice; the unused
         version folder stays unreferenced. ``audit`` counts the written rows from
         Parquet metadata (DQ-06)."""
+        mode = "overwrite" if version else "error"
         version = version or f"v={int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
         out = f"{self.path(layer, name)}/{version}"
-        w = df.write.mode("error").option("compression", compression)
+        w = df.write.mode(mode).option("compression", compression)
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
         if partition_by:
@@ -79,8 +118,7 @@ class Lake:
         w.parquet(out)
         if skip_empty and self.spark.read.parquet(out).isEmpty():
             return {"table": name, "written": False, "reason": "empty"}
-        self.spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite").text(
-            self._pointer(layer, name))
+        self._commit(layer, name, version, commit)
         res = {"table": name, "written": True, "version": version, "path": out}
         if audit:
             res["rows"] = self.spark.read.parquet(out).count()

@@ -28,14 +28,17 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, fmt: str =
 
 
 def _batch_writer(lake: Lake, layer: str, name: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]):
+    """Applies each batch once: the commit record names the query (its id lives in the checkpoint, so a
+    fresh checkpoint is another query) and the batch. Other writers' versions play no part in that."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        version = f"b={batch_id:012d}"
-        current = lake.current_version(layer, name)
-        if current is not None and current >= version:
-            return  # batch already applied (replay after a failure): idempotent
-        history = lake.read(layer, name) if current is not None else None
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        done = lake.commits(layer, name)
+        if any("batch" in x and x["query"] == query and x["batch"] >= batch_id for x in done):
+            return  # replay of a batch whose commit succeeded
+        history = lake.read(layer, name) if done else None
         merged = merge(history, batch)
-        lake.save(merged, layer, name, version=version, skip_empty=False)
+        lake.save(merged, layer, name, version=f"q={query}-b={batch_id:012d}", skip_empty=False,
+                  commit={"query": query, "batch": batch_id})
     return write
 
 
