@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.clean import garbage_to_null, normalize_id, replace_chain, squish, head_before, default_if_blank
 from ..functions.core import c, find_column
 from ..functions.dates import hour_bucket, parse_datetime
-from ..operators.filters import date_window, equals_normalized, in_list
+from ..operators.filters import date_window, in_list
 from ..operators.merge import newest_version
 from ..operators.rules import topic
-from ..operators.sets import relaxed_union
-from ..operators.shape import clean_headers, conform, rename_synonyms
+from ..operators.shape import clean_headers, conform
 from ..operators.windows import count_over, frequency_rank, keep_first, row_tiebreak
 from ..sources.files import read_folders
 
@@ -103,42 +102,48 @@ def bank_faults(bronze: DataFrame, targets: list[str]) -> DataFrame:
     return call_report(df, BANK_COLUMNS)
 
 
-CARE_COLUMNS = ["N° Abonado", "Documento", "Cliente", "Estatus", "Fecha Llamada", "Hora Llamada", "Tipo Llamada",
-                "Tipo Respuesta", "Detalle Respuesta", "Responsable", "Suscripción", "Grupo Afinidad", "Franquicia",
-                "Ciudad", "Mes"]
+# Output columns of the customer-care gold.
+CARE_COLUMNS = ["N° Abonado", "Documento", "Cliente", "Estatus", "Fecha", "Hora", "Tipo Llamada", "Tipo Respuesta",
+                "Detalle Respuesta", "Vendedor", "Suscripción", "Grupo Afinidad", "Nombre Franquicia", "Ciudad",
+                "Tipo de afluencia", "Observación"]
+# Names that call extracts and golds give to the same columns.
+CALL_RENAMES = {"Franquicia": "Nombre Franquicia", "Fecha Llamada": "Fecha", "Responsable": "Vendedor", "Hora Llamada": "Hora"}
+HOUR_KEYS = ["N° Abonado", "Fecha", "Hora"]
 
 
-def customer_care(bronze: DataFrame, exclude_responses: list[str] = (), exclude_details: list[str] = ()) -> DataFrame:
-    """PL-07: ids normalised (SC-02), excluded responses/details dropped (FLT-02,
-    NULLs kept like object pandas), newest file per call (WIN-03), then the
-    detail frequency rank AFTER the dedupe (WIN-09), hour bucket."""
-    from ..functions.dates import month_name_es
+def _renamed(df: DataFrame, renames: dict[str, str]) -> DataFrame:
+    return df.withColumnsRenamed({k: v for k, v in renames.items() if k in df.columns})
 
-    df = clean_headers(bronze)
+
+def customer_care(bronze: DataFrame, exclude_responses: list[str] = (), traffic_type: str = "ATENCIÓN AL CLIENTE") -> DataFrame:
+    """PL-07: columns renamed to the traffic contract, ids normalised (SC-02), seller upper-cased,
+    excluded responses dropped (FLT-02; NULLs stay), newest file per (subscriber, date, hour) (WIN-03),
+    then the rank of the response type by frequency AFTER the dedupe (WIN-09), hour bucket."""
+    df = _renamed(clean_headers(bronze), CALL_RENAMES)
     for idc in ["N° Abonado", "Documento"]:
         if idc in df.columns:
             df = df.withColumn(idc, normalize_id(c(idc), strip_dots=True))
+    if "Vendedor" in df.columns:
+        df = df.withColumn("Vendedor", F.upper(c("Vendedor")))
     if exclude_responses and "Tipo Respuesta" in df.columns:
         df = df.filter(in_list(c("Tipo Respuesta"), list(exclude_responses), negate=True, keep_null=True))
-    if exclude_details and "Detalle Respuesta" in df.columns:
-        df = df.filter(in_list(c("Detalle Respuesta"), list(exclude_details), negate=True, keep_null=True))
-    if "Fecha Llamada" in df.columns:
-        df = df.withColumn("Mes", month_name_es(F.month(_as_day("Fecha Llamada")), "title"))
-    out = call_report(df, CARE_COLUMNS)
-    return frequency_rank(out, "Detalle Respuesta", "Ranking_Detalle")
+    df = df.withColumn("Tipo de afluencia", F.lit(traffic_type))
+    out = call_report(df, CARE_COLUMNS, keys=HOUR_KEYS, date_col="Fecha", hour_col="Hora")
+    return frequency_rank(out, "Tipo Respuesta", "RankingMotivo")
 
 
-ONT_SYNONYMS = {"N° Abonado": ["Abonado", "ID"], "Estatus": ["Estatus contrato"]}
+# Output columns of the ONT gold.
+ONT_COLUMNS = ["N° Abonado", "Documento", "Cliente", "Estatus", "Fecha", "Hora", "Tipo Llamada", "Tipo Respuesta",
+               "Detalle Respuesta", "Vendedor", "Suscripción", "Grupo Afinidad", "Nombre Franquicia", "Ciudad"]
 
 
-def ont_off(care_gold: DataFrame, ont_reports: list[DataFrame], contract) -> DataFrame:
-    """PL-08: ONT-off rows = active subscribers of the care gold (FLT-07) plus
-    the ONT reports after synonym renames (PRJ-02), relaxed union to one
-    contract (SET-02), last row per subscriber and day (WIN-06)."""
-    parts = [care_gold.filter(equals_normalized(c("Estatus"), "ACTIVO"))]
-    parts += [rename_synonyms(clean_headers(r), ONT_SYNONYMS) for r in ont_reports]
-    u = relaxed_union(contract, *parts)
-    return keep_first(u, ["N° Abonado", "Fecha Llamada"], [c("Fecha Llamada").desc_nulls_last()] + row_tiebreak(u))
+def ont_off(report: DataFrame, care_gold: DataFrame, response: str) -> DataFrame:
+    """PL-08: the ONT report, renamed to the care contract (PRJ-02), plus the care gold's rows with that
+    response type; one row per (subscriber, date, hour), the care gold's before the report's (WIN-06)."""
+    a = conform(_renamed(clean_headers(report), CALL_RENAMES), ONT_COLUMNS).withColumn("Fecha", _as_day("Fecha"))
+    b = conform(care_gold.filter(c("Tipo Respuesta") == response), ONT_COLUMNS)
+    u = a.withColumn("__care", F.lit(0)).unionByName(b.withColumn("__care", F.lit(1)))
+    return keep_first(u, HOUR_KEYS, [c("__care").desc()] + row_tiebreak(u, exclude=("__care",))).drop("__care")
 
 
 def ont_off_profile(gold: DataFrame) -> DataFrame:
@@ -176,21 +181,25 @@ def data_updates(calls: DataFrame, observations: DataFrame) -> DataFrame:
     return call_report(u, UPDATE_COLUMNS, keys=["N° Abonado", "Fecha", "Hora"], date_col="Fecha", hour_col="Hora")
 
 
-WINBACK_COLUMNS = ["N° Abonado", "Cliente", "Estatus", "Fecha Llamada", "Hora Llamada", "Tipo Respuesta",
-                   "Detalle Respuesta", "Responsable", "Franquicia", "Campaña"]
+# Output columns of the win-back gold.
+WINBACK_COLUMNS = ["Source.Name", "N° Abonado", "Documento", "Cliente", "Estatus", "Fecha", "Hora", "Tipo Respuesta",
+                   "Detalle Respuesta", "Responsable", "Suscripción", "Grupo Afinidad", "Nombre Franquicia", "Ciudad",
+                   "Tipo de afluencia"]
+WINBACK_TEXTS = ["Cliente", "Tipo Respuesta", "Detalle Respuesta", "Responsable", "Ciudad", "Nombre Franquicia", "Grupo Afinidad"]
 
 
-def win_back(bronze: DataFrame, as_of: _dt.date) -> DataFrame:
-    """PL-11: future-dated rows rejected (FLT-05, as_of + 1 day), ids and text
-    normalised, first row per subscriber after a newest-first sort (WIN-04)."""
-    df = clean_headers(bronze)
-    df = df.withColumn("Fecha Llamada", _as_day("Fecha Llamada")).filter(date_window("Fecha Llamada", as_of=as_of))
+def win_back(bronze: DataFrame, as_of: _dt.date, traffic_type: str = "COME BACK HOME") -> DataFrame:
+    """PL-11: future-dated rows rejected (FLT-05, as_of + 1 day; undated rows stay), ids and texts
+    normalised, newest file's row per (subscriber, date, hour) (WIN-04), hour bucket."""
+    df = _renamed(clean_headers(bronze), {k: v for k, v in CALL_RENAMES.items() if k != "Responsable"})
+    df = df.withColumn("Fecha", _as_day("Fecha")).filter(date_window("Fecha", as_of=as_of, keep_undated=True))
     if "N° Abonado" in df.columns:
-        df = df.withColumn("N° Abonado", normalize_id(c("N° Abonado")))
-    for t in ["Cliente", "Responsable"]:
-        if t in df.columns:
-            df = df.withColumn(t, F.upper(squish(t)))
-    df = conform(df.withColumn("Campaña", F.lit("COMEBACKHOME")), WINBACK_COLUMNS + ([MTIME] if MTIME in df.columns else []))
-    order = [c("Fecha Llamada").desc_nulls_last()] + ([c(MTIME).desc_nulls_last()] if MTIME in df.columns else [])
-    df = keep_first(df, ["N° Abonado"], order + row_tiebreak(df))
-    return df.withColumn("Hora Llamada", hour_bucket(c("Hora Llamada"))).drop(MTIME)
+        df = df.withColumn("N° Abonado", normalize_id(c("N° Abonado"), strip_dots=False))
+    df = df.withColumns({n: F.upper(F.trim(c(n).cast("string"))) for n in WINBACK_TEXTS if n in df.columns})
+    df = df.withColumn("Tipo de afluencia", F.lit(traffic_type))
+    df = conform(df, WINBACK_COLUMNS + ([MTIME] if MTIME in df.columns else []))
+    newest = [c(MTIME).desc_nulls_last()] if MTIME in df.columns else []
+    df = keep_first(df, HOUR_KEYS, newest + row_tiebreak(df)).drop(MTIME)
+    df = df.withColumn("Hora", hour_bucket(c("Hora")))
+    strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    return df.withColumns({n: garbage_to_null(c(n)) for n in strings})

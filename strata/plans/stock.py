@@ -12,18 +12,24 @@ from ..operators.filters import equals_normalized
 from ..operators.merge import upsert_by_label
 from ..operators.shape import rename_synonyms
 from ..operators.sets import value_set
+from ..operators.windows import keep_latest, row_tiebreak
 
 ID_SYNONYMS = {"ID": ["Id", "id", "ID_CLIENTE"], "Estatus": ["Estatus contrato"], "Franquicia": ["Nombre Franquicia"]}
 
 
-def stock_silver(snapshot: DataFrame, active: str = "ACTIVO") -> DataFrame:
+def stock_silver(snapshot: DataFrame, active: str = "ACTIVO", test_orders: str | None = "PRUEBA DE INTERNET") -> DataFrame:
     """Snapshot rows -> (Quincena Evaluada, FechaInicio, FechaFin, ID, Estatus,
-    Franquicia): synonyms unified, cut date/label from the file name (SC-20c),
+    Franquicia): synonyms unified, cut date/label from the file name (SC-20c), the
+    franchise trimmed and upper-cased (NULL: ``NO DEFINIDA``), rows of test orders out,
     only active subscribers (FLT-07)."""
     df = rename_synonyms(snapshot, ID_SYNONYMS)
     cut = snapshot_cut(c("Source.Name"))
     df = df.withColumn("__cut", cut).filter(F.col("__cut.label").isNotNull())
+    detail = first_present(df, ["Detalle Orden", "Detalle"])
+    if detail and test_orders:
+        df = df.filter(~c(detail).eqNullSafe(F.lit(test_orders)))
     df = df.filter(equals_normalized(c("Estatus"), active))
+    df = df.withColumn("Franquicia", F.upper(F.trim(F.coalesce(c("Franquicia").cast("string"), F.lit("NO DEFINIDA")))))
     return df.select(F.col("__cut.label").alias("Quincena Evaluada"),
                      F.col("__cut.cut").cast("timestamp_ntz").alias("FechaInicio"),
                      F.col("__cut.cut").cast("timestamp_ntz").alias("FechaFin"),
@@ -42,7 +48,7 @@ def stock_gold(silver: DataFrame, drop_null_keys: bool = False) -> DataFrame:
 def merge_stock(history: DataFrame | None, batch_silver: DataFrame, order_col: str = "FechaFin") -> DataFrame:
     """MRG-05: replace whole periods by label; batch deduped per (label, ID)."""
     if history is None:
-        return batch_silver.dropDuplicates(["Quincena Evaluada", "ID"])
+        return keep_latest(batch_silver, ["Quincena Evaluada", "ID"], [order_col], tie_break=row_tiebreak(batch_silver))
     return upsert_by_label(history, batch_silver, "Quincena Evaluada", "ID", [order_col])
 
 

@@ -183,37 +183,39 @@ def pl06(spark, d):
     return CL.bank_faults(_calls_from_events(Tables(spark, d)), ["FALLA CON ERROR", "FALLA CON PURCHASE"])
 
 
-@proof("PL-07", "WITH " + EVB_SQL + f""",
+CARE_SQL = """
 c AS (SELECT *, replace(regexp_replace(trim(ab), '\\.0$', ''), '.', '') AS ab2, replace(regexp_replace(trim(doc), '\\.0$', ''), '.', '') AS doc2
-  FROM b WHERE tr IS NULL OR tr NOT IN ('SIGNUP')),
-r AS (SELECT *, row_number() OVER (PARTITION BY ab2, f, hraw ORDER BY mt DESC NULLS LAST, doc2, est, tr, det, resp) AS rn FROM c),
-d AS (SELECT * FROM r WHERE rn = 1),
-k AS (SELECT nullif(trim(det), '') AS cat, count(*) AS n FROM d WHERE nullif(trim(det), '') IS NOT NULL GROUP BY 1),
-rk AS (SELECT cat, dense_rank() OVER (ORDER BY n DESC) AS rango FROM k)
-SELECT ab2 AS "N° Abonado", doc2 AS "Documento", cli AS "Cliente", est AS "Estatus", f AS "Fecha Llamada", h AS "Hora Llamada",
-  'ENTRANTE' AS "Tipo Llamada", tr AS "Tipo Respuesta", det AS "Detalle Respuesta", resp AS "Responsable", 'HOGAR' AS "Suscripción",
-  'GA' AS "Grupo Afinidad", fr AS "Franquicia", 'CIUDAD' AS "Ciudad", {NAMES_SQL}[m] AS "Mes",
-  CAST(coalesce(rk.rango, 0) AS INTEGER) AS "Ranking_Detalle"
-FROM d LEFT JOIN rk ON nullif(trim(d.det), '') = rk.cat""")
+  FROM b WHERE tr IS NULL OR tr NOT IN ({excluded})),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab2, f, hraw ORDER BY mt DESC NULLS LAST, doc2, cli, est, tr, det NULLS FIRST, resp) AS rn FROM c),
+d AS (SELECT * FROM r WHERE rn = 1)"""
+
+
+@proof("PL-07", "WITH " + EVB_SQL + "," + CARE_SQL.format(excluded="'SIGNUP'") + """,
+k AS (SELECT tr, count(*) AS n FROM d WHERE tr IS NOT NULL GROUP BY 1),
+rk AS (SELECT tr, dense_rank() OVER (ORDER BY n DESC) AS rango FROM k)
+SELECT ab2 AS "N° Abonado", doc2 AS "Documento", cli AS "Cliente", est AS "Estatus", f AS "Fecha", h AS "Hora",
+  'ENTRANTE' AS "Tipo Llamada", d.tr AS "Tipo Respuesta", det AS "Detalle Respuesta", upper(resp) AS "Vendedor", 'HOGAR' AS "Suscripción",
+  'GA' AS "Grupo Afinidad", fr AS "Nombre Franquicia", 'CIUDAD' AS "Ciudad", 'ATENCIÓN AL CLIENTE' AS "Tipo de afluencia",
+  NULL::VARCHAR AS "Observación", CAST(coalesce(rk.rango, 0) AS INTEGER) AS "RankingMotivo"
+FROM d LEFT JOIN rk ON d.tr = rk.tr""")
 def pl07(spark, d):
     return CL.customer_care(_calls_from_events(Tables(spark, d)), exclude_responses=["SIGNUP"])
 
 
-ONT_CONTRACT = StructType([StructField("N° Abonado", StringType()), StructField("Estatus", StringType()),
-                           StructField("Fecha Llamada", TimestampNTZType()), StructField("Franquicia", StringType()),
-                           StructField("Saldo", DoubleType())])
-
-
-@proof("PL-08", """SELECT CAST(user_id AS VARCHAR) AS "N° Abonado", 'ACTIVO' AS "Estatus",
-  CAST(date_trunc('day', ts) AS TIMESTAMP) AS "Fecha Llamada", NULL::VARCHAR AS "Franquicia",
-  min(CAST(CAST(value AS FLOAT) AS DOUBLE)) AS "Saldo" FROM events GROUP BY 1, 3""")
+# the report has cleaned ids and whole hours here, so that its keys meet those of the care gold
+@proof("PL-08", "WITH " + EVB_SQL + "," + CARE_SQL.format(excluded="''") + """,
+a AS (SELECT regexp_replace(ab, '\\.0$', '') AS ab2, doc AS doc2, cli, est, f, h, tr, det, resp, fr, 0 AS care FROM b WHERE tr <> 'CLICK'
+  UNION ALL SELECT ab2, doc2, cli, est, f, h, tr, det, upper(resp), fr, 1 FROM d WHERE tr = 'CLICK'),
+r2 AS (SELECT *, row_number() OVER (PARTITION BY ab2, f, h ORDER BY care DESC, doc2, cli, est, tr, det NULLS FIRST, resp) AS rn FROM a)
+SELECT ab2 AS "N° Abonado", doc2 AS "Documento", cli AS "Cliente", est AS "Estatus", f AS "Fecha", h AS "Hora", 'ENTRANTE' AS "Tipo Llamada",
+  tr AS "Tipo Respuesta", det AS "Detalle Respuesta", resp AS "Vendedor", 'HOGAR' AS "Suscripción", 'GA' AS "Grupo Afinidad",
+  fr AS "Nombre Franquicia", 'CIUDAD' AS "Ciudad" FROM r2 WHERE rn = 1""")
 def pl08(spark, d):
-    t = Tables(spark, d)
-    care = CL.customer_care(_calls_from_events(t))
-    ont = t.events.select(F.col("user_id").cast("string").alias("Abonado"), F.lit("ACTIVO").alias("Estatus contrato"),
-                          F.date_trunc("day", "ts").cast("timestamp_ntz").alias("Fecha Llamada"),
-                          F.col("value").cast("float").alias("Saldo"))
-    return CL.ont_off(care.withColumn("Saldo", F.lit(None).cast("double")), [ont], ONT_CONTRACT)
+    calls = _calls_from_events(Tables(spark, d))
+    report = calls.filter(F.col("Tipo Respuesta") != "CLICK").withColumns({
+        "N° Abonado": F.regexp_replace("N° Abonado", r"\.0$", ""),
+        "Hora Llamada": F.concat(F.substring("Hora Llamada", 1, 2), F.lit(":00"))})
+    return CL.ont_off(report, CL.customer_care(calls), "CLICK")
 
 
 @proof("PL-09", "WITH " + EVB_SQL + """,
@@ -257,50 +259,71 @@ def pl10(spark, d):
     return CL.data_updates(calls, obs)
 
 
-@proof("PL-11", """WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS ab, CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS f,
-  o_orderstatus AS est, o_orderpriority AS tr FROM orders WHERE o_orderdate < TIMESTAMP '2000-07-02'),
-r AS (SELECT *, row_number() OVER (PARTITION BY ab ORDER BY f DESC NULLS LAST, est ASC NULLS FIRST, tr ASC NULLS FIRST) AS rn FROM s)
-SELECT ab AS "N° Abonado", 'CLIENTE X' AS "Cliente", est AS "Estatus", f AS "Fecha Llamada", '10:00' AS "Hora Llamada",
-  tr AS "Tipo Respuesta", NULL::VARCHAR AS "Detalle Respuesta", NULL::VARCHAR AS "Responsable", NULL::VARCHAR AS "Franquicia",
-  'COMEBACKHOME' AS "Campaña" FROM r WHERE rn = 1""")
+@proof("PL-11", """WITH s AS (SELECT CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS ab,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) END AS f,
+  lpad(CAST(o_orderkey % 3 AS VARCHAR), 2, '0') || ':30' AS hraw, o_orderstatus AS est, upper(trim(o_orderpriority)) AS tr, o_orderdate AS mt FROM orders),
+w AS (SELECT * FROM s WHERE f IS NULL OR f < TIMESTAMP '2000-07-02'),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab, f, hraw ORDER BY mt DESC NULLS LAST, est NULLS FIRST, tr NULLS FIRST) AS rn FROM w)
+SELECT 'Data - Come Back Home.xlsx' AS "Source.Name", ab AS "N° Abonado", NULL::VARCHAR AS "Documento", 'CLIENTE   X' AS "Cliente", est AS "Estatus",
+  f AS "Fecha", substr(hraw, 1, 2) || ':00' AS "Hora", tr AS "Tipo Respuesta", NULL::VARCHAR AS "Detalle Respuesta",
+  'ASESOR' AS "Responsable", NULL::VARCHAR AS "Suscripción", NULL::VARCHAR AS "Grupo Afinidad", 'FR 1' AS "Nombre Franquicia",
+  NULL::VARCHAR AS "Ciudad", 'COME BACK HOME' AS "Tipo de afluencia" FROM r WHERE rn = 1""")
 def pl11(spark, d):
     o = Tables(spark, d).orders
-    bronze = o.select(F.col("o_custkey").cast("string").alias("N° Abonado"), F.lit("  cliente   x ").alias("Cliente"),
-                      F.date_format("o_orderdate", "dd/MM/yyyy").alias("Fecha Llamada"), F.lit("10:30").alias("Hora Llamada"),
-                      F.col("o_orderstatus").alias("Estatus"), F.col("o_orderpriority").alias("Tipo Respuesta"))
+    bronze = o.select(F.lit("Data - Come Back Home.xlsx").alias("Source.Name"),
+                      F.when(F.col("o_custkey") % 50 == 0, F.lit("nan")).otherwise(F.concat(F.col("o_custkey").cast("string"), F.lit(".0"))).alias("N° Abonado"),
+                      F.lit("  cliente   x ").alias("Cliente"),
+                      F.when(F.col("o_orderkey") % 11 == 0, F.lit("sin fecha")).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("Fecha Llamada"),
+                      F.concat(F.lpad((F.col("o_orderkey") % 3).cast("string"), 2, "0"), F.lit(":30")).alias("Hora Llamada"),
+                      F.col("o_orderstatus").alias("Estatus"), F.col("o_orderpriority").alias("Tipo Respuesta"),
+                      F.lit("asesor").alias("Responsable"), F.lit(" fr 1").alias("Franquicia"),
+                      F.col("o_orderdate").alias("Fecha_Modificacion_Archivo"))
     return CL.win_back(bronze, dt.date(2000, 6, 30))
 
 
-@proof("PL-12", """WITH a AS (SELECT s_name, n_name AS ofi, DATE '2024-03-01' AS fi FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  UNION ALL SELECT s_name, CASE WHEN s_acctbal > 5000 THEN 'OFICINA ESTE' ELSE n_name END, DATE '2024-04-01'
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0),
-f AS (SELECT upper(s_name) AS nc, ofi, fi, upper(s_name) || ' ' || ofi AS comb FROM a WHERE NOT regexp_matches(s_name, '(?i)#0+9\\b'))
-SELECT nc AS "Nombre_Completo", ofi AS "Oficina", fi AS "Fecha_Inicio", lead(fi) OVER (PARTITION BY comb ORDER BY fi) AS "Fecha_Fin",
-  CASE WHEN lead(fi) OVER (PARTITION BY comb ORDER BY fi) IS NULL THEN 'ACTIVO' ELSE 'HISTÓRICO' END AS "Estado_Vigencia" FROM f""")
+@proof("PL-12", """WITH a AS (SELECT s_name, s_suppkey, n_name AS sae, 'SISTEMA ' || n_name AS sis, DATE '2024-03-01' AS fi, 1 AS mt FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION ALL SELECT s_name, s_suppkey, CASE WHEN s_acctbal > 5000 THEN 'OFICINA ESTE' ELSE n_name END, 'TARDE', DATE '2024-04-01', 2
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0
+  UNION ALL SELECT s_name, s_suppkey, n_name, 'MAÑANA', DATE '2024-04-01', 1 FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0),
+f AS (SELECT CAST(s_suppkey AS VARCHAR) AS doc, upper(s_name) AS nc, sae, sis, fi, upper(s_name) || ' ' || sae AS comb, mt FROM a
+  WHERE NOT regexp_matches(s_name, '(?i)#0+9\\b')),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc, comb, fi ORDER BY mt DESC) AS rn FROM f),
+l AS (SELECT *, lead(fi) OVER (PARTITION BY comb ORDER BY fi) AS fin FROM r WHERE rn = 1)
+SELECT doc AS "Doc_Identidad", nc AS "Nombre_Completo", comb AS "Combinado", sae AS "OficinaSae", sis AS "OficinaSistema", fi AS "Fecha_Inicio",
+  fin AS "Fecha_Fin", CASE WHEN fin IS NULL THEN 'ACTIVO' ELSE 'HISTÓRICO' END AS "Estado_Vigencia" FROM l""")
 def pl12(spark, d):
     t = Tables(spark, d)
     base = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    a = base.select(F.col("s_name").alias("nombre"), F.lit("").alias("apellido"), F.col("n_name").alias("oficina"),
-                    F.lit("Data - Empleados 01-03-2024.xlsx").alias("Source.Name"))
-    b = base.filter(F.col("s_acctbal") > 0).select(
-        F.col("s_name").alias("nombre"), F.lit("").alias("apellido"),
-        F.when(F.col("s_acctbal") > 5000, F.lit("OFICINA ESTE")).otherwise(F.col("n_name")).alias("oficina"),
-        F.lit("Data - Empleados 1-4-2024.xlsx").alias("Source.Name"))
-    out = PE.employee_master(a.unionByName(b), exclude_regex=r"#0+9\b")
-    return out.select("Nombre_Completo", "Oficina", "Fecha_Inicio", "Fecha_Fin", "Estado_Vigencia")
+
+    def snapshot(rows, office, system, day, mtime):
+        return rows.select(F.col("s_suppkey").cast("string").alias("doc. de identidad"), F.lower("s_name").alias(" nombre"),
+                           office.alias("apellido"), system.alias("oficina"), F.lit(f"Data - Empleados {day}.xlsx").alias("Source.Name"),
+                           F.lit(mtime).alias("Fecha_Modificacion_Archivo"))
+
+    later = base.filter(F.col("s_acctbal") > 0)
+    moved = F.when(F.col("s_acctbal") > 5000, F.lit("oficina este")).otherwise(F.col("n_name"))
+    a = snapshot(base, F.col("n_name"), F.concat(F.lit("Sistema "), F.col("n_name")), "01-03-2024", 1)
+    b = snapshot(later, moved, F.lit("tarde"), "1-4-2024", 2).unionByName(snapshot(later, F.col("n_name"), F.lit("mañana"), "1-4-2024", 1))
+    return PE.employee_master(a.unionByName(b), exclude_regex=r"#0+9\b")
 
 
 @proof("PL-13", """WITH prev AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_custkey * 2 AS sk FROM customer WHERE c_acctbal > 0),
-cur AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_name FROM customer),
+cur AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_name || ' 2' AS n FROM customer UNION ALL
+  SELECT '1.' || CAST(c_custkey AS VARCHAR), c_name FROM customer WHERE c_custkey % 10 = 1),
 m AS (SELECT max(sk) AS mx FROM prev)
-SELECT cur.k AS "N° Abonado", c_name AS "Cliente", prev.sk AS "Cliente_SK" FROM cur JOIN prev ON cur.k = prev.k
-UNION ALL SELECT k, c_name, mx + row_number() OVER (ORDER BY k) FROM cur, m WHERE k NOT IN (SELECT k FROM prev)""")
+SELECT cur.k AS "N° Abonado", n AS "Cliente", prev.sk AS "Cliente_SK" FROM cur JOIN prev ON cur.k = prev.k
+UNION ALL SELECT k, n, mx + row_number() OVER (ORDER BY k) FROM cur, m WHERE k NOT IN (SELECT k FROM prev)""")
 def pl13(spark, d):
     cu = Tables(spark, d).customer
-    cur = cu.select(F.concat(F.col("c_custkey").cast("string"), F.lit(".0")).alias("N° Abonado"), F.col("c_name").alias("Cliente"))
-    prev = cu.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").cast("string").alias("N° Abonado"),
-                                                    (F.col("c_custkey") * 2).alias("Cliente_SK"))
-    return PE.customer_dimension(cur, prev).select("N° Abonado", "Cliente", "Cliente_SK")
+    key, source = F.col("c_custkey").cast("string"), F.lit("f.xlsx").alias("Source.Name")
+
+    def version(rows, k, name, mtime):
+        return rows.select(k.alias("N° Abonado"), name.alias("Cliente"), source, F.lit(mtime).alias("Fecha_Modificacion_Archivo"))
+
+    cur = (version(cu, F.concat(key, F.lit(".0")), F.concat("c_name", F.lit(" 2")), 2).unionByName(version(cu, key, F.col("c_name"), 1))
+           .unionByName(version(cu.filter("c_custkey % 10 = 1"), F.concat(F.lit("1."), key), F.col("c_name"), 1)))
+    prev = cu.filter(F.col("c_acctbal") > 0).select(key.alias("N° Abonado"), (F.col("c_custkey") * 2).alias("Cliente_SK"))
+    return PE.customer_dimension(cur, prev)
 
 
 def _snapshots(t):
@@ -309,11 +332,12 @@ def _snapshots(t):
         F.concat(F.lit("Data - Abonados hasta el "), F.date_format("o_orderdate", "d.MM.yyyy"), F.lit(".xlsx")).alias("Source.Name"),
         F.col("o_custkey").cast("string").alias("id"),
         F.when(F.col("o_orderstatus") == "F", " activo ").otherwise("CORTADO").alias("Estatus contrato"),
-        F.concat(F.lit("FR"), (F.col("o_custkey") % 5).cast("string")).alias("Nombre Franquicia"))
+        F.when(F.col("o_custkey") % 5 > 0, F.concat(F.lit(" fr"), (F.col("o_custkey") % 5).cast("string"))).alias("Nombre Franquicia"),
+        F.when(F.col("o_orderkey") % 13 == 0, "PRUEBA DE INTERNET").when(F.col("o_orderkey") % 2 == 0, "OTRO").alias("Detalle Orden"))
 
 
-@proof("PL-14", f"""WITH s AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, 'FR' || CAST(o_custkey % 5 AS VARCHAR) AS fr
-  FROM orders WHERE o_orderstatus = 'F'),
+@proof("PL-14", f"""WITH s AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_custkey % 5 > 0 THEN 'FR' || CAST(o_custkey % 5 AS VARCHAR)
+  ELSE 'NO DEFINIDA' END AS fr FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 13 <> 0),
 c AS (SELECT *, CAST(CASE WHEN day(d) <= 5 THEN date_trunc('month', d) - INTERVAL 1 DAY WHEN day(d) <= 20
   THEN date_trunc('month', d) + INTERVAL 14 DAY ELSE last_day(d) END AS DATE) AS cut,
   CASE WHEN day(d) > 5 AND day(d) <= 20 THEN 'Q1' ELSE 'Q2' END AS q FROM s)
@@ -326,7 +350,7 @@ def pl14(spark, d):
 
 @proof("PL-16", """SELECT DISTINCT franquicia FROM (SELECT n_name AS franquicia FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer cu ON cu.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = cu.c_nationkey
-  UNION SELECT 'FR' || CAST(o_custkey % 5 AS VARCHAR) FROM orders WHERE o_orderstatus = 'F') WHERE franquicia IS NOT NULL ORDER BY 1""")
+  UNION SELECT 'FR' || CAST(o_custkey % 5 AS VARCHAR) FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 5 > 0 AND o_orderkey % 13 <> 0) WHERE franquicia IS NOT NULL ORDER BY 1""")
 def pl16(spark, d):
     t = Tables(spark, d)
     from .tickets import ticket_rows
