@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import garbage_to_null, normalize_id, replace_chain, squish, head_before, default_if_blank
+from ..functions.clean import garbage_to_null, normalize_id, replace_chain
 from ..functions.core import c, find_column
 from ..functions.dates import hour_bucket, parse_datetime
 from ..operators.filters import date_window, in_list
@@ -152,33 +152,31 @@ def ont_off_profile(gold: DataFrame) -> DataFrame:
     return profile(gold, [n for n in gold.columns], exact_distinct=False)
 
 
-UPDATE_COLUMNS = ["N° Abonado", "Fecha", "Hora", "Tipo de Actualizacion", "Detalle Respuesta", "Responsable",
-                  "Franquicia", "Origen"]
-
-
-def data_updates(calls: DataFrame, observations: DataFrame) -> DataFrame:
-    """PL-10: two feeds. Call rows: the free-text detail is classified into a
-    topic (CLS-02) with a fallback label (SC-19). Observation rows: the subject
-    is cut at ``ANT:`` (SC-17) and cleaned (SC-16). Both carry ``Origen`` = upper
-    file name (SC-28); newest file per (subscriber, date, hour); hour bucket."""
-    a = clean_headers(calls)
-    a = a.withColumn("Tipo de Actualizacion", topic(F.coalesce(c("Detalle Respuesta"), F.lit("")) if "Detalle Respuesta" in a.columns
-                                                    else F.lit("")))
-    a = a.withColumn("Detalle Respuesta", default_if_blank("Detalle Respuesta", "SIN DETALLE") if "Detalle Respuesta" in a.columns
-                     else F.lit("SIN DETALLE"))
-    a = a.withColumnsRenamed({"Fecha Llamada": "Fecha", "Hora Llamada": "Hora"})
-    b = clean_headers(observations)
-    if "Observacion" in b.columns:
-        b = b.withColumn("Detalle Respuesta", squish(replace_chain(head_before("Observacion", "ANT: "), [("\n", " "), ("\t", " ")])))
-    b = b.withColumn("Tipo de Actualizacion", F.upper(F.coalesce(c("Asunto"), F.lit("OBSERVACION"))) if "Asunto" in b.columns
-                     else F.lit("OBSERVACION"))
-    parts = []
-    for d in (a, b):
-        if "Source.Name" in d.columns:
-            d = d.withColumn("Origen", F.upper(c("Source.Name")))
-        parts.append(d)
+# Output columns of the data-update gold, and what details are called in it.
+UPDATE_COLUMNS = ["Origen", "N° Abonado", "Estatus", "Fecha", "Hora", "Detalle Respuesta", "Tipo Respuesta", "Responsable",
+                  "Suscripción", "Grupo Afinidad", "Nombre Franquicia", "Ciudad"]
+UPDATE_REPLACEMENTS = [("EMAIL", "CORREO ELECTRÓNICO"), ("CÉDULA DE IDENTIDAD", "CEDULA"), ("CELULAR", "TELEFONO"),
+                       ("NÚMERO TELEFÓNICO", "TELEFONO")]
+
+
+def data_updates(calls: DataFrame, observations: DataFrame, replacements: list[tuple[str, str]] = UPDATE_REPLACEMENTS) -> DataFrame:
+    """PL-10: two feeds. Call rows keep their detail. Observation rows take the first of detail,
+    observation and subject, and that free text is classified into a topic (CLS-02, SC-19). Both are
+    upper-cased, cut at ``ANT:`` (SC-17) and renamed (SC-16); ``Origen`` = upper file name (SC-28);
+    newest file per (subscriber, date, hour); hour bucket."""
+    call_names = {"Fecha Llamada": "Fecha", "Hora Llamada": "Hora", "Franquicia": "Nombre Franquicia"}
+    a = _renamed(clean_headers(calls), call_names)
+    b = _renamed(clean_headers(observations), {"Franquicia": "Nombre Franquicia"})
+    texts = [c(n).cast("string") for n in ["Detalle Respuesta", "Observacion", "Asunto"] if n in b.columns]
+    b = b.withColumn("Detalle Respuesta", topic(F.coalesce(*texts, F.lit("")))).drop("Observacion", "Asunto")
+    if "Tipo Respuesta" not in b.columns:
+        b = b.withColumn("Tipo Respuesta", F.lit("GESTION INTERNA / OBS"))
+    parts = [d.withColumn("Origen", F.upper(c("Source.Name")) if "Source.Name" in d.columns else F.lit("")) for d in (a, b)]
     u = parts[0].unionByName(parts[1], allowMissingColumns=True)
-    return call_report(u, UPDATE_COLUMNS, keys=["N° Abonado", "Fecha", "Hora"], date_col="Fecha", hour_col="Hora")
+    detail = F.trim(F.upper(F.coalesce(c("Detalle Respuesta").cast("string"), F.lit(""))))
+    u = u.withColumn("Detalle Respuesta", replace_chain(F.trim(F.substring_index(detail, "ANT: ", 1)), replacements))
+    u = u.withColumn("Tipo Respuesta", F.upper(F.coalesce(c("Tipo Respuesta").cast("string"), F.lit("SIN CLASIFICAR"))))
+    return call_report(u, UPDATE_COLUMNS, keys=HOUR_KEYS, date_col="Fecha", hour_col="Hora")
 
 
 # Output columns of the win-back gold.

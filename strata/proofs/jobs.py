@@ -231,31 +231,33 @@ def pl09(spark, d):
 
 
 @proof("PL-10", "WITH " + EVB_SQL + """,
-ca AS (SELECT ab, f, hraw AS hora, ['CAMBIO DE TELEFONO', 'NUEVO CORREO', 'CEDULA', 'DIRECCION NUEVA', 'CAMBIO DE PLAN', 'otro']
-  [CAST(substr(hraw, 7, 2) AS INTEGER) % 6 + 1] AS det, resp, fr, mt FROM b),
-cb AS (SELECT ab, f, hora, CASE """ + " ".join(f"WHEN regexp_matches(upper(coalesce(det, '')), '{p}') THEN '{lab}'" for p, lab in TOPIC_RULES)
-    + f" ELSE '{TOPIC_DEFAULT}' END" + """ AS tipo, coalesce(nullif(trim(det), ''), 'SIN DETALLE') AS det, resp, fr,
-  'DATA - ACTUALIZACION DATOS 1-1-2024 AL 30-1-2024.XLSX' AS origen, mt FROM ca),
-ob AS (SELECT CAST(conv_id AS VARCHAR) AS ab, TIMESTAMP '2024-01-01' AS f, lpad(CAST(turn % 24 AS VARCHAR), 2, '0') || ':00' AS hora,
-  upper(role) AS tipo, trim(regexp_replace(replace(replace(trim(split_part(text || ' ANT: previo', 'ANT: ', 1)), chr(10), ' '), chr(9), ' '),
-  '\\s+', ' ', 'g')) AS det, NULL::VARCHAR AS resp, NULL::VARCHAR AS fr, 'DATA - ACTUALIZACION GESTION OBS.XLSX' AS origen,
-  NULL::TIMESTAMP AS mt FROM conversations),
-u AS (SELECT * FROM cb UNION ALL SELECT * FROM ob),
-r AS (SELECT *, row_number() OVER (PARTITION BY ab, f, hora ORDER BY mt DESC NULLS LAST, tipo NULLS FIRST, det NULLS FIRST,
-  resp NULLS FIRST, fr NULLS FIRST, origen NULLS FIRST) AS rn FROM u)
-SELECT ab AS "N° Abonado", f AS "Fecha", substr(hora, 1, 2) || ':00' AS "Hora", tipo AS "Tipo de Actualizacion",
-  CASE WHEN trim(det) = '' OR det IN ('nan', 'NaN', 'NAN', 'None', 'null', 'Null', '') THEN NULL ELSE det END AS "Detalle Respuesta",
-  resp AS "Responsable", fr AS "Franquicia", origen AS "Origen" FROM r WHERE rn = 1""")
+ca AS (SELECT 'DATA - ACTUALIZACION DATOS.XLSX' AS origen, ab, est, CASE WHEN tr = 'CLICK' THEN NULL ELSE f END AS f, hraw AS hora,
+  ['CAMBIO DE EMAIL', 'CELULAR', 'CÉDULA DE IDENTIDAD', 'NÚMERO TELEFÓNICO', 'DIRECCION ANT:', NULL]
+  [CAST(substr(hraw, 7, 2) AS INTEGER) % 6 + 1] AS det, CASE WHEN tr = 'VIEW' THEN NULL ELSE tr END AS tr, resp, 'HOGAR' AS sus, 'GA' AS ga, fr,
+  'CIUDAD' AS ciu, mt FROM b),
+ob AS (SELECT 'DATA - GESTION OBS.XLSX', CAST(conv_id AS VARCHAR), NULL, TIMESTAMP '2024-01-01', lpad(CAST(turn % 24 AS VARCHAR), 2, '0') || ':00',
+  CASE """ + " ".join(f"WHEN regexp_matches(upper(coalesce(tx, '')), '{p}') THEN '{lab}'" for p, lab in TOPIC_RULES)
+    + f" ELSE '{TOPIC_DEFAULT}' END" + """, 'GESTION INTERNA / OBS', NULL, NULL, NULL, 'FR 9', NULL, NULL::TIMESTAMP
+  FROM (SELECT *, CASE WHEN turn % 3 = 0 THEN 'nuevo correo' ELSE text END AS tx FROM conversations)),
+u AS (SELECT * FROM ca UNION ALL SELECT * FROM ob),
+v AS (SELECT * REPLACE (replace(replace(replace(replace(coalesce(det, ''), 'EMAIL', 'CORREO ELECTRÓNICO'), 'CÉDULA DE IDENTIDAD', 'CEDULA'), 'CELULAR', 'TELEFONO'),
+  'NÚMERO TELEFÓNICO', 'TELEFONO') AS det, coalesce(tr, 'SIN CLASIFICAR') AS tr) FROM u),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab, f, hora ORDER BY mt DESC NULLS LAST, origen, est NULLS FIRST, det NULLS FIRST, tr NULLS FIRST,
+  resp NULLS FIRST, fr) AS rn FROM v)
+SELECT origen AS "Origen", ab AS "N° Abonado", est AS "Estatus", f AS "Fecha", substr(hora, 1, 2) || ':00' AS "Hora", nullif(det, '') AS "Detalle Respuesta",
+  tr AS "Tipo Respuesta", resp AS "Responsable", sus AS "Suscripción", ga AS "Grupo Afinidad", fr AS "Nombre Franquicia", ciu AS "Ciudad"
+FROM r WHERE rn = 1""")
 def pl10(spark, d):
     t = Tables(spark, d)
-    calls = _calls_from_events(t).withColumn("Source.Name", F.lit("Data - Actualizacion Datos 1-1-2024 al 30-1-2024.xlsx"))
-    topics = F.element_at(F.array(*[F.lit(x) for x in ["CAMBIO DE TELEFONO", "NUEVO CORREO", "CEDULA", "DIRECCION NUEVA",
-                                                         "CAMBIO DE PLAN", "otro"]]), (F.substring("Hora Llamada", 7, 2).cast("int") % 6 + 1).cast("int"))
-    calls = calls.withColumn("Detalle Respuesta", topics)
+    calls = _calls_from_events(t).withColumn("Source.Name", F.lit("Data - Actualizacion Datos.xlsx"))
+    details = F.array(*[F.lit(x) for x in ["cambio de email", "Celular ", "Cédula de identidad ANT: 123", "NÚMERO TELEFÓNICO", "direccion ANT: "]], F.lit(None).cast("string"))
+    calls = calls.withColumns({"Detalle Respuesta": F.element_at(details, (F.substring("Hora Llamada", 7, 2).cast("int") % 6 + 1).cast("int")),
+                               "Fecha Llamada": F.when(F.col("Tipo Respuesta") != "CLICK", F.col("Fecha Llamada")),
+                               "Tipo Respuesta": F.when(F.col("Tipo Respuesta") != "VIEW", F.lower("Tipo Respuesta"))})
     obs = t.conversations.select(F.col("conv_id").cast("string").alias("N° Abonado"), F.lit("01/01/2024").alias("Fecha"),
                                  F.concat(F.lpad((F.col("turn") % 24).cast("string"), 2, "0"), F.lit(":00")).alias("Hora"),
-                                 F.concat(F.col("text"), F.lit(" ANT: previo")).alias("Observacion"), F.upper("role").alias("Asunto"),
-                                 F.lit("Data - Actualizacion Gestion OBS.xlsx").alias("Source.Name"))
+                                 F.when(F.col("turn") % 3 != 0, F.col("text")).alias("Observacion"), F.lit("nuevo correo").alias("Asunto"),
+                                 F.lit("FR 9").alias("Franquicia"), F.lit("Data - Gestion OBS.xlsx").alias("Source.Name"))
     return CL.data_updates(calls, obs)
 
 

@@ -124,3 +124,29 @@ def test_run_stock_and_collections_from_workbooks(spark, tmp):
     got = sorted((r["N° Abonado"], r["Total Pago"], r["Clasificacion"], r["Hora de Pago"])
                  for r in lake.read("gold", "Recaudacion_Gold").collect())
     assert got == [("1", 12.5, "OFICINAS PROPIAS", "14:00"), ("2", 3.0, "ALIADOS Y DESARROLLO", "00:00")]
+
+
+def test_golds_feed_branch_traffic(spark):
+    """PL-07 and PL-12 -> PL-18 -> PL-19: dates, hours and sellers arrive, offices are resolved by the employee master."""
+    from strata.plans import calls as CL
+    from strata.plans import people as PE
+    from strata.plans import traffic as TR
+
+    calls = spark.createDataFrame(
+        [("7.0", "10/01/2024", "09:15:00", "ana gil norte", "RECLAMO"), ("8", "11/01/2024", "3:30 p. m.", "Agente X", "RECLAMO"),
+         ("9", "12/01/2024", None, None, "PAGO DEL SERVICIO")],
+        "`N° Abonado` string, `Fecha Llamada` string, `Hora Llamada` string, Responsable string, `Tipo Respuesta` string")
+    staff = spark.createDataFrame([("Ana Gil", "Norte", "Oficina Norte", "1", "Data - Empleados 01-01-2024.xlsx")],
+                                  "Nombre string, Apellido string, Oficina string, `Doc. De Identidad` string, `Source.Name` string")
+    care = CL.customer_care(calls, exclude_responses=["PAGO DEL SERVICIO"])
+    silver = TR.traffic_silver({"ATENCIÓN AL CLIENTE": care}, PE.employee_master(staff), None)
+    got = {r["N° Abonado"]: r for r in silver.collect()}
+    assert set(got) == {"7", "8"}
+    assert all(r["Fecha"] is not None and r["Hora"] and r["Vendedor"] and r["Tipo de afluencia"] == "ATENCIÓN AL CLIENTE" for r in got.values())
+    assert got["7"]["Oficina"] == "OFICINA NORTE" and got["8"]["Oficina"] == "ALIADO / AGENTE"
+    offices = spark.createDataFrame([("oficina norte", "Sede Norte", "Lara", "Propia")],
+                                    "Input_Original string, Nombre_Normalizado_Final string, Estado string, Tipo_Sede string")
+    gold, audit = TR.traffic_gold(silver, offices)
+    rows = {r["N° Abonado"]: (r["Oficina"], r["Estado_Sede"]) for r in gold.collect()}
+    assert rows == {"7": ("Sede Norte", "Lara"), "8": ("ALIADO / AGENTE", "Sin Asignar")}
+    assert [r.valor for r in audit.collect()] == ["ALIADO / AGENTE"]
