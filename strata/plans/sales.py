@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import office_after_marker, squish
+from ..functions.clean import garbage_to_null, office_after_marker, squish
 from ..functions.core import c
 from ..functions.dates import hour_bucket, month_name_es, parse_date
 from ..operators.filters import in_list, matches
 from ..operators.merge import newest_version
 from ..operators.resolve import place_override
 from ..operators.rules import sales_channel
-from ..operators.shape import clean_headers, conform, rename_synonyms
+from ..operators.shape import clean_headers, conform
+from ..operators.windows import keep_first, row_tiebreak
 
 LISTING_COLUMNS = ["N° Abonado", "Cliente", "Fecha Contrato", "Estatus", "Suscripción", "Grupo Afinidad",
                    "Nombre Franquicia", "Ciudad", "Vendedor", "Serv/Paquete", "nombre_detectado", "Estado",
@@ -40,28 +41,39 @@ def sales_listing(bronze: DataFrame, office_sellers: list[str], own_sellers: lis
     return newest_version(df, ["N° Abonado", "Fecha Contrato"])
 
 
-STATUS_SYNONYMS = {"Documento": ["Cédula", "Cedula", "Rif", "Nro. Doc"], "Franquicia": ["Nombre Franquicia"]}
-STATUS_COLUMNS = ["Fecha Venta", "Hora venta", "Paquete/Servicio", "Vendedor", "N° Abonado", "Cliente", "Estatus",
-                  "Documento", "Costo", "Grupo Afinidad", "Franquicia", "Ciudad", "Fecha_Modificacion_Archivo"]
+# Names that sales extracts give to a column, and the output columns of the sales-status gold.
+STATUS_RENAMES = {"Fecha Venta": "Fecha", "Franquicia": "Nombre Franquicia", "Hora venta": "Hora", "Cédula": "Documento",
+                  "Rif": "Documento", "Nro. Doc": "Documento"}
+STATUS_CHECKED = ["Paquete/Servicio", "Vendedor", "N° Abonado", "Cliente", "Estatus", "Documento"]
+STATUS_COLUMNS = ["N° Abonado", "Documento", "Estatus", "Fecha", "Vendedor", "Costo", "Grupo Afinidad",
+                  "Nombre Franquicia", "Ciudad", "Hora", "Tipo de afluencia", "Oficina"]
+MTIME = "Fecha_Modificacion_Archivo"
 
 
-def sales_status(bronze: DataFrame, seller_marker: str = "OFI", exclude_seller_regex: str | None = None,
-                 statuses: list[str] | None = None, alerts: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """PL-03: (silver, gold). Synonyms unified (PRJ-02); office sellers only
-    (FLT-03), optional exclusions and status population (FLT-03/FLT-10);
-    office name extracted after the marker (SC-15); hour bucket (SC-06);
-    newest file per (subscriber, date, hour) (MRG-07)."""
-    renamed = rename_synonyms(clean_headers(bronze), STATUS_SYNONYMS)
-    if alerts is not None:  # DQ-01: expected columns absent from the extract
-        alerts.extend(n for n in STATUS_COLUMNS if n not in renamed.columns and n != "Fecha_Modificacion_Archivo")
-    df = conform(renamed, STATUS_COLUMNS)
-    df = df.filter(matches("Vendedor", seller_marker))
+def sales_status(bronze: DataFrame, seller_marker: str = "OFI", exclude_seller_regex: str | None = "VENTAS CALLE|AGENTE",
+                 exclude_package_regex: str | None = None, alerts: list[str] | None = None) -> DataFrame:
+    """PL-03: one row-level table (silver and gold alike). Columns renamed (PRJ-02), absent
+    ones alerted (DQ-01); excluded packages and sellers out, office sellers only (FLT-03);
+    office after the marker (SC-15); hour bucket (SC-06) before the newest file's row per
+    (subscriber, date, hour) is kept (MRG-07)."""
+    df = clean_headers(bronze)
+    for old, new in STATUS_RENAMES.items():
+        if old in df.columns and new not in df.columns:
+            df = df.withColumnRenamed(old, new)
+    if alerts is not None:
+        expected = dict.fromkeys([*STATUS_CHECKED, *STATUS_COLUMNS])
+        alerts.extend(n for n in expected if n not in df.columns and n not in ("Tipo de afluencia", "Oficina"))
+    keep_mtime = MTIME in df.columns
+    df = conform(df, [n for n in STATUS_COLUMNS if n != "Oficina"] + ["Paquete/Servicio"] + ([MTIME] if keep_mtime else []))
+    df = df.withColumn("Vendedor", F.trim(F.upper(c("Vendedor").cast("string"))))
+    if exclude_package_regex:
+        df = df.filter(matches(F.upper(c("Paquete/Servicio").cast("string")), exclude_package_regex, negate=True))
     if exclude_seller_regex:
         df = df.filter(matches("Vendedor", exclude_seller_regex, negate=True))
-    if statuses:
-        df = df.filter(in_list(F.upper(F.trim(c("Estatus"))), [s.upper() for s in statuses]))
-    df = df.withColumn("Oficina", office_after_marker("Vendedor")).withColumn("Fecha Venta", parse_date(c("Fecha Venta")))
-    df = df.withColumn("Hora venta", hour_bucket(c("Hora venta")))
-    silver = newest_version(df, ["N° Abonado", "Fecha Venta", "Hora venta"])
-    gold = silver.groupBy("Fecha Venta", "Oficina", "Franquicia").agg(F.count(F.lit(1)).alias("Ventas"))
-    return silver, gold
+    df = df.filter(matches("Vendedor", seller_marker)).drop("Paquete/Servicio")
+    df = df.withColumn("Tipo de afluencia", F.lit("Ventas")).withColumn("Oficina", office_after_marker("Vendedor"))
+    df = df.withColumn("Fecha", parse_date(c("Fecha")).cast("timestamp_ntz")).withColumn("Hora", hour_bucket(c("Hora")))
+    keys = ["N° Abonado", "Fecha", "Hora"]
+    df = newest_version(df, keys) if keep_mtime else keep_first(df, keys, row_tiebreak(df))
+    strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    return df.select(*[c(n) for n in STATUS_COLUMNS]).withColumns({n: garbage_to_null(c(n)) for n in strings if n in STATUS_COLUMNS})

@@ -111,25 +111,27 @@ def pl02(spark, d):
                             overrides=[(["montalto", "ofic"], {"oficina_comercial": "OFICINA MONTALTO", "tipo_coincidencia": "Oficina Detectada"})])
 
 
-@proof("PL-03", """WITH s AS (SELECT CAST(o_orderdate AS DATE) AS fv,
+@proof("PL-03", """WITH s AS (SELECT CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS fv,
   CASE WHEN o_orderkey % 12 + 1 = 12 THEN '12:00' ELSE lpad(CAST(o_orderkey % 12 + 13 AS VARCHAR), 2, '0') || ':00' END AS hv,
-  CASE o_orderkey % 3 WHEN 0 THEN 'Vendedor OFICINA CENTRO' WHEN 1 THEN 'ofi  Norte' ELSE 'calle' END AS vend,
-  CAST(o_custkey AS VARCHAR) AS ab, o_orderstatus AS est, o_orderdate AS mt FROM orders),
-f AS (SELECT *, nullif(trim(regexp_extract(vend, '(?i).*(?:OFICINA|OFIC|OFI)\\s+(.*)$', 1)), '') AS ofi FROM s
-  WHERE regexp_matches(vend, '(?i)OFI') AND upper(trim(est)) IN ('F', 'O')),
-r AS (SELECT *, row_number() OVER (PARTITION BY ab, fv, hv ORDER BY mt DESC NULLS LAST, vend, est, ofi) AS rn FROM f)
-SELECT fv AS "Fecha Venta", ofi AS "Oficina", 'FR' AS "Franquicia", count(*) AS "Ventas" FROM r WHERE rn = 1 GROUP BY 1, 2, 3""")
+  CASE o_orderkey % 5 WHEN 0 THEN 'VENDEDOR OFICINA CENTRO' WHEN 1 THEN 'OFI  NORTE' WHEN 2 THEN 'CALLE' WHEN 3 THEN 'AGENTE OFI SUR' END AS vend,
+  CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS ab, o_orderstatus AS est, o_orderdate AS mt, o_custkey FROM orders
+  WHERE o_orderkey % 7 <> 0),
+f AS (SELECT *, nullif(trim(regexp_extract(vend, '.*(?:OFICINA|OFIC|OFI)\\s+(.*)$', 1)), '') AS ofi FROM s WHERE vend LIKE '%OFI%' AND vend NOT LIKE '%AGENTE%'),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab, fv, hv ORDER BY mt DESC NULLS LAST, est, vend) AS rn FROM f)
+SELECT ab AS "N° Abonado", CAST(o_custkey AS VARCHAR) AS "Documento", est AS "Estatus", fv AS "Fecha", vend AS "Vendedor", NULL::VARCHAR AS "Costo",
+  NULL::VARCHAR AS "Grupo Afinidad", 'FR' AS "Nombre Franquicia", NULL::VARCHAR AS "Ciudad", hv AS "Hora", 'Ventas' AS "Tipo de afluencia", ofi AS "Oficina"
+FROM r WHERE rn = 1""")
 def pl03(spark, d):
     o = Tables(spark, d).orders
-    k = F.col("o_orderkey") % 3
-    bronze = o.select(F.date_format("o_orderdate", "dd/MM/yyyy").alias("Fecha Venta"),
+    k = F.col("o_orderkey") % 5
+    bronze = o.select(F.when(F.col("o_orderkey") % 17 > 0, F.date_format("o_orderdate", "dd/MM/yyyy")).alias("Fecha Venta"),
                       F.concat((F.col("o_orderkey") % 12 + 1).cast("string"), F.lit(":15 p. m.")).alias("Hora venta"),
-                      F.when(k == 0, "Vendedor OFICINA CENTRO").when(k == 1, "ofi  Norte").otherwise("calle").alias("Vendedor"),
-                      F.col("o_custkey").cast("string").alias("N° Abonado"), F.col("o_orderstatus").alias("Estatus"),
-                      F.col("o_custkey").cast("string").alias("Cédula"), F.lit("FR").alias("Nombre Franquicia"),
+                      F.when(k == 0, " Vendedor OFICINA CENTRO").when(k == 1, "ofi  Norte").when(k == 2, "calle").when(k == 3, "Agente ofi sur").alias("Vendedor"),
+                      F.when(F.col("o_orderkey") % 7 == 0, "Plan Play").otherwise("Plan Hogar").alias("Paquete/Servicio"),
+                      F.when(F.col("o_custkey") % 50 > 0, F.col("o_custkey").cast("string")).alias("N° Abonado"), F.col("o_orderstatus").alias("Estatus"),
+                      F.col("o_custkey").cast("string").alias("Cédula"), F.lit("FR").alias("Franquicia"),
                       F.col("o_orderdate").alias("Fecha_Modificacion_Archivo"))
-    silver, gold = SA.sales_status(bronze, statuses=["F", "O"])
-    return gold
+    return SA.sales_status(bronze, exclude_package_regex="PLAN PLAY")
 
 
 EVB_SQL = """b AS (SELECT CAST(user_id AS VARCHAR) || '.0' AS ab, replace(format('{:,}', user_id * 1000 + 3), ',', '.') AS doc,
