@@ -48,6 +48,7 @@ def recurrence_groups(df: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
     The ordered lists are skew-safe two-phase aggregations joined on the keys."""
     keys = [k.period_key, k.period, k.contract, k.cause]
     order = [c(k.opened), c(k.ticket)]
+    df = df.dropna(subset=keys)  # a NULL key is no group
     g = df.groupBy(*[c(x) for x in keys]).agg(
         F.count(F.lit(1)).alias("Repeticiones"),
         round_half_even(F.avg("Supervivencia_Dias"), 1).alias("Promedio_Supervivencia_Dias")).filter(F.col("Repeticiones") > 1)
@@ -87,6 +88,7 @@ def friction(df: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
     """AN-05: per period x contract: tickets, solution journey (distinct, in
     opening order, ' ➔ '), distinct causes and solutions; > 1 ticket only."""
     keys = [k.period_key, k.period, k.contract]
+    df = df.dropna(subset=keys)  # a NULL key is no group
     g = df.groupBy(*[c(x) for x in keys]).agg(
         F.count(F.lit(1)).alias("Total_Tickets"),
         F.count_distinct(c(k.cause)).alias("Cantidad_Causas_Distintas"),
@@ -118,7 +120,7 @@ def lifetime_journey(fr: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
 def repeat_rate(surv: DataFrame, k: TicketCols = TicketCols(), min_tickets: int = 20) -> DataFrame:
     """AN-08: per work group: tickets, reopened tickets (a next opening exists),
     mean survival, repeat rate %; groups with fewer than ``min_tickets`` dropped."""
-    g = surv.groupBy(c(k.group)).agg(
+    g = surv.dropna(subset=[k.group]).groupBy(c(k.group)).agg(
         F.count(c(k.ticket)).alias("Total_Tickets_Atendidos"),
         F.count_if(F.col("Siguiente_Apertura").isNotNull()).alias("Tickets_Reincidentes"),
         round_half_even(F.avg("Supervivencia_Dias"), 2).alias("Dias_Prom_Reincidencia"))

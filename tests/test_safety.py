@@ -124,3 +124,18 @@ def test_a_master_in_parts_identifies_as_one_part_does(spark):
     one = sorted(map(str, identify(texts, "t", master).collect()))
     assert sorted(map(str, identify(texts, "t", master, part_rows=1).collect())) == one
     assert sum("Exacta" in x for x in one) == 3
+
+
+def test_null_keys_form_no_recurrence_groups(spark):
+    from strata.plans import analytics as AN
+
+    k = AN.TicketCols()
+    cols = [k.period_key, k.period, k.contract, k.cause, k.opened, k.ticket, k.solution, k.group]
+    rows = [(1, "Q1", con, cause, f"2024-01-{d:02d}", f"{con}{cause}{d}", "s", g)
+            for con, cause, g in [("a", "x", "n"), (None, "x", "n"), ("b", None, None)] for d in (1, 5)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` {'int' if i == 0 else 'string'}" for i, n in enumerate(cols)))
+    df = df.withColumn(k.opened, F.to_timestamp(k.opened)).withColumn("Supervivencia_Dias", F.lit(1.0))
+    assert [(r[k.contract], r["Repeticiones"]) for r in AN.recurrence_groups(df, k).collect()] == [("a", 2)]
+    assert sorted((r[k.contract], r["Total_Tickets"], r["Viaje_Soluciones"]) for r in AN.friction(df, k).collect()) == [("a", 2, "s"), ("b", 2, "s")]
+    rate = AN.repeat_rate(df.withColumn("Siguiente_Apertura", F.lit(None).cast("timestamp")), k, min_tickets=1)
+    assert [r[k.group] for r in rate.collect()] == ["n"]
