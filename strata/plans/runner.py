@@ -25,7 +25,7 @@ def _publish(lake: Lake, tables: dict[str, tuple[str, DataFrame]]) -> list[dict]
 def run_tickets(spark: SparkSession, lake: Lake, raw_path: str, rules: T.TicketRules) -> list[dict]:
     """PL-15: every ticket workbook (the period comes from each file name) ->
     silver master + the five golds."""
-    rows, _errors = read_workbooks(spark, raw_path)
+    rows, errors = read_workbooks(spark, raw_path, exclude=("consolidado",))
     out = T.build(rows, rules)
     silver = out.pop("Tickets_Silver_Master")
     lake.save(silver, "silver", "Tickets_Silver_Master", audit=True)
@@ -33,7 +33,12 @@ def run_tickets(spark: SparkSession, lake: Lake, raw_path: str, rules: T.TicketR
     golds = {"SLA_Gold": T.sla_gold(silver), "IDF_Gold": T.idf_gold(silver),
              "IDF_Gold_Detalle_Solucion": T.idf_detail_gold(silver), "SLA_GOLD_STATS": T.sla_stats_gold(silver),
              "Tickets_Fact_Gold": T.fact_gold(silver)}
-    return _publish(lake, {k: ("gold", v) for k, v in golds.items()})
+    return _publish(lake, {k: ("gold", v) for k, v in golds.items()}) + _unreadable(errors)
+
+
+def _unreadable(errors: DataFrame) -> list[dict]:
+    """One audit entry for each workbook that could not be read."""
+    return [{"file": r.source_name, "written": False, "reason": r.error} for r in errors.select("source_name", "error").toLocalIterator()]
 
 
 def run_collections(spark: SparkSession, lake: Lake, payments_raw: str, hours_raw: str | None,
@@ -51,13 +56,13 @@ def run_collections(spark: SparkSession, lake: Lake, payments_raw: str, hours_ra
 def run_stock(spark: SparkSession, lake: Lake, raw_path: str) -> list[dict]:
     """PL-14: snapshot workbooks -> silver merged by period label -> gold; the
     gold is rebuilt from silver every run (MRG-06)."""
-    rows, _errors = read_workbooks(spark, raw_path)
+    rows, errors = read_workbooks(spark, raw_path)
     batch = ST.stock_silver(rows)
     history = lake.read("silver", "Stock_Abonados_Silver") if lake.exists("silver", "Stock_Abonados_Silver") else None
     merged = ST.merge_stock(history, batch)
     lake.save(merged, "silver", "Stock_Abonados_Silver", audit=True)
     silver = lake.read("silver", "Stock_Abonados_Silver")
-    return _publish(lake, {"Stock_Abonados_Gold": ("gold", ST.stock_gold(silver, drop_null_keys=history is None))})
+    return _publish(lake, {"Stock_Abonados_Gold": ("gold", ST.stock_gold(silver, drop_null_keys=history is None))}) + _unreadable(errors)
 
 
 def newest_workbook(spark: SparkSession, folder: str) -> DataFrame:

@@ -82,7 +82,9 @@ class XlsxReader(DataSourceReader):
         pattern = self.options.get("path")
         files = sorted(_glob.glob(pattern)) if any(ch in pattern for ch in "*?[") else \
             sorted(_glob.glob(os.path.join(pattern, "*.xlsx")))
-        excl = [e.lower() for e in self.options.get("exclude", "~$|consolidado").split("|") if e]
+        # lock files of open workbooks never count; other names only if the caller leaves them out
+        excl = [e.lower() for e in self.options.get("exclude", "").split("|") if e]
+        files = [f for f in files if not os.path.basename(f).startswith("~$")]
         files = [f for f in files if not any(e in os.path.basename(f).lower() for e in excl)]
         return [_FilePartition(f) for f in files]
 
@@ -91,7 +93,7 @@ class XlsxReader(DataSourceReader):
 
         name = os.path.basename(partition.path)
         try:
-            mtime = dt.datetime.fromtimestamp(os.path.getmtime(partition.path))
+            mtime = dt.datetime.fromtimestamp(os.path.getmtime(partition.path), dt.timezone.utc)
             with open(partition.path, "rb") as fh:
                 data = fh.read()
             for i, cells in enumerate(xlsx_rows(data, int(self.options.get("sheet", "0")))):
@@ -118,12 +120,12 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(XlsxDataSource)
 
 
-def read_workbooks(spark: SparkSession, path: str, sheet: int = 0) -> tuple[DataFrame, DataFrame]:
-    """SRC-05: (rows, errors). ``rows`` has named all-text columns plus
+def read_workbooks(spark: SparkSession, path: str, sheet: int = 0, exclude: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """SRC-05: (rows, errors) of all workbooks but lock files and those whose name holds one of ``exclude``. ``rows`` has named all-text columns plus
     ``Source.Name`` and ``Fecha_Modificacion_Archivo``; unreadable files are in
     ``errors`` (source_name, error)."""
     register(spark)
-    long = spark.read.format("strata_xlsx").option("path", path).option("sheet", str(sheet)).load()
+    long = spark.read.format("strata_xlsx").option("path", path).option("sheet", str(sheet)).option("exclude", "|".join(exclude)).load()
     errors = long.filter(F.col("error").isNotNull()).select("source_name", "error")
     return promote_header(long.filter(F.col("error").isNull())), errors
 
