@@ -23,6 +23,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.joins import attach_scalar
 from strata.operators.keys import global_sequence
 from strata.session import cut_lineage
 
@@ -121,7 +122,7 @@ def next_of(docs: DataFrame) -> DataFrame:
     numbered = global_sequence(docs.select("k0", "k1", "k2", "n").distinct(), ["k0", "k2"], out="seq")
     last = numbered.agg(F.max("seq").alias("last"))
     after = numbered.select(F.col("seq").alias("at"), F.col("k1").alias("next_k1"), F.col("k2").alias("next_k2"))
-    wanted = numbered.join(F.broadcast(last)).select("k1", "k2", "n", F.when(F.col("seq") == 1, F.col("last")).otherwise(F.col("seq") - 1).alias("at"))
+    wanted = attach_scalar(numbered, last).select("k1", "k2", "n", F.when(F.col("seq") == 1, F.col("last")).otherwise(F.col("seq") - 1).alias("at"))
     return wanted.join(after, "at").drop("at")
 
 
