@@ -4,8 +4,9 @@ Words (letters and digits, A-Z lower-cased) are the symbols. A document is conta
 of n words if a stretch of it is within ``k = floor(n * MOST_EDITS)`` word edits of the item.
 
 1. *Windows*: any such stretch holds at least ``n - 1 - 2k`` of the item's word pairs within n + k
-   words (an edit breaks two pairs at most), so only item-sized windows where that many of the
-   item's pairs fall together are looked at. The bound is exact: it loses no match.
+   words (an edit breaks two pairs at most; a pair counts as often as the item has it), so only
+   item-sized windows where that many of the item's pairs fall together are looked at. The bound
+   is exact: it loses no match.
 2. *Embedding*: the CGK random walk reads a window (or item) word by word: step j writes the current
    word, and a random bit of (j, word) decides whether to go on to the next. It maps edit distance to
    Hamming distance: one edit shifts the walks against each other, until they meet again.
@@ -40,7 +41,7 @@ from .text import Roller, Words, byte_values, letter_bytes, lower_table, mix, sl
 #: Word edits for each word of an item.
 MOST_EDITS = 0.2
 #: Share of copies at the largest distance that must collide; places that a repetition compares.
-RECALL, BITS = 0.98, 6
+RECALL, BITS = 0.98, 3
 #: Repetitions at most: at these, every window of step 1 is verified, whatever it collides with.
 MOST_TABLES = 256
 PART_BYTES = 8 << 20
@@ -153,12 +154,14 @@ class Items:
         self.ids, self.words = [ids[i] for i in own], [every[i] for i in own]
         self.edits = np.array([edits_allowed(len(x), most_edits) for x in self.words], np.int64)
         self.need = np.array([max(1, len(x) - 1 - 2 * k) for x, k in zip(self.words, self.edits, strict=True)], np.int64)
-        pairs = [np.unique(pair_hashes(x)) for x in self.words]
-        keys = np.concatenate([np.zeros(0, np.uint64), *pairs])
-        of = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
+        pairs = [np.unique(pair_hashes(x), return_counts=True) for x in self.words]
+        keys = np.concatenate([np.zeros(0, np.uint64), *(p for p, _ in pairs)])
+        times = np.concatenate([np.zeros(0, np.int64), *(m for _, m in pairs)])
+        of = np.repeat(np.arange(len(pairs)), [len(p) for p, _ in pairs])
         order = np.argsort(keys, kind="stable")
         self.pair, first = np.unique(keys[order], return_index=True)
-        self.of, self.cut = of[order], np.append(first, len(keys))
+        #: For each pair the items that have it, and how often.
+        self.of, self.times, self.cut = of[order], times[order], np.append(first, len(keys))
         self.leads = np.zeros(1 << 20, bool)
         self.leads[(self.pair >> np.uint64(44)).astype(np.int64)] = True
         self.tables = tables_for(self.words, recall, most_edits)
@@ -179,21 +182,32 @@ def _find(items: Items, h: np.ndarray, w: Words):
     hit = items.pair[row] == pair[some]
     place, row = at[some[hit]], row[hit]
     count = items.cut[row + 1] - items.cut[row]
-    place = np.repeat(place, count)
-    of = items.of[np.repeat(items.cut[row] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+    place, kind = np.repeat(place, count), np.repeat(row, count)
+    at = np.repeat(items.cut[row] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+    of, times = items.of[at], items.times[at]
     doc = np.searchsorted(w.of_doc, place, "right") - 1
     group = doc * len(items.ids) + of
+    # documents with enough of an item's pairs, wherever they are
+    order = np.lexsort((kind, group))
+    g, k_ = group[order], kind[order]
+    begin = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (k_[1:] != k_[:-1])])) if len(g) else np.zeros(0, np.int64)
+    seen = np.minimum(np.diff(np.append(begin, len(g))), times[order][begin])
+    which, at = np.unique(g[begin], return_inverse=True)
+    which = which[np.bincount(at, seen, len(which)) >= items.need[which % len(items.ids)]]
+    own = np.isin(group, which)
+    place, kind, group, times = place[own], kind[own], group[own], times[own]
     order = np.lexsort((place, group))
-    place, group = place[order], group[order]
+    place, kind, group, times = place[order], kind[order], group[order], times[order]
     cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])) if len(group) else np.zeros(1, np.int64)
-    enough = np.flatnonzero(np.diff(cut) >= items.need[group[cut[:-1]] % len(items.ids)])
-    for g in enough.tolist():
-        hits = place[cut[g] : cut[g + 1]]
+    for g in range(len(cut) - 1):
+        hits, kinds, most = (x[cut[g] : cut[g + 1]] for x in (place, kind, times))
         d, i = divmod(int(group[cut[g]]), len(items.ids))
         item, k, need = items.words[i], int(items.edits[i]), int(items.need[i])
         n = len(item)
         # places where enough of the item's pairs fall within n + k words
-        close = np.flatnonzero(hits[need - 1 :] - hits[: len(hits) - need + 1] <= n + k - 2)
+        stop = np.searchsorted(hits, hits + n + k - 2, "right")
+        close = np.flatnonzero(stop - np.arange(len(hits)) >= need)
+        close = np.array([x for x in close.tolist() if _together(kinds[x : stop[x]], most[x : stop[x]]) >= need], np.int64)
         if not len(close):
             continue
         low, high = int(w.of_doc[d]), int(w.of_doc[d + 1])
@@ -210,6 +224,12 @@ def _find(items: Items, h: np.ndarray, w: Words):
             yield d, i, best[0], best[1] - low, best[2]
 
 
+def _together(kinds: np.ndarray, most: np.ndarray) -> int:
+    """Pairs in a window, each kind as often as the item has it at most."""
+    _, first, n = np.unique(kinds, return_index=True, return_counts=True)
+    return int(np.minimum(n, most[first]).sum())
+
+
 def _verified(h: np.ndarray, starts: np.ndarray, low: int, high: int, item: np.ndarray, k: int, tables: int):
     """(edits, start, words) of the best stretch about the first windows that collide and prove near."""
     n, rest = len(item), starts
