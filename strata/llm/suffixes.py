@@ -36,6 +36,9 @@ from . import exchange as X
 from .text import Roller, byte_values, mix, slices, text_buffers
 
 WIDTH, TRIGGER = 50, 20
+#: Text of one home (its phrases and contested strings are some 60 bytes for a byte at their peak), and
+#: homes whose hashes one bucket holds.
+HOME_BYTES, HOMES_IN_BUCKET = 3 << 20, 4
 #: Low bits of a sort key that hold the place (texts of up to 256 MB), below the hash's.
 _PLACE_BITS = 28
 _BASE_BYTE = 0x5851F42D4C957F2D
@@ -97,6 +100,8 @@ class _Home:
         self.bucket = (mark[self.owner] % np.uint64(buckets)).astype(np.int64)
         self.sent = np.lexsort((self.owner, self.bucket))
         self.text, self.mark = text[self.owner], (mark[self.owner] >> np.uint64(32)).astype(np.uint32)
+        self.phrase = self.phrase.astype(np.int32)
+        self.count, self.doc = self.count.astype(np.int32), self.doc.astype(np.int32)
 
     def _prefix(self, a: int, b: int) -> tuple[np.ndarray, int, np.ndarray]:
         base = int(self.offsets[a])
@@ -124,8 +129,8 @@ class _Home:
     def strings(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(hash of each string of these phrases of the dictionary, in order; phrase of each)."""
         place, count = self.start[self.owner[phrases]], self.count[self.owner[phrases]]
-        of = np.repeat(np.arange(len(phrases)), count)
-        at = place[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        of = np.repeat(np.arange(len(phrases), dtype=np.int32), count)
+        at = np.arange(len(of)) + np.repeat(place - (np.cumsum(count) - count), count)
         out = np.zeros(len(at), np.uint64)
         ends = self.offsets[[b for _, b in self.parts]] if self.parts else np.zeros(0, np.int64)
         part = np.searchsorted(ends, at, "right")
@@ -288,17 +293,18 @@ def _apply(width: int, trigger: int, buckets: int):
     return apply
 
 
-def drop_shared_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, trigger: int = TRIGGER, carry: list[str] | None = None, home_bytes: int = X.HOME_BYTES) -> DataFrame:
+def drop_shared_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, trigger: int = TRIGGER, carry: list[str] | None = None, home_bytes: int = HOME_BYTES) -> DataFrame:
     """One row for each document: (id, n_bytes, n_removed, n_spans, kept), and with ``carry`` a struct
     ``extra`` of those columns. ``kept`` is the remaining bytes."""
-    homes = X.n_homes(X.text_bytes(docs, text_col), home_bytes)
+    total = X.text_bytes(docs, text_col)
+    homes, buckets = X.n_homes(total, home_bytes), X.n_homes(total, HOMES_IN_BUCKET * home_bytes)
     kept = X.at_home(docs, id_col, text_col, homes, carry)
     plain = kept.select("home", "id", "text")
-    sent = plain.groupBy("home").applyInArrow(_send_dictionary(width, trigger, homes), _SENT_DDL)
+    sent = plain.groupBy("home").applyInArrow(_send_dictionary(width, trigger, buckets), _SENT_DDL)
     settled = sent.groupBy("bucket").applyInArrow(_judge_dictionary, "home int, bucket int, answer binary")
-    rims = X.by_home(plain, settled, _send_contested(width, trigger, homes), _SENT_DDL)
+    rims = X.by_home(plain, settled, _send_contested(width, trigger, buckets), _SENT_DDL)
     answers = rims.groupBy("bucket").applyInArrow(_judge_contested, "home int, bucket int, kind int, answer binary")
-    return X.by_home(kept, answers, _apply(width, trigger, homes), X.with_extra(kept, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"))
+    return X.by_home(kept, answers, _apply(width, trigger, buckets), X.with_extra(kept, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"))
 
 
 def op2_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
