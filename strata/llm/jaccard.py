@@ -2,27 +2,32 @@
 
 A document's set is its distinct word shingles. Documents a and b link when
 ``100 * |a & b| >= 80 * |a | b|``, so they share at least T = ceil(4/5 * max(|a|, |b|)) shingles.
-DivideSkip divides the |a| inverted lists of a set's shingles into L long ones and the rest; a
-partner must occur at least T - L times in the short lists, and is then looked up by binary
-search in the long ones. Here L = T - 1: the short lists are the |a| - T + 1 rarest shingles of a
-set, one occurrence there makes a candidate, and the T - 1 long lists are never merged.
-
-1. *Statistics*: one pass over all texts gives each document's set size and a 64-bit set
-   fingerprint, and counts, in slices, shingles that several sets hold. The ``HEAVY`` most frequent
-   ones (a fixed bound, some 1 MB broadcast) come last in the order of shingles, by count; all
-   others are ordered by hash. Any order gives the same links; this one keeps the short lists short.
+DivideSkip divides the inverted lists of a set's shingles into L long ones and the rest: a partner
+must occur in T - L of the short lists at least, and is looked up in the long ones by binary search.
+Here the lists are those of a set's |a| - T + c rarest shingles, c = 1 + |a| // 20; any partner is in
+c of them (the smaller c of the two counts). Lists of over ``SHORT`` sets are the long ones.
+
+1. *Statistics*: one pass over all texts gives each document's set size and a 64-bit set key, and
+   counts, in slices, shingles that several sets hold. The ``HEAVY`` most frequent ones (a fixed
+   bound, 4 MB broadcast) come last in the order of shingles, by count; all others are ordered
+   by hash. Any order gives the same links; this one keeps the lists short.
 2. *Merging short lists*: each set sends its rarest shingles to hash buckets, packed, sets that are
-   equal once for each slice of texts. A bucket merges the lists by sorting and keeps those with two
-   different sets or more; lists with equal members are one list. Equal sets need no link at all.
-3. *Candidates in rounds*: in a list sorted by set size, each member has partners from the first
-   one whose size is in reach. Round 1 pairs each member with its first partner only, later rounds
-   with 4, 16, 64... further ones, leaving out pairs that links already connect. A group of near
-   copies is joined after one or two rounds, so pairs grow with the members, not their square;
-   rounds go on until every pair in every list is checked or connected, so no link is lost that
-   joins two components.
-4. *Probing*: sets of the members (only those) are written once; each pair of sets is joined and the
+   equal once for each slice of texts. A bucket merges its lists by sorting. Short lists give pairs
+   whose sizes are in reach of each other, and Spark counts the occurrences of each pair over all
+   buckets; a pair with fewer than c - min(l_a, l_b) of them cannot link, where l is the number of
+   a set's lists that are long. Equal sets are one set and need no link at all.
+3. *Two rounds*: round 1 pairs each set with its smallest partner from the short lists and with the
+   pivot of each of its long lists, the member with the most company in long lists (the original of a
+   group of near copies has most of what the others have). Round 2 takes all other pairs whose sets
+   are still apart: those of the short lists, and in long lists that hold several components every
+   pair, in blocks of ``BLOCK`` members, that passes the size bound and the sketch bound. A sketch is
+   the parity of a set's shingles in 512 cells; its Hamming distance is at most ``|a ^ b|``, which is
+   at most (|a| + |b|) / 9 for sets that link. Every pair of every list is so checked, connected or
+   excluded by a bound that holds for all links, so components are exact, while what is emitted are
+   pairs that are near.
+4. *Probing*: the sets of documents in such pairs and lists (only those) are written once; the
    smaller set's shingles are looked up in the larger one's by binary search.
-5. Components over set fingerprints (``components.py``), each named by its smallest document id.
+5. Components over set keys (``components.py``), each named by its smallest document id.
 
 Cases: NULL, empty and wordless texts have no shingles, link with nothing and are their own
 component; fewer than ``n`` words make one shingle; equal texts link; rows with equal ids are one
@@ -44,9 +49,13 @@ from .text import Roller, Words, byte_values, lower_table, mix, slices, text_buf
 
 N = 5
 #: Frequent shingles that are ordered by their count and broadcast; a shingle below it is ordered by hash.
-HEAVY = 65_536
+HEAVY = 262_144
+#: Sets that a short list holds at most.
+SHORT = 32
+#: Members of a long list that are compared in one task.
+BLOCK = 4096
 #: A shingle counts as frequent in a slice if so many of its sets hold it.
-HEAVY_IN_SLICE = 4
+HEAVY_IN_SLICE = 2
 #: Text hashed together; equal sets in it are sent once.
 SLICE_BYTES = 8 << 20
 
@@ -115,8 +124,8 @@ def _survey(n: int):
 
 
 def _rarest(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The shingles of a set's short lists: the first |s| - T + 1 in the order of shingles."""
-    want = len(s) - -(-4 * len(s) // 5) + 1
+    """The shingles whose lists a set is in: the first |s| - T + c in the order of shingles."""
+    want = len(s) - -(-4 * len(s) // 5) + 1 + len(s) // 20
     if not len(heavy):
         return s[:want]
     at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)
@@ -150,8 +159,16 @@ def _short_lists(n: int, buckets: int, frequent):
     return send
 
 
+#: Columns of a bucket's packed answer, with their types.
+_PAIRS = {"a": np.int64, "b": np.int64, "need": np.int32, "n": np.int32}
+_LONG = {"list": np.int64, "key": np.int64, "size": np.int32}
+_IN_LONG = {"member": np.int64, "lists": np.int32, "company": np.int64}
+_CELLS = 512
+_SKETCH = [f"s{i}" for i in range(_CELLS // 64)]
+
+
 def _merge_lists(table: pa.Table) -> pa.Table:
-    """Lists of two different sets or more: (list, place in it by size, first partner in reach, key, size)."""
+    """Merges a bucket's lists: occurrences of pairs in short lists; members of long ones, by size."""
     join = lambda c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(x, t) for x in table[c].to_pylist())])
     shingle, key, size = join("shingles", np.uint64), join("keys", np.int64), join("sizes", np.int32).astype(np.int64)
     # entries of shingles that occur twice or more
@@ -168,22 +185,55 @@ def _merge_lists(table: pa.Table) -> pa.Table:
     shingle, key, size = shingle[once], key[once], size[once]
     begin = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]])) if len(shingle) else np.zeros(0, np.int64)
     length = np.diff(np.append(begin, len(shingle)))
-    # of lists with the same members one is kept
+    own = np.repeat(length, length)
+    out = _short_pairs(shingle[own <= SHORT], key[own <= SHORT], size[own <= SHORT])
+    member, at, lists = np.unique(key[own > SHORT], return_inverse=True, return_counts=True)
+    company = np.bincount(at, own[own > SHORT], len(member))
+    out |= {"member": member, "lists": lists, "company": company} | _long_lists(key, size, begin[length > SHORT], length[length > SHORT])
+    types = _PAIRS | _LONG | _IN_LONG
+    return pa.table({c: pa.array([out[c].astype(t).tobytes()], pa.binary()) for c, t in types.items()})
+
+
+def _short_pairs(shingle: np.ndarray, key: np.ndarray, size: np.ndarray) -> dict[str, np.ndarray]:
+    a, b, need = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    at = np.arange(len(shingle))
+    for gap in range(1, SHORT):
+        at = at[: np.searchsorted(at, len(shingle) - gap)]
+        at = at[(shingle[at] == shingle[at + gap]) & (5 * size[at] >= 4 * size[at + gap])]  # sizes ascend: nothing further is in reach either
+        if not len(at):
+            break
+        a.append(np.minimum(key[at], key[at + gap]))
+        b.append(np.maximum(key[at], key[at + gap]))
+        need.append(1 + size[at] // 20)
+    a, b, need = np.concatenate(a), np.concatenate(b), np.concatenate(need)
+    order = np.lexsort((b, a))
+    a, b, need = a[order], b[order], need[order]
+    new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
+    return {"a": a[new], "b": b[new], "need": need[new], "n": np.diff(np.append(new, len(a)))}
+
+
+def _long_lists(key: np.ndarray, size: np.ndarray, begin: np.ndarray, length: np.ndarray) -> dict[str, np.ndarray]:
+    """(list, key, size) of members; of lists with equal members one is kept."""
+    total = np.zeros(len(key) + 1, np.uint64)
     with np.errstate(over="ignore"):
-        members = np.add.reduceat(mix(key.view(np.uint64), 13), begin) if len(begin) else np.zeros(0, np.uint64)
+        np.cumsum(mix(key.view(np.uint64), 13), out=total[1:])
+        members = total[begin + length] - total[begin]
     _, kept = np.unique(members, return_index=True)
-    kept = kept[length[kept] > 1]
     begin, length, members = begin[kept], length[kept], members[kept]
-    at = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-    place = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
-    size, key = size[at], key[at]
-    # the first partner in reach: sizes within a list ascend, so one search over (list, size) serves all lists
     which = np.repeat(np.arange(len(length)), length)
-    low = -(-4 * size // 5)
-    span = int(size.max(initial=0)) + 1
-    first = np.searchsorted(which * span + size, which * span + low) - (np.cumsum(length) - length)[which]
-    inner = (first < place) | np.append((which[1:] == which[:-1]) & (first[1:] <= place[:-1]), False)
-    return pa.table({"list": pa.array(members.view(np.int64)[which][inner]), "place": pa.array(place[inner].astype(np.int32)), "first": pa.array(first[inner].astype(np.int32)), "key": pa.array(key[inner])})
+    at = begin[which] + np.arange(len(which)) - (np.cumsum(length) - length)[which]
+    return {"list": members.view(np.int64)[which], "key": key[at], "size": size[at]}
+
+
+def _unpacked(packed: DataFrame, columns: dict) -> DataFrame:
+    """Rows of the columns that buckets answered in packed form."""
+
+    def unpack(batches):
+        for batch in batches:
+            for i in range(len(batch)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(batch[c][i].as_py(), t)) for c, t in columns.items()], list(columns))
+
+    return packed.select(*columns).mapInArrow(unpack, ", ".join(f"{c} {'bigint' if t is np.int64 else 'int'}" for c, t in columns.items()))
 
 
 def _sets_of(n: int):
@@ -216,52 +266,95 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = X.n_homes(X.text_bytes(docs, text_col))
     surveyed = cut_lineage(kept.mapInArrow(_survey(n), "id bigint, n_shingles bigint, key bigint, shingle bigint, count bigint"))
     rows = surveyed.where("shingle IS NULL").select("id", "n_shingles", "key")
-    most = surveyed.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "shingle").limit(HEAVY).collect()
-    heavy = np.array([r["shingle"] for r in most], np.int64).view(np.uint64)
+    most = surveyed.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "shingle").limit(HEAVY).select("shingle").toArrow()
+    heavy = most["shingle"].to_numpy().view(np.uint64)
     order = np.argsort(heavy)
     rank = np.empty(len(heavy), np.int64)
     rank[:] = np.arange(len(heavy))[::-1][order]  # the rarest of them first
     frequent = spark.sparkContext.broadcast((heavy[order].tobytes(), rank.tobytes()))
 
     sent = kept.mapInArrow(_short_lists(n, buckets, frequent), "bucket int, shingles binary, keys binary, sizes binary")
-    lists = cut_lineage(sent.groupBy("bucket").applyInArrow(_merge_lists, "list bigint, place int, first int, key bigint"))
+    packed = cut_lineage(sent.groupBy("bucket").applyInArrow(_merge_lists, ", ".join(f"{c} binary" for c in (_PAIRS | _LONG | _IN_LONG))))
+    in_long = cut_lineage(_unpacked(packed, _IN_LONG).groupBy("member").agg(F.sum("lists").alias("lists"), F.sum("company").alias("company")))
+    lists, pairs = _unpacked(packed, _LONG), _candidates(packed, in_long)
 
     # the sets of all members, from one document of each
-    members = lists.select("key").distinct()
-    example = rows.join(members, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
-    texts = kept.alias("d").join(example.select("id").alias("e"), F.col("d.id").eqNullSafe(F.col("e.id")), "left_semi")
-    sets = cut_lineage(texts.mapInArrow(_sets_of(n), "key bigint, shingles binary").join(members, "key", "left_semi").dropDuplicates(["key"]))
+    members = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(lists.select("key")).distinct()
+    example = cut_lineage(rows.join(members, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id")))
+    wanted = X.sent_if_small(example.select(F.col("id").alias("wanted")).distinct())
+    texts = kept.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
+    sets = cut_lineage(texts.mapInArrow(_sets_of(n), "key bigint, shingles binary").join(X.sent_if_small(example.select("key")), "key", "left_semi"))
 
-    groups = _groups(lists, sets)
+    groups = _groups(pairs, lists, in_long, sets)
     named_rows = rows.join(groups.withColumnRenamed("node", "key"), "key", "left").select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "key")).alias("component"))
     least = named_rows.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
     return named_rows.join(least, "component", "left").select("id", "n_shingles", F.coalesce("least", "id").alias("component_id"))
 
 
-def _groups(lists: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, component) of set keys; candidates in rounds as told above."""
-    links, checked, lo, hi = None, None, 0, 1
-    while True:
-        if links is None:
-            left = lists.withColumn("component", F.col("key"))
-        else:
-            groups = components(links)
-            left = lists.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-            open_ = left.groupBy("list").agg((F.min("component") != F.max("component")).alias("mixed"), F.max(F.col("place") - F.col("first")).alias("reach")).where(f"mixed AND reach > {lo}")
-            left = cut_lineage(left.join(open_.select("list"), "list", "left_semi"))
-            if left.isEmpty():
-                return groups
-        tries = left.where(F.col("first") + lo < F.col("place")).select("list", "component", "key", F.explode(F.sequence(F.col("first") + lo, F.least(F.col("first") + (hi - 1), F.col("place") - 1))).alias("at"))
-        partner = left.select("list", F.col("place").alias("at"), F.col("key").alias("other"), F.col("component").alias("other_component"))
-        pairs = tries.join(partner, ["list", "at"]).where("component != other_component").select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        both = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
-        found = cut_lineage(both.select("a", "b", "x", "y").mapInArrow(_probe, "a bigint, b bigint"))
-        links = found if links is None else links.union(found)
-        checked = pairs if checked is None else checked.union(pairs)
-        lo, hi = hi, hi + 4 * (hi - lo)
+def _candidates(packed: DataFrame, in_long: DataFrame) -> DataFrame:
+    """(a, b) of sets that occur together often enough in short lists, given how many long lists each is in."""
+    pairs = _unpacked(packed, _PAIRS).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    for c in ("a", "b"):
+        pairs = pairs.join(in_long.select(F.col("member").alias(c), F.col("lists").alias(f"long_{c}")), c, "left")
+    return cut_lineage(pairs.where("n >= need - least(coalesce(long_a, 0), coalesce(long_b, 0))").select("a", "b"))
+
+
+def _sketches(batches):
+    for batch in batches:
+        rows = [np.packbits(np.bincount((np.frombuffer(v.as_buffer(), np.uint64) % np.uint64(_CELLS)).astype(np.int64), minlength=_CELLS) & 1) for v in batch["shingles"]]
+        cells = np.stack(rows).view(np.int64) if rows else np.zeros((0, len(_SKETCH)), np.int64)
+        yield pa.RecordBatch.from_arrays([batch["key"], *(pa.array(cells[:, i]) for i in range(len(_SKETCH)))], ["key", *_SKETCH])
+
+
+def _near(table: pa.Table) -> pa.Table:
+    """Pairs of members of one list, from one or two of its blocks, that are apart and within both bounds."""
+    table = table.combine_chunks()
+    key, size, component, block = (table[c].to_numpy() for c in ("key", "size", "component", "block"))
+    cells = np.stack([table[c].to_numpy() for c in _SKETCH], 1).view(np.uint64)
+    low, high = table["i"][0].as_py(), table["j"][0].as_py()
+    own, other = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k, x in enumerate(own.tolist()):
+        y = own[k + 1 :] if low == high else other
+        y = y[(component[y] != component[x]) & (5 * np.minimum(size[y], size[x]) >= 4 * np.maximum(size[y], size[x]))]
+        y = y[9 * np.bitwise_count(cells[y] ^ cells[x]).sum(1, dtype=np.int64) <= size[y] + size[x]]
+        a.append(np.minimum(key[y], key[x]))
+        b.append(np.maximum(key[y], key[x]))
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+
+def _linked(tries: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that link; only the sets that are tried are shuffled."""
+    others = sets.join(X.sent_if_small(tries.select("b").distinct()), F.col("key") == F.col("b"), "left_semi")
+    both = sets.withColumnsRenamed({"key": "a", "shingles": "x"}).join(X.sent_if_small(tries), "a").join(others.withColumnsRenamed({"key": "b", "shingles": "y"}), "b")
+    return cut_lineage(both.select("a", "b", "x", "y").mapInArrow(_probe, "a bigint, b bigint"))
+
+
+def _groups(pairs: DataFrame, lists: DataFrame, in_long: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, component) of set keys, in two rounds as told above."""
+    sketch = sets.mapInArrow(_sketches, ", ".join(["key bigint", *(f"{c} bigint" for c in _SKETCH)])).dropDuplicates(["key"])
+    lists = cut_lineage(lists.join(sketch, "key").join(in_long.select(F.col("member").alias("key"), "company"), "key"))
+
+    pivot = lists.groupBy("list").agg(F.max(F.struct("company", "key", "size", *_SKETCH)).alias("p"))
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p.{c}"))) for c in _SKETCH[1:]), F.bit_count(F.col("s0").bitwiseXOR(F.col("p.s0"))))
+    reach = (5 * F.least("size", "p.size") >= 4 * F.greatest("size", "p.size")) & (9 * apart <= F.col("size") + F.col("p.size"))
+    to_pivot = lists.join(pivot, "list").where((F.col("key") != F.col("p.key")) & reach).select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b"))
+    tries = cut_lineage(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(to_pivot).distinct())
+    links = _linked(tries, sets)
+
+    groups = cut_lineage(components(links).withColumnRenamed("node", "key"))
+    rest = pairs
+    for c in ("a", "b"):
+        rest = rest.join(groups.select(F.col("key").alias(c), F.col("component").alias(f"component_{c}")), c, "left")
+    rest = rest.where("coalesce(component_a, a) != coalesce(component_b, b)").select("a", "b")
+    members = lists.drop("company").join(groups, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    mixed = members.groupBy("list").agg((F.min("component") != F.max("component")).alias("mixed"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("mixed").drop("mixed")
+    blocks = members.join(mixed, "list").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = blocks.select("list", "key", "size", "component", "block", *_SKETCH, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    near = blocks.groupBy("list", "i", "j").applyInArrow(_near, "a bigint, b bigint")
+    rest = cut_lineage(rest.union(near).distinct().join(tries, ["a", "b"], "left_anti"))
+    return components(links.union(_linked(rest, sets)))
 
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
