@@ -5,16 +5,16 @@ folder that ``spark.checkpoint.dir`` names and read again as the next stage's do
 executor costs at most tasks of the running stage. All but the last return the columns of the
 documents they got. Other columns than ``doc_id``, ``text`` and ``n_chars`` pass through unread.
 
-Cases: NULL and empty texts are clean and pass all stages with no tokens; rows that repeat an id and
-its text count as copies of each other, and one of them stays; rows with equal ids and different
-texts are dropped by the near-duplicate stage only if each of them has its group's document elsewhere.
+Cases: each row is a document of its own, and stages decide by row (id and text), also for NULL and
+repeated ids; NULL, empty and wordless texts are clean, link with nothing and pass all stages, each row
+of them; rows that repeat an id and its words are copies of each other, and one of them stays.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import bpe, decontaminate, jaccard, toxicity, windows
@@ -30,19 +30,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean.select(*uncarried(clean, docs.columns))
 
 
+def row_key() -> Column:
+    """What tells rows apart: the id and a hash of the whole text. Equal texts get equal verdicts."""
+    return F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
+
+
+def drop_rows(docs: DataFrame, keys: DataFrame, how: str = "left_anti") -> DataFrame:
+    """The rows of docs whose keys are not among ``keys`` (id, text_hash); with left_semi, those whose keys are."""
+    keys = sent_if_small(keys.select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash")))
+    return docs.join(keys, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_hash")), how)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    found = jaccard.near_duplicates(docs)
-    by_id = found.groupBy("id").agg(F.max(F.col("id").eqNullSafe(F.col("component_id"))).alias("stays"), F.count("*").alias("rows"))
-    by_id = cut_lineage(by_id.where("NOT stays OR rows > 1"))
-    gone = sent_if_small(by_id.where("NOT stays").select(F.col("id").alias("gone")))
-    left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
-    again = by_id.where("stays AND rows > 1").select(F.col("id").alias("again"))
+    """One row of each group of near duplicates: the one with the smallest id (NULL ids last, then by the text's hash)."""
+    found = jaccard.grouped_rows(docs).where("n_shingles > 0")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
+    stays = found.groupBy("component").agg(F.min(order).alias("first")).select("component", "first.id", "first.text_hash")
+    rows = found.groupBy("id", "text_hash", "component").agg(F.count("*").alias("rows"))
+    same = rows["id"].eqNullSafe(stays["id"]) & (rows["text_hash"] == stays["text_hash"])
+    rows = rows.join(stays, "component").select(rows["id"], rows["text_hash"], "rows", same.alias("stays"))
+    rows = cut_lineage(rows.where("NOT stays OR rows > 1"))
+    left = drop_rows(docs, rows.where("NOT stays"))
+    again = rows.where("stays")
     if again.isEmpty():
         return left
-    twice = F.col("doc_id").eqNullSafe(F.col("again"))
-    once = left.join(sent_if_small(again), twice, "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(sent_if_small(again), twice, "left_anti").unionByName(once)
+    once = drop_rows(left, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return drop_rows(left, again).unionByName(once)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,10 +70,10 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = sent_if_small(cut_lineage(found.select(F.col("id").alias("gone")).distinct()))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    """Rows that hold no benchmark item."""
+    keyed = docs.select(row_key().alias("row"), "text")
+    found = decontaminate.contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row")
+    return drop_rows(docs, cut_lineage(found.select("id.id", "id.text_hash").distinct()))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import cut_lineage
@@ -106,7 +106,8 @@ def _distinct(s: _Sets) -> np.ndarray:
 
 
 def _survey(n: int):
-    """Rows of documents (id, n_shingles, set key), and of shingles that several sets of a slice hold."""
+    """Rows of documents (id, n_shingles, set key), and of shingles that several sets of a slice hold.
+    An id is whatever the rows have in that column."""
 
     def survey(batches):
         for ids, s in _batches(batches, n):
@@ -117,7 +118,7 @@ def _survey(n: int):
             count = np.diff(np.append(new, len(h)))
             many = count >= HEAVY_IN_SLICE
             k = int(many.sum())
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(h[new[many]].view(np.int64)), pa.array(count[many])], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, ids.type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(h[new[many]].view(np.int64)), pa.array(count[many])], names)
 
     names = ["id", "n_shingles", "key", "shingle", "count"]
     return survey
@@ -261,11 +262,30 @@ def _probe(batches):
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N) -> DataFrame:
     """One row for each document: (id, n_shingles, component_id)."""
+    named_rows = _named_rows(docs, id_col, text_col, n)
+    least = named_rows.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
+    return named_rows.join(least, "component", "left").select("id", "n_shingles", F.coalesce("least", "id").alias("component_id"))
+
+
+def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N) -> DataFrame:
+    """One row for each document: (id, text_hash, n_shingles, component), where text_hash is Spark's xxhash64
+    of the whole text and the component is named by a set key (NULL without shingles), so that NULL and
+    repeated ids are told apart."""
+    return _named_rows(docs, id_col, text_col, n, F.xxhash64(X.named(text_col)))
+
+
+def _named_rows(docs: DataFrame, id_col: str, text_col: str, n: int, text_hash: Column | None = None) -> DataFrame:
+    """(id[, text_hash], n_shingles, component) of each document."""
     spark = docs.sparkSession
     kept = docs.select(X.named(id_col).cast("long").alias("id"), X.named(text_col).alias("text"))
     buckets = X.n_homes(X.text_bytes(docs, text_col))
-    surveyed = cut_lineage(kept.mapInArrow(_survey(n), "id bigint, n_shingles bigint, key bigint, shingle bigint, count bigint"))
-    rows = surveyed.where("shingle IS NULL").select("id", "n_shingles", "key")
+    if text_hash is None:
+        read, id_type, own = kept, "bigint", ["id"]
+    else:
+        both = F.struct(X.named(id_col).cast("long").alias("id"), text_hash.alias("text_hash"))
+        read, id_type, own = docs.select(both.alias("id"), X.named(text_col).alias("text")), "struct<id:bigint,text_hash:bigint>", ["id.id", "id.text_hash"]
+    surveyed = cut_lineage(read.mapInArrow(_survey(n), f"id {id_type}, n_shingles bigint, key bigint, shingle bigint, count bigint"))
+    rows = surveyed.where("shingle IS NULL").select(*own, "n_shingles", "key")
     most = surveyed.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "shingle").limit(HEAVY).select("shingle").toArrow()
     heavy = most["shingle"].to_numpy().view(np.uint64)
     order = np.argsort(heavy)
@@ -286,9 +306,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = cut_lineage(texts.mapInArrow(_sets_of(n), "key bigint, shingles binary").join(X.sent_if_small(example.select("key")), "key", "left_semi"))
 
     groups = _groups(pairs, lists, in_long, sets)
-    named_rows = rows.join(groups.withColumnRenamed("node", "key"), "key", "left").select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "key")).alias("component"))
-    least = named_rows.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
-    return named_rows.join(least, "component", "left").select("id", "n_shingles", F.coalesce("least", "id").alias("component_id"))
+    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "key")).alias("component")
+    return rows.join(groups.withColumnRenamed("node", "key"), "key", "left").select(*[c.split(".")[-1] for c in own], "n_shingles", component)
 
 
 def _candidates(packed: DataFrame, in_long: DataFrame) -> DataFrame:

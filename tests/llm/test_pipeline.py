@@ -90,6 +90,32 @@ def test_stages_against_brute_force(spark, corpus):
     assert {(x.doc_id, x.n_tokens, bytes(x.ids)) for x in P.run(spark, d).collect()} == got
 
 
+def test_verdicts_are_by_row(spark, corpus):
+    """NULL and shared ids: what is contaminated or a copy goes, clean rows under the same id stay."""
+    d, _, _, items, _ = corpus
+    r = random.Random(5)
+    line = lambda n: " ".join(f"z{r.randrange(10**6)}" for _ in range(n))
+    a, b, c, e = (line(60) for _ in range(4))
+    leak = lambda: line(20) + " " + items[3][1] + " " + line(5)
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    of = lambda rows: spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema)
+
+    rows = [(None, leak()), (None, a), (None, None), (7, leak()), (7, b), (7, ""), (8, leak()), (9, c)]
+    left = sorted(((x.doc_id, x.text) for x in P.drop_contaminated(spark, of(rows), d).collect()), key=repr)
+    assert left == sorted([(None, a), (None, None), (7, b), (7, ""), (9, c)], key=repr)
+
+    # copies of a under NULL, 7 (twice) and 5; b only with copies under NULL; wordless rows are no copies
+    rows = [(None, a), (7, a), (7, a), (5, a + " tail"), (None, b), (None, b + " tail"), (None, c), (7, e), (None, None), (None, None), (7, ""), (7, "")]
+    left = [(x.doc_id, x.text) for x in P.drop_near_duplicates(spark, of(rows), d).collect()]
+    assert len([x for x in left if x[1] in (b, b + " tail")]) == 1
+    rest = sorted((x for x in left if x[1] not in (b, b + " tail")), key=repr)
+    assert rest == sorted([(5, a + " tail"), (None, c), (7, e), (None, None), (None, None), (7, ""), (7, "")], key=repr)
+
+    rows = [(7, a), (7, a), (7, e)]  # one row of the group's own id stays, other texts of that id too
+    left = sorted((x.doc_id, x.text) for x in P.drop_near_duplicates(spark, of(rows), d).collect())
+    assert left == sorted([(7, a), (7, e)])
+
+
 def test_stage_list():
     assert [n for n, _ in P.STAGES] == ["toxicity", "ngram_jaccard", "substring_dedup", "decontamination", "bpe"]
     assert P.ORACLE_SQL is None
