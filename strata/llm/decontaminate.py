@@ -10,18 +10,18 @@ of n words if a stretch of it is within ``k = floor(n * MOST_EDITS)`` word edits
 2. *Embedding*: the CGK random walk reads a window (or item) word by word: step j writes the current
    word, and a random bit of (j, word) decides whether to go on to the next. It maps edit distance to
    Hamming distance: one edit shifts the walks against each other, until they meet again.
-3. *LSH*: each of ``tables`` repetitions has a walk of its own and compares ``BITS`` sampled places. A
-   window collides with the item if all places of one repetition agree. The number of repetitions
-   is measured, not guessed: items are edited k times at random, and repetitions are added until at
-   least ``RECALL`` of these copies collide.
-4. *Verification*: colliding windows are widened by k words and the exact smallest number of word edits
-   between the item and any stretch in it is computed.
+3. *LSH*: each of ``TABLES`` repetitions has a walk of its own and compares ``BITS`` sampled places. A
+   window collides with the item if all places of one repetition agree. Collisions only say which
+   windows are verified first: the longer an item, the more repetitions a recall would need.
+4. *Verification*: windows are widened by k words and the exact smallest number of word edits between the
+   item and any stretch in them is computed; first about the windows that collide, then, if none of
+   them proves near, for all windows of step 1 that are left. So no match is lost, at any length.
 
 Items are broadcast in parts of at most ``PART_BYTES`` of text (one here), each part being one pass
 over the documents; documents are never shuffled. The result is one row for each document and item.
 
-Cases: NULL and empty texts hold no item; items of one word or none are in no pair and match nothing;
-items with equal texts each match; rows with equal ids are documents of their own; an item of a few
+Cases: NULL and empty texts hold no item; items of one word are in no pair and match that word wherever
+it is, items of none match nothing; items with equal texts each match; rows with equal ids are documents of their own; an item of a few
 words (n < 5) matches only as it is. One document's repeated passages give the best one's place.
 """
 
@@ -40,10 +40,8 @@ from .text import Roller, Words, byte_values, letter_bytes, lower_table, mix, sl
 
 #: Word edits for each word of an item.
 MOST_EDITS = 0.2
-#: Share of copies at the largest distance that must collide; places that a repetition compares.
-RECALL, BITS = 0.98, 3
-#: Repetitions at most: at these, every window of step 1 is verified, whatever it collides with.
-MOST_TABLES = 256
+#: Repetitions, and places that one compares.
+TABLES, BITS = 2, 3
 PART_BYTES = 8 << 20
 
 _BASE_WORD = 0x5851F42D4C957F2D
@@ -81,45 +79,6 @@ def agrees(windows: np.ndarray, lengths: np.ndarray, item: np.ndarray, table: in
     return (walk(windows, lengths, steps, table) == walk(item[None, :], np.array([len(item)]), steps, table)).all(1)
 
 
-def tables_for(items: list[np.ndarray], recall: float = RECALL, most_edits: float = MOST_EDITS, copies: int = 400) -> int:
-    """Repetitions after which that share of randomly edited copies collides with its item."""
-    r = np.random.default_rng(7)
-    longer = [x for x in items if edits_allowed(len(x), most_edits)]
-    if not longer:
-        return 1
-    own, edited = [], []
-    for c in range(copies):
-        item = longer[c % len(longer)]
-        x = item.tolist()
-        for _ in range(edits_allowed(len(item), most_edits)):
-            kind, p = r.integers(3), int(r.integers(len(x)))
-            if kind == 0:
-                x[p] = int(r.integers(1, 1 << 62))
-            elif kind == 1:
-                x.insert(p, int(r.integers(1, 1 << 62)))
-            elif len(x) > 1:
-                del x[p]
-        own.append(item)
-        edited.append(np.array(x, np.uint64))
-    (a, a_size), (b, b_size) = _padded(own), _padded(edited)
-    steps = np.arange(2 * int(a_size.max()))
-    caught = np.zeros(copies, bool)
-    for t in range(MOST_TABLES):
-        same = walk(a, a_size, steps, t) == walk(b, b_size, steps, t)
-        caught |= [bool(row[sampled_steps(n, t)].all()) for row, n in zip(same, a_size.tolist(), strict=True)]
-        if caught.mean() >= recall:
-            return t + 1
-    return MOST_TABLES
-
-
-def _padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    size = np.array([len(x) for x in rows])
-    out = np.zeros((len(rows), int(size.max())), np.uint64)
-    for i, x in enumerate(rows):
-        out[i, : len(x)] = x
-    return out, size
-
-
 def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """(edits, start, end) of the stretch of the text with the fewest word edits to the item; the first such end."""
     # one row for each word of the item; a column for each end in the text; starts travel along
@@ -144,16 +103,22 @@ def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 class Items:
     """Word hashes of items, and an index of their word pairs."""
 
-    def __init__(self, ids: list, texts: list[str], most_edits: float = MOST_EDITS, recall: float = RECALL):
+    def __init__(self, ids: list, texts: list[str], most_edits: float = MOST_EDITS):
         roller = Roller(_BASE_WORD)
         data, offsets = text_buffers(pa.array(texts, pa.string()))
         w = Words(data, offsets, letter_bytes()[data])
         h = w.hashes(roller, byte_values(), lower_table())
         every = [h[a:b] for a, b in zip(w.of_doc[:-1], w.of_doc[1:], strict=True)]
-        own = [i for i, x in enumerate(every) if len(x) > 1]
+        own = [i for i, x in enumerate(every) if len(x)]
         self.ids, self.words = [ids[i] for i in own], [every[i] for i in own]
         self.edits = np.array([edits_allowed(len(x), most_edits) for x in self.words], np.int64)
         self.need = np.array([max(1, len(x) - 1 - 2 * k) for x, k in zip(self.words, self.edits, strict=True)], np.int64)
+        single = [i for i, x in enumerate(self.words) if len(x) == 1]
+        word = np.array([self.words[i][0] for i in single], np.uint64)
+        order = np.argsort(word, kind="stable")
+        #: Words that are items, and for each the items that it is.
+        self.single, first = np.unique(word[order], return_index=True)
+        self.single_of, self.single_cut = np.array(single, np.int64)[order], np.append(first, len(word))
         pairs = [np.unique(pair_hashes(x), return_counts=True) for x in self.words]
         keys = np.concatenate([np.zeros(0, np.uint64), *(p for p, _ in pairs)])
         times = np.concatenate([np.zeros(0, np.int64), *(m for _, m in pairs)])
@@ -164,15 +129,29 @@ class Items:
         self.of, self.times, self.cut = of[order], times[order], np.append(first, len(keys))
         self.leads = np.zeros(1 << 20, bool)
         self.leads[(self.pair >> np.uint64(44)).astype(np.int64)] = True
-        self.tables = tables_for(self.words, recall, most_edits)
 
 
 def pair_hashes(h: np.ndarray) -> np.ndarray:
     return mix(h[:-1] + mix(h[1:], 41), 42)
 
 
+def _single(items: Items, h: np.ndarray, w: Words):
+    """The same rows as ``_find``, for items of one word: where a document has it first."""
+    if not len(items.single) or not len(h):
+        return
+    row = np.minimum(np.searchsorted(items.single, h), len(items.single) - 1)
+    place = np.flatnonzero(items.single[row] == h)
+    doc = np.searchsorted(w.of_doc, place, "right") - 1
+    _, first = np.unique(doc * len(items.single) + row[place], return_index=True)
+    for x in first.tolist():
+        d, p, r = int(doc[x]), int(place[x]), int(row[place[x]])
+        for i in items.single_of[items.single_cut[r] : items.single_cut[r + 1]].tolist():
+            yield d, i, 0, p - int(w.of_doc[d]), 1
+
+
 def _find(items: Items, h: np.ndarray, w: Words):
     """(document, item, edits, first word, words) for each document and item of a slice."""
+    yield from _single(items, h, w)
     at = w.gram_starts(1)
     pair = mix(h[at] + mix(h[at + 1], 41), 42)
     some = np.flatnonzero(items.leads[pair >> np.uint64(44)])
@@ -217,7 +196,7 @@ def _find(items: Items, h: np.ndarray, w: Words):
         best = None
         # each region of neighbouring windows until one of its windows is verified
         for region in np.split(starts, np.flatnonzero((np.diff(starts) > 1) | (np.arange(1, len(starts)) % (4 * n) == 0)) + 1):
-            found = _verified(h, region, low, high, item, k, items.tables)
+            found = _verified(h, region, low, high, item, k)
             if found and (best is None or found[0] < best[0]):
                 best = found
         if best:
@@ -230,21 +209,20 @@ def _together(kinds: np.ndarray, most: np.ndarray) -> int:
     return int(np.minimum(n, most[first]).sum())
 
 
-def _verified(h: np.ndarray, starts: np.ndarray, low: int, high: int, item: np.ndarray, k: int, tables: int):
-    """(edits, start, words) of the best stretch about the first windows that collide and prove near."""
-    n, rest = len(item), starts
-    for t in range(tables):
-        size = np.minimum(n, high - rest)
-        windows = h[np.minimum(rest[:, None] + np.arange(n), len(h) - 1)]
-        hit = agrees(windows, size, item, t) if tables < MOST_TABLES else np.ones(len(rest), bool)
-        if hit.any():
-            left, right = max(low, int(rest[hit][0]) - k), min(high, int(rest[hit][-1]) + n + k)
+def _verified(h: np.ndarray, starts: np.ndarray, low: int, high: int, item: np.ndarray, k: int):
+    """(edits, start, words) of the best stretch about the windows of a region: those that collide, else all."""
+    n = len(item)
+    size = np.minimum(n, high - starts)
+    windows = h[np.minimum(starts[:, None] + np.arange(n), len(h) - 1)]
+    hit = np.zeros(len(starts), bool)
+    for t in range(TABLES):
+        hit |= agrees(windows, size, item, t)
+    for part in (starts[hit], starts):
+        if len(part):
+            left, right = max(low, int(part[0]) - k), min(high, int(part[-1]) + n + k)
             edits, x, y = best_stretch(item, h[left:right])
             if edits <= k:
                 return edits, left + x, y - x
-            rest = rest[~hit]
-            if not len(rest):
-                return None
     return None
 
 
@@ -264,7 +242,7 @@ def _search(items):
     return search
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", part_bytes: int = PART_BYTES, recall: float = RECALL) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
     """(id, item_id, first_word, n_words, edits, similarity) for each document and item it holds."""
     kept = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
     wanted = benchmark.select(named(item_col).alias("item_id"), F.coalesce(named(item_text), F.lit("")).alias("text"))
@@ -274,7 +252,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = None
     for p in range(parts):  # each part is bounded, however many there are
         rows = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p).toArrow()
-        items = Items(rows["item_id"].to_pylist(), rows["text"].to_pylist(), recall=recall)
+        items = Items(rows["item_id"].to_pylist(), rows["text"].to_pylist())
         items.id_type = rows.schema.field("item_id").type
         found = kept.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(items)), schema)
         out = found if out is None else out.union(found)

@@ -103,6 +103,24 @@ def test_brute_force(spark, part_bytes):
         assert r.similarity == pytest.approx(1 - r.edits / len(text_of[r.item_id]))
 
 
+def test_nothing_near_is_lost_at_any_length(spark):
+    """Copies at the largest distance: long items are few and come last, and items of one word match."""
+    r = random.Random(4)
+    line = lambda n: [f"u{r.randrange(10**6)}" for _ in range(n)]
+    items = [(i, line(5)) for i in range(450)] + [(1000 + i, line(n)) for i, n in enumerate((60, 200, 400) * 4)] + [(2000, ["Solo"]), (2001, ["solo"]), (2002, ["é"])]
+    docs = []
+    for i, x in items[440:462]:
+        for c in range(6):
+            docs.append((i * 10 + c, " ".join(line(30) + edit(r, x, D.edits_allowed(len(x)), line(50)) + line(r.choice([0, 30])))))
+    docs += [(1, "not so(SOLO), solo"), (2, "soloist é"), (None, "solo"), (None, "none")]
+    got = {(x.id, x.item_id): x for x in D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(x)) for i, x in items], "item_id long, text string")).collect()}
+    of = {i: [w.lower() for w in x] for i, x in items}
+    want = {(d, d // 10) for d, t in docs[:132] if least_edits(of[d // 10], words(t)) <= D.edits_allowed(len(of[d // 10]))}
+    assert len(want) == 132
+    assert set(got) == want | {(1, 2000), (1, 2001), (2, 2002), (None, 2000), (None, 2001)}
+    assert (got[1, 2000].first_word, got[1, 2000].n_words, got[1, 2000].edits, got[1, 2000].similarity) == (2, 1, 0, 1.0)
+
+
 def test_empty_tables(spark):
     docs, items = spark.createDataFrame([(1, "a b c")], "doc_id long, text string"), spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert D.contaminated(docs.limit(0), items).collect() == []
