@@ -6,10 +6,15 @@ bit is set if more than half of the votes are for it. Votes are counted two bits
 holds two 32-bit counters: ``(hash >> i) & 0x100000001``), so a fingerprint is 64 sums in one
 code-generated aggregate over the exploded terms, without a function per bit and word.
 
-``neighbours`` finds all fingerprints within a Hamming radius r by permuted block tables: the bits are
-cut into r + 2 blocks, and there is a table for each two blocks; of two fingerprints within r bits at
-least two blocks are equal, so they meet in the table of those two. Equal fingerprints are
-one row there, a pair is taken from the first table in which it meets, and all bits confirm it.
+``neighbours`` finds all fingerprints within a Hamming radius r by block tables: the bits are cut into
+blocks of about 18, a table each, and block i is given f_i flips, where the sum of f_i + 1 is r + 1; of two
+fingerprints within r bits at least one block differs by its flips at most. A fingerprint is once in each
+table, under the block's value; a query looks up its own value with up to f_i bits flipped. A pair counts
+in the first block in which it meets, and all bits confirm it. Fingerprints under one value travel in
+arrays of about ``CHUNK``, so that a group of near copies is counted in its arrays, without a row for each pair.
+
+``RADIUS`` bits stand for a cosine of cos(pi * 18 / 128) = 0.90 between the pair counts of two texts, which is
+one word in 20 replaced (each is in two pairs); distances scatter by about 4 bits around that.
 
 Cases: NULL and empty texts, and texts of separators only, have no votes and the fingerprint 0; equal
 texts have equal fingerprints; rows with the same id and text are one document in the order of
@@ -27,11 +32,13 @@ from strata.operators.joins import attach_scalar
 from strata.operators.keys import global_sequence
 from strata.session import cut_lineage
 
-from .exchange import named
+from .exchange import named, sent_if_small
 
 #: Bits of a fingerprint (two longs).
 BITS = 128
-RADIUS = 3
+RADIUS = 18
+#: Fingerprints of one array in a table, about.
+CHUNK = 1024
 #: White space between words.
 _SPACE = r" \t\n\x0B\f\r"
 _PAIR_OF_COUNTERS = 0x0000000100000001
@@ -76,17 +83,24 @@ def likeness(*of: Column) -> Column:
     return 1 - distance(*of) / F.lit(float(BITS))
 
 
-def _blocks(radius: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of radius + 2 blocks."""
-    n = radius + 2
+def _blocks(radius: int) -> list[tuple[int, int, int]]:
+    """(first bit, bits, flips) of each block; blocks with no flips left (-1) are not searched."""
+    n = max(3, -(-(radius + 1) // 3))
+    each, more = divmod(radius + 1, n)
     cut = [BITS * i // n for i in range(n + 1)]
-    return [(a, b - a) for a, b in zip(cut, cut[1:], strict=False)]
+    return [(a, b - a, each + (i < more) - 1) for i, (a, b) in enumerate(zip(cut, cut[1:], strict=False))]
+
+
+def _masks(size: int, flips: int) -> Column:
+    """An array of all numbers of that many bits of which at most ``flips`` are set."""
+    masks = [sum(1 << x for x in bits) for f in range(flips + 1) for bits in combinations(range(size), f)]
+    return F.expr(f"array({', '.join(f'{m}L' for m in masks)})")
 
 
 def _bits(high: Column, low: Column, first: int, size: int) -> Column:
     """Some bits in a row, as a long; bit 0 is the lowest of low."""
     if size >= 64:
-        raise ValueError("a block holds fewer than 64 bits: choose a radius of 1 or more")
+        raise ValueError("a block holds fewer than 64 bits: cut the bits into more blocks")
     mask = F.lit((1 << size) - 1)
     if first >= 64:
         return F.shiftrightunsigned(high, first - 64).bitwiseAND(mask)
@@ -95,25 +109,44 @@ def _bits(high: Column, low: Column, first: int, size: int) -> Column:
     return F.shiftrightunsigned(low, first).bitwiseOR(F.shiftleft(high, 64 - first)).bitwiseAND(mask)
 
 
+def _met(queries: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
+    """(high, low, near): for distinct fingerprints among the queries, arrays of the other distinct ones of
+    ``prints`` within the radius; each of these is in one array."""
+    blocks = [(t, *b) for t, b in enumerate(_blocks(radius)) if b[2] >= 0]
+    high, low = F.col("high"), F.col("low")
+    key = lambda t, value: value.bitwiseOR(F.lit(t << 48)).alias("key")  # noqa: E731  blocks have 43 bits at most
+
+    distinct = cut_lineage(prints.select("high", "low").distinct())
+    own = distinct.select("high", "low", F.explode(F.array(*[key(t, _bits(high, low, first, size)) for t, first, size, _ in blocks])).alias("key"))
+    many = cut_lineage(own.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK))
+    chunk = F.coalesce(F.pmod(F.xxhash64("high", "low"), F.ceil(F.col("n") / CHUNK)), F.lit(0).cast("long")).alias("chunk")
+    tables = own.join(sent_if_small(many), "key", "left").select("key", chunk, F.struct("high", "low").alias("print")).groupBy("key", "chunk").agg(F.collect_list("print").alias("prints"))
+
+    rows = [F.struct(key(t, _bits(high, low, first, size)).alias("value"), _masks(size, flips).alias("masks")) for t, first, size, flips in blocks]
+    asked = queries.select("high", "low").distinct().select("high", "low", F.inline(F.array(*rows)))
+    asked = asked.select("high", "low", F.explode("masks").alias("mask"), "value").select("high", "low", F.col("value").bitwiseXOR(F.col("mask")).alias("key"))
+
+    def near(x: Column) -> Column:
+        apart = x["high"].bitwiseXOR(high), x["low"].bitwiseXOR(low)
+        bits = F.bit_count(apart[0]) + F.bit_count(apart[1])
+        first_met = F.coalesce(*[F.when(F.bit_count(_bits(*apart, first, size)) <= flips, F.lit(t)) for t, first, size, flips in blocks])
+        return (bits <= radius) & (bits > 0) & (first_met == F.shiftrightunsigned(asked["key"], 48))
+
+    both = asked.join(tables, (asked["key"] == tables["key"]) & F.exists("prints", near))
+    return both.select("high", "low", F.filter("prints", near).alias("near"))
+
+
 def neighbours(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(high, low, other_high, other_low, bits): for each distinct fingerprint among the queries, all
     other distinct ones of ``prints`` within the radius."""
-    blocks = _blocks(radius)
-    tables = list(combinations(range(len(blocks)), 2))
+    both = _met(queries, prints, radius).select("high", "low", F.explode("near").alias("near"))
+    both = both.select("high", "low", F.col("near.high").alias("other_high"), F.col("near.low").alias("other_low"))
+    return both.withColumn("bits", distance(*[F.col(c) for c in both.columns]))
 
-    def keyed(df: DataFrame) -> DataFrame:
-        high, low = F.col("high"), F.col("low")
-        rows = [F.struct(F.lit(t).alias("table"), _bits(high, low, *blocks[i]).alias("i"), _bits(high, low, *blocks[j]).alias("j")) for t, (i, j) in enumerate(tables)]
-        return df.select("high", "low").distinct().select("high", "low", F.inline(F.array(*rows)))
 
-    a = keyed(queries)
-    b = keyed(prints).withColumnsRenamed({"high": "other_high", "low": "other_low"})
-    both = [F.col(c) for c in ("high", "low", "other_high", "other_low")]
-    # the first table is that of the first two equal blocks
-    equal = [_bits(both[0], both[1], *x) == _bits(both[2], both[3], *x) for x in blocks]
-    first = F.coalesce(*[F.when(equal[i] & equal[j], F.lit(t)) for t, (i, j) in enumerate(tables)])
-    near = (distance(*both) <= radius) & (distance(*both) > 0) & (a["table"] == first)
-    return a.join(b, (a["table"] == b["table"]) & (a["i"] == b["i"]) & (a["j"] == b["j"]) & near).select(*both, distance(*both).alias("bits"))
+def n_neighbours(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(high, low, n): how many rows ``neighbours`` has for a fingerprint, if any."""
+    return _met(queries, prints, radius).groupBy("high", "low").agg(F.sum(F.size("near")).alias("n"))
 
 
 def next_of(docs: DataFrame) -> DataFrame:
@@ -169,7 +202,7 @@ def op6_document_fingerprints(spark, sf_dir: str) -> DataFrame:
     fingerprints within the radius, found by the block tables (NULL for the others)."""
     made = cut_lineage(edited_fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     queries = made.where(F.col("id") % QUERY_IDS == 0)
-    found = neighbours(queries, made).groupBy("high", "low").agg(F.count("*").alias("n"))
+    found = n_neighbours(queries, made)
     within = F.when(F.col("id") % QUERY_IDS == 0, F.coalesce("n", F.lit(0).cast("long"))).alias("n_within")
     columns = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     return made.join(found, ["high", "low"], "left").select(F.col("id").alias("doc_id"), *columns, within)

@@ -93,6 +93,39 @@ def test_block_tables_find_all(spark, radius):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_large_groups_are_counted(spark):
+    """More fingerprints under one block value than an array holds; every pair counts once."""
+    r = random.Random(2)
+    base = r.getrandbits(128)
+    prints = sorted({base ^ sum(1 << b for b in r.sample(range(128), r.randrange(0, 12))) for _ in range(2500)})
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    both = [(signed(p >> 64), signed(p & (1 << 64) - 1)) for p in prints]
+    df = spark.createDataFrame(both, "high long, low long")
+    got = {(x.high, x.low): x.n for x in S.n_neighbours(df.limit(20), df).collect()}
+    of = dict(zip(both, prints))
+    asked = [tuple(x) for x in df.limit(20).collect()]
+    assert got == {q: n for q in asked if (n := sum(0 < (of[q] ^ p).bit_count() <= S.RADIUS for p in prints))}
+
+
+def test_planted_near_copies_are_found(spark):
+    """Copies with one word in 50 replaced are within the radius, others are not."""
+    r = random.Random(6)
+    line = lambda n: [f"w{r.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for i in range(60):
+        w = line(r.choice([150, 300, 1000]))
+        rows.append((i, " ".join(w)))
+        for p in r.sample(range(len(w)), len(w) // 50):
+            w[p] = f"new{r.randrange(10**6)}"
+        rows.append((100 + i, " ".join(w)))
+    prints = {x.doc_id: (x.high, x.low) for x in S.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()}
+    df = lambda ids: spark.createDataFrame([prints[i] for i in ids], "high long, low long")
+    pairs = {((x.high, x.low), (x.other_high, x.other_low)) for x in S.neighbours(df(range(60)), df(prints)).collect()}
+    found = [i for i in range(60) if (prints[i], prints[100 + i]) in pairs or prints[i] == prints[100 + i]]
+    assert len(found) >= 54
+    assert all((prints[i], prints[j]) not in pairs for i in range(60) for j in prints if j % 100 != i)
+
+
 def test_the_main_path_is_native(spark):
     plan = S.op6_document_fingerprints(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
