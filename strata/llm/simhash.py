@@ -132,7 +132,8 @@ def _met(queries: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
         first_met = F.coalesce(*[F.when(F.bit_count(_bits(*apart, first, size)) <= flips, F.lit(t)) for t, first, size, flips in blocks])
         return (bits <= radius) & (bits > 0) & (first_met == F.shiftrightunsigned(asked["key"], 48))
 
-    both = asked.join(tables, (asked["key"] == tables["key"]) & F.exists("prints", near))
+    # Spark takes what is asked for as small as before the flips, and would broadcast it
+    both = asked.hint("merge").join(tables, (asked["key"] == tables["key"]) & F.exists("prints", near))
     return both.select("high", "low", F.filter("prints", near).alias("near"))
 
 
