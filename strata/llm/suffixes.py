@@ -10,11 +10,10 @@ Removes each byte covered by a ``WIDTH``-byte string that also starts in a docum
 2. *Dictionary*: Spark groups all phrases by trigger, equal ones once from each home (``exchange.py``).
    Of equal phrases the smallest document owns the text: every other document loses all strings of
    the phrase at once, which settles copies and long repeats. A trigger with one phrase is settled.
-3. *Corpus order*: strings of a repeat's rim stand in different phrases with the same trigger. Only
-   for those the dictionary's suffixes are brought into order: the first WIDTH bytes of each suffix
-   of a contested phrase, by their hash, which puts equal ones side by side as the suffix array's
-   order would (the order of unequal ones decides nothing here); each run of equal suffixes is owned
-   by its smallest document, and the dictionary's answer goes back to all places of the parse.
+3. *Contested strings*: strings of a repeat's rim stand in different phrases with the same trigger. No
+   suffix array is built for them: every WIDTH-byte string of a contested phrase is hashed and equal
+   hashes are grouped (the order of unequal ones decides nothing here); equal strings are owned by
+   their smallest document, and the answer goes back to all places of the parse.
 
 Hashes are 64-bit within a trigger's bucket, and buckets grow in number with the input. Texts are
 shuffled once; what goes to buckets is some 13 bytes for a phrase (about 17 positions each).
