@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, decontaminate, jaccard, language, periodic, pieces, quality, simhash, suffixes, toxicity, url_rules, windows
+from . import alignment, bpe, decontaminate, jaccard, language, periodic, pieces, quality, simhash, suffixes, toxicity, url_rules, windows
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_bpe_coding": bpe.op9_bpe_coding,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+    "op11_cross_tokenizer_alignment": alignment.op11_cross_tokenizer_alignment,
     "op12_sentencepiece_coding": pieces.op12_sentencepiece_coding,
     "op13_periodic_run_detection": periodic.op13_periodic_run_detection,
     "pipeline": corpus_pipeline.run,
