@@ -57,7 +57,7 @@ BLOCK = 4096
 #: A shingle counts as frequent in a slice if so many of its sets hold it.
 HEAVY_IN_SLICE = 2
 #: Text hashed together; equal sets in it are sent once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 _BASE_WORD, _BASE_SHINGLE = 0x5851F42D4C957F2D, 0xD1342543DE82EF95
 

@@ -27,6 +27,8 @@ from . import exchange as X
 from .text import Roller, Words, byte_values, mix, slices, string_array, text_buffers
 
 WIDTH = 20
+#: Text of one home; homes whose window hashes one bucket holds.
+HOME_BYTES, HOMES_IN_BUCKET = 3 << 20, 4
 _BASE_WORD, _BASE_A, _BASE_B = 0x5851F42D4C957F2D, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25
 
 
@@ -141,14 +143,15 @@ def _apply(width: int, buckets: int):
     return apply
 
 
-def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, carry: list[str] | None = None, home_bytes: int = X.HOME_BYTES) -> DataFrame:
+def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, carry: list[str] | None = None, home_bytes: int = HOME_BYTES) -> DataFrame:
     """One row for each document: (id, n_words, n_removed, kept_text), and with ``carry`` a struct
     ``extra`` of those columns. ``kept_text`` is the kept words joined by one space."""
-    homes = X.n_homes(X.text_bytes(docs, text_col), home_bytes)
+    total = X.text_bytes(docs, text_col)
+    homes, buckets = X.n_homes(total, home_bytes), X.n_homes(total, HOMES_IN_BUCKET * home_bytes)
     kept = X.at_home(docs, id_col, text_col, homes, carry)
-    sent = kept.select("home", "id", "text").groupBy("home").applyInArrow(_send(width, homes), "home int, bucket int, hashes binary, ids binary, n int")
+    sent = kept.select("home", "id", "text").groupBy("home").applyInArrow(_send(width, buckets), "home int, bucket int, hashes binary, ids binary, n int")
     answers = sent.groupBy("bucket").applyInArrow(_judge, "home int, bucket int, lost binary")
-    return X.by_home(kept, answers, _apply(width, homes), X.with_extra(kept, "id bigint, n_words bigint, n_removed bigint, kept_text string"))
+    return X.by_home(kept, answers, _apply(width, buckets), X.with_extra(kept, "id bigint, n_words bigint, n_removed bigint, kept_text string"))
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
