@@ -226,9 +226,9 @@ def _verified(h: np.ndarray, starts: np.ndarray, low: int, high: int, item: np.n
     return None
 
 
-def _search(items):
+def _search(items, id_type: pa.DataType):
     def search(batches):
-        known = items.value
+        known = Items(*items.value)
         roller, values, letters, fold = Roller(_BASE_WORD), byte_values(), letter_bytes(), lower_table()
         for batch in batches:
             data, offsets = text_buffers(batch["text"])
@@ -237,7 +237,7 @@ def _search(items):
                 w = Words(own, offsets[a : b + 1] - offsets[a], letters[own])
                 rows = list(_find(known, w.hashes(roller, values, fold), w))
                 d, i, edits, first, n = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [], [], [])
-                yield pa.RecordBatch.from_arrays([batch["id"].slice(a, b - a).take(pa.array(d, pa.int64())), pa.array([known.ids[x] for x in i], known.id_type), *(pa.array(x, pa.int32()) for x in (first, n, edits)), pa.array([1 - e / len(known.words[x]) for e, x in zip(edits, i, strict=True)], pa.float64())], ["id", "item_id", "first_word", "n_words", "edits", "similarity"])
+                yield pa.RecordBatch.from_arrays([batch["id"].slice(a, b - a).take(pa.array(d, pa.int64())), pa.array([known.ids[x] for x in i], id_type), *(pa.array(x, pa.int32()) for x in (first, n, edits)), pa.array([1 - e / len(known.words[x]) for e, x in zip(edits, i, strict=True)], pa.float64())], ["id", "item_id", "first_word", "n_words", "edits", "similarity"])
 
     return search
 
@@ -252,9 +252,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = None
     for p in range(parts):  # each part is bounded, however many there are
         rows = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p).toArrow()
-        items = Items(rows["item_id"].to_pylist(), rows["text"].to_pylist())
-        items.id_type = rows.schema.field("item_id").type
-        found = kept.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(items)), schema)
+        items = docs.sparkSession.sparkContext.broadcast((rows["item_id"].to_pylist(), rows["text"].to_pylist()))
+        found = kept.mapInArrow(_search(items, rows.schema.field("item_id").type), schema)
         out = found if out is None else out.union(found)
     return out
 

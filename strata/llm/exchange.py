@@ -12,6 +12,7 @@ of the input, so that groups keep their size at any input size.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -20,12 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.session import checkpoint_root
+
 #: Text of one home, and window hashes of one bucket (about as many bytes of text as they stand for).
 HOME_BYTES = 8 << 20
 
-#: Rows of a few numbers that are broadcast at most (16 MB or so).
-SENT_ROWS = 1_000_000
-
 #: Documents without an id sort after all others.
 NO_ID = np.iinfo(np.int64).max
 
@@ -50,9 +50,12 @@ def with_extra(df: DataFrame, ddl: str) -> StructType:
     return schema.add(df.schema["extra"]) if "extra" in df.columns else schema
 
 
-def sent_if_small(df: DataFrame) -> DataFrame:
-    """A checkpointed table of a few numbers a row, broadcast if it has few rows; otherwise it is joined by a shuffle."""
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+def written(df: DataFrame) -> DataFrame:
+    """The rows from a table in the shared folder: Spark knows its bytes, and broadcasts it in joins if they are few."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/exchange/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_bytes(docs: DataFrame, text: str) -> int:

@@ -300,10 +300,10 @@ def _named_rows(docs: DataFrame, id_col: str, text_col: str, n: int, text_hash:
 
     # the sets of all members, from one document of each
     members = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(lists.select("key")).distinct()
-    example = cut_lineage(rows.join(members, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id")))
-    wanted = X.sent_if_small(example.select(F.col("id").alias("wanted")).distinct())
+    example = X.written(rows.join(members, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id")))
+    wanted = example.select(F.col("id").alias("wanted"))
     texts = kept.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = cut_lineage(texts.mapInArrow(_sets_of(n), "key bigint, shingles binary").join(X.sent_if_small(example.select("key")), "key", "left_semi"))
+    sets = cut_lineage(texts.mapInArrow(_sets_of(n), "key bigint, shingles binary").join(example.select("key"), "key", "left_semi"))
 
     groups = _groups(pairs, lists, in_long, sets)
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "key")).alias("component")
@@ -344,8 +344,8 @@ def _near(table: pa.Table) -> pa.Table:
 
 def _linked(tries: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that link; only the sets that are tried are shuffled."""
-    others = sets.join(X.sent_if_small(tries.select("b").distinct()), F.col("key") == F.col("b"), "left_semi")
-    both = sets.withColumnsRenamed({"key": "a", "shingles": "x"}).join(X.sent_if_small(tries), "a").join(others.withColumnsRenamed({"key": "b", "shingles": "y"}), "b")
+    others = sets.join(tries.select("b"), F.col("key") == F.col("b"), "left_semi")
+    both = sets.withColumnsRenamed({"key": "a", "shingles": "x"}).join(tries, "a").join(others.withColumnsRenamed({"key": "b", "shingles": "y"}), "b")
     return cut_lineage(both.select("a", "b", "x", "y").mapInArrow(_probe, "a bigint, b bigint"))
 
 
@@ -358,7 +358,7 @@ def _groups(pairs: DataFrame, lists: DataFrame, in_long: DataFrame, sets: DataFr
     apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p.{c}"))) for c in _SKETCH[1:]), F.bit_count(F.col("s0").bitwiseXOR(F.col("p.s0"))))
     reach = (5 * F.least("size", "p.size") >= 4 * F.greatest("size", "p.size")) & (9 * apart <= F.col("size") + F.col("p.size"))
     to_pivot = lists.join(pivot, "list").where((F.col("key") != F.col("p.key")) & reach).select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b"))
-    tries = cut_lineage(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(to_pivot).distinct())
+    tries = X.written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(to_pivot).distinct())
     links = _linked(tries, sets)
 
     groups = cut_lineage(components(links).withColumnRenamed("node", "key"))
@@ -372,7 +372,7 @@ def _groups(pairs: DataFrame, lists: DataFrame, in_long: DataFrame, sets: DataFr
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocks = blocks.select("list", "key", "size", "component", "block", *_SKETCH, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     near = blocks.groupBy("list", "i", "j").applyInArrow(_near, "a bigint, b bigint")
-    rest = cut_lineage(rest.union(near).distinct().join(tries, ["a", "b"], "left_anti"))
+    rest = X.written(rest.union(near).distinct().join(tries, ["a", "b"], "left_anti"))
     return components(links.union(_linked(rest, sets)))
 
 

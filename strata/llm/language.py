@@ -7,12 +7,14 @@ progressively shorter ones. A document's language has the highest sum over its w
 probability that the mean over its words gives it, sharpened by the number of words up to ``SURE``.
 
 Words are runs of letters, lower-cased character by character. The model is fitted on the whole texts
-of at most ``SAMPLE`` labelled documents (those whose ids hash lowest); Spark counts their words and
-n-grams, pre-aggregated in each task, and the ``MOST`` most frequent of each kind are broadcast.
+of at most ``SAMPLE`` labelled documents of each language (those whose ids and texts hash lowest); Spark
+counts their words and n-grams, pre-aggregated in each task, and the ``MOST`` most frequent of each kind in
+each language are broadcast, so that no language takes another one's places.
 Scoring is one pass without a shuffle, in which a slice's distinct words are scored once.
 
 Cases: NULL texts and texts without a letter are ``und`` with score 0, as is everything if there is no
-labelled row; rows without a language teach nothing; equal sums go to the language that sorts first.
+labelled row; rows without a language teach nothing; rows that repeat an id and a text count once for the
+bound of the sample; equal sums go to the language that sorts first.
 """
 
 from __future__ import annotations
@@ -20,17 +22,21 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import cut_lineage
+
 from . import labels as L
 from .exchange import named
 from .text import Roller, Words, mix, slices, text_buffers
 
-#: Labelled documents that the model is fitted on at most.
-SAMPLE = 24_000
-#: Words, and n-grams of each length, that the model keeps at most (12 bytes and 4 for each language).
-MOST = 80_000
+#: Labelled documents of each language that the model is fitted on at most.
+SAMPLE = 6_000
+#: Words, and n-grams of each length, of each language that the model keeps at most (12 bytes and 4 for each language).
+MOST = 40_000
+#: Parts in which a language's most frequent entries are found before they are compared.
+_PARTS = 64
 LONGEST = 4
 #: Words that make a document's score as sure as it gets.
 SURE = 30
@@ -114,6 +120,15 @@ class Model:
     def __init__(self, langs: list[str], tables: dict[int, tuple[np.ndarray, np.ndarray]], letter_bits: bytes, lower_codes: bytes):
         self.langs, self.tables, self.letter_bits, self.lower_codes = langs, tables, letter_bits, lower_codes
 
+    def packed(self) -> tuple:
+        """The model as plain values, which any worker can read."""
+        return self.langs, {n: (k.tobytes(), v.tobytes()) for n, (k, v) in self.tables.items()}, self.letter_bits, self.lower_codes
+
+    @classmethod
+    def unpacked(cls, langs: list[str], tables: dict[int, tuple[bytes, bytes]], letter_bits: bytes, lower_codes: bytes) -> Model:
+        read = {n: (np.frombuffer(k, np.uint64), np.frombuffer(v, np.float32).reshape(-1, len(langs))) for n, (k, v) in tables.items()} if langs else {}
+        return cls(langs, read, letter_bits, lower_codes)
+
     def look_up(self, n: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(whether known, row of the table)."""
         keys = self.tables[n][0]
@@ -141,24 +156,30 @@ class Model:
         return out
 
 
+def _first_of_each(rows: DataFrame, by: list[str], order: list[Column], most: int) -> DataFrame:
+    """The first rows of each group; a large group is first cut down in parts of it."""
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(_PARTS))
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(*by, part).orderBy(*order))).where(F.col("place") <= most)
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("place") <= most).drop("place")
+
+
 def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2, sample: int = SAMPLE) -> Model:
     """The model that labelled documents outside the held-out fold give."""
     rows = docs.select(named(id_col).alias("id"), named(text_col).alias("text"), named(lang_col).cast("string").alias("label")).where("label IS NOT NULL AND text IS NOT NULL")
     rows = rows.where(F.coalesce(L.fold(F.col("id"), folds), F.lit(-1)) != held_out)
-    # the sample: a bound on the id's hash below which at most so many rows lie (ties stay out together)
-    bound = rows.select(F.xxhash64("id").alias("turn")).orderBy("turn").limit(sample + 1).agg(F.count("*").alias("n"), F.max("turn").alias("most")).first()
-    if bound["n"] > sample:
-        rows = rows.where(F.xxhash64("id") < bound["most"])
+    # the sample: for each language a bound on the hash at or below which at most so many distinct rows lie
+    turn = F.xxhash64("id", "text")
+    first = rows.select("label", turn.alias("turn")).distinct()
+    bounds = _first_of_each(first, ["label"], [F.col("turn")], sample).groupBy("label").agg(F.max("turn").alias("most")).collect()
+    most = F.create_map(*[F.lit(x) for r in bounds for x in (r["label"], r["most"])]) if bounds else F.lit(None).cast("map<string,bigint>")
+    rows = rows.where(turn <= most[F.col("label")])
     bits, low = letters(), lower()
     counts = rows.select("text", "label").mapInArrow(_count(bits, low), "lang string, n int, hash bigint, count bigint")
-    counts = counts.groupBy("n", "hash", "lang").agg(F.sum("count").alias("count"))
-    each = counts.groupBy("n", "hash").agg(F.sum("count").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by_lang")).where("n > 0 OR total > 1")
-    top = None
-    for n in range(LONGEST + 1):
-        part = each.where(F.col("n") == n).orderBy(F.desc("total"), "hash").limit(MOST)
-        top = part if top is None else top.union(part)
-    # MOST rows for each n: bounded, whatever the corpus
-    seen = top.select("n", "hash", F.explode("by_lang").alias("lang", "count")).toArrow()
+    counts = cut_lineage(counts.groupBy("n", "hash", "lang").agg(F.sum("count").alias("count")))
+    often = counts.groupBy("n", "hash").agg(F.sum("count").alias("total")).where("n > 0 OR total > 1").select("n", "hash")
+    top = _first_of_each(counts.join(often, ["n", "hash"], "left_semi"), ["n", "lang"], [F.desc("count"), F.col("hash")], MOST)
+    # MOST rows for each n and language: bounded, whatever the corpus
+    seen = counts.join(top.select("n", "hash").distinct(), ["n", "hash"], "left_semi").select("n", "hash", "lang", "count").toArrow()
     langs = sorted(set(seen["lang"].to_pylist()))
     tables = {}
     for n in range(LONGEST + 1):
@@ -173,7 +194,7 @@ def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 def _predict(model):
     def predict(batches):
-        m = model.value
+        m = Model.unpacked(*model.value)
         text = Text(m.letter_bits, m.lower_codes)
         for batch in batches:
             _, offsets = text_buffers(batch["text"])
@@ -199,7 +220,7 @@ def _predict(model):
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) of each document."""
     kept = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
-    return kept.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), L.schema_of(kept, "lang_pred string, score double"))
+    return kept.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model.packed())), L.schema_of(kept, "lang_pred string, score double"))
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:

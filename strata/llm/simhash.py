@@ -32,7 +32,7 @@ from strata.operators.joins import attach_scalar
 from strata.operators.keys import global_sequence
 from strata.session import cut_lineage
 
-from .exchange import named, sent_if_small
+from .exchange import named, written
 
 #: Bits of a fingerprint (two longs).
 BITS = 128
@@ -118,9 +118,9 @@ def _met(queries: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
 
     distinct = cut_lineage(prints.select("high", "low").distinct())
     own = distinct.select("high", "low", F.explode(F.array(*[key(t, _bits(high, low, first, size)) for t, first, size, _ in blocks])).alias("key"))
-    many = cut_lineage(own.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK))
+    many = written(own.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK))
     chunk = F.coalesce(F.pmod(F.xxhash64("high", "low"), F.ceil(F.col("n") / CHUNK)), F.lit(0).cast("long")).alias("chunk")
-    tables = own.join(sent_if_small(many), "key", "left").select("key", chunk, F.struct("high", "low").alias("print")).groupBy("key", "chunk").agg(F.collect_list("print").alias("prints"))
+    tables = own.join(many, "key", "left").select("key", chunk, F.struct("high", "low").alias("print")).groupBy("key", "chunk").agg(F.collect_list("print").alias("prints"))
 
     rows = [F.struct(key(t, _bits(high, low, first, size)).alias("value"), _masks(size, flips).alias("masks")) for t, first, size, flips in blocks]
     asked = queries.select("high", "low").distinct().select("high", "low", F.inline(F.array(*rows)))

@@ -4,8 +4,8 @@ Features of a text are the distinct 64-bit hashes of its words, word pairs and s
 and the next but one), letters A-Z lower-cased, punctuation apart. Training reads at most
 ``SAMPLE`` labelled documents, whole texts: FTRL-proximal takes one document after the other
 (per-coordinate rates from the squared gradients so far, L1 and L2 terms, the class rate as a fixed
-offset), so this bounded sample is fitted in one task. L1 leaves few of the millions of features;
-``MOST_WEIGHTS`` bounds what is broadcast, the largest first. The intercept is then put where most
+offset), so this bounded sample is fitted in one task. L1 leaves few of the millions of features; if more than
+``MOST_WEIGHTS`` are left, the sample is fitted anew with twice the L1 term, which bounds what is broadcast. The intercept is then put where most
 of the fitted documents are told apart. Scoring is one pass over all texts without a shuffle:
 hashes that miss a 1 MB table of the weights' leading bits are passed over, the others looked up.
 
@@ -54,7 +54,22 @@ class Features:
         return np.concatenate(out), np.concatenate(of)
 
 
-def _fit(epochs: int, alpha: float, beta: float, l1: float, l2: float, least: int):
+def _weights(sets: list[np.ndarray], y: np.ndarray, n_features: int, prior: float, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray:
+    """FTRL-proximal: one document after the other, a rate for each coordinate."""
+    z, n, w = np.zeros(n_features), np.zeros(n_features), np.zeros(n_features)
+    for _ in range(epochs):
+        for x, label in zip(sets, y, strict=True):
+            g = 1 / (1 + np.exp(-np.clip(prior + w[x].sum(), -30, 30))) - label
+            root = np.sqrt(n[x])
+            n[x] += g * g
+            grown = np.sqrt(n[x])
+            z[x] += g - (grown - root) / alpha * w[x]
+            zx = z[x]
+            w[x] = np.where(np.abs(zx) <= l1, 0, -(zx - np.sign(zx) * l1) / ((beta + grown) / alpha + l2))
+    return w
+
+
+def _fit(epochs: int, alpha: float, beta: float, l1: float, l2: float, least: int, most: int):
     def fit(table: pa.Table) -> pa.Table:
         """FTRL-proximal over the documents in the order of their ids' hashes."""
         table = table.sort_by([("turn", "ascending"), ("id", "ascending")])
@@ -74,18 +89,11 @@ def _fit(epochs: int, alpha: float, beta: float, l1: float, l2: float, least: in
         for k, own in enumerate(sets):
             at = np.minimum(np.searchsorted(names, own), max(len(names) - 1, 0))
             sets[k] = at[names[at] == own].astype(np.int32) if len(names) else np.zeros(0, np.int32)
-        z, n, w = np.zeros(len(names)), np.zeros(len(names)), np.zeros(len(names))
         rate = (y.sum() + 0.5) / (len(y) + 1)
         prior = np.log(rate / (1 - rate))
-        for _ in range(epochs):
-            for x, label in zip(sets, y, strict=True):
-                g = 1 / (1 + np.exp(-np.clip(prior + w[x].sum(), -30, 30))) - label
-                root = np.sqrt(n[x])
-                n[x] += g * g
-                grown = np.sqrt(n[x])
-                z[x] += g - (grown - root) / alpha * w[x]
-                zx = z[x]
-                w[x] = np.where(np.abs(zx) <= l1, 0, -(zx - np.sign(zx) * l1) / ((beta + grown) / alpha + l2))
+        sparsity = l1
+        while np.count_nonzero(w := _weights(sets, y, len(names), prior, epochs, alpha, beta, sparsity, l2)) > most:
+            sparsity *= 2
         cut = _cut(np.array([w[x].sum() for x in sets]), y, -prior)
         some = w != 0
         return pa.table({"feature": pa.array(np.append(names[some], _INTERCEPT).view(np.int64)), "weight": pa.array(np.append(w[some], -cut))})
@@ -110,7 +118,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col:
     """(feature, weight): the non-zero weights."""
     rows = L.training_rows(docs, labels, label, sample, id_col, text_col, folds, held_out)
     rows = rows.select(F.lit(0).alias("model"), F.xxhash64("id").alias("turn"), F.col("id").cast("long").alias("id"), "text", "label")
-    return rows.groupBy("model").applyInArrow(_fit(EPOCHS, ALPHA, BETA, L1, L2, LEAST), "feature bigint, weight double")
+    return rows.groupBy("model").applyInArrow(_fit(EPOCHS, ALPHA, BETA, L1, L2, LEAST, MOST_WEIGHTS), "feature bigint, weight double")
 
 
 def _score(model):
@@ -141,7 +149,7 @@ def _score(model):
 
 def score_documents(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """(id, score) of each document, and with ``carry`` a struct ``extra`` of those columns."""
-    top = weights.orderBy(F.desc(F.abs("weight")), "feature").limit(MOST_WEIGHTS).toArrow()
+    top = weights.toArrow()  # at most MOST_WEIGHTS and the intercept
     names = top["feature"].to_numpy().view(np.uint64)
     order = np.argsort(names)
     model = docs.sparkSession.sparkContext.broadcast((names[order].tobytes(), top["weight"].to_numpy()[order].tobytes()))

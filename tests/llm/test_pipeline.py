@@ -116,6 +116,26 @@ def test_verdicts_are_by_row(spark, corpus):
     assert left == sorted([(7, a), (7, e)])
 
 
+def test_clashing_columns_and_a_long_text(spark, corpus, tmp_path):
+    """Stages see the same rows whatever the other columns are called; a text of a million characters passes."""
+    import os
+
+    d, rows, labels, items, bad = corpus
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    long = spark.createDataFrame([(900, " ".join(f"u{i}" for i in range(150_000)), "en", "s", 1)], docs.schema)
+    more = docs.union(long).selectExpr("*", "1 AS id", "2.5 AS score", "'r' AS row", "3 AS gone_id", "4 AS gone0", "'e' AS extra", "5 AS GONE1", "6 AS component", "7 AS text_hash")
+    more.write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        os.symlink(f"{d}/{t}.parquet", f"{tmp_path}/{t}.parquet")
+    got = sorted(map(tuple, P.run(spark, str(tmp_path)).select("doc_id", "ids_sha256").collect()), key=str)
+    want = sorted(map(tuple, P.run(spark, d).select("doc_id", "ids_sha256").collect()), key=str)
+    assert [r for r in got if r[0] != 900] == want and len(got) == len(want) + 1
+    kept = more
+    for name, stage in P.STAGES[:-1]:
+        kept = stage(spark, kept, d)
+        assert kept.columns == more.columns, name
+
+
 def test_stage_list():
     assert [n for n, _ in P.STAGES] == ["toxicity", "ngram_jaccard", "substring_dedup", "decontamination", "bpe"]
     assert P.ORACLE_SQL is None
