@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import bpe, decontaminate, jaccard, toxicity, windows
-from strata.llm.exchange import sent_if_small, uncarried
-from strata.session import checkpoint_root, cut_lineage
+from strata.llm.exchange import uncarried, written
+from strata.session import checkpoint_root
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +36,16 @@ def row_key() -> Column:
 
 
 def drop_rows(docs: DataFrame, keys: DataFrame, how: str = "left_anti") -> DataFrame:
-    """The rows of docs whose keys are not among ``keys`` (id, text_hash); with left_semi, those whose keys are."""
-    keys = sent_if_small(keys.select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash")))
-    return docs.join(keys, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_hash")), how)
+    """The rows of docs whose keys are not among ``keys`` (id, text_hash), a written table; with left_semi, those whose keys are."""
+    gone = keys.select(F.struct("id", "text_hash").alias(free_name(docs)))
+    name = gone.columns[0]
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(f"{name}.id")) & (F.xxhash64("text") == F.col(f"{name}.text_hash")), how)
+
+
+def free_name(docs: DataFrame) -> str:
+    """A column name that docs have not, whatever the case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    return next(name for k in range(len(taken) + 1) if (name := f"gone{k}") not in taken)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +56,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = found.groupBy("id", "text_hash", "component").agg(F.count("*").alias("rows"))
     same = rows["id"].eqNullSafe(stays["id"]) & (rows["text_hash"] == stays["text_hash"])
     rows = rows.join(stays, "component").select(rows["id"], rows["text_hash"], "rows", same.alias("stays"))
-    rows = cut_lineage(rows.where("NOT stays OR rows > 1"))
+    rows = written(rows.where("NOT stays OR rows > 1"))
     left = drop_rows(docs, rows.where("NOT stays"))
     again = rows.where("stays")
     if again.isEmpty():
@@ -73,7 +80,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Rows that hold no benchmark item."""
     keyed = docs.select(row_key().alias("row"), "text")
     found = decontaminate.contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row")
-    return drop_rows(docs, cut_lineage(found.select("id.id", "id.text_hash").distinct()))
+    return drop_rows(docs, written(found.select("id.id", "id.text_hash").distinct()))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
