@@ -58,26 +58,37 @@ def token_set_ratio(a: str, b: str) -> float:
 
 def partial_ratio(a: str, b: str) -> float:
     """Best ``ratio`` of the shorter string against every same-length window of
-    the longer one, including the partial windows at both ends."""
+    the longer one, including the partial windows at both ends; of strings of the
+    same length either is taken as the shorter one."""
     if not a or not b:
         return 100.0 if not a and not b else 0.0
-    s, t = (a, b) if len(a) <= len(b) else (b, a)
+    if len(a) == len(b):
+        return max(_best_window(a, b), _best_window(b, a))
+    return _best_window(a, b) if len(a) < len(b) else _best_window(b, a)
+
+
+def _best_window(s: str, t: str) -> float:
     n, m = len(s), len(t)
-    chars = set(s)
+    masks: dict[str, int] = {}
+    for i, ch in enumerate(s):
+        masks[ch] = masks.get(ch, 0) | (1 << i)
+    full = (1 << n) - 1
+    row = [masks.get(ch, 0) for ch in t]
     best = 0.0
-    for i in range(1, n):
-        if t[i - 1] in chars:
-            best = max(best, ratio(s, t[:i]))
-    for i in range(0, m - n + 1):
-        if t[i] in chars or t[i + n - 1] in chars:
-            best = max(best, ratio(s, t[i:i + n]))
+    for i in range(1 - n, m):
+        window = row[max(i, 0):i + n]
+        size = n + len(window)
+        if 200.0 * min(len(window), n) / size <= best:
+            continue  # a window this short cannot do better
+        v = full
+        for x in window:
+            u = v & x
+            v = ((v + u) | (v - u)) & full
+        score = 100.0 * 2 * (n - v.bit_count()) / size
+        if score > best:
+            best = score
             if best == 100.0:
-                return best
-    for i in range(m - n + 1, m):
-        if t[i] in chars:
-            best = max(best, ratio(s, t[i:]))
-    if n == m:
-        best = max(best, partial_ratio_window(t, s))
+                break
     return best
 
 
@@ -91,7 +102,3 @@ def partial_ratio_upper_bound(s_counts: dict, s_len: int, t_counts: dict, t_len:
         return 100.0
     common = sum(min(k, t_counts.get(ch, 0)) for ch, k in s_counts.items())
     return 100.0 * 2 * common / (n + common) if common else 0.0
-
-
-def partial_ratio_window(s: str, t: str) -> float:
-    return ratio(s, t)

@@ -1,20 +1,28 @@
 """Entity resolution against a master (ER-01..05, JON-10).
 
-ER-01 candidate generation is exact (no pair that can reach the threshold is
-lost) without enumerating all pairs:
-  * pairs that share a token (equi-join on exploded tokens) - these carry the
-    token-set subset case (score 100) and every partial-overlap score;
-  * pairs that share no token can only score the plain ratio of the two
-    sorted-token strings; ratio >= t needs Indel distance <= k with
-    k = floor((1 - t/100) * (la + lb)). Pass-join partitioning: split the master
-    string into k+1 segments; any string within distance k contains one segment
-    verbatim, so an equi-join of master segments with same-length substrings of
-    the query yields a superset of the matches.
-Only candidate pairs are scored by the Arrow-batched scorer."""
+Both matchers are filtered joins: equi-joins on parts of the strings give candidate pairs, none that
+can reach the threshold is lost, and only candidates are scored (Arrow-batched).
+
+ER-01, token-set score >= t. Tokens are ordered by how many names hold them, the rarest first. A pair can
+reach t in three ways, and each has its own index (``candidate_pairs``):
+  * the master name's tokens are in the query's but for a rest too short to matter (none, in the
+    subset case): its *prefix*, the rarest tokens whose joined length exceeds the longest such rest, has a
+    token in the query, so only prefixes are indexed and a token that all names hold is looked up by
+    none but the names that have no rarer one;
+  * the same with the sides exchanged;
+  * what the two have besides their common tokens is similar: at most k insertions and deletions lie between,
+    so of any k + 1 disjoint pieces of the name's rarest tokens one stands verbatim in a token of the query.
+Tokens that very many queries hold are split by a salt.
+
+ER-04, best mean of two partial ratios >= r. One of the two names must reach r itself against a window
+of the text, so of its k + 1 pieces one stands verbatim in the text (``similar_parts``). Pairs of name parts that
+both reach r are looked up in the master by equality; texts whose best mean may still lie elsewhere take the
+master rows of the parts that they have, with the other name scored (``identify``)."""
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -25,15 +33,33 @@ from ..functions.clean import ACCENTED, PLAIN, fold_text
 from ..functions.core import c
 from ..functions.similarity import partial_ratio, partial_ratio_upper_bound, token_set_ratio
 
+#: Queries that hold a token, for each salt of it.
+SPLIT_ROWS = 50_000
+
 
 @F.pandas_udf(DoubleType())
 def token_set_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf(DoubleType())
-def partial_score(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([partial_ratio(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+def partial_score(least: float):
+    """Partial ratio of a name in a text; 0 where the characters in common rule out ``least``."""
+
+    @F.pandas_udf(DoubleType())
+    def score(name: pd.Series, text: pd.Series) -> pd.Series:
+        counts: dict[str, Counter] = {}
+
+        def one(n: str, t: str) -> float:
+            for x in (n, t):
+                if x not in counts:
+                    counts[x] = Counter(x)
+            if partial_ratio_upper_bound(counts[n], len(n), counts[t], len(t)) < least:
+                return 0.0
+            return partial_ratio(n, t)
+
+        return pd.Series([one(n, t) for n, t in zip(name, text)], dtype="float64")
+
+    return score
 
 
 def prepare_master(df: DataFrame, name_cols: list[str], value_col: str, exclude_regex: str | None = None,
@@ -55,45 +81,76 @@ def prepare_master(df: DataFrame, name_cols: list[str], value_col: str, exclude_
     return d.groupBy("name").agg(F.max("value").alias("value"))
 
 
-def _sorted_tokens(col: Column) -> Column:
-    return F.array_join(F.array_sort(F.array_distinct(F.split(col, " "))), " ")
+def _by_rarity(queries: DataFrame, master: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(q, tokens), (name, tokens): the distinct tokens of each as structs (n, tok, salts), rarest first, where n
+    is in how many queries and names a token is and salts in how many parts its queries are split."""
+    def tokens(df, own, side):
+        return df.select(F.lit(side).alias("side"), F.col(own).alias("s"), F.explode(F.array_distinct(F.split(own, " "))).alias("tok")).filter("tok != ''")
 
+    both = tokens(queries, "q", 0).unionByName(tokens(master, "name", 1))
+    held = both.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("nq"))
+    held = held.select("tok", "n", F.greatest(F.ceil(F.col("nq") / SPLIT_ROWS), F.lit(1)).cast("int").alias("salts"))
+    lists = both.join(held, "tok").groupBy("side", "s").agg(F.array_sort(F.collect_list(F.struct("n", "tok", "salts"))).alias("tokens"))
+    return (lists.filter("side = 0").select(F.col("s").alias("q"), "tokens"), lists.filter("side = 1").select(F.col("s").alias("name"), "tokens"))
 
-def candidate_pairs(queries: DataFrame, master: DataFrame, threshold: float = 95.0) -> DataFrame:
-    """Exact candidate generation for token-set similarity >= threshold.
-    ``queries``: (q); ``master``: (name). Returns distinct (q, name)."""
-    qt = queries.select("q", F.explode(F.array_distinct(F.split("q", " "))).alias("tok")).filter(F.col("tok") != "")
-    mt = master.select("name", F.explode(F.array_distinct(F.split("name", " "))).alias("tok")).filter(F.col("tok") != "")
-    by_token = qt.join(mt, "tok").select("q", "name")
 
-    # Pass-join for pairs without a shared token, on the sorted-token strings.
+def _rest(frac: float) -> Column:
+    """The longest rest beside the common tokens with which these alone reach the threshold, given the length of
+    all tokens joined: (1 + x) / (2 * length - 1 - x) <= frac."""
+    return (F.lit(frac) * (2 * F.col("len") - 1) - 1) / F.lit(1 + frac) + F.lit(1e-9)
+
+
+def _prefix(frac: float) -> Column:
+    """The tokens, rarest first, before which no more is joined than such a rest."""
+    def before(i):
+        return F.length(F.array_join(F.transform(F.slice("tokens", 1, i), lambda t: t["tok"]), " "))
+
+    return F.filter("tokens", lambda t, i: (i == 0) | (before(i) <= _rest(frac)))
+
+
+def _pieces(size: int) -> Column:
+    """Disjoint pieces of so many letters from each token, rarest tokens first."""
+    def of(t):
+        n = F.floor(F.length(t["tok"]) / size).cast("int")
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.substring(t["tok"], i * size + 1, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.flatten(F.transform("tokens", of)))
+
+
+PIECE_SIZES = (4, 3, 2, 1)
+
+
+def candidate_pairs(queries: DataFrame, master: DataFrame, threshold: float = 95.0) -> DataFrame:
+    """Candidates for token-set similarity >= threshold, none lost (see the module's text).
+    ``queries``: (q); ``master``: (name); both distinct. Returns distinct (q, name)."""
     frac = 1.0 - threshold / 100.0
     hi = (1 + frac) / (1 - frac)  # max length ratio allowed by the threshold
-    ms = master.select("name", _sorted_tokens(F.col("name")).alias("ms")).withColumn("ml", F.length("ms"))
-    # k bound for the longest admissible partner: floor(frac * (ml + ml*hi))
-    ms = ms.withColumn("k", F.floor(F.lit(frac) * (F.col("ml") + F.col("ml") * F.lit(hi)) + F.lit(1e-9)).cast("int"))
-    # k + 1 pieces; where that is more than the letters (thresholds up to 66.7), the pieces are the
-    # letters themselves: any score above 0 needs one in common
-    ms = ms.withColumn("nseg", F.least(F.col("k") + 1, F.col("ml")))
-    seg = ms.select("name", "ml", "k", F.posexplode(F.sequence(F.lit(0), F.col("nseg") - 1)).alias("i", "__j"),
-                    "ms", "nseg").drop("__j")
-    seg_len = F.floor(F.col("ml") / F.col("nseg"))
-    start = F.col("i") * seg_len
-    this_len = F.when(F.col("i") == F.col("nseg") - 1, F.col("ml") - start).otherwise(seg_len)
-    seg = seg.select("name", "ml", F.substring("ms", (start + 1).cast("int"), this_len.cast("int")).alias("piece"),
-                     this_len.alias("plen")).filter(F.col("plen") > 0)
-    qs = queries.select("q", _sorted_tokens(F.col("q")).alias("qs")).withColumn("ql", F.length("qs"))
-    # distinct segment lengths: bounded by the longest master name (a few dozen ints)
-    plens = sorted(r.plen for r in seg.select("plen").distinct().collect())
-    if not plens:
-        return by_token.distinct()
-    qsub = (qs.withColumn("plen", F.explode(F.array(*[F.lit(int(x)) for x in plens]))).filter(F.col("plen") <= F.col("ql"))
-            .select("q", "ql", "plen", F.explode(F.sequence(F.lit(1), F.col("ql") - F.col("plen") + 1)).alias("pos"), "qs")
-            .select("q", "ql", "plen", F.substring("qs", F.col("pos"), F.col("plen")).alias("piece")))
-    by_seg = (qsub.join(seg, ["piece", "plen"])
-              .filter((F.least("ql", "ml") * F.lit(hi) + F.lit(1e-9)) >= F.greatest("ql", "ml"))
-              .select("q", "name"))
-    return by_token.unionByName(by_seg).distinct()
+    joined = F.length(F.array_join(F.transform("tokens", lambda t: t["tok"]), " "))
+    qs, ms = (x.withColumn("len", joined) for x in _by_rarity(queries, master))
+
+    def probe(df, key):
+        return df.select(key, "len", F.explode("tokens").alias("t")).select(key, "len", "t.tok", "t.salts", F.pmod(F.xxhash64(key), F.col("t.salts")).cast("int").alias("salt"))
+
+    def index(df, key):
+        rows = df.select(key, F.explode(_prefix(frac)).alias("t"))
+        return rows.select(key, "t.tok", F.explode(F.sequence(F.lit(0), F.col("t.salts") - 1)).alias("salt"))
+
+    in_query = probe(qs, "q").join(index(ms, "name"), ["tok", "salt"]).select("q", "name")
+    in_name = qs.select("q", F.explode(_prefix(frac)).alias("t")).select("q", "t.tok", F.pmod(F.xxhash64("q"), F.col("t.salts")).cast("int").alias("salt"))
+    tokens = ms.select("name", F.explode("tokens").alias("t")).select("name", "t.tok", F.explode(F.sequence(F.lit(0), F.col("t.salts") - 1)).alias("salt"))
+    in_name = in_name.join(tokens, ["tok", "salt"]).select("q", "name")
+
+    k = F.floor(F.lit(frac) * (F.col("len") + F.col("len") * F.lit(hi)) + F.lit(1e-9)).cast("int")
+    cut = ms.select("name", "len", (k + 1).alias("want"), *[_pieces(n).alias(f"p{n}") for n in PIECE_SIZES])
+    # the longest pieces of which there are enough; with fewer letters than that (low thresholds) all of them:
+    # any score above 0 needs one in common
+    chosen = F.coalesce(*[F.when(F.size(f"p{n}") >= F.col("want"), F.slice(f"p{n}", 1, F.col("want"))) for n in PIECE_SIZES], F.col("p1"))
+    pieces = cut.select("name", F.col("len").alias("mlen"), F.explode(chosen).alias("piece"))
+    sizes = F.array(*[F.lit(n) for n in PIECE_SIZES])
+    words = qs.select("q", "len", F.explode("tokens.tok").alias("tok")).select("q", "len", "tok", F.explode(sizes).alias("size")).filter(F.length("tok") >= F.col("size"))
+    parts = words.select("q", "len", F.explode(F.transform(F.sequence(F.lit(1), F.length("tok") - F.col("size") + 1), lambda i: F.substring(F.col("tok"), i, F.col("size")))).alias("piece")).distinct()
+    similar = parts.join(pieces, "piece").filter(F.least("len", "mlen") * F.lit(hi) + F.lit(1e-9) >= F.greatest("len", "mlen")).select("q", "name")
+    return in_query.unionByName(in_name).unionByName(similar).distinct()
 
 
 def fuzzy_lookup(names: DataFrame, name_col: str, master: DataFrame, threshold: float = 95.0,
@@ -141,9 +198,79 @@ IDENTIFY_SCHEMA = ("texto string, nombre_detectado string, Estado string, oficin
                    "fuzzy_score_combinado double")
 
 
+def edits_within(n: int, least: float) -> int:
+    """Most insertions and deletions between a string of n letters and a window of at most n letters whose ratio
+    is ``least`` or more: with a window of w letters they are at least n - w, and n + w and their number are even or
+    odd together."""
+    most = -1
+    for w in range(1, n + 1):
+        k = math.floor((1 - least / 100) * (n + w) + 1e-9)
+        k -= (k - n - w) % 2
+        if k >= n - w:
+            most = max(most, k)
+    return most
+
+
+def _cuts(least: float, longest: int) -> Column:
+    """For each length up to ``longest`` (a few hundred): (piece number, start, letters) of its pieces."""
+    def pieces(n):
+        parts = min(edits_within(n, least) + 1, n)
+        at = [i * n // parts for i in range(parts + 1)]
+        return F.array(*[F.struct(F.lit(x + 1).alias("start"), F.lit(y - x).alias("size")) for x, y in zip(at, at[1:])])
+
+    return F.array(*[pieces(n) for n in range(1, longest + 1)])
+
+
+#: Letters of a name (or of a text that is shorter than the name) up to which pieces are cut by length; of a longer
+#: string the first so many letters are cut into the pieces that its edits ask for.
+LONGEST_CUT = 64
+
+
+def _pieces_of(df: DataFrame, col: str, least: float) -> DataFrame:
+    """The rows, once for each piece of the string: as many pieces as edits are allowed, and one more."""
+    return df.withColumn("__p", F.explode(F.element_at(_cuts(least, LONGEST_CUT), F.length(col)))).withColumn(
+        "piece", F.substring(F.col(col), F.col("__p.start"), F.col("__p.size"))).drop("__p")
+
+
+def _substrings_of(df: DataFrame, col: str, least: float) -> DataFrame:
+    """The rows, once for each distinct substring that may be a piece of another string."""
+    sizes = sorted({(i + 1) * n // p - i * n // p for n in range(1, LONGEST_CUT + 1) for p in [min(edits_within(n, least) + 1, n)] for i in range(p)})
+    rows = df.withColumn("__n", F.explode(F.array(*[F.lit(x) for x in sizes]))).filter(F.length(col) >= F.col("__n"))
+    every = F.transform(F.sequence(F.lit(1), F.length(col) - F.col("__n") + 1), lambda i: F.substring(F.col(col), i, F.col("__n")))
+    return rows.withColumn("piece", F.explode(F.array_distinct(every))).drop("__n")
+
+
+def similar_parts(texts: DataFrame, parts: DataFrame, least: float) -> DataFrame:
+    """(low, part, score): the pairs of a text (low) and a name part (part), both distinct, whose partial ratio is
+    ``least`` or more. The shorter string has a piece that stands verbatim in the longer one; of strings of the same
+    length either may be the one whose window is taken."""
+    long_text = F.length("part") <= F.length("low")
+    short = parts.filter(F.length("part").between(1, LONGEST_CUT))
+    in_text = _substrings_of(texts, "low", least).join(_pieces_of(short, "part", least), "piece").filter(long_text)
+    brief = texts.filter(F.length("low").between(1, LONGEST_CUT))
+    in_part = _pieces_of(brief, "low", least).join(_substrings_of(parts, "part", least), "piece").filter(F.length("part") >= F.length("low"))
+    pairs = in_text.select("low", "part").unionByName(in_part.select("low", "part"))
+    # strings of more letters than pieces are cut for: as they are, or by their first letters
+    beyond = _long_pairs(texts, parts, least)
+    return pairs.unionByName(beyond).distinct().withColumn("score", partial_score(least)("part", "low")).filter(F.col("score") >= least)
+
+
+def _long_pairs(texts: DataFrame, parts: DataFrame, least: float) -> DataFrame:
+    """Pairs of which the shorter string has over LONGEST_CUT letters: cut into pieces of the size that its own number of
+    edits leaves, which is the same for all of them but for the remainder."""
+    size = max(1, math.floor(1 / (2 * (1 - least / 100) + 2 / LONGEST_CUT)))
+
+    def fixed(df, col, step):
+        every = F.transform(F.sequence(F.lit(1), F.length(col) - size + 1, F.lit(step)), lambda i: F.substring(F.col(col), i, F.lit(size)))
+        return df.filter(F.length(col) > LONGEST_CUT).withColumn("piece", F.explode(F.array_distinct(every)))
+
+    in_text = fixed(texts, "low", 1).join(fixed(parts, "part", size), "piece").filter(F.length("part") <= F.length("low"))
+    in_part = fixed(texts, "low", size).join(fixed(parts, "part", 1), "piece").filter(F.length("part") >= F.length("low"))
+    return in_text.select("low", "part").unionByName(in_part.select("low", "part"))
+
+
 def identify(texts: DataFrame, text_col: str, master: DataFrame, accept: float = 90.0, review: float = 86.0,
-             generic_regex: str = r"\b(?:ventas|ventas calle|agente)\b", office_regex: str = r"ofi\w*\s*(.*)",
-             part_rows: int = 200_000) -> DataFrame:
+             generic_regex: str = r"\b(?:ventas|ventas calle|agente)\b", office_regex: str = r"ofi\w*\s*(.*)") -> DataFrame:
     """ER-04: identify a seller in free text against a (first name, last name,
     state, office) master. Exact substring of the full name -> ``Exacta`` 100;
     else best mean of partial ratios of first/last name: >= accept ``Fuzzy``,
@@ -151,100 +278,50 @@ def identify(texts: DataFrame, text_col: str, master: DataFrame, accept: float =
     Detectada`` with the text after it; else ``No detectado``. Generic words
     short-circuit to ``No detectado``.
 
-    Texts are scored once per distinct value. Every text must be compared with every
-    master row to find the best mean, so the master goes to the scorer in parts of about
-    ``part_rows`` rows, one pass over the texts for each; of the parts' findings the best
-    one counts, ties going to the first in (name, surname, state, office)."""
+    A filtered join: name parts that reach ``review`` in a text by themselves come from ``similar_parts``; a mean of
+    ``review`` needs one of them. Of equal means the first row in (name, surname, state, office) counts. A NULL text
+    is the text ``none``, as its string is."""
+    distinct = texts.select(c(text_col).cast("string").alias("texto")).distinct()
+    low = F.coalesce(F.translate(F.lower("texto"), ACCENTED, PLAIN), F.lit("none"))
+    distinct = distinct.withColumn("low", low).withColumn("generic", F.col("low").rlike(generic_regex))
+    asked = distinct.filter("NOT generic").select("low").distinct()
+
     rows = master.select(fold_lower("Nombre").alias("n"), fold_lower("Apellido").alias("a"),
                          c("Estado").cast("string").alias("e"), c("Oficina").cast("string").alias("o")).filter("n != '' AND a != ''")
-    parts = max(1, math.ceil(rows.count() / part_rows))
-    distinct = texts.select(c(text_col).cast("string").alias("texto")).distinct()
-    found = None
-    for p in range(parts):
-        part = rows.filter(F.pmod(F.xxhash64("n", "a"), F.lit(parts)) == p).orderBy("n", "a", "e", "o").collect()
-        one = _identify_part(distinct, [(r.n, r.a, r.e, r.o) for r in part], accept, review, generic_regex, office_regex)
-        found = one if found is None else found.unionByName(one)
-    if parts > 1:
-        best = F.min(F.struct("clase", "orden", "nombre", "apellido", "estado_orden", "oficina_orden", F.struct(*_OUTPUT).alias("fila")))
-        found = found.groupBy("texto").agg(best.alias("mejor")).select("mejor.fila.*")
-    return found.select(*_OUTPUT)
-
-
-_OUTPUT = [x.split()[0] for x in IDENTIFY_SCHEMA.split(", ")]
-# what decides between the parts of a master: exact before fuzzy before none, then the score, then the row
-_PART_SCHEMA = IDENTIFY_SCHEMA + ", clase int, orden double, nombre string, apellido string, estado_orden string, oficina_orden string"
-
-
-def _identify_part(distinct: DataFrame, mlist: list[tuple], accept: float, review: float, generic_regex: str,
-                   office_regex: str) -> DataFrame:
-    spark = distinct.sparkSession
-    try:
-        bm = spark.sparkContext.broadcast(mlist)
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): ship the bounded part with the function
-        class _Value:
-            value = mlist
-        bm = _Value()
-    import re as _re
-
-    gen = _re.compile(generic_regex)
-    ofi = _re.compile(r"ofi\w*")
-    ofi_x = _re.compile(office_regex)
-
-    names = [x.split()[0] for x in _PART_SCHEMA.split(", ")]
-    accented, plain = ACCENTED, PLAIN
-
-    def score(it):
-        from collections import Counter
-
-        fold = str.maketrans(accented, plain)
-        master_rows = bm.value
-        counts = [(Counter(n), Counter(a)) for n, a, _e, _o in master_rows]
-        nothing = (2, 0.0, None, None, None, None)
-        for pdf in it:
-            out = []
-            for t in pdf["texto"]:
-                # folded like the master, so that accents never keep a name from matching
-                low = str(t).lower().translate(fold) if t is not None else "none"
-                if gen.search(low):
-                    out.append((t, None, None, None, "No detectado", None, None, None) + nothing)
-                    continue
-                hit = None
-                for n, a, e, o in master_rows:
-                    full = f"{n} {a}".strip()
-                    if full in low:
-                        hit = (t, full, e, o, "Exacta", 100.0, 100.0, 100.0, 0, 0.0, n, a, e, o)
-                        break
-                if hit:
-                    out.append(hit)
-                    continue
-                best = None
-                tc = Counter(low)
-                for (n, a, e, o), (nc, ac) in zip(master_rows, counts):
-                    # exact pruning: a row whose mean cannot reach ``review`` never changes the outcome
-                    if (partial_ratio_upper_bound(nc, len(n), tc, len(low))
-                            + partial_ratio_upper_bound(ac, len(a), tc, len(low))) / 2 < review:
-                        continue
-                    sn, sa = partial_ratio(n, low), partial_ratio(a, low)
-                    comb = (sn + sa) / 2
-                    if best is None or comb > best[0]:
-                        best = (comb, f"{n} {a}".strip(), e, o, sn, sa, n, a)
-                if best is not None and best[0] < review:
-                    best = None
-                kind = "No detectado"
-                if best is not None:
-                    kind = "Fuzzy" if best[0] >= accept else ("Pendiente de Revisión" if best[0] >= review else "No detectado")
-                if kind == "No detectado":
-                    if ofi.search(low):
-                        mx = ofi_x.search(low)
-                        out.append((t, t, None, mx.group(1).strip() if mx else None, "Oficina Detectada", None, None, None) + nothing)
-                    else:
-                        out.append((t, None, None, None, "No detectado", None, None, None) + nothing)
-                else:
-                    out.append((t, best[1], best[2], best[3], kind, best[4], best[5], best[0],
-                                1, -best[0], best[6], best[7], best[2], best[3]))
-            yield pd.DataFrame(out, columns=names)
-
-    return distinct.mapInPandas(score, _PART_SCHEMA)
+    rows = rows.groupBy("n", "a").agg(F.min(F.struct("e", "o")).alias("eo"))
+    parts = rows.select(F.col("n").alias("part")).union(rows.select("a")).distinct()
+    hits = similar_parts(asked, parts, review)
+
+    names = hits.select("low", F.col("part").alias("n"), F.col("score").alias("sn"))
+    surnames = hits.select("low", F.col("part").alias("a"), F.col("score").alias("sa"))
+    both = names.join(surnames, "low").join(rows.select("n", "a"), ["n", "a"], "left_semi").select("low", "n", "a", "sn", "sa")
+    # a row one of whose names stays below ``review`` has a mean below this
+    clear = (100.0 + review) / 2
+    done = both.filter(F.col("sn") + F.col("sa") >= 2 * clear).select("low").distinct()
+    left = hits.join(done, "low", "left_anti")
+    other = 2 * review - F.col("score")  # what the other name needs
+    score = partial_score(2 * review - 100.0)
+    by_name = left.select("low", F.col("part").alias("n"), "score").join(rows.select("n", "a"), "n").withColumn("sa", score("a", "low"))
+    by_surname = left.select("low", F.col("part").alias("a"), "score").join(rows.select("n", "a"), "a").withColumn("sn", score("n", "low"))
+    one = by_name.filter(F.col("sa") >= other).select("low", "n", "a", F.col("score").alias("sn"), "sa").unionByName(
+        by_surname.filter(F.col("sn") >= other).select("low", "n", "a", "sn", F.col("score").alias("sa")))
+    found = both.unionByName(one).withColumn("mean", (F.col("sn") + F.col("sa")) / 2)
+    exact = F.contains("low", F.concat_ws(" ", "n", "a"))
+    order = F.struct((~exact).alias("fuzzy"), F.when(exact, F.lit(0.0)).otherwise(-F.col("mean")).alias("mean"), "n", "a", "sn", "sa")
+    best = found.filter(F.col("mean") >= review).groupBy("low").agg(F.min(order).alias("b")).select("low", "b.*")
+    best = best.join(rows, ["n", "a"]).select("low", "fuzzy", (-F.col("mean")).alias("mean"), F.concat_ws(" ", "n", "a").alias("full"), "sn", "sa", "eo")
+
+    res = distinct.join(best, "low", "left")
+    hit, is_exact = F.col("full").isNotNull(), ~F.col("fuzzy")
+    office = ~F.col("generic") & ~hit & F.col("low").rlike(r"ofi\w*")
+    kind = (F.when(F.col("generic") | ~(hit | office), "No detectado").when(office, "Oficina Detectada").when(is_exact, "Exacta")
+            .when(F.col("mean") >= accept, "Fuzzy").otherwise("Pendiente de Revisión"))
+    perfect = lambda x: F.when(hit & is_exact, F.lit(100.0)).otherwise(F.col(x))
+    return res.select(
+        "texto", F.when(office, F.col("texto")).otherwise(F.col("full")).alias("nombre_detectado"), F.col("eo.e").alias("Estado"),
+        F.when(office, F.trim(F.regexp_extract("low", office_regex, 1))).otherwise(F.col("eo.o")).alias("oficina_comercial"),
+        kind.alias("tipo_coincidencia"), perfect("sn").alias("fuzzy_score_nombre"), perfect("sa").alias("fuzzy_score_apellido"),
+        perfect("mean").alias("fuzzy_score_combinado"))
 
 
 def fold_lower(name: str) -> Column:

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -121,3 +123,78 @@ def test_identify_pruning_matches_brute_force(spark):
                 else:
                     want = (kind, best[1], best[0])
         assert got[t] == want, t
+
+
+def _names(rnd, longest=4):
+    syll = ["ma", "ri", "a", "jo", "se", "lu", "is", "pe", "rez", "go", "mez", "an", "to", "nio"]
+    return "".join(rnd.choice(syll) for _ in range(rnd.randint(1, longest)))
+
+
+def _typo(rnd, text):
+    text = list(text)
+    for _ in range(rnd.randrange(0, 3)):
+        if text:
+            i = rnd.randrange(len(text))
+            text[i:i + 1] = rnd.choice([[], ["x"], [text[i], "y"]])
+    return "".join(text)
+
+
+@pytest.mark.parametrize("least", [86.0, 72.0])
+def test_similar_parts_equal_brute_force(spark, least):
+    rnd = random.Random(int(least))
+    parts = sorted({_names(rnd) for _ in range(80)} | {_names(rnd, 40) for _ in range(2)} | {"a" * 70, "ab" * 50})
+    texts = sorted({_typo(rnd, " ".join(_names(rnd) for _ in range(rnd.randint(1, 3)))) for _ in range(80)}
+                   | {_typo(rnd, p) for p in parts} | {_typo(rnd, p) + " " + _names(rnd) for p in parts[::5]})
+    got = {(r.low, r.part): r.score for r in R.similar_parts(
+        spark.createDataFrame([(t,) for t in texts], "low string"), spark.createDataFrame([(p,) for p in parts], "part string"), least).collect()}
+    want = {(t, p): partial_ratio(p, t) for t in texts for p in parts if t and partial_ratio(p, t) >= least}
+    assert got == want
+
+
+@pytest.mark.parametrize("threshold", [95.0, 88.0])
+def test_candidates_of_long_names_are_complete(spark, threshold):
+    rnd = random.Random(int(threshold))
+    name = lambda: " ".join(_names(rnd, 5) for _ in range(rnd.randint(1, 4)))
+    ms = sorted({name() for _ in range(100)} | {"maria " + name() for _ in range(40)})
+    qs = sorted({_typo(rnd, m) for m in ms} | {m.replace(" ", "", 1) for m in ms[:30]} | {m + " " + name() for m in ms[::3]}
+                | {" ".join(m.split()[::-1][:2]) for m in ms} | {name() for _ in range(40)})
+    qs = [q for q in qs if q.strip()]
+    got = {(r.q, r.name) for r in R.candidate_pairs(spark.createDataFrame([(q,) for q in qs], "q string"), spark.createDataFrame([(m,) for m in ms], "name string"), threshold).collect()}
+    assert {(q, m) for q in qs for m in ms if token_set_ratio(q, m) >= threshold} <= got
+
+
+def test_candidates_grow_linearly_with_a_token_in_every_name(spark):
+    """A token that all names hold makes no candidates; neither does it when its queries are split by a salt."""
+    def count(n):
+        word = lambda k: "".join(chr(97 + (k * p) % 26) for p in (3, 5, 7, 11, 17)) + str(k)
+        q = spark.createDataFrame([(f"maria {word(i)} {word(i + n)}",) for i in range(n)], "q string")
+        m = spark.createDataFrame([(f"maria {word(i)} {word(i + n)} {word(i + 2 * n)}",) for i in range(n)], "name string")
+        return R.candidate_pairs(q, m).count()
+
+    few, many = count(300), count(1200)
+    assert 300 <= few and many <= 4.4 * few and many < 1200 * 40
+
+
+def test_salted_tokens_give_the_same_candidates(spark, monkeypatch):
+    q = spark.createDataFrame([(f"ana x{i}",) for i in range(40)] + [("ana",)], "q string")
+    m = spark.createDataFrame([(f"ana x{i}",) for i in range(0, 80, 2)] + [("ana",)], "name string")
+    want = sorted(map(tuple, R.candidate_pairs(q, m).collect()))
+    monkeypatch.setattr(R, "SPLIT_ROWS", 7)
+    assert sorted(map(tuple, R.candidate_pairs(q, m).collect())) == want
+
+
+def test_the_master_is_not_collected(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    def refused(*_a, **_k):
+        raise AssertionError("collected")
+
+    master = spark.createDataFrame([("José", "Pérez", "L", "O1"), ("Ana", "Gil", "C", "O2"), ("Ana", "Gila", "C", "O4")], "Nombre string, Apellido string, Estado string, Oficina string")
+    texts = spark.createDataFrame([("venta jose perez",), ("JOSÉ PÉREZ",), ("ana gila x",), ("ofi centro",), ("agente",), (None,), ("",)], "t string")
+    with monkeypatch.context() as m:
+        for f in ("collect", "toPandas", "toArrow", "count", "first"):
+            m.setattr(DataFrame, f, refused)
+        out = R.identify(texts, "t", master)
+    got = {r.texto: (r.tipo_coincidencia, r.nombre_detectado) for r in out.collect()}
+    assert got == {"venta jose perez": ("Exacta", "jose perez"), "JOSÉ PÉREZ": ("Exacta", "jose perez"), "ana gila x": ("Exacta", "ana gil"),
+                   "ofi centro": ("Oficina Detectada", "ofi centro"), "agente": ("No detectado", None), None: ("No detectado", None), "": ("No detectado", None)}

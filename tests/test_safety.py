@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.joins import map_enrich
 from strata.operators.quality import unmapped_values
-from strata.operators.resolve import candidate_pairs, identify
+from strata.operators.resolve import candidate_pairs
 from strata.operators.sets import union_distinct
 from strata.operators.windows import next_value
 from strata.sources.lake import Lake
@@ -118,14 +118,6 @@ def test_no_candidate_is_lost_at_any_threshold(spark, threshold):
     assert {(a, b) for a in names for b in names if token_set_ratio(a, b) >= threshold} <= got
 
 
-def test_a_master_in_parts_identifies_as_one_part_does(spark):
-    master = spark.createDataFrame([("José", "Pérez", "L", "O1"), ("Ana", "Gil", "C", "O2"), ("Rosa", "Marcano", "C", "O3"), ("Ana", "Gila", "C", "O4")], "Nombre string, Apellido string, Estado string, Oficina string")
-    texts = spark.createDataFrame([("venta jose perez",), ("JOSÉ PÉREZ",), ("ana gila x",), ("rosa marcan",), ("ofi centro",), ("agente",), (None,)], "t string")
-    one = sorted(map(str, identify(texts, "t", master).collect()))
-    assert sorted(map(str, identify(texts, "t", master, part_rows=1).collect())) == one
-    assert sum("Exacta" in x for x in one) == 3
-
-
 def test_null_keys_form_no_recurrence_groups(spark):
     from strata.plans import analytics as AN
 
