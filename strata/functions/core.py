@@ -42,3 +42,16 @@ def first_present(df: DataFrame, names: list[str]) -> str | None:
         if f is not None:
             return f
     return None
+
+
+def rows_counted(counted, name: str = "n") -> int:
+    """What an ``Observation`` of a finished write counted; 0 where Spark found at run time that there is nothing to
+    write and dropped the plan with its counter, in which case there are no metrics to read."""
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        return counted.get.get(name) or 0
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e.java_exception):
+            raise
+        return 0

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.core import c
-from ..sources.lake import row_audit  # DQ-02  # noqa: F401
+from ..sources.lake import audited_write  # DQ-02  # noqa: F401
 
 
 def missing_columns(spark: SparkSession, df: DataFrame, expected: list[str], table: str) -> DataFrame:

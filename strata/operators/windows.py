@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .joins import attach_scalar
 
 from ..functions.core import as_col, c
+from ..session import cut_lineage
 
 
 def _order(order: list) -> list[Column]:
@@ -109,22 +110,37 @@ def count_over(df: DataFrame, partition: list[str], out: str, value: str | None
 
 def frequency_rank(df: DataFrame, col: str, out: str) -> DataFrame:
     """WIN-09: dense rank of a category by frequency (1 = most frequent);
-    NULL/blank -> 0. Counts are aggregated first (one row per category), the
-    rank window runs on that small table, then a left join brings it back."""
+    NULL/blank -> 0. The rank runs over the distinct frequencies: n rows have at most
+    sqrt(2 n) of them, however many categories there are. Categories take their
+    frequency's rank, and rows their category's, by joins."""
     x = F.nullif(F.trim(c(col)), F.lit(""))
     counts = (df.select(x.alias("__cat")).filter(F.col("__cat").isNotNull())
               .groupBy("__cat").agg(F.count(F.lit(1)).alias("__n")))
-    ranked = counts.withColumn(out, F.dense_rank().over(Window.orderBy(F.col("__n").desc()))).drop("__n")
+    ranks = counts.select("__n").distinct().withColumn(out, F.dense_rank().over(Window.orderBy(F.col("__n").desc())))
+    ranked = counts.join(ranks, "__n").drop("__n")
     return (df.withColumn("__cat", x).join(ranked, "__cat", "left")
             .withColumn(out, F.coalesce(c(out), F.lit(0))).drop("__cat"))
 
 
+def running_total(df: DataFrame, value, order: list, out: str) -> DataFrame:
+    """Running sum of ``value`` under a total order, as a distributed prefix scan: rows are dealt by ranges of the
+    order, each range sums its own rows, and adds the totals of the ranges before it (one row for each range). The
+    dealt rows are checkpointed, so that both uses see the same ranges after an executor loss."""
+    keys = _order(order)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.repartitionByRange(n, *keys).withColumns({"__pid": F.spark_partition_id(), "__v": as_col(value)}))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("__pid").agg(F.sum("__v").alias("__t"))
+    offsets = totals.select("__pid", F.sum("__t").over(before).alias("__off"))
+    own = Window.partitionBy("__pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (ranged.withColumn("__run", F.sum("__v").over(own)).join(offsets, "__pid")
+            .withColumn(out, F.col("__run") + F.coalesce("__off", F.lit(0))).drop("__pid", "__v", "__run", "__off"))
+
+
 def running_share(df: DataFrame, value: str, order: list, out: str = "cum_pct", scale: int | None = None) -> DataFrame:
-    """WIN-10: running cumulative % of the total under a total order. For the
-    aggregated (small) Pareto table; the running frame is a single ordered window."""
-    w = Window.orderBy(*_order(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """WIN-10: running cumulative % of the total under a total order (a prefix scan)."""
     tot = df.agg(F.sum(c(value)).alias("__tot"))
-    x = F.sum(c(value)).over(w) / F.col("__tot") * 100.0
+    x = F.col("__run_total") / F.col("__tot") * 100.0
     if scale is not None:
         x = F.round(x, scale)
-    return attach_scalar(df, tot).withColumn(out, x).drop("__tot")
+    return attach_scalar(running_total(df, value, order, "__run_total"), tot).withColumn(out, x).drop("__tot", "__run_total")

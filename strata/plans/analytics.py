@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach_scalar
@@ -15,6 +15,7 @@ from ..functions.core import c
 from ..functions.dates import band, days_between, round_half_even
 from ..operators.aggregates import first_appearance_concat, fixed_width_histogram, ordered_concat
 from ..operators.ordering import top_n_filter
+from ..operators.windows import running_total
 
 
 @dataclass(frozen=True)
@@ -66,13 +67,11 @@ def pareto_by_cause(groups: DataFrame, k: TicketCols = TicketCols()) -> DataFram
         F.sum("Repeticiones").alias("Total_Tickets_Involucrados"),
         round_half_even(F.avg("Promedio_Supervivencia_Dias"), 1).alias("Supervivencia_Promedio_Dias"))
     tot = r.agg(F.sum("Total_Tickets_Involucrados").alias("__t"))
-    w = Window.orderBy(F.col("Total_Tickets_Involucrados").desc(), c(k.cause).asc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    share = F.col("Total_Tickets_Involucrados") / F.col("__t") * 100
-    r = attach_scalar(r, tot).withColumn("__share", share)
+    r = attach_scalar(r, tot).withColumn("__share", F.col("Total_Tickets_Involucrados") / F.col("__t") * 100)
+    r = running_total(r, "__share", [F.col("Total_Tickets_Involucrados").desc(), c(k.cause).asc()], "__pareto")
     return (r.withColumn("Pct_Del_Total", round_half_even(F.col("__share"), 2))
-            .withColumn("Pct_Acumulado_Pareto", round_half_even(F.sum("__share").over(w), 2))
-            .drop("__t", "__share"))
+            .withColumn("Pct_Acumulado_Pareto", round_half_even(F.col("__pareto"), 2))
+            .drop("__t", "__share", "__pareto"))
 
 
 def evolution(groups: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:

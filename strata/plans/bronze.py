@@ -4,12 +4,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.core import c, find_column
 from ..functions.dates import DEFAULT_DATE_FORMATS, parse_date
-from ..operators.merge import append_distinct, initial_load, upsert_by_date
 from ..sources.lake import Lake
+from ..sources.partitioned import append_new_rows, replace_keys
 from ..sources.workbook import read_workbooks
 
 
@@ -23,29 +22,25 @@ def prepare_batch(rows: DataFrame, date_col: str | None, formats: list[str] | No
     return rows
 
 
-def merge_batch(history: DataFrame | None, batch: DataFrame, date_col: str | None,
-                strict_reference: bool = False, ignore_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Replace-by-date when the batch has a parsed date column, else
-    append + full-row distinct; the first load is a distinct of the batch."""
-    if history is None:
-        return initial_load(batch)
+def merge_batch(spark: SparkSession, path: str, batch: DataFrame, date_col: str | None,
+                ignore_cols: tuple[str, ...] = ("Source.Name", "Fecha_Modificacion_Archivo")) -> int:
+    """Merge a batch into a bronze table: the partitions of its dates are replaced when it has the date column
+    (MRG-01), else its new rows are appended (MRG-02; a row that another file holds too is not new)."""
     found = find_column(batch, date_col) if date_col else None
     if found is not None:
-        return upsert_by_date(history, batch, found, strict_reference)
-    return append_distinct(history, batch, ignore_cols)
+        return replace_keys(spark, path, batch, found)
+    return append_new_rows(spark, path, batch, ignore_cols)
 
 
 def ingest(spark: SparkSession, lake: Lake, raw_path: str, name: str, date_col: str | None = None,
-           formats: list[str] | None = None, strict_reference: bool = False) -> dict:
-    """Read every workbook in ``raw_path``, merge into bronze ``name`` and publish
-    a new version (safe replace). Returns the write audit plus unreadable files."""
+           formats: list[str] | None = None, expected: list[str] | None = None) -> dict:
+    """Read every workbook in ``raw_path`` and merge it into the bronze table ``name``, partition by partition. Returns
+    the rows written as Spark counted them on the way (DQ-02), unreadable files and missing columns (DQ-01)."""
     rows, errors = read_workbooks(spark, raw_path)
-    batch = prepare_batch(rows, date_col, formats)
-    history = lake.read("bronze", name) if lake.exists("bronze", name) else None
-    merged = merge_batch(history, batch, date_col, strict_reference)
-    res = lake.save(merged, "bronze", name, audit=True)
-    res["unreadable_files"] = [r.source_name for r in errors.select("source_name").collect()]
-    return res
+    written = merge_batch(spark, lake.path("bronze", name), prepare_batch(rows, date_col, formats), date_col)
+    return {"table": name, "written": True, "rows": written,
+            "unreadable_files": [r.source_name for r in errors.select("source_name").collect()],
+            "missing_columns": [n for n in expected or [] if n not in rows.columns]}
 
 
 def churn_risk_bronze(spark: SparkSession, lake: Lake, raw_path: str) -> dict:

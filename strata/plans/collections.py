@@ -61,27 +61,32 @@ def collections_gold(payments: DataFrame, hours: DataFrame | None, own_offices:
     return out.select(*GOLD_COLUMNS)
 
 
-CALL_GOLD = ["N° Abonado", "Documento", "Fecha Llamada", "Hora Llamada", "Tipo Respuesta", "Detalle Respuesta",
-             "Responsable", "Canal", "Saldo", "Franquicia"]
+CALL_DATE_FORMATS = ["yyyy-MM-dd", "d/M/yyyy H:mm:ss", "d/M/yyyy", "yyyy-MM-dd HH:mm:ss", "d-M-yyyy"]
 
 
 def collection_calls_gold(bronze: DataFrame, as_of: _dt.date) -> DataFrame:
-    """PL-09: schema-driven typing (SRC-04): garbage -> NULL with the trimmed
-    case-insensitive variant (SC-01), ids (SC-02), dates (SC-03), hour with
-    default (SC-07), channel from the responsible (CLS-04), subscriber present
-    (FLT-01), not future-dated (FLT-05), newest file per (subscriber, date, hour)
-    with a full-row tie break (WIN-01, D-07)."""
-    g = lambda n: garbage_to_null(col_or_default(bronze, n, "string"), trim_values=True)
-    df = bronze.select(
-        normalize_id(g("N° Abonado")).alias("N° Abonado"), normalize_id(g("Documento")).alias("Documento"),
-        parse_date(g("Fecha Llamada"), ["d/M/yyyy H:mm:ss", "d/M/yyyy", "d-M-yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"])
-        .alias("Fecha Llamada"),
-        hour_bucket(g("Hora Llamada"), default="00:00").alias("Hora Llamada"),
-        g("Tipo Respuesta").alias("Tipo Respuesta"), g("Detalle Respuesta").alias("Detalle Respuesta"),
-        g("Responsable").alias("Responsable"), responsible_channel(g("Responsable")).alias("Canal"),
-        decimal_comma(g("Saldo")).alias("Saldo"), g("Franquicia").alias("Franquicia"),
-        col_or_default(bronze, "Fecha_Modificacion_Archivo", "timestamp").alias("__mt"))
+    """PL-09: the extract's own columns (SRC-04) but the customer's name, in their order: ids without a trailing ``.0``
+    (SC-02), dates (SC-03), the city upper-cased with a default, the call's hour as ``Hora`` with a default (SC-07),
+    other texts trimmed and garbage -> NULL (SC-01); then the channel from the responsible (CLS-04). Subscriber present
+    (FLT-01), not future-dated (FLT-05), newest file per (subscriber, date, hour) with a full-row tie break (WIN-01)."""
+    cols = []
+    for f in bronze.schema.fields:
+        x, text = c(f.name), f.dataType.simpleString() == "string"
+        if f.name == "Cliente":
+            continue
+        if f.name in ("N° Abonado", "Documento"):
+            x = normalize_id(garbage_to_null(x.cast("string"), trim_values=True), strip_dots=False)
+        elif f.name == "Fecha Llamada":
+            x = parse_date(x, CALL_DATE_FORMATS) if text else x.cast("date")
+        elif f.name == "Ciudad":
+            x = F.upper(F.coalesce(F.nullif(F.trim(x.cast("string")), F.lit("")), F.lit("NO ESPECIFICADO")))
+        elif f.name == "Hora Llamada":
+            cols.append(hour_bucket(x.cast("string"), default="00:00").alias("Hora"))
+            continue
+        elif text:
+            x = F.trim(garbage_to_null(x, trim_values=True))
+        cols.append(x.alias(f.name))
+    df = bronze.select(*cols, responsible_channel(col_or_default(bronze, "Responsable", "string")).alias("Canal"))
     df = df.filter(c("N° Abonado").isNotNull()).filter(date_window("Fecha Llamada", as_of=as_of))
-    df = keep_first(df, ["N° Abonado", "Fecha Llamada", "Hora Llamada"],
-                    [F.col("__mt").desc_nulls_last()] + row_tiebreak(df, exclude=("__mt",)))
-    return df.select(*CALL_GOLD)
+    newest = [c(n).desc_nulls_last() for n in ["Fecha_Modificacion_Archivo"] if n in df.columns]
+    return keep_first(df, [n for n in ["N° Abonado", "Fecha Llamada", "Hora"] if n in df.columns], newest + row_tiebreak(df))

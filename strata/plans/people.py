@@ -22,11 +22,13 @@ EMPLOYEE_COLUMNS = ["Doc_Identidad", "Nombre_Completo", "Combinado", "OficinaSae
 
 
 def employee_master(snapshots: DataFrame, exclude_regex: str | None = None) -> DataFrame:
-    """PL-12: snapshot files dated by the date token in their file name (SC-20d); texts trimmed and
+    """PL-12: snapshot files but consolidated ones, dated by the date token in their file name (SC-20d); texts trimmed and
     upper-cased; non-human names out (FLT-03); identity = name + the sales system's office (SC-27); one row
     per (document, identity, start), the newest file's; each is valid until the identity's next start
     (SCD-01). D-17: the identity includes the office, so a move leaves the old row active - ``scd2`` keyed
     by document fixes it."""
+    if "Source.Name" in snapshots.columns:  # consolidated files repeat what the others hold
+        snapshots = snapshots.filter(~F.coalesce(F.contains(F.lower(c("Source.Name")), F.lit("consolidado")), F.lit(False)))
     df = clean_headers(snapshots, "title")
     for old, new in EMPLOYEE_RENAMES.items():
         if old in df.columns and new not in df.columns:

@@ -8,9 +8,12 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.files import latest_file, list_files
+from ..functions.dates import snapshot_cut
+from ..sources.files import latest_file, list_files, pending_snapshots
 from ..sources.lake import Lake
+from ..sources.partitioned import read_table, replace_keys, table_exists
 from ..sources.workbook import read_workbooks
 from . import collections as CO
 from . import stock as ST
@@ -48,21 +51,26 @@ def run_collections(spark: SparkSession, lake: Lake, payments_raw: str, hours_ra
     hours = None
     if hours_raw:
         ingest(spark, lake, hours_raw, "HorasPago_Raw_Bronze", "Fecha")
-        hours = lake.read("bronze", "HorasPago_Raw_Bronze")
-    gold = CO.collections_gold(lake.read("bronze", "Recaudacion_Raw_Bronze"), hours, own_offices, exclude_office_regex)
+        hours = read_table(spark, lake.path("bronze", "HorasPago_Raw_Bronze"))
+    gold = CO.collections_gold(read_table(spark, lake.path("bronze", "Recaudacion_Raw_Bronze")), hours, own_offices, exclude_office_regex)
     return _publish(lake, {"Recaudacion_Gold": ("gold", gold)})
 
 
 def run_stock(spark: SparkSession, lake: Lake, raw_path: str) -> list[dict]:
-    """PL-14: snapshot workbooks -> silver merged by period label -> gold; the
-    gold is rebuilt from silver every run (MRG-06)."""
-    rows, errors = read_workbooks(spark, raw_path)
-    batch = ST.stock_silver(rows)
-    history = lake.read("silver", "Stock_Abonados_Silver") if lake.exists("silver", "Stock_Abonados_Silver") else None
-    merged = ST.merge_stock(history, batch)
-    lake.save(merged, "silver", "Stock_Abonados_Silver", audit=True)
-    silver = lake.read("silver", "Stock_Abonados_Silver")
-    return _publish(lake, {"Stock_Abonados_Gold": ("gold", ST.stock_gold(silver, drop_null_keys=history is None))}) + _unreadable(errors)
+    """PL-14: snapshot workbooks whose period is not in silver yet, and the newest one (SRC-13) -> their periods'
+    partitions of silver replaced (MRG-05) -> gold, rebuilt from silver every run (MRG-06)."""
+    path = lake.path("silver", "Stock_Abonados_Silver")
+    first = not table_exists(spark, path)
+    cut = snapshot_cut(F.col("name"))
+    files = list_files(spark, raw_path).select("path", "name", cut["label"].alias("periodo"), cut["cut"].alias("corte")).filter("periodo IS NOT NULL")
+    if not first:
+        loaded = read_table(spark, path).select(F.col("Quincena Evaluada").alias("periodo"))
+        files = pending_snapshots(files, loaded, "periodo", "corte")
+    rows, errors = read_workbooks(spark, raw_path, only=files.select("path"))
+    batch = ST.merge_stock(None, ST.stock_silver(rows))
+    replace_keys(spark, path, batch, "Quincena Evaluada")
+    silver = read_table(spark, path)
+    return _publish(lake, {"Stock_Abonados_Gold": ("gold", ST.stock_gold(silver, drop_null_keys=first))}) + _unreadable(errors)
 
 
 def newest_workbook(spark: SparkSession, folder: str) -> DataFrame:

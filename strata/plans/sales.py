@@ -15,30 +15,32 @@ from ..operators.rules import sales_channel
 from ..operators.shape import clean_headers, conform
 from ..operators.windows import keep_first, row_tiebreak
 
-LISTING_COLUMNS = ["N° Abonado", "Cliente", "Fecha Contrato", "Estatus", "Suscripción", "Grupo Afinidad",
+# The columns of the sales listing that are read, and those that do not reach the gold table.
+LISTING_COLUMNS = ["ID", "N° Abonado", "Fecha Contrato", "Estatus", "Suscripción", "Grupo Afinidad",
                    "Nombre Franquicia", "Ciudad", "Vendedor", "Serv/Paquete", "nombre_detectado", "Estado",
                    "oficina_comercial", "tipo_coincidencia", "fuzzy_score_nombre", "fuzzy_score_apellido",
                    "fuzzy_score_combinado", "Fecha_Modificacion_Archivo"]
+LISTING_DROPPED = ["Estado", "Cliente", "ID", "Serv/Paquete", "fuzzy_score_nombre", "fuzzy_score_apellido", "fuzzy_score_combinado"]
 
 
 def sales_listing(bronze: DataFrame, office_sellers: list[str], own_sellers: list[str],
                   overrides: list[tuple[list[str], dict[str, str]]] = ()) -> DataFrame:
-    """PL-02: conform (PRJ-05), month name (SC-08), text cleanup (SC-13),
-    place overrides (ER-05), channel (CLS-03), rows pending review dropped
-    (FLT-02; NULL match type kept when the column is absent from the source,
-    D-03), newest file per (subscriber, contract date) (MRG-07)."""
+    """PL-02: conform (PRJ-05), the office under its own name, the constant kind of traffic, month name (SC-08), texts
+    trimmed and in one case (NULL as empty until the end), place overrides (ER-05), channel (CLS-03), rows pending
+    review dropped (FLT-02; NULL match type kept when the column is absent from the source, D-03), newest file per
+    (subscriber, contract date) (MRG-07), garbage -> NULL (SC-01)."""
     had_type = "tipo_coincidencia" in bronze.columns
-    df = conform(clean_headers(bronze), LISTING_COLUMNS)
-    df = df.withColumn("Fecha Contrato", parse_date(c("Fecha Contrato")))
+    df = conform(clean_headers(bronze), LISTING_COLUMNS).withColumnRenamed("oficina_comercial", "Oficina")
+    df = df.withColumn("Tipo de afluencia", F.lit("VENTAS")).withColumn("Fecha Contrato", parse_date(c("Fecha Contrato")))
     df = df.withColumn("Mes", month_name_es(F.month("Fecha Contrato"), "title"))
-    for t in ["Cliente", "Estatus", "Nombre Franquicia", "Ciudad"]:
-        df = df.withColumn(t, F.upper(squish(t)))
-    df = df.withColumn("Vendedor", F.lower(squish("Vendedor")))
+    clean = lambda t: F.trim(F.coalesce(c(t).cast("string"), F.lit("")))
+    df = df.withColumns({t: F.upper(clean(t)) for t in ["Ciudad", "nombre_detectado", "Oficina", "N° Abonado"]} | {"Vendedor": F.lower(clean("Vendedor"))})
     for markers, sets in overrides:
         df = place_override(df, "Vendedor", markers, sets)
     df = df.withColumn("Canal", sales_channel("Vendedor", "nombre_detectado", "tipo_coincidencia", office_sellers, own_sellers))
     df = df.filter(in_list(c("tipo_coincidencia"), ["Pendiente de Revisión"], negate=True, keep_null=not had_type))
-    return newest_version(df, ["N° Abonado", "Fecha Contrato"])
+    df = newest_version(df.drop(*LISTING_DROPPED), ["N° Abonado", "Fecha Contrato"])
+    return df.withColumns({f.name: garbage_to_null(c(f.name)) for f in df.schema.fields if f.dataType.simpleString() == "string"})
 
 
 # Names that sales extracts give to a column, and the output columns of the sales-status gold.

@@ -25,6 +25,14 @@ OPENED, PRINTED, CLOSED = "Fecha Apertura", "Fecha Impresion", "Fecha Cierre"
 RES, DISP, PRINT = "SLA Resolucion Min", "SLA Despacho Min", "SLA Impresion Min"
 
 
+# The columns of the silver table, in its order; those that no extract brings are left out.
+SILVER_COLUMNS = ["Quincena Evaluada", "FechaInicio", "FechaFin", OPENED, PRINTED, CLOSED, "Fecha Apertura Date",
+                  "Fecha Cierre Date", "Es_Falla", "Cumplio_SLA", "Duracion_Horas", RES, DISP, PRINT, "Franquicia",
+                  "Grupo Trabajo", "Grupo Afinidad", "Clasificacion", "N° Contrato", "N° Orden", "Estatus contrato",
+                  "Estatus_orden", "Usuario Final", "Usuario Emisión", "Usuario Impresión", "Solucion Aplicada",
+                  "Detalle Orden", "SLA Detalle Texto"]
+
+
 @dataclass
 class TicketRules:
     """Parameters of the ticket job (all synthetic/user supplied)."""
@@ -116,7 +124,8 @@ def build_silver(bronze: DataFrame, rules: TicketRules, tie_break: list | None =
     for idc in ["N° Orden", "N° Contrato"]:
         if idc in df.columns:
             df = df.withColumn(idc, normalize_id(c(idc), strip_dots=False))
-    df = dedupe_tickets(df, tie_break=tie_break)
+    kept = [n for n in SILVER_COLUMNS if n in df.columns]
+    df = dedupe_tickets(df, tie_break=tie_break or [c(n).asc_nulls_first() for n in kept]).select(*[c(n) for n in kept])
     strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     return df.withColumns({n: garbage_to_null(c(n)) for n in strings})
 
@@ -153,13 +162,13 @@ def idf_detail_gold(silver: DataFrame) -> DataFrame:
 def sla_stats_gold(silver: DataFrame) -> DataFrame:
     """KPI-04: row-level SLA table, resolution not NULL (zeros kept)."""
     return silver.filter(c(RES).isNotNull()).select(
-        "Quincena Evaluada", "FechaFin", "Franquicia", "Clasificacion", RES, DISP, PRINT)
+        "Quincena Evaluada", "Franquicia", "Clasificacion", RES, DISP, PRINT)
 
 
-FACT_COLUMNS = ["Quincena Evaluada", "FechaInicio", "FechaFin", "N° Orden", "N° Contrato", "Franquicia",
-                "Grupo Trabajo", "Grupo Afinidad", "Clasificacion", "Solucion Aplicada", OPENED, PRINTED, CLOSED,
-                "Fecha Apertura Date", "Fecha Cierre Date", RES, DISP, PRINT, "Duracion_Horas", "Es_Falla",
-                "Cumplio_SLA"]
+# The columns of the fact table, in its order.
+FACT_COLUMNS = ["Quincena Evaluada", "Franquicia", "Fecha Apertura Date", "Fecha Cierre Date", "N° Orden", "N° Contrato",
+                "Solucion Aplicada", "Detalle Orden", "Clasificacion", "Grupo Afinidad", RES, DISP, PRINT, "Cumplio_SLA",
+                "Duracion_Horas", "Es_Falla"]
 
 
 def fact_gold(silver: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from ..operators.resolve import prepare_master, resolve_with_fallback
 from ..operators.sets import union_all_by_name
 from ..operators.shape import conform
 
+# The columns of the traffic tables, in their order.
 TRAFFIC_COLUMNS = ["N° Abonado", "Documento", "Estatus", "Fecha", "Vendedor", "Grupo Afinidad", "Nombre Franquicia",
                    "Ciudad", "Tipo de afluencia", "Oficina", "Clasificacion", "Hora"]
 
@@ -24,13 +25,15 @@ KEYWORD_OFFICES = [
     (["CALLE"], "FUERZA DE VENTA EXTERNA"),
     (["TELEVENTAS", "CALL CENTER"], "TELEVENTAS / CALL CENTER"),
 ]
-NON_HUMAN = (r"\b(INTERCOM|INVERSIONES|SOLUCIONES|TECNOLOGIA|TELECOMUNICACIONES|MULTISERVICIOS|COMERCIALIZADORA|"
-             r"CORPORACION|SISTEMAS|ASOCIADOS|CONSORCIO|GRUPO|AGENTE|ALIADO|AUTORIZADO|OFICINA|SUCURSAL|CANAL|TAQUILLA|"
-             r"OFI|OFIC|OFC)\b")
+# Words that mark an employee entry as not a person.
+NON_HUMAN_WORDS = ("INTERCOM", "INVERSIONES", "SOLUCIONES", "TECNOLOGIA", "TELECOMUNICACIONES", "MULTISERVICIOS", "COMERCIALIZADORA",
+                   "CORPORACION", "SISTEMAS", "ASOCIADOS", "CONSORCIO", "GRUPO", "AGENTE", "ALIADO", "AUTORIZADO", "OFICINA",
+                   "SUCURSAL", "CANAL", "TAQUILLA", "OFI", "OFIC", "OFC")
 
 
 def traffic_silver(golds: dict[str, DataFrame], employees: DataFrame | None, universe: DataFrame | None,
-                   keyword_rules=KEYWORD_OFFICES, threshold: float = 95.0) -> DataFrame:
+                   keyword_rules=KEYWORD_OFFICES, threshold: float = 95.0,
+                   non_human: tuple[str, ...] = NON_HUMAN_WORDS) -> DataFrame:
     """PL-18: the collections, sales and care golds conformed to one contract
     (PRJ-05) and stacked (SET-01); month name (SC-08); ``Oficina`` resolved from
     the seller: employee master, then advisor universe (ER-01/03), then keyword
@@ -40,7 +43,7 @@ def traffic_silver(golds: dict[str, DataFrame], employees: DataFrame | None, uni
     df = union_all_by_name(*parts).withColumn("Mes", F.lower(month_name_es(F.month("Fecha"))))
     masters = []
     if employees is not None:
-        masters.append(prepare_master(employees, ["Nombre_Completo"], "OficinaSistema", exclude_regex=NON_HUMAN))
+        masters.append(prepare_master(employees, ["Nombre_Completo"], "OficinaSistema", exclude_regex=rf"\b({'|'.join(non_human)})\b"))
     if universe is not None:
         masters.append(prepare_master(universe, ["Nombre", "Apellido"], "Oficina"))
     if not masters and not keyword_rules:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -14,8 +15,8 @@ from ..operators import stats as STT
 from ..operators.rules import app_or_manual
 from ..plans import analytics as AN
 from ..plans import tickets as T
-from ..session import Tables
-from ..sources.lake import row_audit
+from ..session import Tables, checkpoint_root
+from ..sources.lake import audited_write
 from . import proof
 from .history import LABEL_SQL
 from .tickets import TICKETS_CTE, silver_slice
@@ -237,17 +238,28 @@ def st01(spark, d):
     return r.select("l_returnflag", "n", F.round("k2", 3).alias("k2"), F.round("p_value", 6).alias("p_value"), "es_normal")
 
 
-@proof("ST-02")
+# each distinct quantity drawn Poisson(its rows) times in each replicate, from a hash of quantity, replicate and seed
+_U = "((('0x' || substr(md5(CAST(CAST(l_quantity AS DECIMAL(38,6)) AS VARCHAR) || '|' || CAST(r AS VARCHAR) || '|42'), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
+ST02_SQL = f"""WITH g AS (SELECT l_quantity, count(*)::DOUBLE AS n FROM lineitem GROUP BY 1),
+u AS (SELECT l_quantity, n, r, {_U} AS u FROM g, range(0, 2000) t(r)),
+z AS (SELECT *, {STT.normal_quantile_sql('u')} AS z FROM u),
+w AS (SELECT r, l_quantity, CASE WHEN n <= {STT.SMALL} THEN len(list_filter({STT.small_cdf_sql()}[CAST(n AS INTEGER)], lambda x: x <= u))::DOUBLE
+  ELSE greatest(round(n + sqrt(n) * z + (z * z - 1) / 6), 0) END AS w FROM z),
+m AS (SELECT r, sum(w * l_quantity) / sum(w) AS m FROM w GROUP BY r)
+SELECT round(avg(m), 6) AS media_bootstrap, round(quantile_cont(m, 0.025), 6) AS ic_inferior, round(quantile_cont(m, 0.975), 6) AS ic_superior, count(*) AS replicas FROM m"""
+
+
+@proof("ST-02", ST02_SQL)
 def st02(spark, d):
-    li = Tables(spark, d).lineitem
-    return STT.bootstrap_mean(li, "l_extendedprice", li.columns, replicates=2000)
+    b = STT.bootstrap_mean(Tables(spark, d).lineitem, "l_quantity", replicates=2000)
+    return b.select(*[F.round(x, 6).alias(x) for x in ("media_bootstrap", "ic_inferior", "ic_superior")], "replicas")
 
 
 @proof("DQ-02", """SELECT 'orders' AS tabla, count(*) AS filas_leidas, CAST(count(*) - count_if(o_orderstatus = 'F') AS BIGINT) AS filas_eliminadas,
   CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS filas_guardadas FROM orders""")
 def dq02(spark, d):
-    o = Tables(spark, d).orders
-    return row_audit(o, o.filter(F.col("o_orderstatus") == "F"), "orders")
+    path = f"{checkpoint_root(spark).rstrip('/')}/strata-dq02-{uuid.uuid4().hex[:12]}"
+    return audited_write(Tables(spark, d).orders, lambda o: o.filter(F.col("o_orderstatus") == "F"), path, "orders")
 
 
 @proof("DQ-03", """WITH m AS (SELECT DISTINCT upper(trim(n_name)) AS k FROM nation WHERE n_regionkey <> 4),

@@ -13,7 +13,7 @@ from ..operators import keys as KY
 from ..operators import merge as M
 from ..plans import stock as ST
 from ..session import Tables, checkpoint_root
-from ..sources.lake import Lake
+from ..sources import partitioned as PT
 from ..streaming import ingest as SI
 from . import proof
 
@@ -175,10 +175,37 @@ def unp01(spark, d):
     return long.select(F.col("ESTATUS").alias("estatus"), F.col("Anio").alias("anio"), "mes_nombre", "cantidad", F.col("Fecha").alias("fecha"))
 
 
-def _stream_target(spark):
-    root = checkpoint_root(spark).rstrip("/")
-    run = uuid.uuid4().hex[:12]
-    return Lake(spark, f"{root}/strata-stream-{run}"), f"{root}/strata-stream-{run}/_checkpoint"
+def _target(spark, name):
+    """A new folder of the shared scratch space: (table, checkpoint)."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/strata-{name}-{uuid.uuid4().hex[:12]}"
+    return f"{root}/table", f"{root}/checkpoint"
+
+
+@proof("MRG-01-table", """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END AS fecha,
+  o_orderstatus, o_totalprice, o_orderdate FROM orders),
+h AS (SELECT o_orderkey, fecha, o_orderstatus AS estado FROM o WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+b AS (SELECT o_orderkey, fecha, 'X' AS estado, o_totalprice AS monto FROM o WHERE o_orderdate >= TIMESTAMP '1998-07-01')
+SELECT * FROM h WHERE fecha IS NOT NULL AND fecha NOT IN (SELECT fecha FROM b WHERE fecha IS NOT NULL)
+UNION ALL BY NAME SELECT * FROM b WHERE fecha IS NOT NULL
+UNION ALL BY NAME SELECT DISTINCT * FROM (SELECT * FROM h WHERE fecha IS NULL UNION ALL BY NAME SELECT * FROM b WHERE fecha IS NULL)""")
+def mrg01_table(spark, d):
+    o = Tables(spark, d).orders
+    path, _ = _target(spark, "mrg01")
+    month = F.when(F.col("o_orderkey") % 50 != 0, F.date_trunc("month", "o_orderdate").cast("date"))
+    base = o.select("o_orderkey", month.alias("fecha"), F.col("o_orderstatus").alias("estado"), F.col("o_totalprice").alias("monto"), "o_orderdate")
+    PT.replace_keys(spark, path, base.filter(F.col("o_orderdate") < F.lit(Y1999)).select("o_orderkey", "fecha", "estado"), "fecha")
+    PT.replace_keys(spark, path, base.filter(F.col("o_orderdate") >= F.lit(H1998)).select("o_orderkey", "fecha", F.lit("X").alias("estado"), "monto"), "fecha")
+    return PT.read_table(spark, path).select("o_orderkey", "fecha", "estado", "monto")
+
+
+@proof("MRG-02-table", """SELECT DISTINCT * FROM (SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'
+  UNION ALL SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1998-07-01')""")
+def mrg02_table(spark, d):
+    o = Tables(spark, d).orders
+    path, _ = _target(spark, "mrg02")
+    for part in (F.col("o_orderdate") < F.lit(Y1999), F.col("o_orderdate") >= F.lit(H1998)):
+        PT.append_new_rows(spark, path, o.filter(part).select("o_custkey", "o_orderstatus"), buckets=8)
+    return PT.read_table(spark, path)
 
 
 def _events_stream(spark, d):
@@ -188,16 +215,16 @@ def _events_stream(spark, d):
 
 @proof("STR-01", "SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS dia FROM events")
 def str01(spark, d):
-    lake, ckpt = _stream_target(spark)
+    path, ckpt = _target(spark, "str01")
     s = _events_stream(spark, d).withColumn("dia", F.to_date("ts"))
-    SI.run_available_now(s, lake, "bronze", "events", ckpt, SI.merge_by_date("dia"))
-    return lake.read("bronze", "events").select("event_id", "user_id", "event_type", "value", "dia")
+    SI.run_available_now(s, SI.replace_dates(path, "dia"), ckpt)
+    return PT.read_table(spark, path).select("event_id", "user_id", "event_type", "value", "dia")
 
 
 @proof("STR-02", """SELECT user_id, event_type, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type
   ORDER BY ts DESC, event_id, value) AS rn FROM events) WHERE rn = 1""")
 def str02(spark, d):
-    lake, ckpt = _stream_target(spark)
+    path, ckpt = _target(spark, "str02")
     s = _events_stream(spark, d).select("user_id", "event_type", "event_id", "ts", "value")
-    SI.run_available_now(s, lake, "silver", "latest", ckpt, SI.merge_keep_latest(["user_id", "event_type"], ["ts"]))
-    return lake.read("silver", "latest").select("user_id", "event_type", "event_id", "ts")
+    SI.keep_latest_stream(s, ["user_id", "event_type"], ["ts"], path, ckpt)
+    return SI.read_latest(spark, path, ["user_id", "event_type"]).select("user_id", "event_type", "event_id", "ts")

@@ -10,9 +10,14 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.core import c, col_or_default
-from ..session import Tables, checkpoint_root
+from ..operators import quality as Q
+from ..plans import bronze as BZ
+from ..session import TABLES, Tables, checkpoint_root
 from ..sources import files as SF
+from ..sources import partitioned as PT
 from ..sources import workbook as WB
+from ..sources.lake import Lake
+from . import books as BK
 from . import proof
 
 
@@ -49,10 +54,60 @@ def src04(spark, d):
                     col_or_default(o, "Banco", "string", "SIN BANCO").alias("banco"))
 
 
-@proof("SRC-06", "SELECT CAST(NULL AS VARCHAR) AS source_name, CAST(NULL AS INTEGER) AS row_no, CAST(NULL AS VARCHAR[]) AS cells WHERE false")
+@proof("SRC-06", """WITH c AS (SELECT c_custkey, c_name, c_acctbal, c_nationkey, 'region_' || CAST(c_nationkey % 5 AS VARCHAR) || '.xls' AS archivo FROM customer)
+SELECT archivo, c_name AS nombre, translate(format('{:,.2f}', c_acctbal), ',.', '.,') AS saldo_texto, c_acctbal AS saldo,
+  CAST(NULL AS VARCHAR) AS saldo_2 FROM c""")
 def src06(spark, d):
-    pages = Tables(spark, d).pages
-    return WB.html_tables(pages.select(F.col("url"), F.col("html")), "url", "html")
+    """Customers as HTML tables with decimal commas (exported ``.xls``), read back as text and as numbers."""
+    shown = F.translate(F.format_number("c_acctbal", 2), ",.", ".,")
+    row = F.concat(F.lit("<tr><td>"), "c_name", F.lit("</td><td> "), shown, F.lit("</td><td></td></tr>"))
+    head = "<html><body><table><tr><th>Nombre</th><th>Saldo</th><th>Saldo</th></tr>"
+    files = (Tables(spark, d).customer.groupBy(F.concat(F.lit("region_"), (F.col("c_nationkey") % 5).cast("string"), F.lit(".xls")).alias("archivo"))
+             .agg(F.concat(F.lit(head), F.array_join(F.sort_array(F.collect_list(row)), ""), F.lit("</table></body></html>")).alias("html")))
+    rows = WB.promote_header(WB.html_tables(files, "archivo", "html"))
+    return rows.select(c("Source.Name").alias("archivo"), c("Nombre").alias("nombre"), c("Saldo").alias("saldo_texto"),
+                       WB.comma_number("Saldo").alias("saldo"), F.nullif(c("Saldo_2"), F.lit("")).alias("saldo_2"))
+
+
+def _supplier_books(spark, d, status="A", only=None):
+    """Suppliers as workbooks of equal names in two folders; a tenth of the rows has no contract date."""
+    root = _scratch(spark)
+    k = F.col("s_suppkey")
+    s = Tables(spark, d).supplier if only is None else Tables(spark, d).supplier.filter(only)
+    s = s.select(F.concat(F.when(k % 2 == 0, "norte").otherwise("sur"), F.lit("/Data_Churn_Risk "), (k % 3).cast("string")).alias("libro"),
+                 k.cast("string").alias("N° Abonado"), F.col("s_name").alias("Nombre"),
+                 F.when(k % 10 != 9, (36526 + k % 365).cast("double")).alias("Fecha Contrato"), F.lit(status).alias("Estatus"))
+    BK.write_workbooks(s, "libro", s.columns[1:], ("Fecha Contrato",), root)
+    return root
+
+
+@proof("SRC-05", """SELECT CAST(s_suppkey AS VARCHAR) AS abonado, s_name AS nombre,
+  CASE WHEN s_suppkey % 10 <> 9 THEN strftime(DATE '2000-01-01' + CAST(s_suppkey % 365 AS INTEGER), '%Y-%m-%d') END AS contrato,
+  'Data_Churn_Risk ' || CAST(s_suppkey % 3 AS VARCHAR) || '.xlsx' AS libro FROM supplier""")
+def src05(spark, d):
+    rows, _ = WB.read_workbooks(spark, _supplier_books(spark, d) + "/*")
+    return rows.select(c("N° Abonado").alias("abonado"), c("Nombre").alias("nombre"), c("Fecha Contrato").alias("contrato"), c("Source.Name").alias("libro"))
+
+
+@proof("PL-20", """WITH a AS (SELECT CAST(s_suppkey AS VARCHAR) AS abonado,
+  CASE WHEN s_suppkey % 10 <> 9 THEN DATE '2000-01-01' + CAST(s_suppkey % 365 AS INTEGER) END AS contrato, s_suppkey FROM supplier),
+b AS (SELECT * FROM a WHERE s_suppkey % 4 = 1)
+SELECT abonado, contrato, 'A' AS estatus FROM a WHERE contrato IS NULL OR contrato NOT IN (SELECT contrato FROM b WHERE contrato IS NOT NULL)
+UNION ALL SELECT abonado, contrato, 'B' FROM b""")
+def pl20(spark, d):
+    """Two deliveries: the second replaces its contract dates and adds its undated rows; delivered again it changes nothing."""
+    lake = Lake(spark, _scratch(spark))
+    first, second = _supplier_books(spark, d), _supplier_books(spark, d, "B", F.col("s_suppkey") % 4 == 1)
+    for folder in (first, second, second):
+        BZ.churn_risk_bronze(spark, lake, folder + "/*")
+    rows = PT.read_table(spark, lake.path("bronze", "Churn_Risk_Raw_Bronze"))
+    return rows.select(c("N° Abonado").alias("abonado"), c("Fecha Contrato").alias("contrato"), c("Estatus").alias("estatus"))
+
+
+@proof("DQ-01", "SELECT 'libros' AS tabla, columna_faltante FROM (VALUES ('Ciudad'), ('Saldo')) v(columna_faltante) WHERE EXISTS (SELECT 1 FROM supplier)")
+def dq01(spark, d):
+    rows, _ = WB.read_workbooks(spark, _supplier_books(spark, d) + "/*")
+    return Q.missing_columns(spark, rows, ["N° Abonado", "Estatus", "Saldo", "Ciudad"], "libros")
 
 
 @proof("SRC-07", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
@@ -63,9 +118,9 @@ def src07(spark, d):
     return SF.read_dimension_csv(spark, root)
 
 
-@proof("SRC-09")
+@proof("SRC-09", "SELECT name FROM (VALUES " + ", ".join(f"('{t}.parquet')" for t in TABLES if t != "embeddings") + ") v(name) WHERE EXISTS (SELECT 1 FROM region)")
 def src09(spark, d):
-    return SF.list_files(spark, d, pattern="*.parquet", exclude=("embedding", "~$")).select("name", "length")
+    return SF.list_files(spark, d, pattern="*.parquet", exclude=("embedding",)).select("name")
 
 
 @proof("SRC-10", "SELECT o_orderkey, 'orders.parquet' AS \"Source.Name\" FROM orders")

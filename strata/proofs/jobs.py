@@ -72,43 +72,42 @@ def pl01(spark, d):
     return CO.collections_gold(pay, hours, ["OFICINA 1", "OFICINA 2"], exclude_office_regex="OFICINA 9")
 
 
-@proof("PL-02", f"""WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS ab, 'CLIENTE ' || CAST(o_custkey AS VARCHAR) AS cli,
-  CAST(o_orderdate AS DATE) AS fc, o_orderstatus AS est,
-  CASE o_orderkey % 5 WHEN 0 THEN 'televentas norte' WHEN 1 THEN 'ventas calle' WHEN 2 THEN lower(o_orderpriority)
-    WHEN 3 THEN 'montalto ofic' ELSE 'aliado x' END AS vend,
-  CASE WHEN o_totalprice > 300000 THEN 'asesor ' || CAST(o_custkey AS VARCHAR) END AS nd,
+@proof("PL-02", f"""WITH s AS (SELECT CAST(o_custkey AS VARCHAR) || 'A' AS ab, CAST(o_orderdate AS DATE) AS fc, o_orderstatus AS est,
+  CASE o_orderkey % 5 WHEN 0 THEN 'televentas norte' WHEN 1 THEN 'ventas  calle' WHEN 2 THEN lower(o_orderpriority)
+    WHEN 3 THEN 'montalto ofic' ELSE '' END AS vend,
+  CASE WHEN o_orderkey % 5 = 3 THEN 'OFICINA MONTALTO' WHEN o_totalprice > 300000 THEN 'ASESOR ' || CAST(o_custkey AS VARCHAR) ELSE '' END AS nd,
   CASE WHEN o_orderkey % 5 = 3 THEN 'Oficina Detectada' WHEN o_totalprice > 300000 THEN 'Exacta'
     WHEN o_totalprice > 250000 THEN 'Pendiente de Revisión' ELSE 'No detectado' END AS tipo,
-  CASE WHEN o_orderkey % 5 = 3 THEN 'OFICINA MONTALTO' END AS ofc, o_orderdate + to_seconds(o_orderkey % 60) AS mt FROM orders),
+  CASE WHEN o_orderkey % 5 = 3 THEN 'MONTALTO' WHEN o_orderkey % 2 = 0 THEN 'OFI ' || CAST(o_custkey % 4 AS VARCHAR) ELSE '' END AS ofi,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'CORO' WHEN o_orderkey % 3 = 1 THEN 'NAN' ELSE '' END AS ciu,
+  o_orderdate + to_seconds(o_orderkey % 60) AS mt FROM orders),
 c AS (SELECT *, CASE WHEN contains(vend, 'televentas') OR contains(vend, 'call center') THEN 'CALL CENTER'
-   WHEN (coalesce(nd, 'nan') <> 'nan' AND coalesce(nd, 'nan') <> '' AND tipo <> 'Pendiente de Revisión' AND tipo <> 'No detectado'
+   WHEN (nd <> '' AND tipo <> 'Pendiente de Revisión' AND tipo <> 'No detectado'
      AND NOT contains(vend, 'administrador')) OR vend IN ('2-high') THEN 'OFICINA COMERCIAL'
    WHEN (contains(vend, 'ventas') AND NOT contains(vend, 'televentas')) OR vend IN ('5-low') THEN 'VENDEDORES PROPIOS'
    ELSE 'ALIADOS' END AS canal FROM s WHERE tipo <> 'Pendiente de Revisión'),
-r AS (SELECT *, row_number() OVER (PARTITION BY ab, fc ORDER BY mt DESC NULLS LAST, cli, est, vend, nd NULLS FIRST, ofc NULLS FIRST,
-  tipo) AS rn FROM c)
-SELECT ab AS "N° Abonado", cli AS "Cliente", fc AS "Fecha Contrato", est AS "Estatus", NULL::VARCHAR AS "Suscripción",
-  NULL::VARCHAR AS "Grupo Afinidad", NULL::VARCHAR AS "Nombre Franquicia", NULL::VARCHAR AS "Ciudad", vend AS "Vendedor",
-  NULL::VARCHAR AS "Serv/Paquete", nd AS "nombre_detectado", NULL::VARCHAR AS "Estado", ofc AS "oficina_comercial",
-  tipo AS "tipo_coincidencia", NULL::VARCHAR AS "fuzzy_score_nombre", NULL::VARCHAR AS "fuzzy_score_apellido",
-  NULL::VARCHAR AS "fuzzy_score_combinado", {NAMES_SQL}[month(fc)] AS "Mes", canal AS "Canal" FROM r WHERE rn = 1""")
+r AS (SELECT *, row_number() OVER (PARTITION BY ab, fc ORDER BY mt DESC NULLS LAST, est, ciu, vend, nd, ofi, tipo) AS rn FROM c)
+SELECT ab AS "N° Abonado", fc AS "Fecha Contrato", est AS "Estatus", NULL::VARCHAR AS "Suscripción",
+  NULL::VARCHAR AS "Grupo Afinidad", NULL::VARCHAR AS "Nombre Franquicia", nullif(nullif(ciu, ''), 'NAN') AS "Ciudad", nullif(vend, '') AS "Vendedor",
+  nullif(nd, '') AS "nombre_detectado", nullif(ofi, '') AS "Oficina", tipo AS "tipo_coincidencia", 'VENTAS' AS "Tipo de afluencia",
+  {NAMES_SQL}[month(fc)] AS "Mes", canal AS "Canal" FROM r WHERE rn = 1""")
 def pl02(spark, d):
     o = Tables(spark, d).orders
     k = F.col("o_orderkey") % 5
-    vend = (F.when(k == 0, "Televentas Norte").when(k == 1, "ventas calle").when(k == 2, F.lower("o_orderpriority"))
-            .when(k == 3, "montalto ofic").otherwise("aliado x"))
-    bronze = o.select(F.col("o_custkey").cast("string").alias("N° Abonado"),
-                      F.concat(F.lit("cliente  "), F.col("o_custkey").cast("string")).alias("Cliente"),
+    key = F.col("o_custkey").cast("string")
+    vend = (F.when(k == 0, " Televentas Norte").when(k == 1, "Ventas  Calle ").when(k == 2, F.lower("o_orderpriority"))
+            .when(k == 3, "Montalto OFIC"))
+    bronze = o.select(F.lit("x").alias("ID"), F.concat(F.lit(" "), key, F.lit("a")).alias("N° Abonado"), F.concat(F.lit("cliente  "), key).alias("Cliente"),
                       F.date_format("o_orderdate", "dd/MM/yyyy").alias("Fecha Contrato"), F.col("o_orderstatus").alias("Estatus"),
-                      vend.alias("Vendedor"),
+                      vend.alias("Vendedor"), F.when(F.col("o_orderkey") % 3 == 0, " coro").when(F.col("o_orderkey") % 3 == 1, "nan").alias("Ciudad"),
+                      F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("ofi "), (F.col("o_custkey") % 4).cast("string"))).alias("oficina_comercial"),
                       F.when(F.col("o_totalprice") > 300000, "Exacta").when(F.col("o_totalprice") > 250000, "Pendiente de Revisión")
-                       .otherwise("No detectado").alias("tipo_coincidencia"),
-                      F.when(F.col("o_totalprice") > 300000, F.concat(F.lit("asesor "), F.col("o_custkey").cast("string")))
-                       .alias("nombre_detectado"),
+                       .otherwise("No detectado").alias("tipo_coincidencia"), F.lit("99").alias("fuzzy_score_nombre"),
+                      F.when(F.col("o_totalprice") > 300000, F.concat(F.lit("asesor "), key)).alias("nombre_detectado"),
                       (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("o_orderkey") % 60))
                       .alias("Fecha_Modificacion_Archivo"))
-    return SA.sales_listing(bronze, ["2-high"], ["5-low"],
-                            overrides=[(["montalto", "ofic"], {"oficina_comercial": "OFICINA MONTALTO", "tipo_coincidencia": "Oficina Detectada"})])
+    place = {"Oficina": "MONTALTO", "tipo_coincidencia": "Oficina Detectada", "nombre_detectado": "OFICINA MONTALTO"}
+    return SA.sales_listing(bronze, ["2-high"], ["5-low"], overrides=[(["montalto", "ofic"], place)])
 
 
 @proof("PL-03", """WITH s AS (SELECT CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS fv,
@@ -221,13 +220,13 @@ def pl08(spark, d):
 
 
 @proof("PL-09", "WITH " + EVB_SQL + """,
-c AS (SELECT *, replace(regexp_replace(trim(ab), '\\.0$', ''), '.', '') AS ab2, replace(regexp_replace(trim(doc), '\\.0$', ''), '.', '') AS doc2,
+c AS (SELECT *, regexp_replace(ab, '\.0$', '') AS ab2,
   CASE WHEN regexp_matches(resp, '(?i)CALL|PHONE') THEN 'CALL CENTER' WHEN regexp_matches(resp, '(?i)OFI|ASESOR') THEN 'OFICINA COMERCIAL'
-  ELSE 'ALIADOS' END AS canal, coalesce(try_cast(replace(saldo, ',', '.') AS DOUBLE), 0.0) AS saldo2 FROM b
-  WHERE fd < DATE '2024-01-27'),
-r AS (SELECT *, row_number() OVER (PARTITION BY ab2, fd, h ORDER BY mt DESC NULLS LAST, doc2, tr, det, resp, saldo2) AS rn FROM c)
-SELECT ab2 AS "N° Abonado", doc2 AS "Documento", fd AS "Fecha Llamada", h AS "Hora Llamada", tr AS "Tipo Respuesta",
-  det AS "Detalle Respuesta", resp AS "Responsable", canal AS "Canal", saldo2 AS "Saldo", fr AS "Franquicia" FROM r WHERE rn = 1""")
+  ELSE 'ALIADOS' END AS canal FROM b WHERE fd < DATE '2024-01-27'),
+r AS (SELECT *, row_number() OVER (PARTITION BY ab2, fd, h ORDER BY mt DESC NULLS LAST, doc, est, saldo, tr, det NULLS FIRST, resp) AS rn FROM c)
+SELECT ab2 AS "N° Abonado", doc AS "Documento", est AS "Estatus", saldo AS "Saldo", fd AS "Fecha Llamada", h AS "Hora", 'ENTRANTE' AS "Tipo Llamada",
+  tr AS "Tipo Respuesta", det AS "Detalle Respuesta", resp AS "Responsable", 'HOGAR' AS "Suscripción", 'GA' AS "Grupo Afinidad", fr AS "Franquicia",
+  'CIUDAD' AS "Ciudad", mt AS "Fecha_Modificacion_Archivo", canal AS "Canal" FROM r WHERE rn = 1""")
 def pl09(spark, d):
     return CO.collection_calls_gold(_calls_from_events(Tables(spark, d)), dt.date(2024, 1, 25))
 
@@ -308,7 +307,8 @@ def pl12(spark, d):
     moved = F.when(F.col("s_acctbal") > 5000, F.lit("oficina este")).otherwise(F.col("n_name"))
     a = snapshot(base, F.col("n_name"), F.concat(F.lit("Sistema "), F.col("n_name")), "01-03-2024", 1)
     b = snapshot(later, moved, F.lit("tarde"), "1-4-2024", 2).unionByName(snapshot(later, F.col("n_name"), F.lit("mañana"), "1-4-2024", 1))
-    return PE.employee_master(a.unionByName(b), exclude_regex=r"#0+9\b")
+    whole = snapshot(base, F.lit("ninguna"), F.lit("ninguno"), "05-05-2024", 9).withColumn("Source.Name", F.lit("Data - CONSOLIDADO 05-05-2024.xlsx"))
+    return PE.employee_master(a.unionByName(b).unionByName(whole), exclude_regex=r"#0+9\b")
 
 
 @proof("PL-13", """WITH prev AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_custkey * 2 AS sk FROM customer WHERE c_acctbal > 0),
@@ -383,15 +383,22 @@ def pl17(spark, d):
 
 from ..functions.clean import ACCENTED, PLAIN  # noqa: E402
 
+_FOLD_VEND = (f"trim(regexp_replace(regexp_replace(translate(lower(vend), '{ACCENTED}', '{PLAIN}'), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g'))")
+# sellers: an employee's name with a word more, an adviser's name the other way round, keywords, and nobody's names
 TRAFFIC_CTE = f"""WITH g AS (SELECT CAST(o_custkey AS VARCHAR) AS ab, o_orderstatus AS est, CAST(o_orderdate AS DATE) AS fecha,
-  CASE WHEN o_orderkey % 4 = 0 THEN lower(o_orderpriority) ELSE 'agente ' || CAST(o_custkey AS VARCHAR) END AS vend,
+  CASE o_orderkey % 5 WHEN 0 THEN lower(o_orderpriority) WHEN 1 THEN 'agente ' || CAST(o_custkey AS VARCHAR)
+    WHEN 2 THEN 'Supplier ' || lpad(CAST(o_custkey % 150 AS VARCHAR), 9, '0') || ' zona' WHEN 3 THEN lpad(CAST(o_custkey % 150 AS VARCHAR), 9, '0') || '  ASESOR'
+    ELSE 'Call Center ' || CAST(o_custkey % 3 AS VARCHAR) END AS vend, o_orderkey % 5 AS kind, o_custkey % 150 AS nn,
   'NATION_' || CAST(o_custkey % 25 AS VARCHAR) AS ofi0, CASE WHEN o_orderstatus = 'F' THEN 'RECAUDACIÓN' ELSE 'VENTAS' END AS tipo FROM orders),
-q AS (SELECT *, upper(trim(regexp_replace(regexp_replace(translate(lower(vend), '{ACCENTED}', '{PLAIN}'), '[^a-z0-9\\s]', '', 'g'),
-  '\\s+', ' ', 'g'))) AS uq FROM g),
-s AS (SELECT *, CASE WHEN contains(uq, 'INTERCOM') OR contains(uq, 'INVERSIONES') OR contains(uq, 'SOLUCIONES') OR contains(uq, 'TECNOLOGIA')
+q AS (SELECT *, upper({_FOLD_VEND}) AS uq FROM g),
+e AS (SELECT s_suppkey, 'R' || CAST(s_nationkey AS VARCHAR) AS ofe FROM supplier WHERE s_suppkey % 2 = 0 AND s_suppkey % 7 <> 0),
+u AS (SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'NATION_3' ELSE 'U' || CAST(s_nationkey AS VARCHAR) END AS ofu FROM supplier WHERE s_suppkey % 2 = 1),
+s AS (SELECT q.*, CASE WHEN e.ofe IS NOT NULL THEN e.ofe WHEN u.ofu IS NOT NULL THEN u.ofu
+  WHEN contains(uq, 'INTERCOM') OR contains(uq, 'INVERSIONES') OR contains(uq, 'SOLUCIONES') OR contains(uq, 'TECNOLOGIA')
     OR contains(uq, 'AGENTE') OR contains(uq, 'COMERCIALIZADORA') THEN 'ALIADO / AGENTE'
   WHEN contains(uq, 'CALLE') THEN 'FUERZA DE VENTA EXTERNA'
-  WHEN contains(uq, 'TELEVENTAS') OR contains(uq, 'CALL CENTER') THEN 'TELEVENTAS / CALL CENTER' ELSE ofi0 END AS ofi FROM q)"""
+  WHEN contains(uq, 'TELEVENTAS') OR contains(uq, 'CALL CENTER') THEN 'TELEVENTAS / CALL CENTER' ELSE ofi0 END AS ofi
+  FROM q LEFT JOIN e ON kind = 2 AND nn = e.s_suppkey LEFT JOIN u ON kind = 3 AND nn = u.s_suppkey)"""
 TRAFFIC_COLS_SQL = ('ab AS "N° Abonado", NULL::VARCHAR AS "Documento", est AS "Estatus", fecha AS "Fecha", vend AS "Vendedor", '
                     'NULL::VARCHAR AS "Grupo Afinidad", NULL::VARCHAR AS "Nombre Franquicia", NULL::VARCHAR AS "Ciudad", '
                     'tipo AS "Tipo de afluencia"')
@@ -401,20 +408,27 @@ MONTH_LOWER_SQL = ("lower(['Enero','Febrero','Marzo','Abril','Mayo','Junio','Jul
 
 def _traffic_inputs(t):
     o = t.orders
+    k = F.col("o_orderkey") % 5
+    number = F.lpad((F.col("o_custkey") % 150).cast("string"), 9, "0")
+    vend = (F.when(k == 0, F.lower("o_orderpriority")).when(k == 1, F.concat(F.lit("agente "), F.col("o_custkey").cast("string")))
+            .when(k == 2, F.concat(F.lit("Supplier "), number, F.lit(" zona"))).when(k == 3, F.concat(number, F.lit("  ASESOR")))
+            .otherwise(F.concat(F.lit("Call Center "), (F.col("o_custkey") % 3).cast("string"))))
     gold = o.select(F.col("o_custkey").cast("string").alias("N° Abonado"), F.col("o_orderstatus").alias("Estatus"),
-                    F.to_date("o_orderdate").alias("Fecha"),
-                    F.when(F.col("o_orderkey") % 4 == 0, F.lower("o_orderpriority")).otherwise(F.concat(F.lit("agente "), F.col("o_custkey").cast("string")))
-                    .alias("Vendedor"),
+                    F.to_date("o_orderdate").alias("Fecha"), vend.alias("Vendedor"),
                     F.concat(F.lit("NATION_"), (F.col("o_custkey") % 25).cast("string")).alias("Oficina"))
-    emp = t.part.select(F.col("p_name").alias("Nombre_Completo"), F.col("p_brand").alias("OficinaSistema"))
-    return {"RECAUDACIÓN": gold.filter(F.col("Estatus") == "F"), "VENTAS": gold.filter(F.col("Estatus") != "F")}, emp
+    s, own = t.supplier, F.lpad(F.col("s_suppkey").cast("string"), 9, "0")
+    emp = s.filter("s_suppkey % 2 = 0").select(
+        F.concat(F.lit("SUPPLIER "), own, F.when(F.col("s_suppkey") % 7 == 0, " INTERCOM").otherwise("")).alias("Nombre_Completo"),
+        F.concat(F.lit("R"), F.col("s_nationkey").cast("string")).alias("OficinaSistema"))
+    univ = s.filter("s_suppkey % 2 = 1").select(F.lit("Asesor").alias("Nombre"), own.alias("Apellido"),
+        F.when(F.col("s_suppkey") % 5 == 0, "NATION_3").otherwise(F.concat(F.lit("U"), F.col("s_nationkey").cast("string"))).alias("Oficina"))
+    return {"RECAUDACIÓN": gold.filter(F.col("Estatus") == "F"), "VENTAS": gold.filter(F.col("Estatus") != "F")}, emp, univ
 
 
 @proof("PL-18", TRAFFIC_CTE + f"""
 SELECT {TRAFFIC_COLS_SQL}, ofi AS "Oficina", NULL::VARCHAR AS "Clasificacion", NULL::VARCHAR AS "Hora", {MONTH_LOWER_SQL} AS "Mes" FROM s""")
 def pl18(spark, d):
-    golds, emp = _traffic_inputs(Tables(spark, d))
-    return TR.traffic_silver(golds, emp, None)
+    return TR.traffic_silver(*_traffic_inputs(Tables(spark, d)))
 
 
 @proof("PL-19", TRAFFIC_CTE + f""",
@@ -425,14 +439,22 @@ SELECT {TRAFFIC_COLS_SQL}, CASE WHEN m.k IS NOT NULL THEN m.nombre ELSE s.ofi EN
   CASE WHEN m.k IS NOT NULL THEN m.tipo_sede ELSE 'Sin Asignar' END AS "Tipo_Sede"
 FROM s LEFT JOIN m ON upper(trim(s.ofi)) = m.k""")
 def pl19(spark, d):
+    return _traffic_gold(spark, d)[0]
+
+
+@proof("PL-19-audit", TRAFFIC_CTE + """ SELECT DISTINCT ofi AS valor FROM s
+WHERE ofi IS NOT NULL AND upper(trim(ofi)) NOT IN (SELECT upper(trim(n_name)) FROM nation WHERE n_regionkey <> 4)""")
+def pl19_audit(spark, d):
+    return _traffic_gold(spark, d)[1].select("valor")
+
+
+def _traffic_gold(spark, d):
     t = Tables(spark, d)
-    golds, emp = _traffic_inputs(t)
-    silver = TR.traffic_silver(golds, emp, None)
+    silver = TR.traffic_silver(*_traffic_inputs(t))
     offices = t.nation.filter(F.col("n_regionkey") != 4).select(
         F.col("n_name").alias("Input_Original"), F.lower("n_name").alias("Nombre_Normalizado_Final"),
         F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("Estado"), F.lit("SEDE").alias("Tipo_Sede"))
-    gold, audit = TR.traffic_gold(silver, offices)
-    return gold
+    return TR.traffic_gold(silver, offices)
 
 
 @proof("PL-21")

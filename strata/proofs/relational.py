@@ -19,6 +19,7 @@ from ..operators import shape as P
 from ..operators import windows as W
 from ..operators.rules import Rule, classify
 from ..session import Tables
+from ..operators.joins import attach_scalar
 from . import proof
 from .tickets import TICKETS_CTE, silver_slice, ticket_rows, OPEN_FROM, CLOSE_FROM, PERIOD_END
 
@@ -393,12 +394,34 @@ def agg15(spark, d):
     return Tables(spark, d).events.groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("errores"))
 
 
-@proof("AGG-16", """SELECT 'o_totalprice' AS "column", count(o_totalprice) AS count, count(DISTINCT o_totalprice) AS "unique",
-  round(avg(o_totalprice), 4) AS mean, round(stddev_samp(o_totalprice), 4) AS std, min(o_totalprice) AS min, max(o_totalprice) AS max FROM orders
-UNION ALL SELECT 'o_orderstatus', count(o_orderstatus), count(DISTINCT o_orderstatus), NULL, NULL, NULL, NULL FROM orders""")
+# sketches are compared by their stated errors: ranks within 1 / 1000 of the rows, distinct counts within a tenth
+AGG16_SQL = """SELECT 'o_totalprice' AS "column", count(o_totalprice) AS count, round(avg(o_totalprice), 4) AS mean, round(stddev_samp(o_totalprice), 4) AS std,
+  min(o_totalprice) AS min, max(o_totalprice) AS max, true AS unique_ok, true AS q1_ok, true AS q2_ok, true AS q3_ok FROM orders
+UNION ALL SELECT 'o_custkey', count(o_custkey), round(avg(o_custkey), 4), round(stddev_samp(o_custkey), 4), min(o_custkey), max(o_custkey), true, true, true, true FROM orders
+UNION ALL SELECT 'o_orderstatus', count(o_orderstatus), NULL, NULL, NULL, NULL, true, true, true, true FROM orders"""
+
+
+@proof("AGG-16", AGG16_SQL)
 def agg16(spark, d):
-    p = A.profile(Tables(spark, d).orders, ["o_totalprice", "o_orderstatus"])
-    return p.select("column", "count", "unique", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min", "max")
+    o = Tables(spark, d).orders
+    cols = ["o_totalprice", "o_custkey", "o_orderstatus"]
+    p = A.profile(o, cols)
+    # the rows below and up to each quartile, and the distinct values, counted exactly
+    wide = attach_scalar(o, p.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("column", "quartiles"))).alias("q")))
+    ranks = wide.agg(*[F.count_if(F.col(n) < F.col("q")[n][i]).alias(f"below_{n}_{i}") for n in cols[:2] for i in range(3)],
+                     *[F.count_if(F.col(n) <= F.col("q")[n][i]).alias(f"upto_{n}_{i}") for n in cols[:2] for i in range(3)],
+                     *[F.count_distinct(n).alias(f"distinct_{n}") for n in cols])
+    checked = attach_scalar(p, ranks)
+
+    def within(i):
+        want = F.col("count") * (i + 1) / 4
+        slack = F.col("count") / 1000 + 1
+        ok = [(F.col("column") == n) & (F.col(f"below_{n}_{i}") <= want + slack) & (F.col(f"upto_{n}_{i}") >= want - slack) for n in cols[:2]]
+        return (F.col("column") == cols[2]) | ok[0] | ok[1]
+
+    near = [(F.col("column") == n) & (F.abs(F.col("unique") - F.col(f"distinct_{n}")) <= 0.1 * F.col(f"distinct_{n}")) for n in cols]
+    return checked.select("column", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min", "max",
+                          (near[0] | near[1] | near[2]).alias("unique_ok"), *[within(i).alias(f"q{i + 1}_ok") for i in range(3)])
 
 
 @proof("AGG-17", """SELECT round(avg(l_orderkey), 4) AS avg_l_orderkey, round(avg(l_partkey), 4) AS avg_l_partkey,

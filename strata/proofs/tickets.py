@@ -127,3 +127,92 @@ def pl15_sla_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
         c("Total_Ordenes").alias("total_ordenes"),
         F.round(c(T.RES), 2).alias("sla_resolucion_min"), F.round(c(T.DISP), 2).alias("sla_despacho_min"),
         F.round(c(T.PRINT), 2).alias("sla_impresion_min"))
+
+
+# ---------------------------------------------------------------- the whole job, from text bronze to each table
+
+BOOKS = {0: ("Data - Ordenes 1-1-1997 al 15-6-1998.xlsx", "JUN 1998 Q1"), 1: ("Data - Ordenes 16-6-1997 al 30-6-1998.xlsx", "JUN 1998 Q2")}
+JOB_RULES = T.TicketRules(PROOF_RULES, exclude_solutions=["medium"], exclude_group_contains=["5-L"], exclude_detail_equals=["Brand#9"])
+
+
+def ticket_books(t: Tables) -> DataFrame:
+    """The tickets as all-text rows of two period workbooks: dates as text or as day serials, ids with a trailing ``.0``."""
+    df = ticket_rows(t)
+    brand = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("Detalle Orden"))
+    df = df.join(brand, "l_partkey", "left")
+    k = c("N° Orden")
+
+    def text(x):
+        serial = F.concat(F.datediff(x, F.lit("1899-12-30").cast("date")).cast("string"), F.lit(".0"))
+        return F.when((k % 3 == 0) & (F.year(x) >= 1996), serial).otherwise(F.date_format(x, "dd/MM/yyyy HH:mm:ss"))
+
+    return df.select(
+        F.when(k % 2 == 0, BOOKS[0][0]).otherwise(BOOKS[1][0]).alias("Source.Name"),
+        F.concat(k.cast("string"), F.when(k % 4 == 0, ".0").otherwise("")).alias("N° Orden"), (k % 97).cast("string").alias("N° Contrato"),
+        F.when(k % 11 == 0, "ANULADA").when(k % 11 == 1, "En creación").otherwise("CERRADA").alias("Estatus_orden"),
+        text(c(T.OPENED)).alias("Fecha Creacion"), text(c(T.PRINTED)).alias("Fecha Impresion"), text(c(T.CLOSED)).alias("Fecha Finalizacion"),
+        "Solucion Aplicada", "Grupo Trabajo", "Franquicia", "Detalle Orden", F.lit("nan").alias("Grupo Afinidad"), F.lit("u").alias("Usuario Final"))
+
+
+JOB_CTE = TICKETS_CTE.split("), f AS (")[0] + """), f AS (
+  SELECT t.*, p_brand AS detail, CASE WHEN ticket % 2 = 0 THEN 'JUN 1998 Q1' ELSE 'JUN 1998 Q2' END AS per,
+    CASE WHEN ticket % 2 = 0 THEN TIMESTAMP '1997-01-01' ELSE TIMESTAMP '1997-06-16' END AS fi,
+    CASE WHEN ticket % 2 = 0 THEN TIMESTAMP '1998-06-15' ELSE TIMESTAMP '1998-06-30' END AS ff FROM t LEFT JOIN part ON p_partkey = l_partkey
+  WHERE ticket % 11 > 1 AND upper(coalesce(solution, '')) <> 'MEDIUM' AND NOT contains(upper(coalesce(grp, '')), '5-L') AND upper(coalesce(p_brand, '')) <> 'BRAND#9'
+), w AS (
+  SELECT * FROM f WHERE (closed IS NOT NULL AND closed >= CASE WHEN ticket % 2 = 0 THEN TIMESTAMP '1998-06-01' ELSE TIMESTAMP '1998-06-16' END AND closed < ff + INTERVAL 1 DAY)
+     OR (opened >= fi AND opened < ff + INTERVAL 1 DAY AND closed IS NULL)
+), m AS (""" + TICKETS_CTE.split("), m AS (")[1].replace("FROM f\n", "FROM w\n").replace(
+    "PARTITION BY ticket ORDER BY closed DESC NULLS LAST, solution ASC NULLS FIRST,\n        grp ASC NULLS FIRST, printed ASC NULLS FIRST, l_partkey ASC NULLS FIRST, l_extendedprice ASC NULLS FIRST",
+    "PARTITION BY per, ticket ORDER BY closed DESC NULLS LAST, printed ASC NULLS FIRST, CASE WHEN cls = 'ADMINISTRATIVO' THEN 0 ELSE 1 END, des ASC NULLS FIRST, imp ASC NULLS FIRST, cls, solution ASC NULLS FIRST, detail ASC NULLS FIRST").replace(
+    "FROM k\n)", "FROM k0\n)").replace("), s AS (\n  SELECT *,\n    CASE WHEN closed IS NOT NULL THEN least", "), k0 AS (\n  SELECT *,\n    CASE WHEN closed IS NOT NULL THEN least").replace(
+    "    row_number()", "    0 AS zero FROM k\n), s AS (\n  SELECT *, row_number()")
+_SILVER = """per AS "Quincena Evaluada", fi AS "FechaInicio", ff AS "FechaFin", opened AS "Fecha Apertura", printed AS "Fecha Impresion", closed AS "Fecha Cierre",
+  CAST(opened AS DATE) AS "Fecha Apertura Date", CAST(closed AS DATE) AS "Fecha Cierre Date", CASE WHEN cls = 'ADMINISTRATIVO' THEN 0 ELSE 1 END AS "Es_Falla",
+  CASE WHEN res / 60 > 0 AND res / 60 <= 24.0 THEN 1 ELSE 0 END AS "Cumplio_SLA", res / 60 AS "Duracion_Horas", res AS "SLA Resolucion Min",
+  des AS "SLA Despacho Min", imp AS "SLA Impresion Min", franchise AS "Franquicia", grp AS "Grupo Trabajo", NULL::VARCHAR AS "Grupo Afinidad", cls AS "Clasificacion",
+  CAST(ticket % 97 AS VARCHAR) AS "N° Contrato", CAST(ticket AS VARCHAR) AS "N° Orden", 'CERRADA' AS "Estatus_orden", 'u' AS "Usuario Final",
+  solution AS "Solucion Aplicada", detail AS "Detalle Orden" """
+_JOB = JOB_CTE + f", o AS (SELECT {_SILVER} FROM silver) "
+
+
+def _job(spark, sf_dir, table):
+    return T.build(ticket_books(Tables(spark, sf_dir)), JOB_RULES)[table]
+
+
+@proof("PL-15-silver", _JOB + "SELECT * FROM o")
+def pl15_silver(spark, sf_dir):
+    return _job(spark, sf_dir, "Tickets_Silver_Master")
+
+
+@proof("PL-15-sla", _JOB + """SELECT "Quincena Evaluada", "Franquicia", "Clasificacion", "Fecha Apertura Date", count(DISTINCT "N° Orden") AS "Total_Ordenes",
+  round(sum("SLA Resolucion Min"), 2) AS "SLA Resolucion Min", round(sum("SLA Despacho Min"), 2) AS "SLA Despacho Min", round(sum("SLA Impresion Min"), 2) AS "SLA Impresion Min"
+  FROM o WHERE "SLA Resolucion Min" > 0 AND "Franquicia" IS NOT NULL GROUP BY 1, 2, 3, 4""")
+def pl15_sla(spark, sf_dir):
+    g = _job(spark, sf_dir, "SLA_Gold")
+    return g.withColumns({n: F.round(c(n), 2) for n in (T.RES, T.DISP, T.PRINT)})
+
+
+@proof("PL-15-idf", _JOB + """SELECT "Quincena Evaluada", "Franquicia", "Fecha Apertura Date", "Fecha Cierre Date", count(DISTINCT "N° Orden") AS "Total_Fallas"
+  FROM o GROUP BY 1, 2, 3, 4""")
+def pl15_idf(spark, sf_dir):
+    return _job(spark, sf_dir, "IDF_Gold")
+
+
+@proof("PL-15-idf-detail", _JOB + """SELECT "Quincena Evaluada", "Franquicia", coalesce("Solucion Aplicada", 'EN PROCESO / SIN SOLUCIÓN') AS "Solucion Aplicada",
+  coalesce("Detalle Orden", 'SIN DETALLE REPORTADO') AS "Detalle Orden", count("N° Orden") AS "Total_Ordenes" FROM o WHERE "Es_Falla" = 1 GROUP BY 1, 2, 3, 4""")
+def pl15_idf_detail(spark, sf_dir):
+    return _job(spark, sf_dir, "IDF_Gold_Detalle_Solucion")
+
+
+@proof("PL-15-stats", _JOB + """SELECT "Quincena Evaluada", "Franquicia", "Clasificacion", "SLA Resolucion Min", "SLA Despacho Min", "SLA Impresion Min"
+  FROM o WHERE "SLA Resolucion Min" IS NOT NULL""")
+def pl15_stats(spark, sf_dir):
+    return _job(spark, sf_dir, "SLA_GOLD_STATS")
+
+
+@proof("PL-15-fact", _JOB + """SELECT "Quincena Evaluada", "Franquicia", "Fecha Apertura Date", "Fecha Cierre Date", "N° Orden", "N° Contrato",
+  coalesce("Solucion Aplicada", 'EN PROCESO / SIN SOLUCIÓN') AS "Solucion Aplicada", "Detalle Orden", "Clasificacion", "Grupo Afinidad", "SLA Resolucion Min",
+  "SLA Despacho Min", "SLA Impresion Min", "Cumplio_SLA", "Duracion_Horas", "Es_Falla" FROM o""")
+def pl15_fact(spark, sf_dir):
+    return _job(spark, sf_dir, "Tickets_Fact_Gold")

@@ -12,8 +12,8 @@ from pyspark.sql.types import StructType
 from ..functions.core import c, find_column
 from ..operators.sets import union_all_by_name
 
-# Names skipped in report folders (Excel lock files and derived workbooks).
-DEFAULT_EXCLUDE = ("~$", "Consolidado", "Resumen")
+# Fixed value: what the names of lock files of open workbooks begin with.
+LOCK_PREFIX = "~$"
 
 
 def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
@@ -22,15 +22,17 @@ def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.xlsx", exclude: tuple[str, ...] = DEFAULT_EXCLUDE,
+def list_files(spark: SparkSession, folder: str, pattern: str = "*.xlsx", exclude: tuple[str, ...] = (),
                recursive: bool = False, case_insensitive: bool = True) -> DataFrame:
     """SRC-09 / SRC-10: (path, name, mtime, length) of matching files. Only file
-    metadata is read (the ``content`` column of ``binaryFile`` is pruned)."""
+    metadata is read (the ``content`` column of ``binaryFile`` is pruned). Lock files of open workbooks never count;
+    other names are left out only if the caller gives a part of them (derived workbooks of a folder)."""
     r = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     df = r.load(folder).select("path", F.regexp_extract("path", r"([^/\\]+)$", 1).alias("name"),
                                F.col("modificationTime").alias("mtime"), "length")
+    df = df.filter(~F.startswith(F.col("name"), F.lit(LOCK_PREFIX)))
     for ex in exclude:
         cond = F.lower("name").contains(ex.lower()) if case_insensitive else F.col("name").contains(ex)
         df = df.filter(~cond)

@@ -12,11 +12,14 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from ..functions.core import rows_counted
+
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -62,10 +65,10 @@ class Lake:
         done = self.commits(layer, name)
         return done[-1]["version"] if done else None
 
-    def _commit(self, layer: str, name: str, version: str, extra: dict | None) -> None:
+    def _commit(self, layer: str, name: str, version: str) -> None:
         done = self.commits(layer, name)
         seq = done[-1]["seq"] + 1 if done else 0
-        record = json.dumps({"seq": seq, "version": version} | (extra or {}))
+        record = json.dumps({"seq": seq, "version": version})
         # mode "error": of two writers that publish at once one fails instead of being lost
         self.spark.createDataFrame([(record,)], "v string").coalesce(1).write.mode("error").text(
             f"{self._commits_path(layer, name)}/c={seq:012d}")
@@ -95,22 +98,20 @@ class Lake:
 
     def save(self, df: DataFrame, layer: str, name: str, compression: str = "snappy",
              partition_by: list[str] | None = None, max_records_per_file: int | None = None,
-             skip_empty: bool = True, audit: bool = False, version: str | None = None,
-             commit: dict | None = None) -> dict:
+             skip_empty: bool = True, audit: bool = False) -> dict:
         """SNK-01/02/03/04/07: write a new version folder, then add its commit record.
 
-        A named ``version`` (a stream's batch) overwrites its own folder, which a failed
-        attempt may have left; ``commit`` holds further fields of the record.
-
         The input is computed once (by the write). An empty result does not
         replace the current table (``skip_empty``): emptiness is checked on the
         written files, so the upstream plan is never run twice; the unused
-        version folder stays unreferenced. ``audit`` counts the written rows from
-        Parquet metadata (DQ-06)."""
-        mode = "overwrite" if version else "error"
-        version = version or f"v={int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+        version folder stays unreferenced. ``audit`` gives the rows that Spark
+        counted while it wrote them (DQ-06)."""
+        saved = Observation(f"saved_{name}") if audit else None
+        if saved:
+            df = df.observe(saved, F.count(F.lit(1)).alias("n"))
+        version = f"v={int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
         out = f"{self.path(layer, name)}/{version}"
-        w = df.write.mode(mode).option("compression", compression)
+        w = df.write.mode("error").option("compression", compression)
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
         if partition_by:
@@ -118,10 +119,10 @@ class Lake:
         w.parquet(out)
         if skip_empty and self.spark.read.parquet(out).isEmpty():
             return {"table": name, "written": False, "reason": "empty"}
-        self._commit(layer, name, version, commit)
+        self._commit(layer, name, version)
         res = {"table": name, "written": True, "version": version, "path": out}
         if audit:
-            res["rows"] = self.spark.read.parquet(out).count()
+            res["rows"] = rows_counted(saved)
         return res
 
 
@@ -140,12 +141,11 @@ def write_report(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet"
     return paths
 
 
-def row_audit(before: DataFrame, after: DataFrame, table: str) -> DataFrame:
-    """DQ-02: rows read / removed / saved for one table as a one-row DataFrame
-    (two distributed counts, no collect of data)."""
-    b = before.agg(F.count(F.lit(1)).alias("filas_leidas"))
-    a = after.agg(F.count(F.lit(1)).alias("filas_guardadas"))
-    from ..operators.joins import attach_scalar
-
-    return (attach_scalar(b, a).withColumn("filas_eliminadas", F.col("filas_leidas") - F.col("filas_guardadas"))
-            .withColumn("tabla", F.lit(table)).select("tabla", "filas_leidas", "filas_eliminadas", "filas_guardadas"))
+def audited_write(before: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, table: str) -> DataFrame:
+    """DQ-02 / DQ-06: write ``transform(before)`` and return (tabla, filas_leidas, filas_eliminadas, filas_guardadas).
+    One job reads, writes and counts: both counts are metrics that Spark observes while the rows pass."""
+    read, saved = Observation(f"read_{table}"), Observation(f"saved_{table}")
+    n = F.count(F.lit(1)).alias("n")
+    transform(before.observe(read, n)).observe(saved, n).write.mode("overwrite").parquet(path)
+    r, s = rows_counted(read), rows_counted(saved)
+    return before.sparkSession.createDataFrame([(table, r, r - s, s)], "tabla string, filas_leidas long, filas_eliminadas long, filas_guardadas long")

@@ -8,6 +8,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from strata.sources import files as SF
+from strata.sources import partitioned as PT
 from strata.sources import workbook as WB
 from strata.sources.lake import Lake, write_report
 from strata.streaming import ingest as SI
@@ -65,7 +66,7 @@ def test_file_listing_and_folders(spark, tmp):
     for n in ["a.xlsx", "Consolidado.xlsx", "~$b.xlsx", "c.csv"]:
         with open(f"{tmp}/{n}", "w") as f:
             f.write("x")
-    names = sorted(r.name for r in SF.list_files(spark, tmp).collect())
+    names = sorted(r.name for r in SF.list_files(spark, tmp, exclude=("Consolidado",)).collect())
     assert names == ["a.xlsx"]
     a = spark.createDataFrame([(1,)], "x int")
     b = spark.createDataFrame([(2, "y")], "x int, z string")
@@ -88,18 +89,18 @@ def test_lake_save_versions_and_safe_replace(spark, tmp):
 
 
 def test_streaming_only_new_files(spark, tmp):
-    src, lake = f"{tmp}/in", Lake(spark, f"{tmp}/lake")
+    src, table = f"{tmp}/in", f"{tmp}/table"
     os.makedirs(src)
     schema = "id int, dia date, v string"
     spark.createDataFrame([(1, dt.date(2024, 1, 1), "a"), (2, dt.date(2024, 1, 2), "b")], schema).coalesce(1).write.parquet(f"{src}/d1")
     stream = lambda: SI.file_stream(spark, src, spark.createDataFrame([], schema).schema,
                                     options={"recursiveFileLookup": "true"})
-    SI.run_available_now(stream(), lake, "bronze", "t", f"{tmp}/ckpt", SI.merge_by_date("dia"))
-    first = sorted((r.id, r.v) for r in lake.read("bronze", "t").collect())
+    SI.run_available_now(stream(), SI.replace_dates(table, "dia"), f"{tmp}/ckpt")
+    first = sorted((r.id, r.v) for r in PT.read_table(spark, table).collect())
     time.sleep(1)
     spark.createDataFrame([(3, dt.date(2024, 1, 2), "c")], schema).coalesce(1).write.parquet(f"{src}/d2")
-    SI.run_available_now(stream(), lake, "bronze", "t", f"{tmp}/ckpt", SI.merge_by_date("dia"))
-    second = sorted((r.id, r.v) for r in lake.read("bronze", "t").collect())
+    SI.run_available_now(stream(), SI.replace_dates(table, "dia"), f"{tmp}/ckpt")
+    second = sorted((r.id, r.v) for r in PT.read_table(spark, table).collect())
     assert first == [(1, "a"), (2, "b")]
     assert second == [(1, "a"), (3, "c")]  # day 2 replaced by the new file only
 
@@ -118,13 +119,35 @@ def test_bronze_ingestion_replace_by_date(spark, tmp):
     lake = Lake(spark, f"{tmp}/lake")
     make_xlsx(f"{raw}/Data_Churn_Risk 1.xlsx", [["N° Abonado", "Fecha Contrato", "Estatus"], ["1", "01/01/2024", "A"],
                                                   ["2", "02/01/2024", "A"], ["3", "sin fecha", "A"]])
-    r1 = ingest(spark, lake, raw, "churn", "Fecha Contrato")
-    assert r1["rows"] == 3
+    r1 = ingest(spark, lake, raw, "churn", "Fecha Contrato", expected=["Estatus", "Saldo"])
+    assert r1["rows"] == 3 and r1["missing_columns"] == ["Saldo"]
     make_xlsx(f"{raw}/Data_Churn_Risk 2.xlsx", [["N° Abonado", "Fecha Contrato", "Estatus"], ["2", "02/01/2024", "B"]])
     os.remove(f"{raw}/Data_Churn_Risk 1.xlsx")
     with open(f"{raw}/roto.xlsx", "wb") as f:
         f.write(b"zzz")
     r2 = ingest(spark, lake, raw, "churn", "Fecha Contrato")
-    got = sorted((r["N° Abonado"], r["Estatus"]) for r in lake.read("bronze", "churn").collect())
+    got = sorted((r["N° Abonado"], r["Estatus"]) for r in PT.read_table(spark, lake.path("bronze", "churn")).collect())
     assert got == [("1", "A"), ("2", "B"), ("3", "A")]
     assert r2["unreadable_files"] == ["roto.xlsx"]
+
+
+def test_workbooks_of_equal_names_repeated_headers_and_dates(spark, tmp):
+    from strata.proofs.books import workbook
+
+    assert WB.header_names(["a", "a", "a_1", None, "A", "a_2"]) == ["a", "a_1", "a_1_2", "Col_3", "A_4", "a_2"]
+    for folder, rows in (("x", [["1", 45292.0], ["2", 45292.5]]), ("y", [["3", 0.25]])):
+        os.makedirs(f"{tmp}/{folder}")
+        with open(f"{tmp}/{folder}/libro.xlsx", "wb") as f:
+            f.write(workbook(["N", "Fecha", "Fecha", "Fecha_2"], [[n, ("date", s), ("date", s), s] for n, s in rows]))
+    rows, errors = WB.read_workbooks(spark, f"{tmp}/*")
+    got = sorted((r["N"], r["Fecha"], r["Fecha_2"], r["Fecha_2_3"]) for r in rows.collect())
+    assert got == [("1", "2024-01-01", "2024-01-01", "45292.0"), ("2", "2024-01-01 12:00:00", "2024-01-01 12:00:00", "45292.5"), ("3", "06:00:00", "06:00:00", "0.25")]
+    assert errors.count() == 0
+
+
+def test_only_files_with_a_lock_prefix_are_left_out(spark, tmp):
+    for n in ("Resumen 2024.xlsx", "Consolidado.xlsx", "a~$b.xlsx", "~$c.xlsx"):
+        with open(f"{tmp}/{n}", "wb") as f:
+            f.write(b"x")
+    assert sorted(r.name for r in SF.list_files(spark, tmp).collect()) == ["Consolidado.xlsx", "Resumen 2024.xlsx", "a~$b.xlsx"]
+    assert sorted(r.name for r in SF.list_files(spark, tmp, exclude=("consolidado",)).collect()) == ["Resumen 2024.xlsx", "a~$b.xlsx"]

@@ -162,7 +162,7 @@ def test_normality_and_bootstrap(spark):
     assert nt.p_value > 0.05 and nt.es_normal
     skewed = spark.createDataFrame([(i, float(np.exp(v / 3))) for i, v in enumerate(vals)], "id long, v double")
     assert normality_test(skewed, "v").collect()[0].p_value < 0.05
-    b = bootstrap_mean(df, "v", ["id"], replicates=400).collect()[0]
+    b = bootstrap_mean(df, "v", replicates=400).collect()[0]
     boot = [rng.choice(vals, len(vals)).mean() for _ in range(400)]
     lo, hi = np.percentile(boot, [2.5, 97.5])
     assert abs(b.media_bootstrap - np.mean(vals)) < 0.05

@@ -1,5 +1,8 @@
 """Publication, streaming and joins lose nothing: replays, crashes, unreadable state, NULL keys."""
 
+import datetime as dt
+from pathlib import Path
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -10,58 +13,96 @@ from strata.operators.resolve import candidate_pairs
 from strata.operators.sets import union_distinct
 from strata.operators.windows import next_value
 from strata.sources.lake import Lake
-from strata.streaming.ingest import _batch_writer, file_stream, merge_keep_latest, run_available_now
+from strata.sources import partitioned as PT
+from strata.sources.partitioned import append_new_rows, read_table, replace_keys
+from strata.streaming.ingest import add_distinct, file_stream, keep_latest_stream, newest_by_key, read_latest, replace_dates, run_available_now
 
 SCHEMA = "k int, v string"
 
 
-def put(spark, folder, n, rows):
-    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
-
-
-def stream(spark, lake, folder, checkpoint):
-    s = file_stream(spark, folder, spark.createDataFrame([], SCHEMA).schema)
-    run_available_now(s.select("k", "v"), lake, "silver", "t", checkpoint, merge_keep_latest(["k"], ["v"]))
+def put(spark, folder, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
 
 
 def keys(lake):
     return sorted(r.k for r in lake.read("silver", "t").select("k").collect())
 
 
-def test_stream_after_a_batch_save_and_with_a_fresh_checkpoint(spark, tmp):
-    lake = Lake(spark, f"{tmp}/lake")
-    lake.save(spark.createDataFrame([(1, "a")], SCHEMA), "silver", "t")
-    put(spark, f"{tmp}/in", 0, [(2, "b")])
-    stream(spark, lake, f"{tmp}/in", f"{tmp}/ck1")
-    assert keys(lake) == [1, 2]
-    lake.save(lake.read("silver", "t").union(spark.createDataFrame([(3, "c")], SCHEMA)), "silver", "t")
-    put(spark, f"{tmp}/in", 1, [(4, "d")])
-    stream(spark, lake, f"{tmp}/in", f"{tmp}/ck1")
-    assert keys(lake) == [1, 2, 3, 4]
-    put(spark, f"{tmp}/in2", 0, [(5, "e")])
-    stream(spark, lake, f"{tmp}/in2", f"{tmp}/ck2")  # a fresh checkpoint starts at batch 0 again
-    assert keys(lake) == [1, 2, 3, 4, 5]
-
-
-def test_replay_after_a_crash_between_data_and_commit(spark, tmp, monkeypatch):
-    lake = Lake(spark, f"{tmp}/lake")
-    lake.save(spark.createDataFrame([(1, "a")], SCHEMA), "silver", "t")
-    write = _batch_writer(lake, "silver", "t", merge_keep_latest(["k"], ["v"]))
-    batch = spark.createDataFrame([(2, "b")], SCHEMA)
-    commit = Lake._commit
-
-    def crash(*a, **b):
-        raise RuntimeError("lost")
-
-    monkeypatch.setattr(Lake, "_commit", crash)
-    with pytest.raises(RuntimeError):
-        write(batch, 0)
-    assert keys(lake) == [1]
-    monkeypatch.setattr(Lake, "_commit", commit)
-    write(batch, 0)
-    assert keys(lake) == [1, 2]
-    write(spark.createDataFrame([(9, "z")], SCHEMA), 0)  # the same batch again: already applied
-    assert keys(lake) == [1, 2]
+def files_of(folder):
+    return {p: p.stat().st_mtime_ns for p in sorted(Path(folder).rglob("*.parquet"))}
+
+
+def test_newest_rows_in_the_state_store_after_drops_and_restarts(spark, tmp):
+    """STR-02: three drops, each a run of its own (restart from the checkpoint), equal the batch window; a batch writes
+    only the keys whose newest row has changed."""
+    from strata.operators.windows import keep_latest, row_tiebreak
+
+    schema = "k int, t int, v string"
+    drops = [[(1, 1, "a"), (2, 5, "b"), (None, 1, "n"), (3, None, "z")], [(1, 2, "c"), (2, 4, "old"), (3, 1, "y"), (4, 1, "q")],
+             [(1, 2, "b"), (None, 1, "m"), (4, None, "r"), (5, 9, None)]]
+    for n, rows in enumerate(drops):
+        put(spark, f"{tmp}/in", rows, schema)
+        s = file_stream(spark, f"{tmp}/in", spark.createDataFrame([], schema).schema).select("k", "t", "v")
+        keep_latest_stream(s, ["k"], ["t"], f"{tmp}/out", f"{tmp}/ck")
+        every = spark.createDataFrame([r for d in drops[:n + 1] for r in d], schema)
+        want = sorted(map(tuple, keep_latest(every, ["k"], ["t"], tie_break=row_tiebreak(every)).collect()), key=str)
+        assert sorted(map(tuple, read_latest(spark, f"{tmp}/out", ["k"]).collect()), key=str) == want
+    written = spark.read.parquet(f"{tmp}/out").groupBy("__batch").agg(F.sort_array(F.collect_list(F.coalesce("k", F.lit(0)))).alias("ks")).orderBy("__batch")
+    assert [r.ks for r in written.collect()][0] == [0, 1, 2, 3] and 5 not in [r.ks for r in written.collect()][1]
+
+
+def test_a_text_order_is_refused(spark):
+    with pytest.raises(ValueError, match="newest"):
+        newest_by_key(spark.createDataFrame([(1, "a")], SCHEMA), ["k"], ["v"])
+
+
+def test_a_replayed_stream_batch_changes_nothing(spark, tmp):
+    schema = "k int, d date, v string"
+    put(spark, f"{tmp}/in", [(1, dt.date(2024, 1, 1), "a"), (2, None, "b")], schema)
+    stream = lambda: file_stream(spark, f"{tmp}/in", spark.createDataFrame([], schema).schema).select("k", "d", "v")
+    run_available_now(stream(), replace_dates(f"{tmp}/t", "d"), f"{tmp}/ck1")
+    run_available_now(stream(), replace_dates(f"{tmp}/t", "d"), f"{tmp}/ck2")  # a fresh checkpoint takes the file again
+    assert sorted(map(tuple, read_table(spark, f"{tmp}/t").collect())) == [(1, dt.date(2024, 1, 1), "a"), (2, None, "b")]
+    run_available_now(stream(), add_distinct(f"{tmp}/u"), f"{tmp}/ck3")
+    run_available_now(stream(), add_distinct(f"{tmp}/u"), f"{tmp}/ck4")
+    assert read_table(spark, f"{tmp}/u").count() == 2
+
+
+def test_untouched_partitions_are_neither_read_nor_written(spark, tmp):
+    schema = "k int, d date, v string"
+    day = lambda n: dt.date(2024, 1, n)
+    replace_keys(spark, f"{tmp}/t", spark.createDataFrame([(n, day(n), "a") for n in range(1, 6)] + [(9, None, "a")], schema), "d")
+    untouched = {p: p.read_bytes() for p in files_of(f"{tmp}/t") if "k2024-01-02" not in str(p)}
+    for p in untouched:
+        p.write_bytes(b"nothing that a reader could read")
+        p.with_name(f".{p.name}.crc").unlink(missing_ok=True)
+    replace_keys(spark, f"{tmp}/t", spark.createDataFrame([(2, day(2), "b"), (7, day(7), "b")], schema), "d")
+    for p, content in untouched.items():
+        assert p.read_bytes() == b"nothing that a reader could read"
+        p.write_bytes(content)
+    assert sorted((r.k, r.v) for r in read_table(spark, f"{tmp}/t").collect()) == [(1, "a"), (2, "b"), (3, "a"), (4, "a"), (5, "a"), (7, "b"), (9, "a")]
+
+
+def test_undated_rows_and_new_columns(spark, tmp):
+    replace_keys(spark, f"{tmp}/t", spark.createDataFrame([(1, "007", "a"), (1, "007", "a"), (2, None, "u")], "k int, label string, v string"), "label")
+    more = spark.createDataFrame([(3, "8", "b", 1.5), (2, None, "u", None), (4, None, "w", None)], "k int, label string, v string, x double")
+    for _ in range(2):
+        replace_keys(spark, f"{tmp}/t", more, "label")
+    got = sorted(((r.k, r.label, r.v, r.x) for r in read_table(spark, f"{tmp}/t").collect()), key=str)
+    assert got == [(1, "007", "a", None), (2, None, "u", None), (3, "8", "b", 1.5), (4, None, "w", None)]
+
+
+def test_only_new_rows_are_appended_and_only_hashes_are_read(spark, tmp):
+    rows = spark.createDataFrame([(i, f"v{i}", "f1") for i in range(40)] + [(None, None, "f1")], "k int, v string, src string")
+    append_new_rows(spark, f"{tmp}/t", rows, ignore_cols=("src",), buckets=8)
+    before = files_of(f"{tmp}/t")
+    more = spark.createDataFrame([(i, f"v{i}", "f2", None) for i in range(30, 45)] + [(None, None, "f2", None), (1, "v1", "f2", "new")], "k int, v string, src string, x string")
+    append_new_rows(spark, f"{tmp}/t", more, ignore_cols=("src",), buckets=8)
+    table = read_table(spark, f"{tmp}/t")
+    assert table.count() == 41 + 5 + 1 and {p: m for p, m in files_of(f"{tmp}/t").items() if p in before} == before
+    assert sorted(r.src for r in table.filter("k = 35 OR k IS NULL").collect()) == ["f1", "f1"]
+    plan = PT._hashes(spark, f"{tmp}/t", ["b1"])._jdf.queryExecution().toString()
+    assert "= b1)], PushedFilters: []" in plan and "PartitionFilters" in plan and "ReadSchema: struct<__h1:bigint,__h2:bigint>" in plan
 
 
 def test_unreadable_commit_is_an_error_and_not_a_missing_table(spark, tmp):
