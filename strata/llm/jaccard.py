@@ -2,20 +2,25 @@
 
 A document's set is its distinct word shingles. Documents a and b link when
 ``100 * |a & b| >= 80 * |a | b|``, so they share at least T = ceil(4/5 * max(|a|, |b|)) shingles.
-DivideSkip divides the inverted lists of a set's shingles into L long ones and the rest: a partner
-must occur in T - L of the short lists at least, and is looked up in the long ones by binary search.
-Here the lists are those of a set's |a| - T + c rarest shingles, c = 1 + |a| // 20; any partner is in
-c of them (the smaller c of the two counts). Lists of over ``SHORT`` sets are the long ones.
+DivideSkip divides the inverted lists of a set's shingles into L long ones and the rest: a partner must occur in T - L
+of the short lists at least, and is looked up in the long ones by binary search. Here a set is in its
+|a| - T + c rarest short lists, c = 1 + |a| // 20, and any partner is in c of them; a set with fewer short lists is in
+all of them, with c = T - L, so that the lists of a site's template are not touched although most pages
+have it. (For a pair the smaller c of the two counts.) Only sets of which T shingles or more are in long lists go
+into these too. In place of a heap, lists are merged by sorting, and in place of candidate by candidate, the
+sets of candidate pairs are probed whole; both give what the heap and the probes would.
 
 1. *Statistics*: one pass over all texts gives each document's set size and a 64-bit set key, and
    counts, in slices, shingles that several sets hold. The ``HEAVY`` most frequent ones (a fixed
    bound, 4 MB broadcast) come last in the order of shingles, by count; all others are ordered
-   by hash. Any order gives the same links; this one keeps the lists short.
+   by hash. Those counted over ``SHORT`` times are the long lists known beforehand; others turn out long when they
+   are merged. Any order and any choice of long lists give the same links; these keep the lists short.
 2. *Merging short lists*: each set sends its rarest shingles to hash buckets, packed, sets that are
    equal once for each slice of texts. A bucket merges its lists by sorting. Short lists give pairs
    whose sizes are in reach of each other, and Spark counts the occurrences of each pair over all
    buckets; a pair with fewer than c - min(l_a, l_b) of them cannot link, where l is the number of
-   a set's lists that are long. Equal sets are one set and need no link at all.
+   a set's lists that turned out long. A set that is also in long lists has all its short ones, so that the other set's c
+   holds for the pair. Equal sets are one set and need no link at all.
 3. *Two rounds*: round 1 pairs each set with its smallest partner from the short lists and with the
    pivot of each of its long lists, the member with the most company in long lists (the original of a
    group of near copies has most of what the others have). Round 2 takes all other pairs whose sets
@@ -52,6 +57,8 @@ N = 5
 HEAVY = 262_144
 #: Sets that a short list holds at most.
 SHORT = 32
+#: Marks the count of a set that is in long lists because they are most of what it has.
+ONLY_LONG = 1 << 20
 #: Members of a long list that are compared in one task.
 BLOCK = 4096
 #: A shingle counts as frequent in a slice if so many of its sets hold it.
@@ -124,38 +131,49 @@ def _survey(n: int):
     return survey
 
 
-def _rarest(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The shingles whose lists a set is in: the first |s| - T + c in the order of shingles."""
-    want = len(s) - -(-4 * len(s) // 5) + 1 + len(s) // 20
+def _rarest(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, int]:
+    """The shingles whose lists a set is in, and how many of them a partner must have (c): the first |s| - T + c in the
+    order of shingles that are not long. With fewer of those all of them, and c = T - L; with L >= T long ones too,
+    and ``ONLY_LONG`` is added to c."""
+    most = len(s) - -(-4 * len(s) // 5)  # |s| - T
+    c = 1 + len(s) // 20
+    want = most + c
     if not len(heavy):
-        return s[:want]
+        return s[:want], c
     at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)
     light = heavy[at] != s
-    plain = s[light]
-    if len(plain) >= want:
-        return plain[:want]
-    rest = s[~light]
-    return np.concatenate([plain, rest[np.argsort(rank[at[~light]], kind="stable")][: want - len(plain)]])
+    own = s[light]
+    if len(own) >= want:
+        return own[:want], c
+    order = np.argsort(rank[at[~light]], kind="stable")
+    rest, is_long = s[~light][order], long[at[~light]][order]
+    own = np.concatenate([own, rest[~is_long]])
+    if len(own) >= want:
+        return own[:want], c
+    if len(own) > most:
+        return own, len(own) - most
+    return np.concatenate([own, rest[is_long]])[:want], c + ONLY_LONG
 
 
 def _short_lists(n: int, buckets: int, frequent):
     """Packed entries (shingle, set key, set size) of a slice, by bucket."""
 
     def send(batches):
-        heavy, rank = (np.frombuffer(x, t) for x, t in zip(frequent.value, (np.uint64, np.int64), strict=True))
+        heavy, rank, long = (np.frombuffer(x, t) for x, t in zip(frequent.value, (np.uint64, np.int64, np.bool_), strict=True))
         for _, s in _batches(batches, n):
             own = _distinct(s)
-            parts = [_rarest(s.sets[i], heavy, rank) for i in own.tolist()]
-            shingle = np.concatenate([np.zeros(0, np.uint64), *parts])
-            doc = np.repeat(own, [len(p) for p in parts])
+            parts = [_rarest(s.sets[i], heavy, rank, long) for i in own.tolist()]
+            shingle = np.concatenate([np.zeros(0, np.uint64), *(p for p, _ in parts)])
+            doc = np.repeat(own, [len(p) for p, _ in parts])
+            need = np.repeat(np.array([c for _, c in parts], np.int32), [len(p) for p, _ in parts])
             bucket = (mix(shingle, 12) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            rows = {"bucket": [], "shingles": [], "keys": [], "sizes": []}
+            rows = {"bucket": [], "shingles": [], "keys": [], "sizes": [], "needs": []}
             for b, lo, hi in X.bucket_slices(bucket[order]):
                 o = order[lo:hi]
-                for k, v in zip(rows, (b, shingle[o].tobytes(), s.key[doc[o]].tobytes(), s.size[doc[o]].astype(np.int32).tobytes()), strict=True):
+                for k, v in zip(rows, (b, shingle[o].tobytes(), s.key[doc[o]].tobytes(), s.size[doc[o]].astype(np.int32).tobytes(), need[o].tobytes()), strict=True):
                     rows[k].append(v)
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("bucket", pa.int32()), ("shingles", pa.binary()), ("keys", pa.binary()), ("sizes", pa.binary())]))
+            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("bucket", pa.int32()), ("shingles", pa.binary()), ("keys", pa.binary()), ("sizes", pa.binary()), ("needs", pa.binary())]))
 
     return send
 
@@ -171,23 +189,24 @@ _SKETCH = [f"s{i}" for i in range(_CELLS // 64)]
 def _merge_lists(table: pa.Table) -> pa.Table:
     """Merges a bucket's lists: occurrences of pairs in short lists; members of long ones, by size."""
     join = lambda c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(x, t) for x in table[c].to_pylist())])
-    shingle, key, size = join("shingles", np.uint64), join("keys", np.int64), join("sizes", np.int32).astype(np.int64)
+    shingle, key, size, need = join("shingles", np.uint64), join("keys", np.int64), join("sizes", np.int32).astype(np.int64), join("needs", np.int32).astype(np.int64)
     # entries of shingles that occur twice or more
     order = np.argsort(shingle)
     h = shingle[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
     many = (np.diff(np.append(np.flatnonzero(new), len(h))) > 1)[np.cumsum(new) - 1]
-    shingle, key, size = shingle[order][many], key[order][many], size[order][many]
+    order = order[many]
+    shingle, key, size, need = shingle[order], key[order], size[order], need[order]
     order = np.lexsort((key, size, shingle))
-    shingle, key, size = shingle[order], key[order], size[order]
+    shingle, key, size, need = shingle[order], key[order], size[order], need[order]
     once = np.ones(len(key), bool)
     once[1:] = (shingle[1:] != shingle[:-1]) | (key[1:] != key[:-1]) | (size[1:] != size[:-1])
-    shingle, key, size = shingle[once], key[once], size[once]
+    shingle, key, size, need = shingle[once], key[once], size[once], need[once]
     begin = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]])) if len(shingle) else np.zeros(0, np.int64)
     length = np.diff(np.append(begin, len(shingle)))
     own = np.repeat(length, length)
-    out = _short_pairs(shingle[own <= SHORT], key[own <= SHORT], size[own <= SHORT])
+    out = _short_pairs(*(x[own <= SHORT] for x in (shingle, key, size, need)))
     member, at, lists = np.unique(key[own > SHORT], return_inverse=True, return_counts=True)
     company = np.bincount(at, own[own > SHORT], len(member))
     out |= {"member": member, "lists": lists, "company": company} | _long_lists(key, size, begin[length > SHORT], length[length > SHORT])
@@ -195,7 +214,7 @@ def _merge_lists(table: pa.Table) -> pa.Table:
     return pa.table({c: pa.array([out[c].astype(t).tobytes()], pa.binary()) for c, t in types.items()})
 
 
-def _short_pairs(shingle: np.ndarray, key: np.ndarray, size: np.ndarray) -> dict[str, np.ndarray]:
+def _short_pairs(shingle: np.ndarray, key: np.ndarray, size: np.ndarray, needs: np.ndarray) -> dict[str, np.ndarray]:
     a, b, need = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     at = np.arange(len(shingle))
     for gap in range(1, SHORT):
@@ -205,7 +224,7 @@ def _short_pairs(shingle: np.ndarray, key: np.ndarray, size: np.ndarray) -> dict
             break
         a.append(np.minimum(key[at], key[at + gap]))
         b.append(np.maximum(key[at], key[at + gap]))
-        need.append(1 + size[at] // 20)
+        need.append(np.minimum(needs[at], needs[at + gap]) % ONLY_LONG)
     a, b, need = np.concatenate(a), np.concatenate(b), np.concatenate(need)
     order = np.lexsort((b, a))
     a, b, need = a[order], b[order], need[order]
@@ -286,14 +305,15 @@ def _named_rows(docs: DataFrame, id_col: str, text_col: str, n: int, text_hash:
         read, id_type, own = docs.select(both.alias("id"), X.named(text_col).alias("text")), "struct<id:bigint,text_hash:bigint>", ["id.id", "id.text_hash"]
     surveyed = cut_lineage(read.mapInArrow(_survey(n), f"id {id_type}, n_shingles bigint, key bigint, shingle bigint, count bigint"))
     rows = surveyed.where("shingle IS NULL").select(*own, "n_shingles", "key")
-    most = surveyed.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "shingle").limit(HEAVY).select("shingle").toArrow()
+    most = surveyed.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "shingle").limit(HEAVY).toArrow()
     heavy = most["shingle"].to_numpy().view(np.uint64)
     order = np.argsort(heavy)
     rank = np.empty(len(heavy), np.int64)
     rank[:] = np.arange(len(heavy))[::-1][order]  # the rarest of them first
-    frequent = spark.sparkContext.broadcast((heavy[order].tobytes(), rank.tobytes()))
+    long = most["count"].to_numpy()[order] > SHORT
+    frequent = spark.sparkContext.broadcast((heavy[order].tobytes(), rank.tobytes(), long.tobytes()))
 
-    sent = kept.mapInArrow(_short_lists(n, buckets, frequent), "bucket int, shingles binary, keys binary, sizes binary")
+    sent = kept.mapInArrow(_short_lists(n, buckets, frequent), "bucket int, shingles binary, keys binary, sizes binary, needs binary")
     packed = cut_lineage(sent.groupBy("bucket").applyInArrow(_merge_lists, ", ".join(f"{c} binary" for c in (_PAIRS | _LONG | _IN_LONG))))
     in_long = cut_lineage(_unpacked(packed, _IN_LONG).groupBy("member").agg(F.sum("lists").alias("lists"), F.sum("company").alias("company")))
     lists, pairs = _unpacked(packed, _LONG), _candidates(packed, in_long)

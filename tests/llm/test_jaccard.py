@@ -6,6 +6,7 @@ import re
 import pytest
 
 from strata.llm import jaccard
+from strata.llm import jaccard as J
 from strata.llm.components import components
 from strata.llm.jaccard import near_duplicates, op8_ngram_jaccard_join
 
@@ -93,9 +94,13 @@ def test_rarest_shingles_hold_enough_of_any_partner():
         a, b = (np.array(sorted(s), np.uint64) for s in (x, y))
         if 100 * len({*x} & {*y}) < 80 * len({*x} | {*y}):
             continue
-        heavy = np.array(sorted(r.sample(range(400), 40)), np.uint64)
-        rank = np.array(r.sample(range(40), 40), np.int64)
-        assert len(set(jaccard._rarest(a, heavy, rank).tolist()) & set(jaccard._rarest(b, heavy, rank).tolist())) >= 1 + min(len(a), len(b)) // 20
+        k = r.choice([40, 150, 300, 390])
+        heavy = np.array(sorted(r.sample(range(400), k)), np.uint64)
+        rank = np.array(r.sample(range(k), k), np.int64)
+        long = rank >= r.choice([k, k // 2, k // 10, 0])
+        (own_a, need_a), (own_b, need_b) = (jaccard._rarest(s, heavy, rank, long) for s in (a, b))
+        need = min(need_a, need_b) % jaccard.ONLY_LONG
+        assert need >= 1 and len(set(own_a.tolist()) & set(own_b.tolist())) >= need
 
 
 def test_components(spark):
@@ -123,3 +128,55 @@ def test_query_on_the_whole_table(spark):
     got = sorted((tuple(x) for x in op8_ngram_jaccard_join(spark, d).collect()), key=repr)
     assert got == brute(rows)
     assert any(k != c for k, _, c in got)
+
+
+def _entries(texts):
+    """What sets send, in one bucket, with the frequent shingles of all of them."""
+    import numpy as np
+    import pyarrow as pa
+
+    class Value:
+        def __init__(self, value):
+            self.value = value
+
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    rows = pa.Table.from_batches(list(J._survey(5)([batch])))
+    counted = rows.filter(pa.compute.is_valid(rows["shingle"])).group_by("shingle").aggregate([("count", "sum")]).sort_by([("count_sum", "descending")])
+    heavy, count = counted["shingle"].to_numpy().view(np.uint64), counted["count_sum"].to_numpy()
+    order = np.argsort(heavy)
+    rank = np.arange(len(heavy))[::-1][order]
+    frequent = Value((heavy[order].tobytes(), rank.astype(np.int64).tobytes(), (count[order] > J.SHORT).tobytes()))
+    return J._merge_lists(pa.Table.from_batches(list(J._short_lists(5, 1, frequent)([batch]))))
+
+
+@pytest.mark.parametrize("share", [0.5, 0.70, 0.78])
+def test_template_pages_are_not_compared_with_each_other(share):
+    """Pages of which a site's template is most, but not enough to link: what is tried grows with the pages, not their square."""
+    import numpy as np
+
+    def tried(pages):
+        r = random.Random(3)
+        template = " ".join(f"t{i}" for i in range(int(200 * share)))
+        own = lambda: " ".join(f"w{r.randrange(10**6)}" for _ in range(200 - int(200 * share)))
+        out = _entries([f"{template} {own()}" for _ in range(pages)])
+        return len(np.frombuffer(out["a"][0].as_py(), np.int64)) + len(np.frombuffer(out["key"][0].as_py(), np.int64))
+
+    assert tried(500) <= 20 and tried(1000) <= 40
+
+
+def test_sets_with_few_rare_shingles_find_their_partners():
+    """The T - L rule loses no pair: sets that differ in how much of them is in long lists."""
+    import numpy as np
+
+    rare, heavy = np.arange(10, dtype=np.uint64), np.arange(1000, 1090, dtype=np.uint64)
+    rank, long = np.arange(90), np.ones(90, bool)
+    for n_rare in range(1, 11):
+        for n_long in (0, 5, 20, 39, 40, 41, 90):
+            s = np.concatenate([rare[:n_rare], heavy[:n_long]])
+            own, c = J._rarest(s, heavy, rank, long)
+            need = -(-4 * len(s) // 5)
+            if n_long >= need:
+                assert c > J.ONLY_LONG and set(rare[:n_rare]) <= set(own)
+            else:
+                assert 1 <= c < J.ONLY_LONG and not set(own) & set(heavy)
+                assert len(own) - c <= n_rare - (need - n_long)  # a partner can miss no more than that
