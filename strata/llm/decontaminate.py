@@ -10,12 +10,13 @@ of n words if a stretch of it is within ``k = floor(n * MOST_EDITS)`` word edits
 2. *Embedding*: the CGK random walk reads a window (or item) word by word: step j writes the current
    word, and a random bit of (j, word) decides whether to go on to the next. It maps edit distance to
    Hamming distance: one edit shifts the walks against each other, until they meet again.
-3. *LSH*: each of ``TABLES`` repetitions has a walk of its own and compares ``BITS`` sampled places. A
-   window collides with the item if all places of one repetition agree. Collisions only say which
-   windows are verified first: the longer an item, the more repetitions a recall would need.
-4. *Verification*: windows are widened by k words and the exact smallest number of word edits between the
-   item and any stretch in them is computed; first about the windows that collide, then, if none of
-   them proves near, for all windows of step 1 that are left. So no match is lost, at any length.
+3. *LSH*: each repetition has a walk of its own and compares some sampled places. A window is a candidate if all places
+   of one repetition agree. Repetitions and places follow from the item's length (``REPETITIONS``): so many that copies
+   with as many edits as are allowed are candidates with a chance of 0.95 or more, which a test measures.
+4. *Verification*: candidates are widened by k words and the exact smallest number of word edits between the item and
+   any stretch in them is computed, repetition by repetition, until one proves near (``by_lsh``). What no
+   repetition finds is the exact remainder: the windows of step 1 that were no candidates are verified as well, so that
+   no match is lost, at any length; the share of ``by_lsh`` among the matches is the recall of the LSH alone.
 
 Items are broadcast in parts of at most ``PART_BYTES`` of text (one here), each part being one pass
 over the documents; documents are never shuffled. The result is one row for each document and item.
@@ -40,8 +41,8 @@ from .text import Roller, Words, byte_values, letter_bytes, lower_table, mix, sl
 
 #: Word edits for each word of an item.
 MOST_EDITS = 0.2
-#: Repetitions, and places that one compares.
-TABLES, BITS = 2, 3
+#: Up to so many words an item has (repetitions, places that one compares).
+REPETITIONS = {12: (12, 3), 60: (18, 2), math.inf: (14, 1)}
 PART_BYTES = 8 << 20
 
 _BASE_WORD = 0x5851F42D4C957F2D
@@ -67,9 +68,14 @@ def walk(words: np.ndarray, lengths: np.ndarray, steps: np.ndarray, table: int)
     return out
 
 
-def sampled_steps(n: int, table: int, bits: int = BITS) -> np.ndarray:
+def repetitions(n: int) -> tuple[int, int]:
+    """(repetitions, places) for items of n words."""
+    return next(v for most, v in REPETITIONS.items() if n <= most)
+
+
+def sampled_steps(n: int, table: int) -> np.ndarray:
     """The steps that a repetition compares, for items of n words: of the first 2n - 1 (a walk is done after about 2n)."""
-    r = np.random.default_rng([table, n])
+    r, bits = np.random.default_rng([table, n]), repetitions(n)[1]
     return np.sort(r.choice(max(1, 2 * n - 1), min(bits, max(1, 2 * n - 1)), replace=False))
 
 
@@ -146,11 +152,11 @@ def _single(items: Items, h: np.ndarray, w: Words):
     for x in first.tolist():
         d, p, r = int(doc[x]), int(place[x]), int(row[place[x]])
         for i in items.single_of[items.single_cut[r] : items.single_cut[r + 1]].tolist():
-            yield d, i, 0, p - int(w.of_doc[d]), 1
+            yield d, i, 0, p - int(w.of_doc[d]), 1, True
 
 
 def _find(items: Items, h: np.ndarray, w: Words):
-    """(document, item, edits, first word, words) for each document and item of a slice."""
+    """(document, item, edits, first word, words, by LSH) for each document and item of a slice."""
     yield from _single(items, h, w)
     at = w.gram_starts(1)
     pair = mix(h[at] + mix(h[at + 1], 41), 42)
@@ -200,7 +206,7 @@ def _find(items: Items, h: np.ndarray, w: Words):
             if found and (best is None or found[0] < best[0]):
                 best = found
         if best:
-            yield d, i, best[0], best[1] - low, best[2]
+            yield d, i, best[0], best[1] - low, best[2], best[3]
 
 
 def _together(kinds: np.ndarray, most: np.ndarray) -> int:
@@ -210,19 +216,26 @@ def _together(kinds: np.ndarray, most: np.ndarray) -> int:
 
 
 def _verified(h: np.ndarray, starts: np.ndarray, low: int, high: int, item: np.ndarray, k: int):
-    """(edits, start, words) of the best stretch about the windows of a region: those that collide, else all."""
+    """(edits, start, words, whether by the LSH) of the best stretch about the windows of a region, if a stretch about
+    the candidates of a repetition, or else about the windows that are left, is near."""
     n = len(item)
     size = np.minimum(n, high - starts)
     windows = h[np.minimum(starts[:, None] + np.arange(n), len(h) - 1)]
-    hit = np.zeros(len(starts), bool)
-    for t in range(TABLES):
-        hit |= agrees(windows, size, item, t)
-    for part in (starts[hit], starts):
-        if len(part):
-            left, right = max(low, int(part[0]) - k), min(high, int(part[-1]) + n + k)
+    tried = np.zeros(len(starts), bool)
+
+    def about(own: np.ndarray) -> tuple[int, int]:
+        return max(low, int(starts[own[0]]) - k), min(high, int(starts[own[-1]]) + n + k)
+
+    for t in range(repetitions(n)[0] + 1):
+        rest = t == repetitions(n)[0]
+        new = np.flatnonzero(~tried if rest else agrees(windows, size, item, t) & ~tried)
+        tried[new] = True
+        if len(new) and best_stretch(item, h[slice(*about(new))])[0] <= k:
+            left, right = about(np.array([0, len(starts) - 1]))
             edits, x, y = best_stretch(item, h[left:right])
-            if edits <= k:
-                return edits, left + x, y - x
+            return edits, left + x, y - x, not rest
+        if tried.all():
+            break
     return None
 
 
@@ -236,19 +249,19 @@ def _search(items, id_type: pa.DataType):
                 own = data[offsets[a] : offsets[b]]
                 w = Words(own, offsets[a : b + 1] - offsets[a], letters[own])
                 rows = list(_find(known, w.hashes(roller, values, fold), w))
-                d, i, edits, first, n = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [], [], [])
-                yield pa.RecordBatch.from_arrays([batch["id"].slice(a, b - a).take(pa.array(d, pa.int64())), pa.array([known.ids[x] for x in i], id_type), *(pa.array(x, pa.int32()) for x in (first, n, edits)), pa.array([1 - e / len(known.words[x]) for e, x in zip(edits, i, strict=True)], pa.float64())], ["id", "item_id", "first_word", "n_words", "edits", "similarity"])
+                d, i, edits, first, n, by_lsh = (list(x) for x in zip(*rows, strict=True)) if rows else ([],) * 6
+                yield pa.RecordBatch.from_arrays([batch["id"].slice(a, b - a).take(pa.array(d, pa.int64())), pa.array([known.ids[x] for x in i], id_type), *(pa.array(x, pa.int32()) for x in (first, n, edits)), pa.array([1 - e / len(known.words[x]) for e, x in zip(edits, i, strict=True)], pa.float64()), pa.array(by_lsh, pa.bool_())], ["id", "item_id", "first_word", "n_words", "edits", "similarity", "by_lsh"])
 
     return search
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
-    """(id, item_id, first_word, n_words, edits, similarity) for each document and item it holds."""
+    """(id, item_id, first_word, n_words, edits, similarity, by_lsh) for each document and item it holds."""
     kept = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
     wanted = benchmark.select(named(item_col).alias("item_id"), F.coalesce(named(item_text), F.lit("")).alias("text"))
     total = wanted.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, math.ceil(total / part_bytes))
-    schema = StructType([kept.schema["id"], wanted.schema["item_id"], *StructType.fromDDL("first_word int, n_words int, edits int, similarity double")])
+    schema = StructType([kept.schema["id"], wanted.schema["item_id"], *StructType.fromDDL("first_word int, n_words int, edits int, similarity double, by_lsh boolean")])
     out = None
     for p in range(parts):  # each part is bounded, however many there are
         rows = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p).toArrow()
