@@ -38,13 +38,16 @@ WIDTH, TRIGGER = 50, 20
 #: Text of one home (its phrases and contested strings are some 60 bytes for a byte at their peak), and
 #: homes whose hashes one bucket holds.
 HOME_BYTES, HOMES_IN_BUCKET = 3 << 20, 4
-#: Low bits of a sort key that hold the place (texts of up to 256 MB), below the hash's.
+#: Low bits of a sort key that hold the place, below the hash's; longer texts are taken in stretches.
 _PLACE_BITS = 28
 _BASE_BYTE = 0x5851F42D4C957F2D
 
 
 def triggers(hashes: np.ndarray, span: int) -> np.ndarray:
     """For each run of ``span`` hashes the place of the least, the first of equal ones."""
+    most, runs = 1 << (_PLACE_BITS - 1), len(hashes) - span + 1
+    if runs > most:  # a run's least hash is its own affair: stretches that overlap by span - 1 give the same
+        return np.concatenate([triggers(hashes[a : a + most + span - 1], span) + a for a in range(0, runs, most)])
     place = np.uint64((1 << _PLACE_BITS) - 1)
     key = (hashes & ~place) | np.arange(len(hashes), dtype=np.uint64)
     size = 1

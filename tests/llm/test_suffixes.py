@@ -77,3 +77,19 @@ def test_query_on_the_whole_table(spark):
     want = {i: (n, g, s, hashlib.sha256(t).hexdigest()) for i, n, g, s, t in brute(rows, 50)}
     assert {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in op2_suffix_array_dedup(spark, d).collect()} == want
     assert sum(g for _, g, _, _ in want.values()) > 0
+
+
+def test_long_texts_are_taken_in_stretches(monkeypatch):
+    """Triggers beyond the places that a sort key holds: the same as run by run."""
+    import numpy as np
+
+    from strata.llm import suffixes as S
+
+    monkeypatch.setattr(S, "_PLACE_BITS", 6)
+    rng = np.random.default_rng(2)
+    for n in (3, 31, 32, 33, 63, 64, 65, 500, 1000):
+        for span in (1, 3, 31):
+            h = rng.integers(0, 2**10, n).astype(np.uint64) << np.uint64(6)
+            want = [a + int(np.argmin(h[a : a + span])) for a in range(max(0, n - span + 1))]
+            if want:
+                assert S.triggers(h, span).tolist() == want
