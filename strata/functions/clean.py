@@ -66,6 +66,15 @@ def fold_text(col) -> Column:
     return F.trim(F.regexp_replace(x, r"\s+", " "))
 
 
+def clean_seller(col) -> Column:
+    """SC-14, what comes before the fold in seller texts: a text with a fraction (``12/5``) keeps its digits, slashes and
+    spaces, any other its letters (accented ones too), digits and spaces; spaces collapsed, trimmed."""
+    x = as_col(col)
+    kept = (F.when(x.rlike(r"\d+/\d+"), F.regexp_replace(x, r"[^0-9/\s]", ""))
+            .otherwise(F.regexp_replace(x, r"[^a-zA-Z0-9\sÀ-ÖØ-öø-ÿ]", "")))
+    return F.trim(F.regexp_replace(kept, r"\s+", " "))
+
+
 def extract_or_null(col, pattern: str, group: int = 1) -> Column:
     """SC-15: regexp group, '' (Spark's no-match result) -> NULL."""
     return F.nullif(F.trim(F.regexp_extract(as_col(col), pattern, group)), F.lit(""))

@@ -15,6 +15,7 @@ from ..functions.core import c
 from ..functions.dates import band, days_between, round_half_even
 from ..operators.aggregates import first_appearance_concat, fixed_width_histogram, ordered_concat
 from ..operators.ordering import top_n_filter
+from ..operators.rules import app_or_manual
 from ..operators.windows import running_total
 
 
@@ -97,6 +98,31 @@ def friction(df: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
                                           "Cantidad_Causas_Distintas", "Cantidad_Soluciones_Distintas")
 
 
+def cause_journey(df: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
+    """AN-05, the journey of causes: per period x contract with several tickets, every cause in opening order, equal
+    ones as often as they came (a group's string is as long as its tickets are many)."""
+    keys = [k.period_key, k.period, k.contract]
+    g = df.dropna(subset=keys).groupBy(*[c(x) for x in keys]).agg(
+        F.count(F.lit(1)).alias("Total_Tickets"),
+        ordered_concat(c(k.cause), [c(k.opened), c(k.ticket)], " ➔ ", distinct=False).alias("Viaje_Fallas"),
+        F.count_distinct(c(k.cause)).alias("Cantidad_Causas_Distintas"))
+    return g.filter(F.col("Total_Tickets") > 1)
+
+
+def virtual_payments(payments: DataFrame, app_users: list[str], office_marker: str = "VIRTUAL") -> dict[str, DataFrame]:
+    """AN-13: payments counted by user, date, form and office; those of the integration users by office, user and form;
+    those of the offices whose name holds the marker likewise, and by category. Rows without a key are in no group."""
+    user, date, form, office = "Usuario", "Fecha", "Forma de Pago", "Oficina Cobro"
+    df = payments.withColumn("Categoria", app_or_manual(c(user), app_users))
+
+    def counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.dropna(subset=keys).groupBy(*[c(x) for x in keys]).agg(F.count(F.lit(1)).alias("cantidad"))
+
+    by_app, virtual = df.filter(c(user).isin(*app_users)), df.filter(F.contains(c(office), F.lit(office_marker)))
+    return {"General": counted(df, [user, date, form, office]), "Usuarios_App": counted(by_app, [office, user, form]),
+            "Oficinas_Virtuales": counted(virtual, [office, user, form]), "Categorias_Virtuales": counted(virtual, ["Categoria"])}
+
+
 def journey_ranking(fr: DataFrame, k: TicketCols = TicketCols()) -> DataFrame:
     """AN-06."""
     return (fr.groupBy("Viaje_Soluciones").agg(F.count_distinct(c(k.contract)).alias("Casos_Afectados"),

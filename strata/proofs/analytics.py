@@ -12,7 +12,6 @@ from ..functions.core import c
 from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import stats as STT
-from ..operators.rules import app_or_manual
 from ..plans import analytics as AN
 from ..plans import tickets as T
 from ..session import Tables, checkpoint_root
@@ -109,6 +108,13 @@ def an05(spark, d):
     return _lower(_friction(spark, d))
 
 
+@proof("AN-05-causes", BASE_SQL + """SELECT orden_quincena, quincena, contrato, count(*) AS total_tickets,
+  coalesce(string_agg(causa, ' ➔ ' ORDER BY apertura, orden), '') AS viaje_fallas, count(DISTINCT causa) AS cantidad_causas_distintas
+  FROM sv GROUP BY 1, 2, 3 HAVING count(*) > 1""")
+def an05_causes(spark, d):
+    return _lower(AN.cause_journey(order_tickets(Tables(spark, d)), K))
+
+
 @proof("AN-06", BASE_SQL + """SELECT viaje_soluciones, count(DISTINCT contrato) AS casos_afectados, CAST(sum(total_tickets) AS BIGINT) AS total_tickets_involucrados
   FROM fr GROUP BY 1 ORDER BY 2 DESC, 1""")
 def an06(spark, d):
@@ -183,13 +189,25 @@ def an12(spark, d):
     return AN.reconcile({"recaudacion": a, "ventas": b, "atencion": cc}, "o_orderstatus", "v")
 
 
-@proof("AN-13", """SELECT CASE WHEN (CASE WHEN user_id % 4 = 0 THEN 'APPUSER' ELSE 'U' || CAST(user_id AS VARCHAR) END) IN ('APPUSER')
-  THEN 'App' ELSE 'Manual' END AS categoria, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
+@proof("AN-13", """WITH p AS (SELECT CASE WHEN o_custkey % 4 = 0 THEN 'APPUSER' ELSE 'U' || CAST(o_custkey % 50 AS VARCHAR) END AS u, CAST(o_orderdate AS DATE) AS f,
+  CASE WHEN o_orderkey % 9 > 0 THEN o_orderpriority END AS fp, CASE WHEN o_custkey % 3 = 0 THEN 'OFICINA VIRTUAL ' || CAST(o_custkey % 2 AS VARCHAR) ELSE 'CENTRO' END AS o FROM orders)
+SELECT 'General' AS tabla, u AS usuario, f AS fecha, fp AS forma, o AS oficina, NULL::VARCHAR AS categoria, count(*) AS cantidad FROM p WHERE fp IS NOT NULL GROUP BY 2, 3, 4, 5
+UNION ALL SELECT 'Usuarios_App', u, NULL, fp, o, NULL, count(*) FROM p WHERE fp IS NOT NULL AND u = 'APPUSER' GROUP BY 2, 4, 5
+UNION ALL SELECT 'Oficinas_Virtuales', u, NULL, fp, o, NULL, count(*) FROM p WHERE fp IS NOT NULL AND contains(o, 'VIRTUAL') GROUP BY 2, 4, 5
+UNION ALL SELECT 'Categorias_Virtuales', NULL, NULL, NULL, NULL, CASE WHEN u = 'APPUSER' THEN 'App' ELSE 'Manual' END, count(*) FROM p WHERE contains(o, 'VIRTUAL') GROUP BY 6""")
 def an13(spark, d):
-    e = Tables(spark, d).events
-    u = F.when(F.col("user_id") % 4 == 0, F.lit("APPUSER")).otherwise(F.concat(F.lit("U"), F.col("user_id").cast("string")))
-    return (e.select(app_or_manual(u, ["APPUSER"]).alias("categoria"), "event_type").groupBy("categoria", "event_type")
-            .agg(F.count(F.lit(1)).alias("n")))
+    k = F.col("o_custkey")
+    p = Tables(spark, d).orders.select(
+        F.when(k % 4 == 0, "APPUSER").otherwise(F.concat(F.lit("U"), (k % 50).cast("string"))).alias("Usuario"), F.to_date("o_orderdate").alias("Fecha"),
+        F.when(F.col("o_orderkey") % 9 > 0, F.col("o_orderpriority")).alias("Forma de Pago"),
+        F.when(k % 3 == 0, F.concat(F.lit("OFICINA VIRTUAL "), (k % 2).cast("string"))).otherwise("CENTRO").alias("Oficina Cobro"))
+    out = None
+    for name, t in AN.virtual_payments(p, ["APPUSER"]).items():
+        have = lambda n, kind="string": (c(n) if n in t.columns else F.lit(None)).cast(kind)  # noqa: B023, E731
+        part = t.select(F.lit(name).alias("tabla"), have("Usuario").alias("usuario"), have("Fecha", "date").alias("fecha"), have("Forma de Pago").alias("forma"),
+                        have("Oficina Cobro").alias("oficina"), have("Categoria").alias("categoria"), "cantidad")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @proof("AN-14", """WITH j AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS anio, l_returnflag, CASE WHEN l_shipdate IS NULL OR o_orderdate IS NULL THEN NULL

@@ -207,14 +207,16 @@ def snk05(spark, d):
     return lake.read("gold", "customer")
 
 
-@proof("SNK-06", """SELECT CAST(o_orderstatus AS VARCHAR) AS o_orderstatus, CAST(count(*) AS VARCHAR) AS n FROM orders GROUP BY 1""")
+@proof("SNK-06", """SELECT 'por_estado' AS hoja, CAST(o_orderstatus AS VARCHAR) AS clave, CAST(count(*) AS VARCHAR) AS n FROM orders GROUP BY 2
+UNION ALL SELECT 'por_prioridad', CAST(o_orderpriority AS VARCHAR), CAST(count(*) AS VARCHAR) FROM orders GROUP BY 2""")
 def snk06(spark, d):
     from ..sources.lake import write_report
     o = Tables(spark, d).orders
     folder = _scratch(spark)
-    write_report({"por_estado": o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")),
-                  "por_prioridad": o.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))}, folder, fmt="csv")
-    return spark.read.option("header", True).csv(f"{folder}/por_estado")
+    sheets = {"por_estado": "o_orderstatus", "por_prioridad": "o_orderpriority"}
+    write_report({name: o.groupBy(col).agg(F.count(F.lit(1)).alias("n")) for name, col in sheets.items()}, folder, fmt="csv")
+    read = [spark.read.option("header", True).csv(f"{folder}/{name}").select(F.lit(name).alias("hoja"), F.col(col).alias("clave"), "n") for name, col in sheets.items()]
+    return read[0].unionByName(read[1])
 
 
 @proof("SNK-07", "SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS anio FROM orders WHERE year(o_orderdate) = 1998")

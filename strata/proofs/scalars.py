@@ -218,6 +218,18 @@ def sc14(spark, d):
                                                        F.md5("f").alias("folded_md5"))
 
 
+_SELLER = "s_name || CASE s_suppkey % 4 WHEN 0 THEN '  ofi. 12/5-B' WHEN 1 THEN '  Peña & Müller (2)' WHEN 2 THEN ' ÷×÷ ' ELSE '' END"
+
+
+@proof("SC-14-seller", f"""WITH s AS (SELECT s_suppkey, {_SELLER} AS v FROM supplier),
+k AS (SELECT s_suppkey, trim(regexp_replace(CASE WHEN regexp_matches(v, '\\d+/\\d+') THEN regexp_replace(v, '[^0-9/\\s]', '', 'g')
+  ELSE regexp_replace(v, '[^a-zA-Z0-9\\sÀ-ÖØ-öø-ÿ]', '', 'g') END, '\\s+', ' ', 'g')) AS limpio FROM s)
+SELECT s_suppkey, limpio, translate(lower(limpio), '{K.ACCENTED}', '{K.PLAIN}') AS normal FROM k""")
+def sc14_seller(spark, d):
+    s = Tables(spark, d).supplier.select("s_suppkey", K.clean_seller(F.expr(_SELLER)).alias("limpio"))
+    return s.withColumn("normal", F.translate(F.lower("limpio"), K.ACCENTED, K.PLAIN))
+
+
 @proof("SC-15", """
 WITH s AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Oficina ' WHEN 1 THEN 'vendedor ofi ' ELSE '' END
   || p_name AS vendedor FROM part)

@@ -150,3 +150,62 @@ def test_golds_feed_branch_traffic(spark):
     rows = {r["N° Abonado"]: (r["Oficina"], r["Estado_Sede"]) for r in gold.collect()}
     assert rows == {"7": ("Sede Norte", "Lara"), "8": ("ALIADO / AGENTE", "Sin Asignar")}
     assert [r.valor for r in audit.collect()] == ["ALIADO / AGENTE"]
+
+
+def test_suite_order_skips_and_counts(spark, tmp):
+    import pytest
+
+    from strata.plans.suite import Job, in_order, run_suite
+    from strata.sources.lake import Lake
+
+    def table(n):
+        return lambda lake: {("gold", f"T{n}"): lake.spark.range(n)}
+
+    def broken(lake):
+        raise RuntimeError("no extracts")
+
+    jobs = [Job("last", lambda lake: {("gold", "L"): lake.read("gold", "T3")}, ("three", "four")), Job("three", table(3)), Job("four", table(4)),
+            Job("after_broken", table(1), ("broken",)), Job("broken", broken), Job("further", table(1), ("after_broken",)), Job("none", table(0))]
+    assert [j.name for j in in_order(jobs)] == ["three", "four", "last", "broken", "after_broken", "further", "none"]
+    got = {r.job: (r.estado, r.tabla, r.filas) for r in run_suite(spark, Lake(spark, tmp), jobs).collect()}
+    assert got == {"last": ("ok", "L", 3), "three": ("ok", "T3", 3), "four": ("ok", "T4", 4), "broken": ("error", None, None),
+                   "after_broken": ("omitida", None, None), "further": ("omitida", None, None), "none": ("vacía", "T0", 0)}
+    with pytest.raises(ValueError, match="each other"):
+        in_order([Job("a", table(1), ("b",)), Job("b", table(1), ("a",))])
+    with pytest.raises(ValueError, match="not there"):
+        in_order([Job("a", table(1), ("b",))])
+
+
+def test_report_jobs_from_workbooks(spark, tmp):
+    """Two of the reports have their extracts; the others fail one by one, and what needs them is skipped."""
+    import os
+
+    from strata.plans.runner import Reports, report_jobs
+    from strata.plans.suite import run_suite
+    from strata.plans.tickets import TicketRules
+    from strata.proofs.books import workbook
+    from strata.sources.lake import Lake
+
+    def put(folder, name, header, rows):
+        os.makedirs(f"{tmp}/{folder}", exist_ok=True)
+        with open(f"{tmp}/{folder}/{name}.xlsx", "wb") as f:
+            f.write(workbook(header, rows))
+
+    put("stock", "Abonados 3-2-2024", ["Id", "Estatus", "Franquicia"], [["1", "ACTIVO", "f1"], ["2", "CORTADO", "f1"]])
+    put("stock", "Abonados 18-2-2024", ["Id", "Estatus", "Franquicia"], [["1", "ACTIVO", "f1"], ["3", "ACTIVO", "f2"]])
+    put("collection_calls", "calls", ["N° Abonado", "Cliente", "Fecha Llamada", "Hora Llamada", "Responsable"], [["7.0", "x", ("date", 45292), "10:30:00", "asesor"]])
+    lake = Lake(spark, f"{tmp}/lake")
+    r = Reports({k: f"{tmp}/{k}" for k in ("stock", "collection_calls")}, dt.date(2024, 6, 1), TicketRules([]))
+    jobs = report_jobs(spark, r)
+    assert len(jobs) == 17
+    got = {x.job: (x.estado, x.filas) for x in run_suite(spark, lake, jobs).collect()}
+    assert got["stock"] == ("ok", 3) and got["collection_calls"] == ("ok", 1)
+    assert got["care"][0] == "error" and got["ont_off"][0] == got["franchises"][0] == got["traffic_gold"][0] == "omitida"
+    call = lake.read("gold", "Llamadas_Cobranza_Gold").first()
+    assert (call["N° Abonado"], call["Fecha Llamada"], call["Hora"]) == ("7", dt.date(2024, 1, 1), "10:00")
+    # the second run reads only the newest snapshot again
+    os.utime(f"{tmp}/stock/Abonados 3-2-2024.xlsx")
+    with open(f"{tmp}/stock/Abonados 3-2-2024.xlsx", "wb") as f:
+        f.write(b"not read any more")
+    again = {x.job: (x.estado, x.filas) for x in run_suite(spark, lake, [j for j in jobs if j.name == "stock"]).collect()}
+    assert again["stock"] == ("ok", 3)
