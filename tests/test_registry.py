@@ -33,7 +33,8 @@ def test_query(spark, con, qid):
     sdf = QUERIES[qid](spark, SF_SMALL)
     srecs = [tuple(r) for r in sdf.collect()]
     if qid not in SQL:
-        assert len(srecs) >= 0
+        assert qid == "pipeline" or qid.startswith("op")  # every other query has SQL; these are held to brute force
+        assert srecs
         return
     res = con.execute(SQL[qid])
     dcols = [d[0] for d in res.description]
