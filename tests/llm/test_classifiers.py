@@ -88,3 +88,57 @@ def test_quality_features_by_brute_force():
     assert x["marked_words"] == pytest.approx(1 / 8)
     assert x["marks_0"] == pytest.approx(math.sqrt(1 / len(text)))
     assert not quality.Features()(data, offsets)[0].any()
+
+
+def test_ftrl_against_a_plain_version():
+    """FTRL-proximal, coordinate by coordinate, from its definition: the weight follows from z and n when it is needed."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 25))).astype(np.int32) for _ in range(200)]
+    y = np.array([float(rng.random() < (0.8 if 7 in s else 0.2)) for s in sets])
+    alpha, beta, l1, l2, prior = 0.7, 1.0, 0.4, 0.05, -0.3
+    got = toxicity._weights(sets, y, 60, prior, 3, alpha, beta, l1, l2)
+    z, n = [0.0] * 60, [0.0] * 60
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(3):
+        for s, label in zip(sets, y, strict=True):
+            g = 1 / (1 + math.exp(-(prior + sum(weight(i) for i in s)))) - label
+            for i, w in [(i, weight(i)) for i in s]:
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * w
+                n[i] += g * g
+    assert got == pytest.approx([weight(i) for i in range(60)]) and 0 < np.count_nonzero(got) < 60
+
+
+def test_more_weights_than_are_broadcast_raise_the_l1_term():
+    texts = [f"bad word{i % 40} thing{i % 30}" if i % 3 == 0 else f"good word{i % 40} other{i % 30}" for i in range(300)]
+    table = pa.table({"model": [0] * 300, "turn": list(range(300)), "id": list(range(300)), "text": texts, "label": [int(i % 3 == 0) for i in range(300)]})
+    every = toxicity._fit(3, 3.0, 1.0, 0.01, 0.0, 2, 1 << 20)(table)
+    few = toxicity._fit(3, 3.0, 1.0, 0.01, 0.0, 2, 20)(table)
+    assert len(every) > 21 >= len(few) > 1
+
+
+def test_bradley_terry_against_gradient_descent():
+    """The pairwise logistic loss on feature differences, minimised by plain steps, gives the same weights."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(90, 3)) * [1, 5, 0.2] + [0, 3, 1]
+    y = (x @ [1.0, -0.3, 2.0] + rng.normal(size=90) > 0).astype(int)
+    table = pa.table({"turn": list(range(90)), "id": list(range(90)), "label": y, "features": x.tolist()})
+    model = quality._fit(table)
+    w, offset = np.array(model["weights"][0].as_py()), model["offset"][0].as_py()
+    std = (x - x.mean(0)) / x.std(0)
+    good, bad = np.flatnonzero(y), np.flatnonzero(y == 0)
+    n = max(quality.PAIRS * len(bad), len(good), len(bad))
+    pairs = [(good[i % len(good)], bad[(i + i // max(len(good), len(bad))) % len(bad)]) for i in range(n)]
+    assert {a for a, _ in pairs} == set(good) and {b for _, b in pairs} == set(bad)
+    d = np.array([std[a] - std[b] for a, b in pairs])
+    v = np.zeros(3)
+    for _ in range(20000):
+        v += 0.3 * (d.T @ (1 / (1 + np.exp(d @ v))) / n - quality._RIDGE * v)
+    assert w * x.std(0) == pytest.approx(v, abs=2e-3)
+    # the cut lies at the quantile of the share of label 0
+    assert (1 / (1 + np.exp(-(x @ w + offset))) < quality.AT_CUT).sum() == len(bad)
