@@ -26,6 +26,9 @@ from strata.session import checkpoint_root
 #: Text of one home, and window hashes of one bucket (about as many bytes of text as they stand for).
 HOME_BYTES = 8 << 20
 
+#: Bytes of a written table of a few numbers a row that is broadcast.
+SENT_BYTES = 32 << 20
+
 #: Documents without an id sort after all others.
 NO_ID = np.iinfo(np.int64).max
 
@@ -51,11 +54,15 @@ def with_extra(df: DataFrame, ddl: str) -> StructType:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The rows from a table in the shared folder: Spark knows its bytes, and broadcasts it in joins if they are few."""
+    """The rows from a table in the shared folder, broadcast in joins if its files hold ``SENT_BYTES`` at most; a larger
+    table is joined by a shuffle."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/exchange/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    size = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    rows = spark.read.schema(df.schema).parquet(path)
+    return F.broadcast(rows) if size <= SENT_BYTES else rows
 
 
 def text_bytes(docs: DataFrame, text: str) -> int:
