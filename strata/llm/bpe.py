@@ -16,7 +16,8 @@ Work is per document and per distinct word of a task, so nothing is shuffled. Th
 is read on the driver, where its path is a parameter, and broadcast (a vocabulary, 1.7 MB here).
 
 Cases: NULL and empty texts have no tokens and decode to an empty text; special tokens that a text
-spells out are encoded as themselves, as the tokenizers library does by default.
+spells out are encoded as themselves, as the tokenizers library does by default; rows with equal ids are
+documents of their own, and other columns than the id and the text are not read.
 """
 
 from __future__ import annotations

@@ -74,3 +74,10 @@ def test_query_on_the_whole_table(spark, library):
 
 def test_empty_table(spark):
     assert encode_and_decode(spark.createDataFrame([], "doc_id long, text string"), tokenizer_path()).collect() == []
+
+
+def test_repeated_ids_clashing_columns_and_a_long_text(spark, library):
+    long = "Lorem IPSUM dolor, " * 40_000
+    docs = spark.createDataFrame([(1, "one"), (1, "two words"), (None, None), (2, long)], "doc_id long, text string").selectExpr("*", "'x' AS id", "3 AS ids", "4 AS n_tokens", "'d' AS decoded")
+    got = sorted(((x.id, x.n_tokens, bytes(x.ids), x.decoded) for x in encode_and_decode(docs, tokenizer_path()).collect()), key=str)
+    assert got == sorted(((i, *want(library, t)) for i, t in [(1, "one"), (1, "two words"), (None, None), (2, long)]), key=str)
