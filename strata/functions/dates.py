@@ -74,7 +74,9 @@ def excel_serial_to_ts(col) -> Column:
 def parse_mixed(col, formats: list[str] | None = None, lo: float = 35000, hi: float = 60000) -> Column:
     """SC-04: number strictly between ``lo`` and ``hi`` = Excel serial, else
     day-first text formats (SC-03)."""
-    n = as_col(col).cast("string").try_cast("double")
+    x = as_col(col).cast("string")
+    # never a number, and a failing ``try_cast`` costs an exception per row
+    n = F.when(~x.rlike(r"[/:]|\d-\d"), x.try_cast("double"))
     day_first = formats or ["d/M/yyyy H:mm:ss", "d/M/yyyy H:mm", "d/M/yyyy", "d-M-yyyy H:mm:ss", "d-M-yyyy",
                             "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
     return F.when((n > lo) & (n < hi), excel_serial_to_ts(col)).otherwise(parse_datetime(col, day_first))

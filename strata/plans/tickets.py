@@ -91,15 +91,19 @@ def build_silver(bronze: DataFrame, rules: TicketRules, tie_break: list | None =
     backlog window (FLT-06), exclusions (FLT-02/03), classification (CLS-01),
     KPIs, id normalisation (SC-02), dedupe (WIN-05), garbage -> NULL (SC-01)."""
     # The period comes from the file name: parse each distinct name once (a few
-    # hundred files) instead of running regexes per row.
+    # hundred files) instead of running regexes per row. A name without a period has
+    # NULL bounds and falls to the window below; a filter on it here would be pushed
+    # under the distinct, to every row.
     names = bronze.select(c("Source.Name").alias("__src")).distinct()
-    periods = with_period(names, "__src", "__p_", loose=True).filter(F.col("__p_label").isNotNull())
+    periods = with_period(names, "__src", "__p_", loose=True)
     periods = periods.select("__src", F.col("__p_start").alias("FechaInicio"), F.col("__p_end").alias("FechaFin"),
                              F.col("__p_label").alias("Quincena Evaluada"))
-    df = bronze.join(periods, c("Source.Name") == F.col("__src")).drop("__src")
-    for src in ["Fecha Creacion", "Fecha Impresion", "Fecha Finalizacion"]:
-        if src in df.columns:
-            df = df.withColumn(src, parse_mixed(c(src)))
+    # Dates are parsed before the join: a filter on them above a projection repeats the
+    # parsing for each use of a date.
+    df = bronze.withColumns({src: parse_mixed(c(src)) for src in ["Fecha Creacion", "Fecha Impresion", "Fecha Finalizacion"]
+                             if src in bronze.columns})
+    # One row per file: sent to the rows, since the files' names would deal these into a few tasks.
+    df = df.join(F.broadcast(periods), c("Source.Name") == F.col("__src")).drop("__src")
     # D-11: the close window starts on the start day inside the end month, clamped to month end.
     end = F.col("FechaFin")
     start_day = F.dayofmonth(F.col("FechaInicio"))
