@@ -12,6 +12,8 @@ reach t in three ways, and each has its own index (``candidate_pairs``):
   * the same with the sides exchanged;
   * what the two have besides their common tokens is similar: at most k insertions and deletions lie between,
     so of any k + 1 disjoint pieces of the name's rarest tokens one stands verbatim in a token of the query.
+    Of short names (k = 1) all pieces may be in all names; there one token of the two differs by a letter or
+    is written as two, and all others are common: those are looked up with the token as it may differ.
 Tokens that very many queries hold are split by a salt.
 
 ER-04, best mean of two partial ratios >= r. One of the two names must reach r itself against a window
@@ -120,6 +122,28 @@ def _pieces(size: int) -> Column:
 PIECE_SIZES = (4, 3, 2, 1)
 
 
+def _with_one_token(df: DataFrame, key: str, whole: str, changed: str) -> DataFrame:
+    """(key, len, sig): the other tokens and one, as it is (tagged ``whole``), and (tagged ``changed``) without
+    one of its letters or with a second token put to its end. The longer of two strings that are an insertion
+    apart is the shorter one so changed."""
+    rows = df.withColumn("toks", F.array_sort(F.transform("tokens", lambda t: t["tok"])))
+
+    def sig(tag, token, *left_out):
+        def others(_, at):
+            keep = F.lit(True)
+            for i in left_out:
+                keep = keep & (at != i)
+            return keep
+        return F.concat(F.lit(tag + "|"), F.array_join(F.filter("toks", others), " "), F.lit("|"), token)
+
+    asis = F.transform("toks", lambda t, i: sig(whole, t, i))
+    shorter = F.flatten(F.transform("toks", lambda t, i: F.transform(
+        F.sequence(F.lit(1), F.length(t)), lambda p: sig(changed, F.concat(F.substring(t, F.lit(1), p - 1), F.substring(t, p + 1, F.length(t))), i))))
+    joined = F.flatten(F.transform("toks", lambda t, i: F.transform(
+        F.filter(F.sequence(F.lit(0), F.size("toks") - 1), lambda j: j > i), lambda j: sig(changed, F.concat(t, F.get("toks", j)), i, j))))
+    return rows.select(key, "len", F.explode(F.array_distinct(F.concat(asis, shorter, joined))).alias("sig"))
+
+
 def candidate_pairs(queries: DataFrame, master: DataFrame, threshold: float = 95.0) -> DataFrame:
     """Candidates for token-set similarity >= threshold, none lost (see the module's text).
     ``queries``: (q); ``master``: (name); both distinct. Returns distinct (q, name)."""
@@ -141,7 +165,14 @@ def candidate_pairs(queries: DataFrame, master: DataFrame, threshold: float = 95
     in_name = in_name.join(tokens, ["tok", "salt"]).select("q", "name")
 
     k = F.floor(F.lit(frac) * (F.col("len") + F.col("len") * F.lit(hi)) + F.lit(1e-9)).cast("int")
-    cut = ms.select("name", "len", (k + 1).alias("want"), *[_pieces(n).alias(f"p{n}") for n in PIECE_SIZES])
+    if frac > 0:
+        # names that one insertion or deletion at most may change, and the queries that are not too long for these
+        near = ms.filter(k == 1)
+        brief = qs.filter(F.col("len") <= 2 * hi / (frac * (1 + hi)) + 1e-9)
+        one_edit = _with_one_token(brief, "q", "q", "m").join(_with_one_token(near, "name", "m", "q").withColumnRenamed("len", "mlen"), "sig")
+    else:
+        one_edit = None
+    cut = ms.filter(k > 1).select("name", "len", (k + 1).alias("want"), *[_pieces(n).alias(f"p{n}") for n in PIECE_SIZES])
     # the longest pieces of which there are enough; with fewer letters than that (low thresholds) all of them:
     # any score above 0 needs one in common
     chosen = F.coalesce(*[F.when(F.size(f"p{n}") >= F.col("want"), F.slice(f"p{n}", 1, F.col("want"))) for n in PIECE_SIZES], F.col("p1"))
@@ -149,7 +180,10 @@ def candidate_pairs(queries: DataFrame, master: DataFrame, threshold: float = 95
     sizes = F.array(*[F.lit(n) for n in PIECE_SIZES])
     words = qs.select("q", "len", F.explode("tokens.tok").alias("tok")).select("q", "len", "tok", F.explode(sizes).alias("size")).filter(F.length("tok") >= F.col("size"))
     parts = words.select("q", "len", F.explode(F.transform(F.sequence(F.lit(1), F.length("tok") - F.col("size") + 1), lambda i: F.substring(F.col("tok"), i, F.col("size")))).alias("piece")).distinct()
-    similar = parts.join(pieces, "piece").filter(F.least("len", "mlen") * F.lit(hi) + F.lit(1e-9) >= F.greatest("len", "mlen")).select("q", "name")
+    similar = parts.join(pieces, "piece").select("q", "name", "len", "mlen")
+    if one_edit is not None:
+        similar = similar.unionByName(one_edit.select("q", "name", "len", "mlen"))
+    similar = similar.filter(F.least("len", "mlen") * F.lit(hi) + F.lit(1e-9) >= F.greatest("len", "mlen")).select("q", "name")
     return in_query.unionByName(in_name).unionByName(similar).distinct()
 
 

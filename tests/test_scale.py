@@ -1,7 +1,9 @@
 """Steps whose time or memory once grew faster than their input."""
 
-from pyspark.sql import functions as F
+import random
 
+from strata.functions.similarity import token_set_ratio
+from strata.operators import resolve as R
 from strata.plans import tickets as T
 from strata.proofs.tickets import JOB_RULES
 
@@ -39,3 +41,33 @@ def test_tickets_are_not_dealt_by_file_and_dates_are_parsed_once(spark):
     assert "BroadcastHashJoin" in join and "gettimestamp" not in join and "try_cast" not in join
     # a file name is parsed once for the file: not in a filter of the rows
     assert not [x for x in lines if "Filter" in x and "regexp" in x]
+
+
+def _numbered(spark, n):
+    """Master names that differ in the number's last digits only, and the same with a letter less, more or a space less."""
+    names = [f"supplier {i:09d}" for i in range(0, 3 * n, 3)]
+    asked = [(x.replace("supplier", "suplier"), x[:-1], x + "7", x.replace(" ", ""), x.replace("0 ", "0"), x[:13] + " " + x[13:])[i % 6] for i, x in enumerate(names)]
+    return [*names[::4], *asked], names
+
+
+def test_candidates_of_numbered_names_are_complete_and_grow_linearly(spark):
+    def pairs(qs, ms):
+        return {(r.q, r.name) for r in R.candidate_pairs(spark.createDataFrame([(q,) for q in qs], "q string"), spark.createDataFrame([(m,) for m in ms], "name string")).collect()}
+
+    got = {}
+    for n in (60, 240):
+        qs, ms = _numbered(spark, n)
+        qs = sorted(set(qs))
+        got[n] = pairs(qs, ms)
+        want = {(q, m) for q in qs for m in ms if token_set_ratio(q, m) >= 95.0}
+        assert want and want <= got[n]
+    assert len(got[240]) <= 5 * len(got[60]) and len(got[240]) < 240 * 12
+
+
+def test_candidates_of_short_names_are_complete(spark):
+    rnd = random.Random(3)
+    word = lambda n: "".join(rnd.choice("ab") for _ in range(n))
+    ms = sorted({" ".join(word(rnd.randint(1, 7)) for _ in range(rnd.randint(1, 4))) for _ in range(150)})
+    qs = sorted({q for m in ms for q in (m[1:].strip(), m + "b", m.replace(" ", "", 1), m[:4] + " " + m[4:], m[:3] + m[2:])} - {""})
+    got = {(r.q, r.name) for r in R.candidate_pairs(spark.createDataFrame([(q,) for q in qs], "q string"), spark.createDataFrame([(m,) for m in ms], "name string")).collect()}
+    assert {(q, m) for q in qs for m in ms if token_set_ratio(q, m) >= 95.0} <= got
