@@ -15,6 +15,7 @@ import io
 import re
 import zipfile
 from html.parser import HTMLParser
+from itertools import islice
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -29,6 +30,8 @@ from .files import LOCK_PREFIX
 LONG_SCHEMA = "source_path string, source_name string, mtime timestamp, row_no int, cells array<string>, error string"
 #: Sheet rows that are handed on at once.
 BATCH_ROWS = 20_000
+#: Letters of an HTML file that are parsed at once.
+PART_CHARS = 1 << 16
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 # Built-in number formats that show dates or times.
@@ -183,27 +186,42 @@ class _TableParser(HTMLParser):
             self._cell.append(data)
 
 
+def _table_rows(text: str):
+    """The rows one after the other; the text is read in parts that end at a tag, so that rows do not pile up."""
+    p, at = _TableParser(), 0
+    while at < len(text):
+        to = text.find(">", at + PART_CHARS) + 1 or len(text)
+        p.feed(text[at:to])
+        at = to
+        yield from p.rows
+        p.rows.clear()
+
+
 def html_table_rows(text: str) -> list[list[str]]:
-    p = _TableParser()
-    p.feed(text)
-    return p.rows
+    return list(_table_rows(text))
 
 
 def html_tables(df: DataFrame, name_col: str, content_col: str, encoding: str = "latin-1") -> DataFrame:
     """SRC-06: HTML tables (reports exported as ``.xls``) -> long rows. Input is
-    any DataFrame of (name, content) - ``binaryFile`` rows or a text column."""
+    any DataFrame of (name, content) - ``binaryFile`` rows or a text column. A worker holds one file and
+    ``BATCH_ROWS`` of its rows."""
+    names, kinds = ["source_name", "row_no", "cells"], [pa.string(), pa.int32(), pa.list_(pa.string())]
 
-    def parse(it):
-        for pdf in it:
-            out = []
-            for name, content in zip(pdf["source_name"], pdf["content"]):
+    def parse(batches):
+        for batch in batches:
+            for k in range(len(batch)):
+                name, content = batch["source_name"][k].as_py(), batch["content"][k].as_py()
                 text = content.decode(encoding, errors="replace") if isinstance(content, (bytes, bytearray)) else (content or "")
-                for i, cells in enumerate(html_table_rows(text)):
-                    out.append((name, i, cells))
-            yield pd.DataFrame(out, columns=["source_name", "row_no", "cells"])
+                del content
+                rows = _table_rows(text)
+                at = 0
+                while part := list(islice(rows, BATCH_ROWS)):
+                    n = len(part)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(([name] * n, range(at, at + n), part), kinds)], names)
+                    at += n
 
     src = df.select(F.col(name_col).cast("string").alias("source_name"), F.col(content_col).alias("content"))
-    return src.mapInPandas(parse, "source_name string, row_no int, cells array<string>")
+    return src.mapInArrow(parse, "source_name string, row_no int, cells array<string>")
 
 
 def comma_number(col) -> Column:

@@ -5,6 +5,7 @@ import random
 from strata.functions.similarity import token_set_ratio
 from strata.operators import resolve as R
 from strata.plans import tickets as T
+from strata.sources import workbook as WB
 from strata.proofs.tickets import JOB_RULES
 
 from .conftest import rows
@@ -71,3 +72,22 @@ def test_candidates_of_short_names_are_complete(spark):
     qs = sorted({q for m in ms for q in (m[1:].strip(), m + "b", m.replace(" ", "", 1), m[:4] + " " + m[4:], m[:3] + m[2:])} - {""})
     got = {(r.q, r.name) for r in R.candidate_pairs(spark.createDataFrame([(q,) for q in qs], "q string"), spark.createDataFrame([(m,) for m in ms], "name string")).collect()}
     assert {(q, m) for q in qs for m in ms if token_set_ratio(q, m) >= 95.0} <= got
+
+
+def test_html_rows_are_handed_on_in_batches(spark, monkeypatch):
+    row = "<tr><td>a &amp; b {i}</td><td>\n {i},5 </td></tr>"
+    text = "<html><!-- <tr><td>no</td></tr> --><table><tr><th>N</th><th>V</th></tr>" + "".join(row.format(i=i) for i in range(9000)) + "</table>"
+    whole = WB._TableParser()
+    whole.feed(text)
+    sizes, one = [], WB._TableParser.handle_endtag
+
+    def watched(self, tag):
+        one(self, tag)
+        sizes.append(len(self.rows))
+    monkeypatch.setattr(WB._TableParser, "handle_endtag", watched)
+    assert WB.html_table_rows(text) == whole.rows and max(sizes) < 3000
+    monkeypatch.undo()
+    df = spark.createDataFrame([("f", text), ("g", None), ("h", text[:200])], "n string, b string").coalesce(1)
+    got = WB.html_tables(df, "n", "b").collect()
+    assert [(r.row_no, r.cells) for r in got if r.source_name == "f"] == list(enumerate(whole.rows))
+    assert {r.source_name for r in got} == {"f", "h"}
