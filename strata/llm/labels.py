@@ -18,16 +18,16 @@ def is_fold(id_col: Column, folds: int, k: int) -> Column:
     return F.coalesce(fold(id_col, folds) == k, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 0) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int | None, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 0) -> DataFrame:
     """(id, text, label) of at most ``most`` labelled documents outside the held-out fold, those whose
-    ids hash lowest. Of several labels of an id the larger counts, of several texts the smallest.
+    ids hash lowest, or with no bound of all of them. Of several labels of an id the larger counts, of several texts the smallest.
 
-    The chosen ids are at most ``most``, so they are broadcast to the documents' scan."""
+    The chosen ids are at most ``most``, so they are broadcast to the documents' scan; without a bound both are dealt by id."""
     seen = labels.select(named(id_col).alias("id"), named(label).cast("int").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     seen = seen.where(fold(F.col("id"), folds) != held_out).groupBy("id").agg(F.max("label").alias("label"))
-    chosen = seen.orderBy(F.xxhash64("id"), "id").limit(most)
+    chosen = seen if most is None else F.broadcast(seen.orderBy(F.xxhash64("id"), "id").limit(most))
     texts = docs.select(named(id_col).alias("id"), F.coalesce(named(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "text", "label")
+    return texts.join(chosen, "id").groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "text", "label")
 
 
 def schema_of(kept: DataFrame, ddl: str) -> StructType:

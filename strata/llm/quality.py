@@ -6,8 +6,10 @@ feature differences (Newton steps, small L2 term). A document's worth is ``w . f
 quantile of the training documents' worth at the share of documents labelled 0; a score is the
 logistic of the worth, moved so that the cut has score ``AT_CUT``.
 
-Features are computed in one vectorised pass (whole texts, no shuffle). The model is fitted in one
-task on the features, some 20 numbers each, of at most ``SAMPLE`` labelled documents.
+Features are computed in one vectorised pass (whole texts). The model is fitted on all labelled documents:
+their features, some 20 numbers each, are dealt by a hash of the id into groups of some ``GROUP``, and pairs are
+made within a group. Each step of the fit is a pass over the groups, which give their sums. Documents of a
+class too small to be in every group stand in all groups.
 
 Cases: NULL and empty texts have all features 0 and get their score like others; without labelled
 rows, or with one class only, every score is the same (1 if all are labelled 1, 0 if all 0, else 0.5).
@@ -20,12 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import labels as L
 from .exchange import named
 from .text import Roller, Words, byte_values, slices, text_buffers
 
-#: Labelled documents that a model is fitted on at most; pairs that each document labelled 0 stands in.
-SAMPLE, PAIRS = 20_000, 8
+#: Labelled documents of a group, on average; pairs that each document labelled 0 stands in.
+GROUP, PAIRS = 20_000, 8
+#: Documents of a class for each group, below which the class stands in all groups.
+FEW = 32
+#: Steps in which an interval that holds the cut is narrowed, parts it is cut into, and values of it that are read at last.
+_NARROW, _PARTS, _READ = 10, 1024, 20_000
 #: The score of a document at the cut.
 AT_CUT = 0.3
 _RIDGE, _STEPS = 1e-3, 30
@@ -99,40 +106,146 @@ def _features(carry: list[str]):
     return features
 
 
-def _fit(table: pa.Table) -> pa.Table:
-    """(weights, offset): the score of features f is sigmoid(weights . f + offset)."""
-    table = table.sort_by([("turn", "ascending"), ("id", "ascending")])
-    x = np.array(table["features"].to_pylist())
-    y = np.asarray(table["label"].combine_chunks()) > 0
-    mean, spread = x.mean(0), x.std(0)
+class Group:
+    """Features and labels of a group in the order of (turn, id), with which of them are its own: others are counted elsewhere."""
+
+    def __init__(self, turn, ids, label, features, own):
+        order = np.lexsort((ids, turn))
+        self.x, self.y, self.own = features[order], label[order] > 0, own[order]
+
+    def moments(self) -> list[float]:
+        x, y = self.x[self.own], self.y[self.own]
+        mean = x.mean(0) if len(x) else np.zeros(x.shape[1])
+        return [float(len(x)), float(y.sum()), *mean, *((x - mean) ** 2).sum(0)]
+
+    def pairs(self, mean, spread) -> np.ndarray:
+        x = (self.x - mean) / spread
+        good, bad = np.flatnonzero(self.y), np.flatnonzero(~self.y)
+        if not len(good) or not len(bad):
+            return np.zeros((0, x.shape[1]))
+        # every document is in a pair: the smaller class goes round until the larger is used up, at least PAIRS times
+        n = max(PAIRS * len(bad), len(good), len(bad))
+        return x[good[np.arange(n) % len(good)]] - x[bad[(np.arange(n) + np.arange(n) // max(len(good), len(bad))) % len(bad)]]
+
+    def slope(self, mean, spread, w) -> list[float]:
+        """Number of pairs, then the loss's slope and curvature summed over them."""
+        d = self.pairs(mean, spread)
+        p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
+        return [float(len(d)), *(d.T @ (1 - p)), *((d * (p * (1 - p))[:, None]).T @ d).ravel()]
+
+    def worth(self, mean, spread, w) -> np.ndarray:
+        return ((self.x - mean) / spread)[self.own] @ w
+
+    def ends(self, mean, spread, w) -> list[float]:
+        v = self.worth(mean, spread, w)
+        return [float(v.min()), float(v.max())] if len(v) else [np.inf, -np.inf]
+
+    def counts(self, mean, spread, w, edges) -> list[float]:
+        """How many are worth at most each of the edges."""
+        return np.searchsorted(np.sort(self.worth(mean, spread, w)), edges, side="right").astype(float).tolist()
+
+    def values(self, mean, spread, w, lo, hi) -> list[float]:
+        """Value and number in turn of those worth over ``lo`` and at most ``hi``."""
+        v = self.worth(mean, spread, w)
+        return np.column_stack(np.unique(v[(v > lo) & (v <= hi)], return_counts=True)).astype(float).ravel().tolist()
+
+
+def _kth(over, args, k: int, lo: float, hi: float) -> float:
+    """The value with ``k`` values before it in their order; all lie over ``lo`` and at most at ``hi``."""
+    below, inside = 0, None
+    for _ in range(_NARROW):
+        edges = np.unique(np.linspace(lo, hi, _PARTS + 1))
+        n = np.sum(over("counts", *args, edges), axis=0)
+        at = int(np.searchsorted(n, k, side="right"))
+        lo, hi, below, inside = edges[at - 1], edges[at], n[at - 1], n[at] - n[at - 1]
+        if inside <= _READ or np.nextafter(lo, hi) >= hi:
+            break
+    seen = [np.array(v).reshape(-1, 2) for v in over("values", *args, lo, hi)]
+    value, number = np.concatenate(seen).T
+    order = np.argsort(value, kind="stable")
+    return float(value[order][np.searchsorted(np.cumsum(number[order]), k - below, side="right")])
+
+
+def _solve(over) -> tuple[list[float], float]:
+    """(weights, offset): the score of features f is sigmoid(weights . f + offset). ``over(name, *args)`` gives what
+    this function of ``Group`` returns for each group."""
+    parts = np.array(over("moments"))
+    k = (parts.shape[1] - 2) // 2
+    each, means = parts[:, :1], parts[:, 2 : 2 + k]
+    rows, ones = int(each.sum()), int(parts[:, 1].sum())
+    mean = (each * means).sum(0) / rows
+    spread = np.sqrt((parts[:, 2 + k :] + each * (means - mean) ** 2).sum(0) / rows)
     spread[spread < 1e-9] = 1
-    x = (x - mean) / spread
-    good, bad = np.flatnonzero(y), np.flatnonzero(~y)
-    if not len(good) or not len(bad):
-        return pa.table({"weights": pa.array([[0.0] * x.shape[1]]), "offset": pa.array([30.0 if len(good) else -30.0])})
-    # every document is in a pair: the smaller class goes round until the larger is used up, at least PAIRS times
-    n = max(PAIRS * len(bad), len(good), len(bad))
-    d = x[good[np.arange(n) % len(good)]] - x[bad[(np.arange(n) + np.arange(n) // max(len(good), len(bad))) % len(bad)]]
-    w = np.zeros(x.shape[1])
+    if ones in (0, rows):
+        return [0.0] * k, 30.0 if ones else -30.0
+    w = np.zeros(k)
     for _ in range(_STEPS):
-        p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
-        step = np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / n + _RIDGE * np.eye(len(w)), d.T @ (1 - p) / n - _RIDGE * w)
+        total = np.sum(over("slope", mean, spread, w), axis=0)
+        n, slope, bend = total[0], total[1 : 1 + k], total[1 + k :].reshape(k, k)
+        step = np.linalg.solve(bend / n + _RIDGE * np.eye(k), slope / n - _RIDGE * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
-    worth = np.sort(x @ w)
-    k = len(bad)  # the quantile at the share of documents labelled 0
-    cut = (worth[k - 1] + worth[k]) / 2
-    return pa.table({"weights": pa.array([(w / spread).tolist()]), "offset": pa.array([float(np.log(AT_CUT / (1 - AT_CUT)) - cut - (w / spread) @ mean)])})
+    # the quantile at the share of documents labelled 0
+    bad, args = rows - ones, (mean, spread, w)
+    ends = np.array(over("ends", *args))
+    lo, hi = np.nextafter(ends[:, 0].min(), -np.inf), ends[:, 1].max()
+    cut = (_kth(over, args, bad - 1, lo, hi) + _kth(over, args, bad, lo, hi)) / 2
+    return (w / spread).tolist(), float(np.log(AT_CUT / (1 - AT_CUT)) - cut - (w / spread) @ mean)
+
+
+def _arrays(table: pa.Table):
+    column = lambda c: table[c].combine_chunks().to_numpy(zero_copy_only=False)
+    x = table["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
+    return column("turn"), column("id"), column("label"), x.reshape(len(table), -1)
+
+
+def _fit(table: pa.Table) -> pa.Table:
+    """The model of one group."""
+    group = Group(*_arrays(table), np.ones(len(table), bool))
+    weights, offset = _solve(lambda name, *args: [getattr(group, name)(*args)])
+    return pa.table({"weights": pa.array([weights]), "offset": pa.array([offset])})
+
+
+def _pack(table: pa.Table) -> pa.Table:
+    turn, ids, label, x = _arrays(table)
+    parts = (turn, ids, label.astype(np.int64), np.ascontiguousarray(x), table["own"].combine_chunks().to_numpy(zero_copy_only=False))
+    return pa.table({"part": table["part"][:1], **{n: pa.array([p.tobytes()], pa.binary()) for n, p in zip(_PACKED, parts)}})
+
+
+_PACKED = ("turn", "id", "label", "features", "own")
+
+
+def _over(packed: DataFrame):
+    def over(name: str, *args):
+        def apply(batches):
+            for batch in batches:
+                for r in batch.to_pylist():
+                    n = len(r["own"])
+                    group = Group(*(np.frombuffer(r[c], np.int64) for c in _PACKED[:3]), np.frombuffer(r["features"]).reshape(n, -1), np.frombuffer(r["own"], bool))
+                    yield pa.RecordBatch.from_pydict({"part": pa.array([r["part"]], pa.int32()), "got": pa.array([[float(x) for x in getattr(group, name)(*args)]], pa.list_(pa.float64()))})
+
+        return [r["got"] for r in sorted(packed.mapInArrow(apply, "part int, got array<double>").collect(), key=lambda r: r["part"])]
+
+    return over
 
 
-def fit_model(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 0, sample: int = SAMPLE) -> tuple[list[float], float]:
+def fit_model(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 0, group: int = GROUP) -> tuple[list[float], float]:
     """(weights, offset) of the features."""
-    rows = L.training_rows(docs, labels, label, sample, id_col, text_col, folds, held_out)
-    rows = rows.select(F.lit(0).alias("model"), F.xxhash64("id").alias("turn"), F.col("id").cast("long").alias("id"), "label", "text")
-    seen = rows.mapInArrow(_features(["model", "turn", "id", "label"]), "model int, turn bigint, id bigint, label int, features array<double>")
-    model = seen.groupBy("model").applyInArrow(_fit, "weights array<double>, offset double").first()
-    return (list(model["weights"]), model["offset"]) if model else ([0.0] * len(FEATURES), 0.0)
+    rows = L.training_rows(docs, labels, label, None, id_col, text_col, folds, held_out)
+    rows = rows.select(F.xxhash64("id").alias("turn"), F.col("id").cast("long").alias("id"), F.expr("label > 0").cast("int").alias("label"), "text")
+    seen = rows.mapInArrow(_features(["turn", "id", "label"]), "turn bigint, id bigint, label int, features array<double>")
+    seen = cut_lineage(seen)
+    sizes = {r["label"]: r["count"] for r in seen.groupBy("label").count().collect()}
+    if not sizes:
+        return [0.0] * len(FEATURES), 0.0
+    groups = max(1, -(-sum(sizes.values()) // group))
+    few = [k for k, n in sizes.items() if n < FEW * groups]
+    home = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(groups - 1))
+    dealt = seen.withColumn("home", home).withColumn("part", F.explode(F.when(F.col("label").isin(few), every).otherwise(F.array("home"))) if few else F.col("home"))
+    dealt = dealt.select("part", "turn", "id", "label", "features", (F.col("part") == F.col("home")).alias("own"))
+    return _solve(_over(cut_lineage(dealt.groupBy("part").applyInArrow(_pack, "part int, turn binary, id binary, label binary, features binary, own binary"))))
 
 
 def _score(weights: list[float], offset: float):

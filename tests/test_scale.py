@@ -2,7 +2,11 @@
 
 import random
 
+import numpy as np
+
 from strata.functions.similarity import token_set_ratio
+from strata.llm import quality
+from strata.llm.labels import training_rows
 from strata.operators import resolve as R
 from strata.plans import tickets as T
 from strata.sources import workbook as WB
@@ -91,3 +95,38 @@ def test_html_rows_are_handed_on_in_batches(spark, monkeypatch):
     got = WB.html_tables(df, "n", "b").collect()
     assert [(r.row_no, r.cells) for r in got if r.source_name == "f"] == list(enumerate(whole.rows))
     assert {r.source_name for r in got} == {"f", "h"}
+
+
+def _some_labels(spark, n, bad):
+    rnd = random.Random(n)
+    rows = [(i, " ".join(rnd.choice(["word", "other!", "A1", "|x|"][: 2 if bad(i) else 4]) for _ in range(rnd.randint(1, 40))), int(not bad(i))) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    return docs.select("doc_id", "text"), docs.select("doc_id", "quality")
+
+
+def test_quality_model_is_fitted_on_all_labelled_documents_in_groups(spark, monkeypatch):
+    docs, labels = _some_labels(spark, 900, lambda i: i % 3 == 0)
+    seen, one = [], quality._solve
+
+    def watched(over):
+        seen.append(np.array(over("moments")))
+        return one(over)
+    monkeypatch.setattr(quality, "_solve", watched)
+    whole, dealt = quality.fit_model(docs, labels), quality.fit_model(docs, labels, group=60)
+    held = training_rows(docs, labels, "quality", 10_000).count()
+    assert [len(s) for s in seen] == [1, -(-held // 60)] and all(s[:, 0].sum() == held for s in seen)
+    monkeypatch.setattr(quality, "_READ", 3)  # the cut by narrowing
+    monkeypatch.setattr(quality, "_PARTS", 4)
+    assert quality.fit_model(docs, labels, group=60) == dealt
+    scores = [{r.id: r.score for r in quality.score_documents(docs, m).collect()} for m in (whole, dealt)]
+    low = [{i for i, s in x.items() if s < quality.AT_CUT} for x in scores]
+    assert len(low[0] ^ low[1]) <= 30
+    # in both, the training documents below the cut are as many as those labelled 0
+    train = {r.id: r.label for r in training_rows(docs, labels, "quality", 10_000).collect()}
+    assert all(abs(sum(i in x for i in train) - sum(v == 0 for v in train.values())) <= 2 for x in low)
+
+
+def test_quality_class_too_small_for_every_group_is_in_all_pairs(spark):
+    docs, labels = _some_labels(spark, 400, lambda i: i in (7, 8, 9, 10, 11))
+    weights, offset = quality.fit_model(docs, labels, group=50)
+    assert any(weights) and np.isfinite(offset)
