@@ -12,6 +12,9 @@ agrees with the last token before it, that is, merging the two tokens' symbols b
 two tokens back; these pair results are kept. A word's end is a symbol of its own (the last
 character with the end mark), so words that share all but their end share all states before it.
 
+White space, the words of plain chunks and the lists of ids are found for a whole slice at once in numpy and
+Arrow; Python's own loops see distinct words only, and the few chunks that hold other characters.
+
 Work is per document and per distinct word of a task, so nothing is shuffled. The tokenizer's file
 is read on the driver, where its path is a parameter, and broadcast (a vocabulary, 1.7 MB here).
 
@@ -29,12 +32,13 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .exchange import named
-from .text import slices, text_buffers
+from .text import Words, lower_table, slices, string_array, text_buffers, word_bytes
 
 #: Distinct words that a task keeps encoded; then it starts anew, which bounds its memory.
 KEPT_WORDS = 400_000
@@ -46,6 +50,9 @@ MOST_PAIRS = 1_000_000
 #: Unicode's white space, as the tokenizer's pattern has it in \s.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
+#: The pattern for which the plain characters of ``_Plain`` are known; with another one all chunks are cut one by one.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 
 def byte_characters() -> dict[int, str]:
     """Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for 256 and up."""
@@ -71,8 +78,9 @@ class WordBpe:
         self.rank = {(a, b): r for r, (a, b) in enumerate(pairs)}
         self.split_added = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.bytes = str.maketrans({chr(b): c for b, c in byte_characters().items()})
-        pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pattern = regex.compile(pattern.replace(r"^\s", "^" + _SPACE))
+        self.pattern_text = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.pattern = regex.compile(self.pattern_text.replace(r"^\s", "^" + _SPACE))
+        self.spaces = re.compile(f"[{_SPACE}]+")
         #: How far back a token can start, by the last two characters that it ends with.
         self.back: dict[str, int] = {}
         self.end_back: dict[str, int] = {}
@@ -205,76 +213,148 @@ class WordBpe:
         known = "".join("\u2190" if unicodedata.category(c) == "Cn" else c for c in text)
         return [text[m.start() : m.end()] for m in self.pattern.finditer(known)]
 
-    def pieces(self, chunk: str) -> list[str]:
-        """Words in byte characters, and special tokens, of a chunk without white space."""
+    def pieces(self, chunk: str) -> list[str | int]:
+        """Words in lower case, and the ids of special tokens, of a chunk without ASCII white space."""
         if chunk.isascii() and chunk.isalpha():
-            return [chunk.lower() + "\0"]
+            return [chunk.lower()]
         out = []
-        for k, part in enumerate(self.split_added.split(chunk) if self.split_added else [chunk]):
-            if k % 2:
-                out.append(part)
-            elif part.isascii() and part.isprintable():  # these bytes stand for themselves
-                out += [w + "\0" for w in self.pattern.findall(part.lower())]
-            elif part:
-                if not part.isascii():
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ")  # no final form when lower-cased alone
-                out += [w.encode().decode("latin-1").translate(self.bytes) + "\0" for w in self.words_of(part.lower())]
+        for space_free in self.spaces.split(chunk):
+            for k, part in enumerate(self.split_added.split(space_free) if self.split_added else [space_free]):
+                if k % 2:
+                    out.append(self.added[part])
+                elif part.isascii() and part.isprintable():
+                    out += self.pattern.findall(part.lower())
+                elif part:
+                    if not part.isascii():
+                        part = unicodedata.normalize("NFC", part).replace("Σ", "σ")  # no final form when lower-cased alone
+                    out += self.words_of(part.lower())
         return out
 
+    def in_bytes(self, word: str) -> str:
+        """A word in byte characters."""
+        if word.isascii() and word.isprintable():  # these bytes stand for themselves
+            return word
+        return word.encode().decode("latin-1").translate(self.bytes)
+
+
+class _Plain:
+    """Cuts chunks of plain characters into lower-case words, many at once: ASCII without apostrophes (which may start
+    a contraction) and without what special tokens start with, and the Latin-1 letters from À to ÿ. These are letters, digits
+    or others to the pattern alone, stay as they are under NFC, and have lower-case forms of one character."""
+
+    LATIN, TIMES, DIVIDE = 0xC3, 0x97, 0xB7  # first byte of U+00C0-U+00FF; second bytes of the two that are no letters
+
+    def __init__(self, bpe: WordBpe):
+        known = bpe.pattern_text == _PATTERN and all(t[:1].isascii() for t in bpe.added)
+        self.allowed = np.zeros(256, bool)
+        if known:
+            self.allowed[0x21:0x7F] = True
+            self.allowed[[ord(c) for c in {"'", *(t[0] for t in bpe.added)}]] = False
+        self.kind = np.zeros(256, np.uint8)  # 0: others
+        self.kind[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), self.LATIN]] = 1
+        self.kind[0x30:0x3A] = 2
+        self.lower = lower_table()
+
+    def which(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The chunks of plain characters."""
+        ok = self.allowed[data]
+        if self.allowed.any():
+            second = (data >= 0x80) & (data < 0xC0) & (data != self.TIMES) & (data != self.DIVIDE)
+            letter = (data[:-1] == self.LATIN) & second[1:]
+            ok[:-1] |= letter
+            ok[1:] |= letter
+        bad = np.zeros(len(data) + 1, np.int64)
+        np.cumsum(~ok, out=bad[1:])
+        return bad[offsets[1:]] == bad[offsets[:-1]]
+
+    def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The words of such chunks, in order, and how many each chunk has."""
+        kind, tail = self.kind[data], data >= 0x80
+        tail[data == self.LATIN] = False
+        low = self.lower[data]
+        low[tail & (data < 0x9F)] += 0x20
+        first = kind == 2
+        first[1:] |= kind[1:] != kind[:-1]
+        first[offsets[:-1]] = True
+        start = np.flatnonzero(first)
+        return string_array(low, np.append(start, len(data))), np.diff(np.searchsorted(start, offsets))
+
+
+def spread(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers begin[i], begin[i] + 1, ... of n[i] places each, one after the other."""
+    ends = np.cumsum(n)
+    return np.repeat(begin - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def starts(n: np.ndarray) -> np.ndarray:
+    return np.cumsum(n) - n
+
 
 class _Slice:
-    """Encodes slices of texts; keeps the encodings of chunks (what stands between white space)."""
+    """Encodes slices of texts. Distinct chunks (what stands between ASCII white space) are cut into words once a slice;
+    the encodings of words are kept."""
 
     def __init__(self, bpe: WordBpe):
-        self.bpe = bpe
-        self.spaces = re.compile(f"[{_SPACE}]+")
+        self.bpe, self.plain = bpe, _Plain(bpe)
+        self.shown = pa.array([bpe.token_of.get(i, "") for i in range(max(bpe.token_of, default=-1) + 1)], pa.string())
         self.forget()
 
     def forget(self) -> None:
-        self.code: dict[str, int] = {}
-        self.decoded: list[str] = []
-        self.flat = [np.zeros(0, "<u4")]
-        self.size: list[int] = []
-
-    def learn(self, chunks: set[str]) -> None:
-        pieces = [(c, self.bpe.pieces(c)) for c in chunks]
-        text_of, encode = self.bpe.token_of, self.bpe.encode_word
-        ids, shown = {}, {}
-        for w in sorted({w for _, p in pieces for w in p}):
-            ids[w] = own = encode(w[:-1]) if w[-1] == "\0" else [self.bpe.added[w]]
-            shown[w] = " ".join([text_of[t] for t in own])
-        flat = []
-        for c, p in pieces:
-            own = ids[p[0]] if len(p) == 1 else [i for w in p for i in ids[w]]
-            self.code[c] = len(self.size)
-            self.size.append(len(own))
-            self.decoded.append(shown[p[0]] if len(p) == 1 else " ".join([shown[w] for w in p]))
+        self.code: dict[str | int, int] = {}
+        self.flat = np.zeros(0, np.int32)
+        self.size = np.zeros(0, np.int64)
+
+    def codes(self, words: list[str | int]) -> np.ndarray:
+        """The places of words (and ids of special tokens) among those kept; new ones are encoded, in sorted order."""
+        code, encode, in_bytes = self.code, self.bpe.encode_word, self.bpe.in_bytes
+        new = {w for w in words if w not in code}
+        flat, size = [], []
+        for w in [*(w for w in new if isinstance(w, int)), *sorted(w for w in new if isinstance(w, str))]:
+            own = [w] if isinstance(w, int) else encode(in_bytes(w))
+            code[w] = len(code)
             flat += own
-        self.flat = [np.concatenate([*self.flat, np.array(flat, "<u4")])]
-
-    def encode(self, texts: list[str]) -> tuple[list[int], list[bytes], list[str]]:
-        # str.split() also splits at 0x1c-0x1f, which are no white space to the tokenizer
-        split = [t.split() if not re.search("[\x1c-\x1f]", t) else [x for x in self.spaces.split(t) if x] for t in texts]
-        chunks = {c for s in split for c in s}
+            size.append(len(own))
+        self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
+        self.size = np.concatenate([self.size, np.array(size, np.int64)])
+        return np.fromiter(map(code.__getitem__, words), np.int64, len(words))
+
+    def chunk_words(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """How many words each distinct chunk has, and the words' places, chunk by chunk."""
+        data, offsets = text_buffers(chunks)
+        plain, length = self.plain.which(data, offsets), np.diff(offsets)
+        words, n_plain = self.plain.words(data[np.repeat(plain, length)], np.append(0, np.cumsum(length[plain])))
+        words = words.dictionary_encode()
+        others = [self.bpe.pieces(c) for c in chunks.filter(pa.array(~plain)).to_pylist()]
+        n_words = np.zeros(len(chunks), np.int64)
+        n_words[plain], n_words[~plain] = n_plain, [len(p) for p in others]
+        distinct = words.dictionary.to_pylist()
+        codes = self.codes([*distinct, *(w for p in others for w in p)])
+        of = np.zeros(int(n_words.sum()), np.int64)
+        from_plain = np.repeat(plain, n_words)
+        of[from_plain] = codes[: len(distinct)][words.indices.to_numpy(zero_copy_only=False)]
+        of[~from_plain] = codes[len(distinct) :]
+        return n_words, of
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        """Numbers of tokens, their ids and their strings joined by spaces, of each text."""
         if len(self.code) > KEPT_WORDS:
             self.forget()
-        if new := chunks - self.code.keys():
-            self.learn(new)
-        get, shown = self.code.__getitem__, self.decoded.__getitem__
-        sizes = np.array(self.size, np.int64)
-        begin = np.cumsum(sizes) - sizes
-        flat = self.flat[0]
-        counts, ids, decoded = [], [], []
-        for s in split:
-            codes = list(map(get, s))
-            c = np.array(codes, np.int64)
-            n = sizes[c]
-            total = int(n.sum())
-            at = np.repeat(begin[c] - (np.cumsum(n) - n), n) + np.arange(total)
-            counts.append(total)
-            ids.append(flat[at].tobytes())
-            decoded.append(" ".join(map(shown, codes)))
-        return counts, ids, decoded
+        data, offsets = text_buffers(texts)
+        words = Words(data, offsets)
+        ends = np.append(0, np.cumsum(words.end - words.start))
+        chunks = string_array(data[word_bytes()[data]], ends).dictionary_encode()
+        n_words, of = self.chunk_words(chunks.dictionary)
+        # tokens of each distinct chunk, then those of each place
+        per_word = self.size[of]
+        sums = np.append(0, np.cumsum(per_word))
+        n = np.diff(sums[np.append(0, np.cumsum(n_words))])
+        tokens = self.flat[spread(starts(self.size)[of], per_word)]
+        at = chunks.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = tokens[spread(starts(n)[at], n[at])]
+        per_text = np.append(0, np.cumsum(n[at]))[words.of_doc]
+        lists = pa.ListArray.from_arrays(pa.array(per_text, pa.int32()), self.shown.take(pa.array(flat)))
+        sent = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((per_text * 4).astype(np.int32)), pa.py_buffer(flat.astype("<i4"))])
+        return np.diff(per_text), sent, pc.binary_join(lists, " ")
 
 
 def _encode(tokenizer):
@@ -284,8 +364,8 @@ def _encode(tokenizer):
             _, offsets = text_buffers(batch["text"])
             for a, b in slices(offsets, TRIE_BYTES):
                 part = batch.slice(a, b - a)
-                counts, ids, decoded = coder.encode([t or "" for t in part["text"].to_pylist()])
-                yield pa.RecordBatch.from_arrays([part["id"], pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids", "decoded"])
+                counts, ids, decoded = coder.encode(part["text"])
+                yield pa.RecordBatch.from_arrays([part["id"], pa.array(counts, pa.int64()), ids, decoded], ["id", "n_tokens", "ids", "decoded"])
 
     return encode
 

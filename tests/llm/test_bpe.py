@@ -1,13 +1,16 @@
 """BPE against the tokenizers library: ids and decoded text must be equal."""
 
 import hashlib
+import json
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from strata.llm.bpe import WordBpe, encode_and_decode, op9_bpe_coding, tokenizer_path
+from strata.llm.bpe import WordBpe, _encode, encode_and_decode, op9_bpe_coding, tokenizer_path
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +84,30 @@ def test_repeated_ids_clashing_columns_and_a_long_text(spark, library):
     docs = spark.createDataFrame([(1, "one"), (1, "two words"), (None, None), (2, long)], "doc_id long, text string").selectExpr("*", "'x' AS id", "3 AS ids", "4 AS n_tokens", "'d' AS decoded")
     got = sorted(((x.id, x.n_tokens, bytes(x.ids), x.decoded) for x in encode_and_decode(docs, tokenizer_path()).collect()), key=str)
     assert got == sorted(((i, *want(library, t)) for i, t in [(1, "one"), (1, "two words"), (None, None), (2, long)]), key=str)
+
+
+def coded(file_text, *slices_of_texts):
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(len(t))), pa.array(t, pa.string())], ["id", "text"]) for t in slices_of_texts]
+    return [(x["n_tokens"], x["ids"], x["decoded"]) for b in _encode(SimpleNamespace(value=file_text))(iter(batches)) for x in b.to_pylist()]
+
+
+def test_a_word_is_encoded_once_in_a_task(monkeypatch, library):
+    """Whatever stands around it, and in whichever batch."""
+    seen, encode, pieces, cut = [], WordBpe.encode_word, WordBpe.pieces, []
+    monkeypatch.setattr(WordBpe, "encode_word", lambda self, w: seen.append(w) or encode(self, w))
+    monkeypatch.setattr(WordBpe, "pieces", lambda self, c: cut.append(c) or pieces(self, c))
+    first, then = ["Größe word, 1word", "word; <|endoftext|>größe's"], ["(word) WORD? größe!", "größe... word's ÷ ×2"]
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        assert coded(f.read(), first, then) == [want(library, t) for t in first + then]
+    assert len(seen) == len(set(seen))
+    assert set(cut) == {"<|endoftext|>größe's", "word's", "÷", "×2"}  # all others are cut together
+
+
+def test_plain_characters_are_known_for_one_pattern_only():
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+    split["pattern"]["Regex"] = split["pattern"]["Regex"].replace(r"[\p{N}]|", r"[\p{N}]+|")
+    other = json.dumps(spec)
+    some = ["123 4a56, 7!8", *(t for t in texts()[11:400] if t)]
+    assert coded(other, some) == [want(Tokenizer.from_str(other), t) for t in some]
