@@ -46,14 +46,18 @@ def date_window(col, start=None, end=None, as_of: _dt.date | None = None, future
     Undated rows fail, as in SQL, unless ``keep_undated``.
     ``as_of`` is explicit (never ``current_date`` inside tested code)."""
     x = as_col(col)
+    if as_of is not None:
+        limit = F.lit(_dt.datetime.combine(as_of, _dt.time()) + _dt.timedelta(days=future_days + 1))
+        if start is None and end is None:
+            # a filter is pushed below the projection that parses the date, where each mention of x parses it again
+            return F.coalesce(x < limit, F.lit(keep_undated))
     cond = x.isNotNull()
     if start is not None:
         cond = cond & (x >= F.lit(start))
     if end is not None:
         cond = cond & (x <= F.lit(end))
     if as_of is not None:
-        limit = _dt.datetime.combine(as_of, _dt.time()) + _dt.timedelta(days=future_days + 1)
-        cond = cond & (x < F.lit(limit))
+        cond = cond & (x < limit)
     return cond | x.isNull() if keep_undated else cond
 
 

@@ -1,5 +1,6 @@
 """Steps whose time or memory once grew faster than their input."""
 
+import datetime as dt
 import random
 
 import numpy as np
@@ -7,7 +8,9 @@ import numpy as np
 from strata.functions.similarity import token_set_ratio
 from strata.llm import quality
 from strata.llm.labels import training_rows
+from strata.operators import filters as FL
 from strata.operators import resolve as R
+from strata.plans import calls as CL
 from strata.plans import tickets as T
 from strata.sources import workbook as WB
 from strata.proofs.tickets import JOB_RULES
@@ -130,3 +133,18 @@ def test_quality_class_too_small_for_every_group_is_in_all_pairs(spark):
     docs, labels = _some_labels(spark, 400, lambda i: i in (7, 8, 9, 10, 11))
     weights, offset = quality.fit_model(docs, labels, group=50)
     assert any(weights) and np.isfinite(offset)
+
+
+def test_win_back_filter_parses_the_date_once(spark):
+    """Each mention of the date in the filter is one more parse of its text, in code too large to be compiled."""
+    bronze = spark.createDataFrame([("1", d, "08:10") for d in ["01/02/2024", "04/02/2024", "x", None]], "`N° Abonado` string, `Fecha Llamada` string, `Hora Llamada` string")
+    out = CL.win_back(bronze, dt.date(2024, 2, 1))
+    filters = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x and "2024-02-03" in x]
+    assert len(filters) == 1 and filters[0].lower().count("gettimestamp") == len(CL.DAY_FIRST)
+    assert sorted(str(r["Fecha"])[:10] for r in out.collect()) == ["2024-02-01", "None"]
+
+
+def test_date_window_of_missing_dates(spark):
+    df = spark.createDataFrame([(dt.date(2024, 2, 1),), (dt.date(2024, 2, 9),), (None,)], "d date")
+    got = df.select(FL.date_window("d", as_of=dt.date(2024, 2, 1)).alias("x"), FL.date_window("d", as_of=dt.date(2024, 2, 1), keep_undated=True).alias("y")).collect()
+    assert [tuple(r) for r in got] == [(True, True), (False, False), (False, True)]
