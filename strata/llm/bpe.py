@@ -37,13 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .exchange import named
+from .exchange import batch_by_batch, named
 from .text import Words, lower_table, slices, string_array, text_buffers, word_bytes
 
 #: Distinct words that a task keeps encoded; then it starts anew, which bounds its memory.
 KEPT_WORDS = 400_000
-#: Text whose new words are walked as one trie.
-TRIE_BYTES = 4 << 20
 #: Pairs of tokens whose agreement a task keeps.
 MOST_PAIRS = 1_000_000
 
@@ -362,7 +360,7 @@ def _encode(tokenizer):
         coder = _Slice(WordBpe(tokenizer.value))
         for batch in batches:
             _, offsets = text_buffers(batch["text"])
-            for a, b in slices(offsets, TRIE_BYTES):
+            for a, b in slices(offsets):
                 part = batch.slice(a, b - a)
                 counts, ids, decoded = coder.encode(part["text"])
                 yield pa.RecordBatch.from_arrays([part["id"], pa.array(counts, pa.int64()), ids, decoded], ["id", "n_tokens", "ids", "decoded"])
@@ -385,7 +383,7 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
         tokenizer = docs.sparkSession.sparkContext.broadcast(f.read())
     kept = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
     schema = StructType([kept.schema["id"], *StructType.fromDDL("n_tokens bigint, ids binary, decoded string")])
-    return kept.mapInArrow(_encode(tokenizer), schema)
+    return kept.mapInArrow(batch_by_batch(_encode(tokenizer)), schema)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

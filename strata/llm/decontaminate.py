@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .exchange import named
+from .exchange import batch_by_batch, named
 from .text import Roller, Words, byte_values, letter_bytes, lower_table, mix, slices, text_buffers
 
 #: Word edits for each word of an item.
@@ -266,7 +266,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for p in range(parts):  # each part is bounded, however many there are
         rows = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p).toArrow()
         items = docs.sparkSession.sparkContext.broadcast((rows["item_id"].to_pylist(), rows["text"].to_pylist()))
-        found = kept.mapInArrow(_search(items, rows.schema.field("item_id").type), schema)
+        found = kept.mapInArrow(batch_by_batch(_search(items, rows.schema.field("item_id").type)), schema)
         out = found if out is None else out.union(found)
     return out
 

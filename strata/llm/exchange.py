@@ -11,6 +11,7 @@ of the input, so that groups keep their size at any input size.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 from collections.abc import Callable
@@ -33,6 +34,36 @@ SENT_BYTES = 32 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
+def give_back() -> None:
+    """Hands memory that this process has freed back to the system. A Python worker lives on after its task, beside
+    those of other stages, and would keep what its largest task took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; other C libraries give back by themselves
+    if trim:
+        trim(0)
+
+
+def batch_by_batch(fn: Callable) -> Callable:
+    """fn for mapInArrow; what its task took is given back at its end."""
+
+    def run(batches):
+        yield from fn(batches)
+        give_back()
+
+    return run
+
+
+def whole_group(fn: Callable) -> Callable:
+    """fn for applyInArrow; what the group took beside its result is given back."""
+
+    def run(table):
+        out = fn(table)
+        give_back()
+        return out
+
+    return run
+
+
 def named(column: str) -> Column:
     """The column of that very name, dots and all."""
     return F.col(f"`{column.replace('`', '``')}`")
@@ -124,4 +155,10 @@ def bucket_slices(bucket: np.ndarray) -> list[tuple[int, int, int]]:
 
 def by_home(docs: DataFrame, answers: DataFrame, fn: Callable, schema: str | StructType) -> DataFrame:
     """fn(documents of a home, answers to it) for each home."""
-    return docs.groupBy("home").cogroup(answers.groupBy("home")).applyInArrow(fn, schema)
+
+    def run(own, sent):
+        out = fn(own, sent)
+        give_back()
+        return out
+
+    return docs.groupBy("home").cogroup(answers.groupBy("home")).applyInArrow(run, schema)

@@ -253,7 +253,7 @@ def _unpacked(packed: DataFrame, columns: dict) -> DataFrame:
             for i in range(len(batch)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(batch[c][i].as_py(), t)) for c, t in columns.items()], list(columns))
 
-    return packed.select(*columns).mapInArrow(unpack, ", ".join(f"{c} {'bigint' if t is np.int64 else 'int'}" for c, t in columns.items()))
+    return packed.select(*columns).mapInArrow(X.batch_by_batch(unpack), ", ".join(f"{c} {'bigint' if t is np.int64 else 'int'}" for c, t in columns.items()))
 
 
 def _sets_of(n: int):
@@ -303,7 +303,7 @@ def _named_rows(docs: DataFrame, id_col: str, text_col: str, n: int, text_hash:
     else:
         both = F.struct(X.named(id_col).cast("long").alias("id"), text_hash.alias("text_hash"))
         read, id_type, own = docs.select(both.alias("id"), X.named(text_col).alias("text")), "struct<id:bigint,text_hash:bigint>", ["id.id", "id.text_hash"]
-    surveyed = cut_lineage(read.mapInArrow(_survey(n), f"id {id_type}, n_shingles bigint, key bigint, shingle bigint, count bigint"))
+    surveyed = cut_lineage(read.mapInArrow(X.batch_by_batch(_survey(n)), f"id {id_type}, n_shingles bigint, key bigint, shingle bigint, count bigint"))
     rows = surveyed.where("shingle IS NULL").select(*own, "n_shingles", "key")
     most = surveyed.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "shingle").limit(HEAVY).toArrow()
     heavy = most["shingle"].to_numpy().view(np.uint64)
@@ -313,8 +313,8 @@ def _named_rows(docs: DataFrame, id_col: str, text_col: str, n: int, text_hash:
     long = most["count"].to_numpy()[order] > SHORT
     frequent = spark.sparkContext.broadcast((heavy[order].tobytes(), rank.tobytes(), long.tobytes()))
 
-    sent = kept.mapInArrow(_short_lists(n, buckets, frequent), "bucket int, shingles binary, keys binary, sizes binary, needs binary")
-    packed = cut_lineage(sent.groupBy("bucket").applyInArrow(_merge_lists, ", ".join(f"{c} binary" for c in (_PAIRS | _LONG | _IN_LONG))))
+    sent = kept.mapInArrow(X.batch_by_batch(_short_lists(n, buckets, frequent)), "bucket int, shingles binary, keys binary, sizes binary, needs binary")
+    packed = cut_lineage(sent.groupBy("bucket").applyInArrow(X.whole_group(_merge_lists), ", ".join(f"{c} binary" for c in (_PAIRS | _LONG | _IN_LONG))))
     in_long = cut_lineage(_unpacked(packed, _IN_LONG).groupBy("member").agg(F.sum("lists").alias("lists"), F.sum("company").alias("company")))
     lists, pairs = _unpacked(packed, _LONG), _candidates(packed, in_long)
 
@@ -323,7 +323,7 @@ def _named_rows(docs: DataFrame, id_col: str, text_col: str, n: int, text_hash:
     example = X.written(rows.join(members, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id")))
     wanted = example.select(F.col("id").alias("wanted"))
     texts = kept.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = cut_lineage(texts.mapInArrow(_sets_of(n), "key bigint, shingles binary").join(example.select("key"), "key", "left_semi"))
+    sets = cut_lineage(texts.mapInArrow(X.batch_by_batch(_sets_of(n)), "key bigint, shingles binary").join(example.select("key"), "key", "left_semi"))
 
     groups = _groups(pairs, lists, in_long, sets)
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "key")).alias("component")
@@ -366,12 +366,12 @@ def _linked(tries: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that link; only the sets that are tried are shuffled."""
     others = sets.join(tries.select("b"), F.col("key") == F.col("b"), "left_semi")
     both = sets.withColumnsRenamed({"key": "a", "shingles": "x"}).join(tries, "a").join(others.withColumnsRenamed({"key": "b", "shingles": "y"}), "b")
-    return cut_lineage(both.select("a", "b", "x", "y").mapInArrow(_probe, "a bigint, b bigint"))
+    return cut_lineage(both.select("a", "b", "x", "y").mapInArrow(X.batch_by_batch(_probe), "a bigint, b bigint"))
 
 
 def _groups(pairs: DataFrame, lists: DataFrame, in_long: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, component) of set keys, in two rounds as told above."""
-    sketch = sets.mapInArrow(_sketches, ", ".join(["key bigint", *(f"{c} bigint" for c in _SKETCH)])).dropDuplicates(["key"])
+    sketch = sets.mapInArrow(X.batch_by_batch(_sketches), ", ".join(["key bigint", *(f"{c} bigint" for c in _SKETCH)])).dropDuplicates(["key"])
     lists = cut_lineage(lists.join(sketch, "key").join(in_long.select(F.col("member").alias("key"), "company"), "key"))
 
     pivot = lists.groupBy("list").agg(F.max(F.struct("company", "key", "size", *_SKETCH)).alias("p"))
@@ -391,7 +391,7 @@ def _groups(pairs: DataFrame, lists: DataFrame, in_long: DataFrame, sets: DataFr
     blocks = members.join(mixed, "list").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocks = blocks.select("list", "key", "size", "component", "block", *_SKETCH, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    near = blocks.groupBy("list", "i", "j").applyInArrow(_near, "a bigint, b bigint")
+    near = blocks.groupBy("list", "i", "j").applyInArrow(X.whole_group(_near), "a bigint, b bigint")
     rest = X.written(rest.union(near).distinct().join(tries, ["a", "b"], "left_anti"))
     return components(links.union(_linked(rest, sets)))
 

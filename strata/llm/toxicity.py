@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import labels as L
-from .exchange import extra, named
+from .exchange import batch_by_batch, extra, named, whole_group
 from .text import Roller, Words, byte_values, letter_bytes, lower_table, mix, slices, text_buffers
 
 #: Labelled documents that a model is fitted on at most, in one task.
@@ -118,7 +118,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col:
     """(feature, weight): the non-zero weights."""
     rows = L.training_rows(docs, labels, label, sample, id_col, text_col, folds, held_out)
     rows = rows.select(F.lit(0).alias("model"), F.xxhash64("id").alias("turn"), F.col("id").cast("long").alias("id"), "text", "label")
-    return rows.groupBy("model").applyInArrow(_fit(EPOCHS, ALPHA, BETA, L1, L2, LEAST, MOST_WEIGHTS), "feature bigint, weight double")
+    return rows.groupBy("model").applyInArrow(whole_group(_fit(EPOCHS, ALPHA, BETA, L1, L2, LEAST, MOST_WEIGHTS)), "feature bigint, weight double")
 
 
 def _score(model):
@@ -155,7 +155,7 @@ def score_documents(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id",
     model = docs.sparkSession.sparkContext.broadcast((names[order].tobytes(), top["weight"].to_numpy()[order].tobytes()))
     kept = docs.select(named(id_col).alias("id"), named(text_col).alias("text"), *([] if carry is None else [extra(carry)]))
     schema = L.schema_of(kept, "score double")
-    return kept.mapInArrow(_score(model), schema if carry is None else schema.add(kept.schema["extra"]))
+    return kept.mapInArrow(batch_by_batch(_score(model)), schema if carry is None else schema.add(kept.schema["extra"]))
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:

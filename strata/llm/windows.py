@@ -149,8 +149,8 @@ def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str
     total = X.text_bytes(docs, text_col)
     homes, buckets = X.n_homes(total, home_bytes), X.n_homes(total, HOMES_IN_BUCKET * home_bytes)
     kept = X.at_home(docs, id_col, text_col, homes, carry)
-    sent = kept.select("home", "id", "text").groupBy("home").applyInArrow(_send(width, buckets), "home int, bucket int, hashes binary, ids binary, n int")
-    answers = sent.groupBy("bucket").applyInArrow(_judge, "home int, bucket int, lost binary")
+    sent = kept.select("home", "id", "text").groupBy("home").applyInArrow(X.whole_group(_send(width, buckets)), "home int, bucket int, hashes binary, ids binary, n int")
+    answers = sent.groupBy("bucket").applyInArrow(X.whole_group(_judge), "home int, bucket int, lost binary")
     return X.by_home(kept, answers, _apply(width, buckets), X.with_extra(kept, "id bigint, n_words bigint, n_removed bigint, kept_text string"))
 
 

@@ -111,3 +111,12 @@ def test_plain_characters_are_known_for_one_pattern_only():
     other = json.dumps(spec)
     some = ["123 4a56, 7!8", *(t for t in texts()[11:400] if t)]
     assert coded(other, some) == [want(Tokenizer.from_str(other), t) for t in some]
+
+
+def test_a_large_batch_is_encoded_in_slices():
+    """A worker holds the tokens of about a megabyte of text at once, whatever comes in one batch."""
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        run = _encode(SimpleNamespace(value=f.read()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["Some words. " * 50_000] * 6)], ["id", "text"])
+    out = list(run(iter([batch])))
+    assert [b.num_rows for b in out] == [1] * 6 and [x for b in out for x in b["n_tokens"].to_pylist()] == [150_000] * 6
