@@ -38,13 +38,13 @@ from strata.session import checkpoint_root
 
 from . import exchange as X
 from .bpe import byte_characters
-from .exchange import extra, named, uncarried, with_extra
+from .exchange import batch_by_batch, extra, named, uncarried, whole_group, with_extra
 from .text import mix, slices, text_buffers
 
 #: Links of one home, and homes whose pairs one bucket counts.
 HOME_LINKS, HOMES_A_BUCKET = 3_000_000, 4
-#: Text that is aligned together.
-SLICE_BYTES = 1 << 20
+#: Text that is aligned together: its tokens, their overlaps and pairs take about 90 times its bytes.
+SLICE_BYTES = 1 << 18
 #: An id pair is one number: the first side's id, then 20 bits of the other's.
 _BITS = 20
 #: Fixed value: how the byte-level tokenizer cuts text into words.
@@ -148,38 +148,56 @@ def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[:n], both[n:]
 
 
+class _Slices:
+    """Aligns some documents at a time; nothing of a slice but its rows is left when the next one begins."""
+
+    def __init__(self, byte_level: str, pieces: bytes):
+        self.sides = ByteLevel(byte_level), Pieces(pieces)
+        self.lengths = [np.array([len(s.bytes.get(i, b"")) for i in range(max(s.bytes) + 1)], np.int64) for s in self.sides]
+        self.texts = _Texts(*(len(x) for x in self.lengths))
+
+    def tokens(self, given: list[str]) -> tuple[Side, Side]:
+        """Both sides' tokens; none of a text whose tokens' bytes are not the space and the text."""
+        ids = [s.encode(given) for s in self.sides]
+        base = np.zeros(len(given) + 1, np.int64)
+        for k, t in enumerate(given):
+            want = b" " + t.encode() if t else b""
+            if not t or any(b"".join(map(s.bytes.__getitem__, x[k])) != want for s, x in zip(self.sides, ids, strict=True)):
+                ids[0][k], ids[1][k], want = [], [], b""
+            base[k + 1] = base[k] + len(want)
+        a, b = (Side(x, size, base) for x, size in zip(ids, self.lengths, strict=True))
+        return a, b
+
+    def align(self, part: pa.RecordBatch) -> pa.RecordBatch:
+        a, b = self.tokens([t or "" for t in part["text"].to_pylist()])
+        n = len(part)
+        i, j = overlaps(a, b)
+        doc = a.doc[i]
+        n_links = np.bincount(doc, minlength=n).astype(np.int64)
+        key = doc << 2 * _BITS | a.ids[i] << _BITS | b.ids[j]
+        del i, j, doc
+        key, times = np.unique(key, return_counts=True)
+        cut = np.searchsorted(key, np.arange(n + 1) << 2 * _BITS)
+        pair = key & ((1 << 2 * _BITS) - 1)
+        blobs = [_packed(pair[x:y], times[x:y]) for x, y in zip(cut.tolist(), cut[1:].tolist(), strict=False)]
+        del key, times, pair
+        listing, n_groups = self.texts.listing(a, b)
+        out = {
+            "id": part["id"], "n_a": pa.array(a.count), "n_b": pa.array(b.count), "n_groups": pa.array(n_groups.astype(np.int64)),
+            "n_links": pa.array(n_links), "groups": pa.array(listing, pa.string()),
+            "n_pairs": pa.array(np.diff(cut), pa.int64()), "pairs": pa.array(blobs, pa.binary()),
+        }
+        return pa.RecordBatch.from_pydict(out)
+
+
 def _align(tokenizers):
     def align(batches):
-        text, blob = tokenizers.value
-        sides = ByteLevel(text), Pieces(blob)
-        lengths = [np.array([len(s.bytes.get(i, b"")) for i in range(max(s.bytes) + 1)], np.int64) for s in sides]
-        texts = _Texts(*(len(x) for x in lengths))
+        own = _Slices(*tokenizers.value)
+        X.give_back()  # what reading the tokenizers' files took
         for batch in batches:
             _, offsets = text_buffers(batch["text"])
             for lo, hi in slices(offsets, SLICE_BYTES):
-                part = batch.slice(lo, hi - lo)
-                given = [t or "" for t in part["text"].to_pylist()]
-                ids = [s.encode(given) for s in sides]
-                base = np.zeros(len(given) + 1, np.int64)
-                for k, t in enumerate(given):
-                    want = b" " + t.encode() if t else b""
-                    if not t or any(b"".join(map(s.bytes.__getitem__, x[k])) != want for s, x in zip(sides, ids, strict=True)):
-                        ids[0][k], ids[1][k], want = [], [], b""
-                    base[k + 1] = base[k] + len(want)
-                a, b = (Side(x, size, base) for x, size in zip(ids, lengths, strict=True))
-                i, j = overlaps(a, b)
-                listing, n_groups = texts.listing(a, b)
-                doc = a.doc[i]
-                key, times = np.unique(doc << 2 * _BITS | a.ids[i] << _BITS | b.ids[j], return_counts=True)
-                cut = np.searchsorted(key, np.arange(len(given) + 1) << 2 * _BITS)
-                pair = key & ((1 << 2 * _BITS) - 1)
-                blobs = [_packed(pair[x:y], times[x:y]) for x, y in zip(cut.tolist(), cut[1:].tolist(), strict=False)]
-                out = {
-                    "id": part["id"], "n_a": pa.array(a.count), "n_b": pa.array(b.count), "n_groups": pa.array(n_groups.astype(np.int64)),
-                    "n_links": pa.array(np.bincount(doc, minlength=len(given)).astype(np.int64)), "groups": pa.array(listing, pa.string()),
-                    "n_pairs": pa.array(np.diff(cut), pa.int64()), "pairs": pa.array(blobs, pa.binary()),
-                }
-                yield pa.RecordBatch.from_pydict(out)
+                yield own.align(batch.slice(lo, hi - lo))
 
     return align
 
@@ -191,7 +209,7 @@ def align(docs: DataFrame, byte_level: str, pieces: str, id_col: str = "doc_id",
         tokenizers = docs.sparkSession.sparkContext.broadcast((f.read(), g.read()))
     kept = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
     fields = StructType.fromDDL("n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, n_pairs bigint, pairs binary")
-    return kept.mapInArrow(_align(tokenizers), StructType([kept.schema["id"], *fields]))
+    return kept.mapInArrow(batch_by_batch(_align(tokenizers)), StructType([kept.schema["id"], *fields]))
 
 
 class _Home:
@@ -277,11 +295,11 @@ def score_links(aligned: DataFrame, home_links: int = HOME_LINKS) -> DataFrame:
     homes = max(1, math.ceil(links / home_links))
     buckets = max(1, math.ceil(homes / HOMES_A_BUCKET))
     rows = rows.withColumn("home", F.pmod(F.xxhash64("row"), F.lit(homes)).cast("int"))
-    sent = rows.select("home", "n_pairs", "pairs").groupBy("home").applyInArrow(_send(buckets), "home int, bucket int, n bigint, sent binary")
-    answers = sent.groupBy("bucket").applyInArrow(_count, "home int, bucket int, n bigint, counts binary")
+    sent = rows.select("home", "n_pairs", "pairs").groupBy("home").applyInArrow(whole_group(_send(buckets)), "home int, bucket int, n bigint, sent binary")
+    answers = sent.groupBy("bucket").applyInArrow(whole_group(_count), "home int, bucket int, n bigint, counts binary")
     answers.write.parquet(f"{folder}/answers")
     answers = spark.read.parquet(f"{folder}/answers")
-    most = answers.where("home IS NULL").select("n", "counts").mapInArrow(_highest, "a bigint, most bigint")
+    most = answers.where("home IS NULL").select("n", "counts").mapInArrow(batch_by_batch(_highest), "a bigint, most bigint")
     most = most.groupBy("a").agg(F.max("most").alias("most")).orderBy("a").toPandas()  # a row for each id of a vocabulary
     highest = spark.sparkContext.broadcast((most["a"].to_numpy(), most["most"].to_numpy()))
     asked = rows.select("home", "n_pairs", "pairs", "extra")

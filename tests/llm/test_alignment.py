@@ -3,9 +3,12 @@
 import hashlib
 import json
 import random
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -143,3 +146,22 @@ def test_empty_table(spark):
 def test_overlaps_of_sides_without_tokens():
     none = A.Side([[], []], np.zeros(1, np.int64), np.zeros(3, np.int64))
     assert [len(x) for x in A.overlaps(none, none)] == [0, 0]
+
+
+def test_a_task_holds_one_slice():
+    """What a task takes beside its batch and its tokenizers does not follow from the batch: each slice is gone before the next."""
+    r = random.Random(3)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(2, 9))) for _ in range(3000)]
+    texts = [" ".join(r.choice(words) for _ in range(500)) for _ in range(700)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    assert batch.nbytes > 1_500_000
+    with open(BYTE, encoding="utf-8") as f, open(PIECE, "rb") as g:
+        rows = A._align(SimpleNamespace(value=(f.read(), g.read())))(iter([batch.slice(0, 1), batch]))
+    assert len(next(rows)) == 1
+    tracemalloc.start()
+    try:
+        assert sum(map(len, rows)) == len(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 50_000_000
