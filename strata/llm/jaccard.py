@@ -21,18 +21,23 @@ sets of candidate pairs are probed whole; both give what the heap and the probes
    buckets; a pair with fewer than c - min(l_a, l_b) of them cannot link, where l is the number of
    a set's lists that turned out long. A set that is also in long lists has all its short ones, so that the other set's c
    holds for the pair. Equal sets are one set and need no link at all.
-3. *Two rounds*: round 1 pairs each set with its smallest partner from the short lists and with the
+   By the same bound a pair needs its long lists only if min(l_a, l_b) >= min(c_a, c_b), or else short lists have it:
+   of a long list those members stay whose l reaches the least c of a member with l >= c, and none if
+   there is no such member. So lists that are long by chance, as common phrases make them in a large corpus, are dropped.
+3. *Sketches*: the parity of a set's shingles in at least as many cells as it has shingles (a power of two, 512 or more),
+   made in the first pass. A sketch folds to half its cells by XOR of its halves. The Hamming distance of two is at
+   most ``|a ^ b|``, which is at most (|a| + |b|) / 9 for sets that link, and is more than that for most sets below
+   a similarity of about 0.74, however large they are. All pairs pass this bound before a set is read.
+4. *Two rounds*: round 1 pairs each set with its smallest partner from the short lists and with the
    pivot of each of its long lists, the member with the most company in long lists (the original of a
    group of near copies has most of what the others have). Round 2 takes all other pairs whose sets
    are still apart: those of the short lists, and in long lists that hold several components every
-   pair, in blocks of ``BLOCK`` members, that passes the size bound and the sketch bound. A sketch is
-   the parity of a set's shingles in 512 cells; its Hamming distance is at most ``|a ^ b|``, which is
-   at most (|a| + |b|) / 9 for sets that link. Every pair of every list is so checked, connected or
-   excluded by a bound that holds for all links, so components are exact, while what is emitted are
+   pair, in blocks of ``BLOCK`` members, that passes the size bound and the sketch bound. Every pair of every list is so
+   checked, connected or excluded by a bound that holds for all links, so components are exact, while what is emitted are
    pairs that are near.
-4. *Probing*: the sets of documents in such pairs and lists (only those) are written once; the
+5. *Probing*: in each round the sets of the pairs that it tries (only those) are written once; the
    smaller set's shingles are looked up in the larger one's by binary search.
-5. Components over set keys (``components.py``), each named by its smallest document id.
+6. Components over set keys (``components.py``), each named by its smallest document id.
 
 Cases: NULL, empty and wordless texts have no shingles, link with nothing and are their own
 component; fewer than ``n`` words make one shingle; equal texts link; rows with equal ids are one
@@ -41,6 +46,8 @@ node for ``component_id``; a NULL id never names a component unless no row of it
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -63,6 +70,8 @@ ONLY_LONG = 1 << 20
 BLOCK = 4096
 #: A shingle counts as frequent in a slice if so many of its sets hold it.
 HEAVY_IN_SLICE = 2
+#: Cells of a sketch at least.
+_CELLS = 512
 #: Text hashed together; equal sets in it are sent once.
 SLICE_BYTES = 4 << 20
 
@@ -112,22 +121,42 @@ def _distinct(s: _Sets) -> np.ndarray:
     return first[s.size[first] > 0]
 
 
+def _sketch(s: np.ndarray) -> bytes:
+    """Parity of a set's shingles in cells by their lowest bits."""
+    cells = max(_CELLS, 1 << (len(s) - 1).bit_length()) if len(s) else _CELLS
+    return np.packbits(np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1).tobytes()
+
+
+def _folded(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches of ``width`` bytes or more as rows of that width."""
+    out = np.empty((len(sketches), width), np.uint8)
+    size = np.array([len(x) for x in sketches], np.int64)
+    for n in np.unique(size).tolist():
+        at = np.flatnonzero(size == n)
+        rows = np.frombuffer(b"".join([sketches[i] for i in at.tolist()]), np.uint8).reshape(len(at), n)
+        while n > width:
+            n //= 2
+            rows = rows[:, :n] ^ rows[:, n:]
+        out[at] = rows
+    return out.view(np.uint64)
+
+
 def _survey(n: int):
-    """Rows of documents (id, n_shingles, set key), and of shingles that several sets of a slice hold.
+    """Rows of documents (id, n_shingles, set key, sketch), and of shingles that several sets of a slice hold.
     An id is whatever the rows have in that column."""
 
     def survey(batches):
         for ids, s in _batches(batches, n):
-            yield pa.RecordBatch.from_arrays([ids, pa.array(s.size), pa.array(s.key), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(s.size), pa.array(s.key), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64()), pa.array([_sketch(x) for x in s.sets], pa.binary())], names)
             own = _distinct(s)
             h = np.sort(np.concatenate([np.zeros(0, np.uint64), *(s.sets[i] for i in own.tolist())]))
             new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
             count = np.diff(np.append(new, len(h)))
             many = count >= HEAVY_IN_SLICE
             k = int(many.sum())
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, ids.type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(h[new[many]].view(np.int64)), pa.array(count[many])], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, ids.type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(h[new[many]].view(np.int64)), pa.array(count[many]), pa.nulls(k, pa.binary())], names)
 
-    names = ["id", "n_shingles", "key", "shingle", "count"]
+    names = ["id", "n_shingles", "key", "shingle", "count", "sketch"]
     return survey
 
 
@@ -181,9 +210,7 @@ def _short_lists(n: int, buckets: int, frequent):
 #: Columns of a bucket's packed answer, with their types.
 _PAIRS = {"a": np.int64, "b": np.int64, "need": np.int32, "n": np.int32}
 _LONG = {"list": np.int64, "key": np.int64, "size": np.int32}
-_IN_LONG = {"member": np.int64, "lists": np.int32, "company": np.int64}
-_CELLS = 512
-_SKETCH = [f"s{i}" for i in range(_CELLS // 64)]
+_IN_LONG = {"member": np.int64, "lists": np.int32, "company": np.int64, "c": np.int32}
 
 
 def _merge_lists(table: pa.Table) -> pa.Table:
@@ -207,9 +234,9 @@ def _merge_lists(table: pa.Table) -> pa.Table:
     length = np.diff(np.append(begin, len(shingle)))
     own = np.repeat(length, length)
     out = _short_pairs(*(x[own <= SHORT] for x in (shingle, key, size, need)))
-    member, at, lists = np.unique(key[own > SHORT], return_inverse=True, return_counts=True)
+    member, first, at, lists = np.unique(key[own > SHORT], return_index=True, return_inverse=True, return_counts=True)
     company = np.bincount(at, own[own > SHORT], len(member))
-    out |= {"member": member, "lists": lists, "company": company} | _long_lists(key, size, begin[length > SHORT], length[length > SHORT])
+    out |= {"member": member, "lists": lists, "company": company, "c": need[own > SHORT][first] % ONLY_LONG} | _long_lists(key, size, begin[length > SHORT], length[length > SHORT])
     types = _PAIRS | _LONG | _IN_LONG
     return pa.table({c: pa.array([out[c].astype(t).tobytes()], pa.binary()) for c, t in types.items()})
 
@@ -303,8 +330,9 @@ def _named_rows(docs: DataFrame, id_col: str, text_col: str, n: int, text_hash:
     else:
         both = F.struct(X.named(id_col).cast("long").alias("id"), text_hash.alias("text_hash"))
         read, id_type, own = docs.select(both.alias("id"), X.named(text_col).alias("text")), "struct<id:bigint,text_hash:bigint>", ["id.id", "id.text_hash"]
-    surveyed = cut_lineage(read.mapInArrow(X.batch_by_batch(_survey(n)), f"id {id_type}, n_shingles bigint, key bigint, shingle bigint, count bigint"))
-    rows = surveyed.where("shingle IS NULL").select(*own, "n_shingles", "key")
+    surveyed = cut_lineage(read.mapInArrow(X.batch_by_batch(_survey(n)), f"id {id_type}, n_shingles bigint, key bigint, shingle bigint, count bigint, sketch binary"))
+    documents = surveyed.where("shingle IS NULL")
+    rows = documents.select(*own, "n_shingles", "key")
     most = surveyed.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "shingle").limit(HEAVY).toArrow()
     heavy = most["shingle"].to_numpy().view(np.uint64)
     order = np.argsort(heavy)
@@ -315,17 +343,23 @@ def _named_rows(docs: DataFrame, id_col: str, text_col: str, n: int, text_hash:
 
     sent = kept.mapInArrow(X.batch_by_batch(_short_lists(n, buckets, frequent)), "bucket int, shingles binary, keys binary, sizes binary, needs binary")
     packed = cut_lineage(sent.groupBy("bucket").applyInArrow(X.whole_group(_merge_lists), ", ".join(f"{c} binary" for c in (_PAIRS | _LONG | _IN_LONG))))
-    in_long = cut_lineage(_unpacked(packed, _IN_LONG).groupBy("member").agg(F.sum("lists").alias("lists"), F.sum("company").alias("company")))
-    lists, pairs = _unpacked(packed, _LONG), _candidates(packed, in_long)
+    in_long = cut_lineage(_unpacked(packed, _IN_LONG).groupBy("member").agg(F.sum("lists").alias("lists"), F.sum("company").alias("company"), F.max("c").alias("c")))
+    lists, pairs = _lists(packed, in_long), _candidates(packed, in_long)
 
-    # the sets of all members, from one document of each
     members = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(lists.select("key")).distinct()
-    example = X.written(rows.join(members, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id")))
-    wanted = example.select(F.col("id").alias("wanted"))
-    texts = kept.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = cut_lineage(texts.mapInArrow(X.batch_by_batch(_sets_of(n)), "key bigint, shingles binary").join(example.select("key"), "key", "left_semi"))
-
-    groups = _groups(pairs, lists, in_long, sets)
+    sketches = documents.select("key", F.col("n_shingles").alias("size"), "sketch").join(members, "key", "left_semi")
+    sketches = cut_lineage(sketches.dropDuplicates(["key"]))
+
+    def linked(tries: DataFrame) -> DataFrame:
+        """The pairs that link, of a written table; their sets come from one document of each."""
+        members = tries.select(F.col("a").alias("key")).union(tries.select("b")).distinct()
+        example = X.written(rows.join(members, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id")))
+        wanted = example.select(F.col("id").alias("wanted"))
+        texts = kept.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
+        sets = texts.mapInArrow(X.batch_by_batch(_sets_of(n)), "key bigint, shingles binary")
+        return _linked(tries, cut_lineage(sets.join(example.select("key"), "key", "left_semi")))
+
+    groups = _groups(_near_pairs(pairs, sketches), lists, sketches, linked)
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "key")).alias("component")
     return rows.join(groups.withColumnRenamed("node", "key"), "key", "left").select(*[c.split(".")[-1] for c in own], "n_shingles", component)
 
@@ -338,27 +372,56 @@ def _candidates(packed: DataFrame, in_long: DataFrame) -> DataFrame:
     return cut_lineage(pairs.where("n >= need - least(coalesce(long_a, 0), coalesce(long_b, 0))").select("a", "b"))
 
 
-def _sketches(batches):
+def _lists(packed: DataFrame, in_long: DataFrame) -> DataFrame:
+    """(list, key, size, lists, company, c) of the members of long lists that may have partners which no short list has."""
+    lists = _unpacked(packed, _LONG).join(in_long.withColumnRenamed("member", "key"), "key")
+    least = lists.groupBy("list").agg(F.min(F.when(F.col("lists") >= F.col("c"), F.col("c"))).alias("least"))
+    return cut_lineage(lists.join(least, "list").where("lists >= least").drop("least"))
+
+
+def _within(batches):
+    """The pairs that the sketch bound does not exclude."""
     for batch in batches:
-        rows = [np.packbits(np.bincount((np.frombuffer(v.as_buffer(), np.uint64) % np.uint64(_CELLS)).astype(np.int64), minlength=_CELLS) & 1) for v in batch["shingles"]]
-        cells = np.stack(rows).view(np.int64) if rows else np.zeros((0, len(_SKETCH)), np.int64)
-        yield pa.RecordBatch.from_arrays([batch["key"], *(pa.array(cells[:, i]) for i in range(len(_SKETCH)))], ["key", *_SKETCH])
+        x, y = (batch[f"sketch_{c}"].to_pylist() for c in "ab")
+        size = batch["size_a"].to_numpy() + batch["size_b"].to_numpy()
+        width = np.array([min(len(i), len(j)) for i, j in zip(x, y, strict=True)], np.int64)
+        keep = np.zeros(len(width), bool)
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero(width == w)
+            own, other = (_folded([v[i] for i in at.tolist()], w) for v in (x, y))
+            keep[at] = 9 * np.bitwise_count(own ^ other).sum(1, dtype=np.int64) <= size[at]
+        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep))
+
+
+def _near_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs whose sketches are near."""
+    for c in ("a", "b"):
+        pairs = pairs.join(sketches.withColumnsRenamed({"key": c, "size": f"size_{c}", "sketch": f"sketch_{c}"}), c)
+    return cut_lineage(pairs.mapInArrow(X.batch_by_batch(_within), "a bigint, b bigint"))
 
 
 def _near(table: pa.Table) -> pa.Table:
     """Pairs of members of one list, from one or two of its blocks, that are apart and within both bounds."""
     table = table.combine_chunks()
-    key, size, component, block = (table[c].to_numpy() for c in ("key", "size", "component", "block"))
-    cells = np.stack([table[c].to_numpy() for c in _SKETCH], 1).view(np.uint64)
+    key, size, component, block, lists, need = (table[c].to_numpy() for c in ("key", "size", "component", "block", "lists", "c"))
+    sketch = table["sketch"].to_pylist()
+    width = np.array([len(x) for x in sketch], np.int64)
+    cells, place = {}, np.zeros(len(key), np.int64)
+    for w in np.unique(width).tolist():  # sets in reach of each other have the same width or one twice the other
+        cells[w, w], cells[w, 2 * w] = (_folded([sketch[i] for i in np.flatnonzero(width == v).tolist()], w) for v in (w, 2 * w))
+        place[width == w] = np.arange(int((width == w).sum()))
     low, high = table["i"][0].as_py(), table["j"][0].as_py()
     own, other = np.flatnonzero(block == low), np.flatnonzero(block == high)
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k, x in enumerate(own.tolist()):
         y = own[k + 1 :] if low == high else other
         y = y[(component[y] != component[x]) & (5 * np.minimum(size[y], size[x]) >= 4 * np.maximum(size[y], size[x]))]
-        y = y[9 * np.bitwise_count(cells[y] ^ cells[x]).sum(1, dtype=np.int64) <= size[y] + size[x]]
-        a.append(np.minimum(key[y], key[x]))
-        b.append(np.maximum(key[y], key[x]))
+        y = y[np.minimum(lists[y], lists[x]) >= np.minimum(need[y], need[x])]
+        for w in np.unique(width[y]).tolist():
+            z, least = y[width[y] == w], min(w, int(width[x]))
+            z = z[9 * np.bitwise_count(cells[least, w][place[z]] ^ cells[least, int(width[x])][place[x]]).sum(1, dtype=np.int64) <= size[z] + size[x]]
+            a.append(np.minimum(key[z], key[x]))
+            b.append(np.maximum(key[z], key[x]))
     return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
@@ -369,17 +432,16 @@ def _linked(tries: DataFrame, sets: DataFrame) -> DataFrame:
     return cut_lineage(both.select("a", "b", "x", "y").mapInArrow(X.batch_by_batch(_probe), "a bigint, b bigint"))
 
 
-def _groups(pairs: DataFrame, lists: DataFrame, in_long: DataFrame, sets: DataFrame) -> DataFrame:
+def _groups(pairs: DataFrame, lists: DataFrame, sketches: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, component) of set keys, in two rounds as told above."""
-    sketch = sets.mapInArrow(X.batch_by_batch(_sketches), ", ".join(["key bigint", *(f"{c} bigint" for c in _SKETCH)])).dropDuplicates(["key"])
-    lists = cut_lineage(lists.join(sketch, "key").join(in_long.select(F.col("member").alias("key"), "company"), "key"))
-
-    pivot = lists.groupBy("list").agg(F.max(F.struct("company", "key", "size", *_SKETCH)).alias("p"))
-    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p.{c}"))) for c in _SKETCH[1:]), F.bit_count(F.col("s0").bitwiseXOR(F.col("p.s0"))))
-    reach = (5 * F.least("size", "p.size") >= 4 * F.greatest("size", "p.size")) & (9 * apart <= F.col("size") + F.col("p.size"))
-    to_pivot = lists.join(pivot, "list").where((F.col("key") != F.col("p.key")) & reach).select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b"))
+    lists = cut_lineage(lists.join(sketches.select("key", "sketch"), "key"))
+    pivot = lists.groupBy("list").agg(F.max(F.struct("company", "key", "size", "sketch")).alias("p"))
+    reach = 5 * F.least("size", "p.size") >= 4 * F.greatest("size", "p.size")
+    to_pivot = lists.join(pivot, "list").where((F.col("key") != F.col("p.key")) & reach)
+    to_pivot = to_pivot.select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b"), F.col("size").alias("size_a"), F.col("p.size").alias("size_b"), F.col("sketch").alias("sketch_a"), F.col("p.sketch").alias("sketch_b"))
+    to_pivot = to_pivot.mapInArrow(X.batch_by_batch(_within), "a bigint, b bigint")
     tries = X.written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(to_pivot).distinct())
-    links = _linked(tries, sets)
+    links = linked(tries)
 
     groups = cut_lineage(components(links).withColumnRenamed("node", "key"))
     rest = pairs
@@ -390,10 +452,12 @@ def _groups(pairs: DataFrame, lists: DataFrame, in_long: DataFrame, sets: DataFr
     mixed = members.groupBy("list").agg((F.min("component") != F.max("component")).alias("mixed"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("mixed").drop("mixed")
     blocks = members.join(mixed, "list").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocks = blocks.select("list", "key", "size", "component", "block", *_SKETCH, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    blocks = blocks.select("list", "key", "size", "component", "block", "lists", "c", "sketch", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     near = blocks.groupBy("list", "i", "j").applyInArrow(X.whole_group(_near), "a bigint, b bigint")
     rest = X.written(rest.union(near).distinct().join(tries, ["a", "b"], "left_anti"))
-    return components(links.union(_linked(rest, sets)))
+    if rest.isEmpty():
+        return groups.withColumnRenamed("key", "node")
+    return components(links.union(linked(rest)))
 
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -82,6 +82,65 @@ def test_brute_force(spark, monkeypatch, slice_bytes, short):
     assert sorted((tuple(x) for x in near_duplicates(docs).collect()), key=repr) == brute(rows)
 
 
+@pytest.mark.parametrize("words", [516, 1028])
+def test_brute_force_where_sketches_differ_in_width(spark, monkeypatch, words):
+    """Near copies on both sides of a power of two of shingles, found by long lists only, by short ones, and by both."""
+    r = random.Random(words)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base, rows = [r.choice(vocabulary) for _ in range(words + words // 8)], []
+    for _ in range(40):
+        w = base[: len(base) - r.randrange(words // 4)]
+        for _ in range(r.randrange(words // 50)):
+            w[r.randrange(len(w))] = r.choice(vocabulary)
+        rows.append(w)
+    rows += [base[: r.randrange(20, words)] + [r.choice(vocabulary) for _ in range(r.randrange(words // 3))] for _ in range(20)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute(rows)
+    assert 1 < len({c for _, _, c in want}) < 50 and len({n > words - 4 for _, n, _ in want}) == 2
+    for short, block, in_slice in ((3, 16, 2), (3, 4096, 1000), (32, 16, 1000)):
+        monkeypatch.setattr(jaccard, "SHORT", short)
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "HEAVY_IN_SLICE", in_slice)
+        assert sorted((tuple(x) for x in near_duplicates(docs).collect()), key=repr) == want
+
+
+@pytest.mark.parametrize("shared", [1500, 100, 8])
+def test_large_texts_with_common_passages_are_not_read_again(spark, monkeypatch, shared):
+    """Texts of 2400 words that share a passage, of which lists turn out long, but are far from linking: no pair is probed and
+    no set is written."""
+    r = random.Random(shared)
+    passage = [f"p{i}" for i in range(shared)]
+    rows = [(i, " ".join(passage + [f"w{r.randrange(10**6)}" for _ in range(2400 - shared)])) for i in range(24)]
+    seen, linked = [], jaccard._linked
+    monkeypatch.setattr(jaccard, "SHORT", 3)
+    monkeypatch.setattr(jaccard, "HEAVY_IN_SLICE", 1000)  # known beforehand of none
+    monkeypatch.setattr(jaccard, "_linked", lambda tries, sets: seen.append((tries.count(), sets.count())) or linked(tries, sets))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(x) for x in got) == [(i, len(shingles(t)), i) for i, t in rows]
+    assert set(seen) <= {(0, 0)}
+
+
+def test_sketch_bound_holds_for_all_links():
+    import numpy as np
+    import pyarrow as pa
+
+    r, g, pairs = random.Random(5), np.random.default_rng(5), []
+    while len(pairs) < 300:
+        s = np.unique(g.integers(0, 1 << 63, r.choice([1, 9, 400, 520, 600, 1030, 2500]), np.uint64))
+        x = s[: len(s) - r.randrange(len(s) // 5 + 1)]
+        y = np.union1d(s[r.randrange(len(s) // 8 + 1) :], g.integers(0, 1 << 63, r.randrange(len(s) // 9 + 1), np.uint64))
+        pairs.append((x, y))
+    common = [len(np.intersect1d(x, y)) for x, y in pairs]
+    link = [100 * n >= 80 * (len(x) + len(y) - n) for (x, y), n in zip(pairs, common)]
+    far = [(x, np.sort(g.integers(0, 1 << 63, len(x), np.uint64))) for x, _ in pairs]
+    assert 50 < sum(link) < 300
+    both = pairs + far
+    rows = {"a": range(len(both)), "b": range(len(both)), "size_a": [len(x) for x, _ in both], "size_b": [len(y) for _, y in both], "sketch_a": [J._sketch(x) for x, _ in both], "sketch_b": [J._sketch(y) for _, y in both]}
+    kept = {x for b in J._within([pa.RecordBatch.from_pydict({k: pa.array(list(v)) for k, v in rows.items()})]) for x in b["a"].to_pylist()}
+    assert {i for i, y in enumerate(link) if y} <= kept and not [i for i in kept if i >= len(pairs)]
+
+
 def test_rarest_shingles_hold_enough_of_any_partner():
     """The lists of two sets that link have c sets in common at least, whatever shingles are frequent."""
     import numpy as np
