@@ -155,3 +155,21 @@ def test_planted_cases_on_the_given_tables(spark):
     held = {i for i in toxic if zlib.crc32(str(i).encode()) % 5}
     assert len(held & out) <= 0.1 * len(held)
     assert 400 < len(out) < 1000
+
+
+def test_near_duplicates_reads_no_sets_of_large_texts_that_only_share_a_passage(spark, monkeypatch):
+    """Texts whose lists turn out long, but which are far from linking, all stay, and none of them is written or probed as a set; a copy goes."""
+    from strata.llm import jaccard
+
+    r = random.Random(4)
+    passage = [f"p{i}" for i in range(1500)]
+    texts = [" ".join(passage + [f"w{r.randrange(10**6)}" for _ in range(900)]) for _ in range(20)]
+    near = " ".join(f"n{i}" for i in range(200))
+    rows = list(enumerate([*texts, near, near + " end"]))
+    tried, linked = [], jaccard._linked
+    monkeypatch.setattr(jaccard, "SHORT", 3)
+    monkeypatch.setattr(jaccard, "HEAVY_IN_SLICE", 1000)
+    monkeypatch.setattr(jaccard, "_linked", lambda tries, sets: tried.append((tries.count(), sets.count())) or linked(tries, sets))
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    assert sorted(x["doc_id"] for x in P.drop_near_duplicates(spark, docs, "").collect()) == list(range(21))
+    assert tried == [(1, 2)]
